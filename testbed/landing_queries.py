@@ -1,0 +1,428 @@
+"""Queries over files: the given tables written as landing feeds, then taken through every layer.
+
+The feeds and tables are written below the shared folder of the session.  Queries that only
+read share one lake per session and data folder; those that change a lake get their own.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from paylode.contracts import CONTRACTS, ENTITIES, LATE_DATA_DAYS, PAYMENTS
+from paylode.operators.validate import malformed, quarantine, validate
+from paylode.plans import gold
+from paylode.plans.jobs import (
+    QUARANTINE_SCHEMA,
+    JobResult,
+    bronze_to_silver,
+    features,
+    features_after,
+    land_to_bronze,
+    publish,
+    quality_of,
+    read_gold,
+    refresh_fct_payments,
+    silver_to_features,
+)
+from paylode.session import scratch_path
+from paylode.sources.lake import Lake, on_days, read_table
+from paylode.sources.landing import drift, ingest_counts, landed_days, landing_completeness, read_feed
+from paylode.streaming.landing_stream import merge_stream
+from testbed import adapters as src
+from testbed.oracle import day, moment, sql
+from testbed.queries import _comparable, comparable_kpis
+from testbed.registry import query
+
+V2_FROM = "2024-01-15"
+
+
+# ------------------------------------------------------------- writing the feeds
+def _payment_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Two versions of the feed, with resends, resolutions, extra members and cut-off lines."""
+    once = src.payment_feed(spark, sf)
+    resolved = once.where((F.col("status") == "pending") & (F.col("k") >= 30)).select(
+        *[c for c in once.columns if c not in ("status", "updated_at", "ingest_date")],
+        F.lit("approved").alias("status"),
+        F.date_format(F.col("ts") + F.expr("INTERVAL 1 DAY"), src.ISO).alias("updated_at"),
+        F.date_add("ingest_date", 1).alias("ingest_date"),
+    )
+    rows = once.unionByName(once.where(F.col("k") == 60)).unionByName(resolved)
+    second = F.col("ingest_date") >= F.lit(V2_FROM).cast("date")
+    members = [
+        F.when(second, F.col(n)).alias(n) if n in ("currency", "channel") else F.col(n) for n in PAYMENTS.names
+    ]
+    promo = F.when(F.col("event_type") == "purchase", F.concat(F.lit("PROMO"), F.col("k").cast("string")))
+    campaign = F.when((F.col("event_type") == "view") & (F.col("k") > 95), F.col("k"))
+    line = F.to_json(F.struct(*members, promo.alias("promo_code"), campaign.alias("campaign")))
+    cut_off = (F.col("event_type") == "error") & (F.col("k") == 50)
+    return rows.select(
+        F.when(cut_off, F.left(line, F.lit(40))).otherwise(line).alias("value"), "ingest_date",
+    )
+
+
+def _lines(df: DataFrame, names: list[str]) -> DataFrame:
+    members = [
+        F.date_format(n, src.ISO).alias(n) if dict(df.dtypes)[n] == "timestamp" else F.col(n) for n in names
+    ]
+    return df.select(F.to_json(F.struct(*members)).alias("value"), "ingest_date")
+
+
+def _customer_lines(spark, sf):
+    everyone = src.customers(spark, sf)
+    first = everyone.withColumn("risk_segment", F.lit("low")).withColumn("ingest_date", F.lit("2024-01-01"))
+    changed = everyone.where(F.col("risk_segment") != "low").withColumn("ingest_date", F.lit("2024-01-10"))
+    both = first.unionByName(changed).withColumn("updated_at", F.col("ingest_date").cast("timestamp"))
+    return _lines(both, CONTRACTS["customers"].names)
+
+
+def _merchant_lines(spark, sf):
+    return _lines(
+        src.known_merchants(spark, sf).withColumn("ingest_date", F.lit("2024-01-01")), CONTRACTS["merchants"].names)
+
+
+def _child_lines(spark, sf, entity, prefix, of_type, from_k, days):
+    rows = src.events(spark, sf).where((F.col("event_type") == of_type) & (F.col("k") >= from_k))
+    when = F.col("ts") + F.expr(f"INTERVAL {days} DAY")
+    reason = F.when(F.col("k") < 85, "fraud").when(F.col("k") < 90, "duplicate").otherwise("other")
+    rows = rows.select(
+        src._tag(prefix, "event_id").alias(f"{entity}_id"),
+        src._tag("E", "event_id").alias("payment_id"),
+        F.when(F.col("k") == 88, F.col("value") * 2 + 1).otherwise(F.col("value")).alias("amount"),
+        reason.alias("reason"),
+        when.alias(f"{entity}_date"),
+        when.alias("updated_at"),
+        F.to_date(when).alias("ingest_date"),
+    )
+    return _lines(rows, CONTRACTS[f"{entity}s"].names)
+
+
+def land_all(spark: SparkSession, sf: str) -> Lake:
+    """All five feeds as JSON lines, one folder per feed and day."""
+    root = scratch_path(spark, "lake")
+    lake = Lake(root=f"{root}/lake", landing=f"{root}/landing")
+    feeds = {
+        "customers": _customer_lines(spark, sf),
+        "merchants": _merchant_lines(spark, sf),
+        "payments": _payment_lines(spark, sf),
+        "refunds": _child_lines(spark, sf, "refund", "R", "purchase", 50, 3),
+        "chargebacks": _child_lines(spark, sf, "chargeback", "B", "click", 80, 5),
+    }
+    for entity, lines in feeds.items():
+        lines.hint("rebalance", "ingest_date").write.partitionBy("ingest_date").text(f"{lake.landing}/{entity}")
+    return lake
+
+
+# ----------------------------------------------------------- shared, read-only lakes
+_LAKES: dict[tuple, Lake] = {}
+
+
+def _shared(spark: SparkSession, sf: str, stage: str, build) -> Lake:
+    key = (spark.sparkContext.applicationId, sf, stage)
+    if key not in _LAKES:
+        _LAKES[key] = build(spark, sf)
+    return _LAKES[key]
+
+
+def landed(spark, sf) -> Lake:
+    return _shared(spark, sf, "landing", land_all)
+
+
+def _to_silver(spark, lake: Lake) -> dict[str, JobResult]:
+    results = {}
+    for entity in ENTITIES:
+        days = landed_days(spark, lake.landing, entity)
+        results[f"bronze.{entity}"] = land_to_bronze(spark, lake, entity, days)
+        results[f"silver.{entity}"] = bronze_to_silver(spark, lake, entity, days)
+    return results
+
+
+def build_lake(spark: SparkSession, sf: str, lake: Lake | None = None) -> Lake:
+    """Landing to gold, all days in one batch per feed and layer."""
+    lake = lake or land_all(spark, sf)
+    results = _to_silver(spark, lake)
+    changed = [p.partition("=")[2] for p in results["silver.payments"].partitions]
+    silver_to_features(spark, lake, features_after(changed))
+    refresh_fct_payments(spark, lake)
+    quality = quality_of(r for name, r in results.items() if name.startswith("silver."))
+    publish(spark, lake, "R1", landed_days(spark, lake.landing), "incremental", quality)
+    return lake
+
+
+def built(spark, sf) -> Lake:
+    return _shared(spark, sf, "gold", build_lake)
+
+
+def _feed(spark, sf, entity="payments") -> DataFrame:
+    lake = landed(spark, sf)
+    return read_feed(spark, lake.landing, CONTRACTS[entity], landed_days(spark, lake.landing, entity))
+
+
+# -------------------------------------------------------------------- landing, bronze
+@query("json_lines_scan", sql("landed_lines", body=f"""
+    SELECT CASE WHEN NOT cut_off THEN payment_id END AS payment_id, CASE WHEN NOT cut_off THEN amount END AS amount,
+           CASE WHEN NOT cut_off THEN currency END AS currency, cut_off, {day("ingest_date")} AS ingest_date,
+           COUNT(*) AS n FROM landed_lines GROUP BY ALL"""))
+def json_lines_scan(spark, sf):
+    return _feed(spark, sf).groupBy(
+        "payment_id", "amount", "currency", F.col("_corrupt_record").isNotNull().alias("cut_off"), "ingest_date",
+    ).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("file_lineage", sql("landing_counts", body="SELECT * FROM landing_counts"))
+def file_lineage(spark, sf):
+    """Feed and day taken from the file name on each row."""
+    origin = F.regexp_extract("_source_file", r"([^/]+)/ingest_date=", 1)
+    day_of = F.regexp_extract("_source_file", r"ingest_date=([0-9-]+)", 1)
+    result = None
+    for entity in ENTITIES:
+        counted = _feed(spark, sf, entity).groupBy(origin.alias("entity"), day_of.alias("ingest_date")).agg(
+            F.count(F.lit(1)).alias("rows"))
+        result = counted if result is None else result.unionByName(counted)
+    return result
+
+
+@query("ingest_counts", sql("landed_lines", body=f"""
+    SELECT {day("ingest_date")} AS ingest_date, COUNT(*) AS rows_read,
+           CAST(SUM(CASE WHEN cut_off THEN 1 ELSE 0 END) AS BIGINT) AS corrupt_lines,
+           CAST(MAX(CASE WHEN NOT cut_off AND (currency IS NOT NULL OR channel IS NOT NULL) THEN 2 ELSE 1 END) AS BIGINT)
+               AS contract_version FROM landed_lines GROUP BY 1"""))
+def ingest_counts_query(spark, sf):
+    return ingest_counts(_feed(spark, sf), PAYMENTS)
+
+
+@query("schema_drift", sql("landed_lines", body=f"""
+    SELECT ingest_date, 'unknown_columns' AS kind, concat_ws(',', MAX(campaign), MAX(promo)) AS columns FROM (
+        SELECT {day("ingest_date")} AS ingest_date,
+               CASE WHEN event_type = 'view' AND k > 95 AND NOT cut_off THEN 'campaign' END AS campaign,
+               CASE WHEN event_type = 'purchase' AND NOT cut_off THEN 'promo_code' END AS promo FROM landed_lines)
+    GROUP BY 1 HAVING MAX(campaign) IS NOT NULL OR MAX(promo) IS NOT NULL"""))
+def schema_drift(spark, sf):
+    return drift(_feed(spark, sf), PAYMENTS)
+
+
+@query("landed_partitions", sql("landed_lines", body=f"""
+    SELECT DISTINCT {day("ingest_date")} AS ingest_date FROM landed_lines"""))
+def landed_partitions(spark, sf):
+    days = [(d,) for d in landed_days(spark, landed(spark, sf).landing)]
+    return spark.createDataFrame(days, "ingest_date date")
+
+
+@query("landing_completeness", sql("landing_counts", body="""
+    SELECT w.entity, d.ingest_date, c.rows IS NOT NULL AS present, c.rows
+    FROM (VALUES ('customers'), ('merchants'), ('payments'), ('refunds'), ('chargebacks')) AS w(entity)
+    JOIN (SELECT DISTINCT ingest_date FROM landing_counts WHERE entity = 'payments') d ON TRUE
+    LEFT JOIN landing_counts c ON c.entity = w.entity AND c.ingest_date = d.ingest_date"""))
+def landing_completeness_query(spark, sf):
+    lake = landed(spark, sf)
+    return landing_completeness(spark, lake.landing, landed_days(spark, lake.landing))
+
+
+@query("malformed_json_split", sql("landed_lines", body=f"""
+    SELECT {day("ingest_date")} AS ingest_date, COUNT(*) AS n FROM landed_lines WHERE cut_off GROUP BY 1"""))
+def malformed_json_split(spark, sf):
+    return malformed(_feed(spark, sf)).groupBy("ingest_date").agg(F.count(F.lit(1)).alias("n"))
+
+
+_QUARANTINE_SQL = f"""
+    SELECT reasons, ingest_date, COUNT(*) AS n FROM (
+        SELECT reasons, {day("ingest_date")} AS ingest_date FROM landed_validated WHERE reasons <> ''
+        UNION ALL SELECT 'record:malformed_json', {day("ingest_date")} FROM landed_lines WHERE cut_off)
+    GROUP BY 1, 2"""
+
+
+@query("quarantine_union", sql("landed_validated", "landed_lines", body=_QUARANTINE_SQL))
+def quarantine_union(spark, sf):
+    feed = _feed(spark, sf)
+    readable = feed.where(F.col("_corrupt_record").isNull())
+    checked = validate(readable, PAYMENTS, merchants=src.known_merchants(spark, sf))
+    return quarantine(checked, feed).groupBy(F.array_join("_reasons", ",").alias("reasons"), "ingest_date").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@query("quarantine_table", sql("landed_validated", "landed_lines", body=_QUARANTINE_SQL))
+def quarantine_table(spark, sf):
+    table = read_table(spark, built(spark, sf).path("quarantine", "payments"), QUARANTINE_SCHEMA)
+    return table.groupBy(F.array_join("_reasons", ",").alias("reasons"), "ingest_date").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@query("single_partition_read", sql("landed_lines", body=f"""
+    SELECT CASE WHEN NOT cut_off THEN payment_id END AS payment_id, {day("ingest_date")} AS ingest_date
+    FROM landed_lines WHERE ingest_date = DATE '2024-01-12'"""))
+def single_partition_read(spark, sf):
+    bronze = on_days(built(spark, sf).bronze(spark, "payments"), ["2024-01-12"], "ingest_date")
+    return bronze.select("payment_id", "ingest_date")
+
+
+# ----------------------------------------------------------------------------- silver
+_SILVER = ["payment_id", "customer_id", "merchant_id", "amount", "payment_method", "transaction_date", "status",
+           "updated_at", "currency", "channel", "dt"]
+_SILVER_SQL = f"""
+    SELECT payment_id, customer_id, merchant_id, amount, payment_method,
+           {moment("transaction_date")} AS transaction_date, status, {moment("updated_at")} AS updated_at, currency,
+           channel, {day("dt")} AS dt FROM landed_payments"""
+
+
+@query("silver_payments", sql("landed_payments", body=_SILVER_SQL))
+def silver_payments(spark, sf):
+    return built(spark, sf).silver(spark, "payments").select(*_SILVER)
+
+
+@query("silver_customers", sql("landed_customers", body=f"""
+    SELECT customer_id, document_type, document_number, city, {moment("created_at")} AS created_at, risk_segment,
+           {moment("updated_at")} AS updated_at FROM landed_customers"""))
+def silver_customers(spark, sf):
+    return built(spark, sf).silver(spark, "customers").select(*CONTRACTS["customers"].names)
+
+
+@query("silver_refunds", sql("landed_refunds", body=f"""
+    SELECT refund_id, payment_id, amount, {moment("refund_date")} AS refund_date, {day("dt")} AS dt, payment_found
+    FROM landed_refunds"""))
+def silver_refunds(spark, sf):
+    return built(spark, sf).silver(spark, "refunds").select(
+        "refund_id", "payment_id", "amount", "refund_date", "dt", "payment_found")
+
+
+@query("silver_chargebacks", sql("landed_chargebacks", body=f"""
+    SELECT chargeback_id, payment_id, reason, amount, {moment("chargeback_date")} AS chargeback_date,
+           {day("dt")} AS dt, payment_found FROM landed_chargebacks"""))
+def silver_chargebacks(spark, sf):
+    return built(spark, sf).silver(spark, "chargebacks").select(
+        "chargeback_id", "payment_id", "reason", "amount", "chargeback_date", "dt", "payment_found")
+
+
+@query("pruned_fact_read", sql("landed_payments", body=f"""
+    SELECT {day("dt")} AS dt, status, COUNT(*) AS n FROM landed_payments
+    WHERE dt BETWEEN DATE '2024-01-10' AND DATE '2024-01-17' AND status = 'approved' GROUP BY 1, 2"""))
+def pruned_fact_read(spark, sf):
+    rows = built(spark, sf).silver(spark, "payments")
+    days = F.col("dt").between(F.lit("2024-01-10").cast("date"), F.lit("2024-01-17").cast("date"))
+    return rows.where(days & (F.col("status") == "approved")).groupBy("dt", "status").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@query("merge_schema_read", sql("landed_lines", body=f"""
+    SELECT {day("ingest_date")} AS ingest_date, COUNT(*) AS rows,
+           COUNT(CASE WHEN NOT cut_off THEN currency END) AS with_currency FROM landed_lines GROUP BY 1"""))
+def merge_schema_read(spark, sf):
+    """Files of both contract versions read by column name."""
+    return built(spark, sf).bronze(spark, "payments").groupBy("ingest_date").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("currency").alias("with_currency"))
+
+
+@query("volume_counts", sql("landed_lines", "landed_validated", "landed_payments", body="""
+    SELECT (SELECT COUNT(*) FROM landed_lines) AS rows_read,
+           (SELECT COUNT(*) FROM landed_validated WHERE reasons = '') - (SELECT COUNT(*) FROM landed_payments)
+               AS duplicates_removed,
+           (SELECT COUNT(*) FROM landed_payments) AS rows_written,
+           (SELECT COUNT(*) FROM landed_validated WHERE reasons <> '')
+               + (SELECT COUNT(*) FROM landed_lines WHERE cut_off) AS rows_quarantined,
+           (SELECT COUNT(*) FROM landed_payments WHERE dt < ingest_date) AS late_rows"""))
+def volume_counts(spark, sf):
+    """The figures a job reports, from its own run."""
+    lake = land_all(spark, sf)
+    for entity in ("merchants", "payments"):
+        days = landed_days(spark, lake.landing, entity)
+        land_to_bronze(spark, lake, entity, days)
+        result = bronze_to_silver(spark, lake, entity, days)
+    figures = (result.rows_read, result.details["duplicates_removed"], result.rows_written,
+               result.rows_quarantined, result.details["late_rows"])
+    return spark.createDataFrame(
+        [figures],
+        "rows_read bigint, duplicates_removed bigint, rows_written bigint, rows_quarantined bigint, late_rows bigint")
+
+
+@query("idempotent_reprocess", sql("landed_payments", body=_SILVER_SQL))
+def idempotent_reprocess(spark, sf):
+    """Days in pieces, out of order and some of them again: the same table."""
+    lake = land_all(spark, sf)
+    for entity in ("merchants", "payments"):
+        days = landed_days(spark, lake.landing, entity)
+        land_to_bronze(spark, lake, entity, days)
+        half = len(days) // 2
+        pieces = [days[half:], days[:half], days[half - 1: half + 3]] if half else [days]
+        for piece in pieces:
+            bronze_to_silver(spark, lake, entity, piece)
+    return lake.silver(spark, "payments").select(*_SILVER)
+
+
+@query("stream_upsert_equals_batch", sql("landed_payments", body=_SILVER_SQL))
+def stream_upsert_equals_batch(spark, sf):
+    """The payments feed as a stream of files, merged in several micro-batches."""
+    lake = land_all(spark, sf)
+    for entity, per_batch in (("merchants", None), ("payments", 20)):
+        checkpoint = scratch_path(spark, f"stream-{entity}")
+        merge_stream(spark, lake, entity, checkpoint, files_per_batch=per_batch).awaitTermination()
+    return lake.silver(spark, "payments").select(*_SILVER)
+
+
+# --------------------------------------------------------------------- features, gold
+@query("silver_payment_features", sql("landed_features", body=f"""
+    SELECT payment_id, category, risk_segment, txn_count_7d, ROUND(amount_7d, 2) AS amount_7d,
+           ROUND(amount_7d, 2) / txn_count_7d AS avg_amount_7d, seconds_since_prev, high_velocity, amount_spike,
+           {day("dt")} AS dt FROM landed_features"""))
+def silver_payment_features(spark, sf):
+    return _comparable(features(spark, built(spark, sf))).drop(
+        "customer_id", "merchant_id", "amount", "transaction_date")
+
+
+@query("landing_to_gold", sql("landed_kpis", body=f"SELECT * REPLACE ({day('fecha')} AS fecha) FROM landed_kpis"))
+def landing_to_gold(spark, sf):
+    """Files to daily financial indicators through every layer."""
+    return comparable_kpis(read_gold(spark, built(spark, sf), "indicadores_financieros"))
+
+
+@query("gold_export", sql("landed_fact", body=f"""
+    SELECT payment_id AS id_pago, customer_id AS id_cliente, merchant_id AS id_comercio,
+           merchant_category AS categoria_comercio, payment_method AS medio_pago, channel AS canal, status AS estado,
+           currency AS moneda, amount AS monto, amount_cop AS monto_cop,
+           {moment("transaction_date")} AS fecha_transaccion, {day("transaction_day")} AS fecha,
+           flag_high_velocity AS alerta_velocidad, flag_amount_spike AS alerta_monto FROM landed_fact"""))
+def gold_export(spark, sf):
+    return read_gold(spark, built(spark, sf), "pagos_gold")
+
+
+@query("incremental_gold_refresh", sql("landed_fact", body=f"""
+    SELECT payment_id, status, amount_cop, {day("transaction_day")} AS transaction_day, flag_high_velocity,
+           flag_amount_spike FROM landed_fact"""))
+def incremental_gold_refresh(spark, sf):
+    """The first half of the days, then the rest as an incremental run: the fact of a full refresh."""
+    lake = land_all(spark, sf)
+    for part in (0, 1):
+        for entity in ENTITIES:
+            days = landed_days(spark, lake.landing, entity)
+            half = [d for d in days if (str(d) >= V2_FROM) == bool(part)]
+            if half:
+                land_to_bronze(spark, lake, entity, half)
+                result = bronze_to_silver(spark, lake, entity, half)
+            if entity == "payments":
+                scored = features_after(p.partition("=")[2] for p in result.partitions)
+        silver_to_features(spark, lake, scored)
+        refresh_fct_payments(spark, lake, scored)
+    from paylode.plans.jobs import FCT_PAYMENTS_SCHEMA
+
+    return read_table(spark, lake.path("marts", "fct_payments"), FCT_PAYMENTS_SCHEMA).select(
+        "payment_id", "status", "amount_cop", "transaction_day", "flag_high_velocity", "flag_amount_spike")
+
+
+@query("publication_manifest", sql("landed_fact", "landed_chargebacks", "customers", "landed_kpis", body="""
+    SELECT 'R1' AS run_id, 'incremental' AS kind, (SELECT COUNT(*) FROM customers) AS clientes_gold,
+           (SELECT COUNT(*) FROM landed_fact) AS pagos_gold,
+           (SELECT COUNT(*) FROM landed_chargebacks) AS contracargos_gold,
+           (SELECT COUNT(*) FROM landed_kpis) AS indicadores_financieros"""))
+def publication_manifest(spark, sf):
+    manifest = spark.read.schema(
+        "run_id string, kind string, datasets map<string,bigint>"
+    ).json(built(spark, sf).path("gold", "_manifest"))
+    return manifest.select("run_id", "kind", *[F.col("datasets")[n].alias(n) for n in gold.GOLD_DATASETS])
+
+
+@query("published_columns", None)
+def published_columns(spark, sf):
+    """Columns a reader counts on, and whether the published datasets have them."""
+    lake = built(spark, sf)
+    datasets = {name: read_gold(spark, lake, name) for name in gold.GOLD_DATASETS}
+    missing = gold.missing_columns(datasets)
+    rows = [(name, c, c not in missing[name]) for name, cs in gold.REQUIRED_COLUMNS.items() for c in cs]
+    return spark.createDataFrame(rows, "dataset string, column string, present boolean")

@@ -70,6 +70,54 @@ def _checked(source: str, days: int) -> str:
     FROM {source} r LEFT JOIN payments p ON r.payment_id = p.payment_id AND p.dt >= r.dt - {days}"""
 
 
+
+def _validation(prefix: str, source: str) -> dict[str, tuple[tuple[str, ...], str]]:
+    """Typing and all checks of a payment feed, under names with a prefix."""
+    return {
+        f"{prefix}typed": ((source,), rf"""
+    SELECT * REPLACE (
+               CASE WHEN isnan(TRY_CAST(amount AS DOUBLE)) THEN NULL ELSE TRY_CAST(amount AS DOUBLE) END AS amount,
+               CASE WHEN regexp_matches(transaction_date, '^\s*\d{{4}}-\d{{1,2}}-\d{{1,2}}')
+                    THEN TRY_CAST(transaction_date AS TIMESTAMP) END AS transaction_date,
+               CAST(updated_at AS TIMESTAMP) AS updated_at,
+               COALESCE(currency, 'COP') AS currency),
+           amount AS raw_amount, transaction_date AS raw_date, currency AS raw_currency
+    FROM {source}"""),
+        f"{prefix}dated": ((f"{prefix}typed",), f"""
+    SELECT *, CAST(transaction_date AS DATE) AS dt FROM {prefix}typed"""),
+        f"{prefix}reasoned": ((f"{prefix}dated", "known"), f"""
+    SELECT d.*, concat_ws(',',
+        CASE WHEN trim(COALESCE(customer_id, '')) = '' THEN 'customer_id:missing' END,
+        CASE WHEN trim(COALESCE(raw_amount, '')) = '' THEN 'amount:missing' WHEN amount IS NULL
+             THEN 'amount:invalid_type' WHEN amount < 0.01 THEN 'amount:below_min' END,
+        CASE WHEN payment_method NOT IN ('card', 'pse', 'wallet', 'transfer')
+             THEN 'payment_method:not_allowed' END,
+        CASE WHEN transaction_date IS NULL THEN 'transaction_date:invalid_type' END,
+        CASE WHEN currency NOT IN ('COP', 'USD') THEN 'currency:not_allowed' END) AS contract_reasons,
+        CASE WHEN merchant_id NOT IN (SELECT merchant_id FROM known) THEN 'merchant_id:unknown' END AS merchant_reason,
+        CASE WHEN dt < ingest_date - 7 THEN 'late:out_of_window' END AS late_reason
+    FROM {prefix}dated d"""),
+        f"{prefix}validated": ((f"{prefix}reasoned",), f"""
+    SELECT *, concat_ws(',', NULLIF(contract_reasons, ''), merchant_reason, late_reason) AS reasons
+    FROM {prefix}reasoned"""),
+    }
+
+
+def _landed_children(entity: str, prefix: str, of_type: str, from_k: int, days: int, extra: str = "") -> str:
+    return f"""
+    SELECT '{prefix}' || {text("event_id")} AS {entity}_id, 'E' || {text("event_id")} AS payment_id,
+           CASE WHEN k = 88 THEN value * 2 + 1 ELSE value END AS amount,
+           ts + INTERVAL {days} DAY AS {entity}_date, CAST(ts + INTERVAL {days} DAY AS DATE) AS dt {extra}
+    FROM numbered WHERE event_type = '{of_type}' AND k >= {from_k}"""
+
+
+def _landed_accepted(source: str, days: int) -> str:
+    return f"""
+    SELECT c.*, p.payment_id IS NOT NULL AS payment_found
+    FROM {source} c LEFT JOIN landed_payments p ON c.payment_id = p.payment_id AND p.dt >= c.dt - {days}
+    WHERE c.amount >= 0.01 AND COALESCE(c.amount <= p.amount, TRUE)"""
+
+
 # name: (subqueries it needs, SQL)
 PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     # ------------------------------------------------------------- dimensions
@@ -179,31 +227,6 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
            CAST(ts AS DATE) + CASE WHEN k = 91 THEN 10 WHEN k BETWEEN 85 AND 90 THEN 2 ELSE 0 END AS ingest_date,
            k, ts, event_type
     FROM numbered"""),
-    "typed": (("feed",), r"""
-    SELECT * REPLACE (
-               CASE WHEN isnan(TRY_CAST(amount AS DOUBLE)) THEN NULL ELSE TRY_CAST(amount AS DOUBLE) END AS amount,
-               CASE WHEN regexp_matches(transaction_date, '^\s*\d{4}-\d{1,2}-\d{1,2}')
-                    THEN TRY_CAST(transaction_date AS TIMESTAMP) END AS transaction_date,
-               CAST(updated_at AS TIMESTAMP) AS updated_at,
-               COALESCE(currency, 'COP') AS currency),
-           amount AS raw_amount, transaction_date AS raw_date, currency AS raw_currency
-    FROM feed"""),
-    "dated": (("typed",), "SELECT *, CAST(transaction_date AS DATE) AS dt FROM typed"),
-    "known": (("merchants",), "SELECT merchant_id FROM merchants WHERE s_acctbal >= 0"),
-    "reasoned": (("dated", "known"), """
-    SELECT d.*, concat_ws(',',
-        CASE WHEN trim(COALESCE(customer_id, '')) = '' THEN 'customer_id:missing' END,
-        CASE WHEN trim(COALESCE(raw_amount, '')) = '' THEN 'amount:missing' WHEN amount IS NULL
-             THEN 'amount:invalid_type' WHEN amount < 0.01 THEN 'amount:below_min' END,
-        CASE WHEN payment_method NOT IN ('card', 'pse', 'wallet', 'transfer')
-             THEN 'payment_method:not_allowed' END,
-        CASE WHEN transaction_date IS NULL THEN 'transaction_date:invalid_type' END,
-        CASE WHEN currency NOT IN ('COP', 'USD') THEN 'currency:not_allowed' END) AS contract_reasons,
-        CASE WHEN merchant_id NOT IN (SELECT merchant_id FROM known) THEN 'merchant_id:unknown' END AS merchant_reason,
-        CASE WHEN dt < ingest_date - 7 THEN 'late:out_of_window' END AS late_reason
-    FROM dated d"""),
-    "validated": (("reasoned",), """
-    SELECT *, concat_ws(',', NULLIF(contract_reasons, ''), merchant_reason, late_reason) AS reasons FROM reasoned"""),
     "event_payments": (("numbered",), f"""
     SELECT 'E' || {text("event_id")} AS payment_id, 'C' || {text("user_id")} AS customer_id,
            'M' || {text("k")} AS merchant_id, value AS amount, ts AS transaction_date,
@@ -276,6 +299,74 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     ) had ON run_id = unit_run_id AND stage = unit_stage"""),
 }
 
+PARTS |= {"known": (("merchants",), "SELECT merchant_id FROM merchants WHERE s_acctbal >= 0")}
+PARTS |= _validation("", "feed") | _validation("landed_", "landed")
+
+# ------------------------------------------------- landing files and what becomes of them
+PARTS |= {
+    # The first version has no currency and channel before the 15th; some lines are sent twice;
+    # a pending payment is resolved a day later; some lines are cut off.
+    "landed_lines": (("feed",), f"""
+    SELECT *, event_type = 'error' AND k = 50 AS cut_off FROM (
+        SELECT * REPLACE (CASE WHEN ingest_date >= DATE '2024-01-15' THEN currency END AS currency,
+                          CASE WHEN ingest_date >= DATE '2024-01-15' THEN channel END AS channel) FROM (
+            SELECT * FROM feed
+            UNION ALL SELECT * FROM feed WHERE k = 60
+            UNION ALL SELECT * REPLACE ('approved' AS status,
+                strftime(ts + INTERVAL 1 DAY, '%Y-%m-%dT%H:%M:%S.%f') AS updated_at,
+                ingest_date + 1 AS ingest_date) FROM feed WHERE status = 'pending' AND k >= 30))"""),
+    "landed": (("landed_lines",), "SELECT * EXCLUDE (cut_off) FROM landed_lines WHERE NOT cut_off"),
+    "landed_payments": (("landed_validated",), latest(
+        "(SELECT * FROM landed_validated WHERE reasons = '')", "payment_id", "updated_at DESC, ingest_date DESC",
+    )),
+    "landed_customers": (("customers",), """
+    SELECT * REPLACE (CASE WHEN risk_segment <> 'low' THEN TIMESTAMP '2024-01-10 00:00:00'
+                           ELSE TIMESTAMP '2024-01-01 00:00:00' END AS updated_at) FROM customers"""),
+    "refund_lines": (("numbered",), _landed_children("refund", "R", "purchase", 50, 3)),
+    "landed_refunds": (("refund_lines", "landed_payments"), _landed_accepted("refund_lines", 30)),
+    "chargeback_lines": (("numbered",), _landed_children("chargeback", "B", "click", 80, 5, """,
+           CASE WHEN k < 85 THEN 'fraud' WHEN k < 90 THEN 'duplicate' ELSE 'other' END AS reason""")),
+    "landed_chargebacks": (("chargeback_lines", "landed_payments"), _landed_accepted("chargeback_lines", 60)),
+    "landed_features": (("landed_payments", "merchants", "customers"), features("landed_payments")),
+    "landed_fact": (("landed_payments", "merchants", "customers", "landed_features"), """
+    SELECT p.payment_id, p.customer_id, p.merchant_id, m.category AS merchant_category, c.risk_segment,
+           p.payment_method, p.channel, p.status, p.currency, p.amount,
+           CASE WHEN p.currency = 'USD' THEN p.amount * 4000 ELSE p.amount END AS amount_cop,
+           p.transaction_date, p.dt AS transaction_day, COALESCE(f.high_velocity, FALSE) AS flag_high_velocity,
+           COALESCE(f.amount_spike, FALSE) AS flag_amount_spike
+    FROM landed_payments p
+    LEFT JOIN merchants m ON p.merchant_id = m.merchant_id
+    LEFT JOIN customers c ON p.customer_id = c.customer_id
+    LEFT JOIN landed_features f ON p.payment_id = f.payment_id"""),
+    "landed_kpis": (("landed_fact", "landed_refunds", "landed_chargebacks"), f"""
+    SELECT p.*, CAST(pagos_aprobados AS DOUBLE) / pagos AS tasa_aprobacion,
+           p.tpv_cop / NULLIF(p.pagos_aprobados, 0) AS ticket_promedio_cop,
+           COALESCE(devoluciones, 0) AS devoluciones, COALESCE(devoluciones_cop, 0) AS devoluciones_cop,
+           ROUND(COALESCE(devoluciones_cop, 0) / NULLIF(p.tpv_cop, 0), 6) AS tasa_devolucion,
+           COALESCE(contracargos, 0) AS contracargos,
+           ROUND(COALESCE(contracargos_cop, 0) / NULLIF(p.tpv_cop, 0), 6) AS tasa_contracargos
+    FROM (SELECT transaction_day AS fecha, COUNT(*) AS pagos, {count_if("status = 'approved'")} AS pagos_aprobados,
+                 ROUND(SUM(CASE WHEN status = 'approved' THEN amount_cop ELSE 0 END), 2) AS tpv_cop,
+                 COUNT(DISTINCT customer_id) AS clientes_activos FROM landed_fact GROUP BY 1) p
+    LEFT JOIN (SELECT r.dt, COUNT(*) AS devoluciones,
+                      ROUND(SUM(CASE WHEN q.currency = 'USD' THEN r.amount * 4000 ELSE r.amount END), 2)
+                          AS devoluciones_cop
+               FROM landed_refunds r LEFT JOIN landed_payments q ON r.payment_id = q.payment_id GROUP BY 1) d
+        ON p.fecha = d.dt
+    LEFT JOIN (SELECT b.dt, COUNT(*) AS contracargos,
+                      ROUND(SUM(CASE WHEN q.currency = 'USD' THEN b.amount * 4000 ELSE b.amount END), 2)
+                          AS contracargos_cop
+               FROM landed_chargebacks b LEFT JOIN landed_payments q ON b.payment_id = q.payment_id GROUP BY 1) c
+        ON p.fecha = c.dt"""),
+    "landing_counts": (("landed_lines", "customers", "known", "refund_lines", "chargeback_lines"), f"""
+    SELECT 'payments' AS entity, {day("ingest_date")} AS ingest_date, COUNT(*) AS rows FROM landed_lines GROUP BY 2
+    UNION ALL SELECT 'customers', '2024-01-01', COUNT(*) FROM customers
+    UNION ALL SELECT 'customers', '2024-01-10', COUNT(*) FROM customers WHERE risk_segment <> 'low'
+    UNION ALL SELECT 'merchants', '2024-01-01', COUNT(*) FROM known
+    UNION ALL SELECT 'refunds', {day("dt")}, COUNT(*) FROM refund_lines GROUP BY 2
+    UNION ALL SELECT 'chargebacks', {day("dt")}, COUNT(*) FROM chargeback_lines GROUP BY 2"""),
+}
+
 
 def sql(*needed: str, body: str) -> str:
     order: list[str] = []
