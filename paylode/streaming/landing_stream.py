@@ -36,11 +36,13 @@ def merge_stream(
     use_utc(spark)
 
     def merge(batch: DataFrame, number: int) -> None:
+        # The stream runs in a session of its own; a plan and its observed figures must share one.
+        session = batch.sparkSession
         rows = staged(batch, f"stream-{entity}")
         days = [str(r[0]) for r in rows.select("ingest_date").distinct().collect()]
         if days:
             failed = lake.path("quarantine_stream", entity, f"batch={number}")
-            silver_batch(spark, lake, entity, rows, sorted(days), late_days, failed)
+            silver_batch(session, lake, entity, rows, sorted(days), late_days, failed)
 
     return (
         read_stream(spark, lake, entity, files_per_batch)

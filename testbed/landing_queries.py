@@ -418,11 +418,31 @@ def publication_manifest(spark, sf):
     return manifest.select("run_id", "kind", *[F.col("datasets")[n].alias(n) for n in gold.GOLD_DATASETS])
 
 
-@query("published_columns", None)
-def published_columns(spark, sf):
-    """Columns a reader counts on, and whether the published datasets have them."""
+@query("check_published_columns", sql("landed_fact", "landed_chargebacks", "customers", "landed_kpis",
+                                      body="\nUNION ALL ".join(
+    f"SELECT '{dataset}' AS dataset, '{column}' AS column_name, COUNT({source}) AS filled FROM {part}"
+    for dataset, part, names in (
+        ("pagos_gold", "landed_fact", dict((p, s) for s, p in gold.PAGOS)),
+        ("clientes_gold", "customers", dict((p, s) for s, p in gold.CLIENTES)),
+        ("contracargos_gold", "landed_chargebacks", {
+            "id_contracargo": "chargeback_id", "id_pago": "payment_id", "motivo": "reason", "monto": "amount",
+            "dias_hasta_contracargo": "CASE WHEN payment_id IN (SELECT payment_id FROM landed_payments) THEN 1 END"}),
+        ("indicadores_financieros", "landed_kpis", {}),
+    )
+    for column in gold.REQUIRED_COLUMNS[dataset]
+    for source in [names.get(column, column)]
+)))
+def check_published_columns(spark, sf):
+    """Columns a reader counts on: that they are there, and in how many rows they are filled."""
     lake = built(spark, sf)
     datasets = {name: read_gold(spark, lake, name) for name in gold.GOLD_DATASETS}
-    missing = gold.missing_columns(datasets)
-    rows = [(name, c, c not in missing[name]) for name, cs in gold.REQUIRED_COLUMNS.items() for c in cs]
-    return spark.createDataFrame(rows, "dataset string, column string, present boolean")
+    result = None
+    for name, missing in gold.missing_columns(datasets).items():
+        if missing:
+            raise ValueError(f"{name} lacks {missing}")
+        columns = gold.REQUIRED_COLUMNS[name]
+        filled = datasets[name].agg(*[F.count(c).alias(c) for c in columns])
+        lines = filled.select(F.lit(name).alias("dataset"), F.inline(F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.col(c).alias("filled")) for c in columns])))
+        result = lines if result is None else result.unionByName(lines)
+    return result
