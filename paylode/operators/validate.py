@@ -126,10 +126,15 @@ def accepted(validated: DataFrame, contract: Contract) -> DataFrame:
     return validated.where(F.size("_reasons") == 0).select(*columns)
 
 
-def rejected(validated: DataFrame) -> DataFrame:
-    """Rows with a reason, back in the form they were received."""
-    return validated.where(F.size("_reasons") > 0).select(
-        F.to_json("_raw").alias("_raw"),
+def sealed(validated: DataFrame) -> DataFrame:
+    """``_raw`` as JSON text, kept only where a reason needs it: half the size for storing."""
+    return validated.withColumn("_raw", F.when(F.size("_reasons") > 0, F.to_json("_raw")))
+
+
+def set_aside(sealed_rows: DataFrame) -> DataFrame:
+    """Quarantine rows out of sealed ones."""
+    return sealed_rows.where(F.size("_reasons") > 0).select(
+        "_raw",
         "_reasons",
         "_source_file",
         F.current_timestamp().alias("_quarantined_at"),
@@ -137,6 +142,11 @@ def rejected(validated: DataFrame) -> DataFrame:
     )
 
 
+def rejected(validated: DataFrame) -> DataFrame:
+    """Rows with a reason, back in the form they were received."""
+    return set_aside(sealed(validated))
+
+
 def rejected_lines(bronze: DataFrame) -> DataFrame:
     """Lines that are not JSON objects, with their text untouched."""
     return malformed(bronze).select(

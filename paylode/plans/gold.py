@@ -25,6 +25,26 @@ CONTRACARGOS = (
     ("customer_id", "id_cliente"), ("reason", "motivo"), ("amount", "monto"), ("chargeback_day", "fecha"),
     ("payment_day", "fecha_pago"), ("days_to_chargeback", "dias_hasta_contracargo"),
 )
+GOLD_SCHEMAS = {
+    "clientes_gold": (
+        "id_cliente string, tipo_documento string, numero_documento string, ciudad string, segmento_riesgo string, "
+        "fecha_vinculacion date, actualizado_en timestamp"
+    ),
+    "pagos_gold": (
+        "id_pago string, id_cliente string, id_comercio string, categoria_comercio string, medio_pago string, "
+        "canal string, estado string, moneda string, monto double, monto_cop double, fecha_transaccion timestamp, "
+        "fecha date, alerta_velocidad boolean, alerta_monto boolean"
+    ),
+    "contracargos_gold": (
+        "id_contracargo string, id_pago string, id_comercio string, id_cliente string, motivo string, monto double, "
+        "fecha date, fecha_pago date, dias_hasta_contracargo int"
+    ),
+    "indicadores_financieros": (
+        "fecha date, pagos bigint, pagos_aprobados bigint, tasa_aprobacion double, tpv_cop double, "
+        "ticket_promedio_cop double, clientes_activos bigint, devoluciones bigint, devoluciones_cop double, "
+        "tasa_devolucion double, contracargos bigint, tasa_contracargos double"
+    ),
+}
 GOLD_DATASETS = ("clientes_gold", "pagos_gold", "contracargos_gold", "indicadores_financieros")
 
 # Columns a reader of each dataset counts on.

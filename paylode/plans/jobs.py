@@ -7,9 +7,11 @@ the same days gives the same tables.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,12 +24,20 @@ from paylode.operators.upsert import (
     latest,
     partitions_of_moved_keys,
 )
-from paylode.operators.validate import accepted, malformed, readable, rejected, rejected_lines, validate
+from paylode.operators.validate import (
+    accepted,
+    malformed,
+    readable,
+    rejected_lines,
+    sealed,
+    set_aside,
+    validate,
+)
 from paylode.plans import gold, marts
 from paylode.session import staged, use_utc
 from paylode.sources.files import children
 from paylode.sources.lake import Lake, on_days, overwrite_partitions, read_table, read_version, write_version
-from paylode.sources.landing import drift, ingest_counts, read_feed
+from paylode.sources.landing import counts_of, drift_of, profile, read_feed
 
 QUARANTINE_SCHEMA = (
     "_raw string, _reasons array<string>, _source_file string, _quarantined_at timestamp, ingest_date date"
@@ -77,12 +87,17 @@ def land_to_bronze(spark: SparkSession, lake: Lake, entity: str, days: Iterable[
     use_utc(spark)
     contract, days = CONTRACTS[entity], _iso(days)
     path = lake.path("bronze", entity)
-    overwrite_partitions(read_feed(spark, lake.landing, contract, days), path, "ingest_date", expected=days)
+    feed = read_feed(spark, lake.landing, contract, days)
+    overwrite_partitions(feed, path, "ingest_date", expected=days, rebalance=False)
     written = on_days(lake.bronze(spark, entity), days, "ingest_date")
-    counts = {str(r["ingest_date"]): r.asDict() for r in ingest_counts(written, contract).collect()}
+    # A few rows per day; the rest is arithmetic on them.
+    found = spark.createDataFrame(
+        profile(written, contract).collect(), "ingest_date date, kind string, name string, rows bigint"
+    )
+    counts = {str(r["ingest_date"]): r.asDict() for r in counts_of(found).collect()}
     events = [
         {"ingest_date": str(r["ingest_date"]), "entity": entity, "kind": r["kind"], "columns": r["columns"]}
-        for r in drift(written, contract).collect()
+        for r in drift_of(found).collect()
     ]
     rows = sum(c["rows_read"] for c in counts.values())
 
@@ -132,13 +147,11 @@ def silver_batch(
     if contract.parent_days is not None and lake.has_silver(spark, "payments"):
         oldest = F.date_sub(F.lit(min(days)).cast("date"), contract.parent_days)
         payments = lake.silver(spark, "payments").where(F.col("dt") >= oldest)
-    checked = staged(
-        validate(readable(bronze), contract, merchants=merchants, payments=payments, late_days=late_days),
-        f"validated-{entity}",
-    )
+    checks = validate(readable(bronze), contract, merchants=merchants, payments=payments, late_days=late_days)
+    checked = staged(sealed(checks), f"validated-{entity}")
 
     figures = _silver_figures(checked, malformed(bronze), contract)
-    out = rejected(checked).unionByName(rejected_lines(bronze))
+    out = set_aside(checked).unionByName(rejected_lines(bronze))
     out = out.withColumn("ingest_date", F.col("ingest_date").cast("date"))
     if quarantine_path:
         out.write.mode("overwrite").parquet(quarantine_path)
@@ -202,11 +215,15 @@ def _merge_fact(
     """Rewrite the event days the batch touches, and those a key of the batch moved away from."""
     path = lake.path("silver", contract.entity)
     existing = lake.silver(spark, contract.entity)
-    # A key that changed its event date must not stay behind under the old one.
-    recent = dt.date.fromisoformat(days[0]) - dt.timedelta(days=late_days)
-    elsewhere = existing.where((F.col("dt") >= F.lit(recent)))
-    moved = partitions_of_moved_keys(elsewhere, valid, contract.business_key)
-    touched = sorted(set(dts) | {str(row["dt"]) for row in moved.collect()})
+    touched = set(dts)
+    if lake.has_silver(spark, contract.entity):
+        # A key that changed its event date must not stay behind under the old one.
+        recent = dt.date.fromisoformat(days[0]) - dt.timedelta(days=late_days)
+        moved = partitions_of_moved_keys(
+            existing.where(F.col("dt") >= F.lit(recent)), valid, contract.business_key
+        )
+        touched |= {str(row["dt"]) for row in moved.collect()}
+    touched = sorted(touched)
     merged = latest(on_days(existing, touched).unionByName(batch, allowMissingColumns=True), contract)
     overwrite_partitions(merged, path, "dt", expected=touched)
     return [f"dt={day}" for day in touched]
@@ -344,10 +361,9 @@ def publish(
 
 def read_gold(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
     """A published dataset with its columns in published order."""
-    schema = gold_datasets(spark, lake)[name].schema
-    path = lake.path("gold", name)
+    schema, path = gold.GOLD_SCHEMAS[name], lake.path("gold", name)
     if name == "pagos_gold":
-        return read_table(spark, path, schema).select(*schema.names)
+        return read_table(spark, path, schema).select(*dict(gold.PAGOS).values())
     return read_version(spark, path, schema)
 
 
@@ -381,13 +397,32 @@ def quality_of(results: Iterable[JobResult]) -> dict:
     return quality
 
 
+# Feeds without a dependency on each other; a step starts when the one before is done.
+SILVER_STEPS = (("customers", "merchants"), ("payments",), ("refunds", "chargebacks"))
+
+
+def side_by_side(work: Callable[[str], JobResult], entities: Sequence[str]) -> dict[str, JobResult]:
+    """The jobs of several feeds at once: small ones fill the cluster together."""
+    with ThreadPoolExecutor(len(entities)) as pool:
+        return dict(zip(entities, pool.map(inheritable_thread_target(work), entities)))
+
+
+def refresh_silver(spark: SparkSession, lake: Lake, days_of: Callable[[str], Iterable]) -> dict[str, JobResult]:
+    """Bronze and silver of every feed, for the days ``days_of(entity)``."""
+    landed = side_by_side(lambda e: land_to_bronze(spark, lake, e, days_of(e)), ENTITIES)
+    results = {f"bronze.{entity}": result for entity, result in landed.items()}
+    for step in SILVER_STEPS:
+        merged = side_by_side(lambda e: bronze_to_silver(spark, lake, e, days_of(e)), step)
+        results |= {f"silver.{entity}": result for entity, result in merged.items()}
+    return results
+
+
 def refresh_days(
     spark: SparkSession, lake: Lake, days: Iterable[dt.date | str], run_id: str, kind: str = "incremental",
 ) -> dict[str, JobResult]:
     """Landing to gold for the given days, all of them as one batch per layer and feed."""
     days = _iso(days)
-    results = {f"bronze.{entity}": land_to_bronze(spark, lake, entity, days) for entity in ENTITIES}
-    results |= {f"silver.{entity}": bronze_to_silver(spark, lake, entity, days) for entity in ENTITIES}
+    results = refresh_silver(spark, lake, lambda _: days)
     scored = features_after(p.partition("=")[2] for p in results["silver.payments"].partitions)
     results["features"] = silver_to_features(spark, lake, scored)
     changed = refresh_fct_payments(spark, lake, scored)

@@ -60,19 +60,22 @@ def on_days(table: DataFrame, days: Iterable[dt.date | str], column: str = "dt")
 
 
 # ------------------------------------------------------------------ partitions
-def overwrite_partitions(df: DataFrame, path: str, column: str, expected: Iterable[str] = ()) -> None:
+def overwrite_partitions(
+    df: DataFrame, path: str, column: str, expected: Iterable[str] = (), rebalance: bool = True,
+) -> None:
     """Replace the partitions of ``df``, and empty those of ``expected`` that got no row.
 
     REBALANCE gives one file per small partition and splits a large one, where
-    ``repartition(column)`` would make one task write a whole hot day.  Files are staged
+    ``repartition(column)`` would make one task write a whole hot day.  Without it rows
+    are written where they are, for input that already comes day by day.  Files are staged
     and moved when all tasks are done, so ``df`` may read the table it replaces.
     """
     spark = df.sparkSession
     expected = {str(value) for value in expected}
     before = {value: children(spark, f"{path}/{column}={value}") for value in expected}
+    rows = df.hint("rebalance", column) if rebalance else df
     (
-        df.hint("rebalance", column)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(column).parquet(path)
     )
     # A dynamic overwrite leaves a partition alone when it has no row for it: stale rows would stay.

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paylode.contracts import ENTITIES, Contract
@@ -85,46 +85,75 @@ def read_feed(spark: SparkSession, landing: str, contract: Contract, days: Itera
     return parse(lines(spark, require_feed(spark, landing, contract.entity, days)), contract)
 
 
-def drift(bronze: DataFrame, contract: Contract) -> DataFrame:
-    """``ingest_date, kind, columns``: names nobody agreed to, and required names no record of the day had.
+def profile(bronze: DataFrame, contract: Contract) -> DataFrame:
+    """``ingest_date, kind, name, rows``: what the days contained, in one pass over the bookkeeping columns.
 
-    Reads only the bookkeeping columns of bronze; counts are combined before the shuffle.
+    Kinds are ``lines``, ``corrupt``, ``unknown`` (names outside the contract), ``absent``
+    (required names a record lacks) and ``version`` (contract version of the record).  Counts
+    are combined before the shuffle; the result has a few rows per day.
     """
-    unknown = (
-        bronze.select("ingest_date", F.explode(F.map_keys("_extra")).alias("column"))
-        .distinct().withColumn("kind", F.lit("unknown_columns"))
-    )
-    # A line that could not be read mentions no column.
     required = F.array(*[F.lit(name) for name in contract.required_names])
-    total = bronze.groupBy("ingest_date").agg(F.count(F.lit(1)).alias("_lines"))
-    missing = (
-        bronze.select("ingest_date", F.explode(F.array_intersect("_absent", required)).alias("column"))
-        .groupBy("ingest_date", "column").agg(F.count(F.lit(1)).alias("_without"))
-        .join(total, "ingest_date")
-        .where(F.col("_without") == F.col("_lines"))
-        .select("ingest_date", "column", F.lit("missing_required_columns").alias("kind"))
+    version = F.lit(1)
+    for column in contract.columns:
+        if column.since > 1:
+            sent = ~F.array_contains("_absent", column.name)
+            version = F.greatest(version, F.when(sent, column.since).otherwise(1))
+
+    def entry(kind: str, name) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), name.cast("string").alias("name"))
+
+    entries = F.concat(
+        F.array(
+            entry("lines", F.lit("")),
+            entry("version", version),
+            F.when(F.col("_corrupt_record").isNotNull(), entry("corrupt", F.lit(""))),
+        ),
+        F.transform(F.map_keys("_extra"), lambda name: entry("unknown", name)),
+        F.transform(F.array_intersect("_absent", required), lambda name: entry("absent", name)),
     )
     return (
-        unknown.unionByName(missing)
-        .groupBy("ingest_date", "kind")
-        .agg(F.array_sort(F.collect_set("column")).alias("columns"))
+        bronze.select("ingest_date", F.explode(F.array_compact(entries)).alias("_entry"))
+        .groupBy("ingest_date", "_entry.kind", "_entry.name")
+        .agg(F.count(F.lit(1)).alias("rows"))
     )
 
 
-def ingest_counts(bronze: DataFrame, contract: Contract) -> DataFrame:
+def drift_of(profiled: DataFrame) -> DataFrame:
+    """``ingest_date, kind, columns``: names nobody agreed to, and required names no record of the day had."""
+    day = Window.partitionBy("ingest_date")
+    lines = F.max(F.when(F.col("kind") == "lines", F.col("rows"))).over(day)
+    missing = (F.col("kind") == "absent") & (F.col("rows") == F.col("_lines"))
+    return (
+        profiled.withColumn("_lines", lines)
+        .where((F.col("kind") == "unknown") | missing)
+        .groupBy(
+            "ingest_date",
+            F.when(missing, "missing_required_columns").otherwise("unknown_columns").alias("kind"),
+        )
+        .agg(F.array_sort(F.collect_set("name")).alias("columns"))
+    )
+
+
+def counts_of(profiled: DataFrame) -> DataFrame:
     """Per day: lines read, unreadable lines, and the newest contract version seen."""
-    version = F.lit(1)
-    for column in contract.columns:
-        if column.since > 1:
-            sent = ~F.array_contains("_absent", column.name)
-            version = F.greatest(version, F.when(sent, column.since).otherwise(1))
-    return bronze.groupBy("ingest_date").agg(
-        F.count(F.lit(1)).alias("rows_read"),
-        F.count("_corrupt_record").alias("corrupt_lines"),
-        F.max(version).alias("contract_version"),
+    def total(kind: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("rows"))), F.lit(0))
+
+    return profiled.groupBy("ingest_date").agg(
+        total("lines").alias("rows_read"),
+        total("corrupt").alias("corrupt_lines"),
+        F.max(F.when(F.col("kind") == "version", F.col("name").cast("int"))).alias("contract_version"),
     )
 
 
+def drift(bronze: DataFrame, contract: Contract) -> DataFrame:
+    return drift_of(profile(bronze, contract))
+
+
+def ingest_counts(bronze: DataFrame, contract: Contract) -> DataFrame:
+    return counts_of(profile(bronze, contract))
+
+
 def landing_completeness(
     spark: SparkSession, landing: str, days: Sequence[dt.date | str], entities: Sequence[str] = ENTITIES,
 ) -> DataFrame:

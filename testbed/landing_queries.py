@@ -9,12 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylode.contracts import CONTRACTS, ENTITIES, LATE_DATA_DAYS, PAYMENTS
+from paylode.contracts import CONTRACTS, ENTITIES, PAYMENTS
 from paylode.operators.validate import malformed, quarantine, validate
 from paylode.plans import gold
 from paylode.plans.jobs import (
     QUARANTINE_SCHEMA,
-    JobResult,
     bronze_to_silver,
     features,
     features_after,
@@ -23,6 +22,7 @@ from paylode.plans.jobs import (
     quality_of,
     read_gold,
     refresh_fct_payments,
+    refresh_silver,
     silver_to_features,
 )
 from paylode.session import scratch_path
@@ -128,19 +128,10 @@ def landed(spark, sf) -> Lake:
     return _shared(spark, sf, "landing", land_all)
 
 
-def _to_silver(spark, lake: Lake) -> dict[str, JobResult]:
-    results = {}
-    for entity in ENTITIES:
-        days = landed_days(spark, lake.landing, entity)
-        results[f"bronze.{entity}"] = land_to_bronze(spark, lake, entity, days)
-        results[f"silver.{entity}"] = bronze_to_silver(spark, lake, entity, days)
-    return results
-
-
 def build_lake(spark: SparkSession, sf: str, lake: Lake | None = None) -> Lake:
     """Landing to gold, all days in one batch per feed and layer."""
     lake = lake or land_all(spark, sf)
-    results = _to_silver(spark, lake)
+    results = refresh_silver(spark, lake, lambda entity: landed_days(spark, lake.landing, entity))
     changed = [p.partition("=")[2] for p in results["silver.payments"].partitions]
     silver_to_features(spark, lake, features_after(changed))
     refresh_fct_payments(spark, lake)
