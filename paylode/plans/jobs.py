@@ -407,11 +407,16 @@ def side_by_side(work: Callable[[str], JobResult], entities: Sequence[str]) -> d
         return dict(zip(entities, pool.map(inheritable_thread_target(work), entities)))
 
 
-def refresh_silver(spark: SparkSession, lake: Lake, days_of: Callable[[str], Iterable]) -> dict[str, JobResult]:
-    """Bronze and silver of every feed, for the days ``days_of(entity)``."""
-    landed = side_by_side(lambda e: land_to_bronze(spark, lake, e, days_of(e)), ENTITIES)
+def refresh_silver(
+    spark: SparkSession, lake: Lake, days_of: Callable[[str], Iterable], entities: Sequence[str] = ENTITIES,
+) -> dict[str, JobResult]:
+    """Bronze and silver of the feeds, for the days ``days_of(entity)``."""
+    landed = side_by_side(lambda e: land_to_bronze(spark, lake, e, days_of(e)), entities)
     results = {f"bronze.{entity}": result for entity, result in landed.items()}
     for step in SILVER_STEPS:
+        step = [entity for entity in step if entity in entities]
+        if not step:
+            continue
         merged = side_by_side(lambda e: bronze_to_silver(spark, lake, e, days_of(e)), step)
         results |= {f"silver.{entity}": result for entity, result in merged.items()}
     return results
@@ -419,11 +424,16 @@ def refresh_silver(spark: SparkSession, lake: Lake, days_of: Callable[[str], Ite
 
 def refresh_days(
     spark: SparkSession, lake: Lake, days: Iterable[dt.date | str], run_id: str, kind: str = "incremental",
+    entities: Sequence[str] = ENTITIES,
 ) -> dict[str, JobResult]:
-    """Landing to gold for the given days, all of them as one batch per layer and feed."""
+    """Landing to gold for the given days, all of them as one batch per layer and feed.
+
+    ``entities`` names the feeds that are due; a due feed that is missing is an error.
+    """
     days = _iso(days)
-    results = refresh_silver(spark, lake, lambda _: days)
-    scored = features_after(p.partition("=")[2] for p in results["silver.payments"].partitions)
+    results = refresh_silver(spark, lake, lambda _: days, entities)
+    paid = results.get("silver.payments", JobResult())
+    scored = features_after(p.partition("=")[2] for p in paid.partitions)
     results["features"] = silver_to_features(spark, lake, scored)
     changed = refresh_fct_payments(spark, lake, scored)
     quality = quality_of(r for name, r in results.items() if name.startswith("silver."))
