@@ -30,7 +30,7 @@ def canonical_json(fields: Column) -> Column:
     A column that is added but still empty therefore leaves the text unchanged.
     """
     present = F.map_filter(fields, lambda _, value: value.isNotNull())
-    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(present))))
+    return F.to_json(F.map_from_entries(F.sort_array(F.map_entries(present))))
 
 
 def fingerprint(fields: Column) -> Column:

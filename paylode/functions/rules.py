@@ -33,9 +33,17 @@ def rules(contract: Contract) -> Iterator[tuple[str, Column]]:
             yield f"{column.name}:below_min", value < column.min
 
 
-def violated(contract: Contract) -> Column:
-    """Reasons of a record in contract order; empty when it keeps the contract."""
-    return F.array_compact(F.array(*[F.when(broken, F.lit(reason)) for reason, broken in rules(contract)]))
+def listed(contract: Contract) -> Column:
+    """Reasons of a record in contract order as one text, '' when it keeps the contract.
+
+    Text, because it skips NULLs in generated code; filtering an array of NULLs would
+    evaluate every rule outside it.  Reasons hold no comma.
+    """
+    return F.concat_ws(",", *[F.when(broken, F.lit(reason)) for reason, broken in rules(contract)])
+
+
+def as_reasons(text: Column) -> Column:
+    return F.when(text != "", F.split(text, ",")).otherwise(F.array().cast("array<string>"))
 
 
 def also(reasons: Column, reason: str, broken: Column) -> Column:

@@ -12,7 +12,8 @@ from paylode.functions.rules import (
     OUT_OF_WINDOW,
     UNKNOWN_MERCHANT,
     also,
-    violated,
+    as_reasons,
+    listed,
 )
 from paylode.functions.typing import event_day, tolerant_cast
 
@@ -44,7 +45,12 @@ def align(bronze: DataFrame, contract: Contract) -> DataFrame:
 
 
 def with_reasons(aligned: DataFrame, contract: Contract) -> DataFrame:
-    return aligned.withColumn("_reasons", violated(contract))
+    """``_reasons``: what each record violates.  Two columns, so that the rules are evaluated once."""
+    return (
+        aligned.withColumn("_listed", listed(contract))
+        .withColumn("_reasons", as_reasons(F.col("_listed")))
+        .drop("_listed")
+    )
 
 
 def check_merchant(payments: DataFrame, merchants: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylode.contracts import CHARGEBACKS, LATE_DATA_DAYS, PAYMENTS, REFUNDS
@@ -10,6 +10,7 @@ from paylode.functions.rules import MALFORMED
 from paylode.functions.records import fingerprint
 from paylode.operators import audit, checks, features, incremental, upsert, validate
 from paylode.plans import gold, marts
+from paylode.session import staged
 from testbed import adapters as src
 from testbed.oracle import count_if, day, latest, moment, sql
 from testbed.registry import query
@@ -139,13 +140,14 @@ def late_payment_versions(spark, sf):
     return late.groupBy("dt").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _refunds_checked(spark, sf):
-    return validate.check_parent(src.refund_versions(spark, sf), src.payments(spark, sf), REFUNDS.parent_days)
+def _refunds_checked(spark, sf, payments=None):
+    payments = src.payments(spark, sf) if payments is None else payments
+    return validate.check_parent(src.refund_versions(spark, sf), payments, REFUNDS.parent_days)
 
 
-def _chargebacks_checked(spark, sf):
-    rows = src.chargeback_versions(spark, sf)
-    return validate.check_parent(rows, src.payments(spark, sf), CHARGEBACKS.parent_days)
+def _chargebacks_checked(spark, sf, payments=None):
+    payments = src.payments(spark, sf) if payments is None else payments
+    return validate.check_parent(src.chargeback_versions(spark, sf), payments, CHARGEBACKS.parent_days)
 
 
 @query("refund_exceeds_payment", sql("refunds_checked", body="""
@@ -312,7 +314,7 @@ _FRESH = f"""fresh AS (SELECT * FROM fct_payments WHERE transaction_day >=
 @query("incremental_fact_delete_insert", sql("fct_payments", body="@").replace("@", f", {_FRESH}{_INCREMENTAL}"))
 def incremental_fact_delete_insert(spark, sf):
     """The stored fact ends in June 1999; its last week and all later days are recomputed."""
-    fact = _fct_payments(spark, sf)
+    fact = staged(_fct_payments(spark, sf), "mart")
     target = fact.where(F.col("transaction_day") <= F.lit(_TARGET).cast("date")).withColumn("status", F.lit("old"))
     fresh = incremental.in_reprocess_window(fact, target, "transaction_day", LATE_DATA_DAYS)
     columns = ["payment_id", "status", "amount_cop", "transaction_day"]
@@ -422,30 +424,43 @@ def merchant_daily_salted(spark, sf):
 
 
 # ======================================================================= marts
-def _fct_payments(spark, sf):
-    payments, merchants, customers = src.payments(spark, sf), src.merchants(spark, sf), src.customers(spark, sf)
+def _fct_payments(spark, sf, payments=None):
+    payments = src.silver_payments(spark, sf) if payments is None else payments
+    merchants, customers = src.merchants(spark, sf), src.customers(spark, sf)
     scored = features.payment_features(payments, merchants, customers, *ALWAYS)
     return marts.fct_payments(payments, merchants, customers, scored)
 
 
-def _refunds(spark, sf):
-    return _refunds_checked(spark, sf).where(F.size("_reasons") == 0)
+def _kept(checked: DataFrame) -> DataFrame:
+    return checked.where(F.size("_reasons") == 0)
 
 
-def _chargebacks(spark, sf):
-    return _chargebacks_checked(spark, sf).where(F.size("_reasons") == 0)
+def _refunds(spark, sf, payments=None):
+    return _kept(_refunds_checked(spark, sf, payments))
 
 
-def _fct_refunds(spark, sf):
-    return marts.fct_refunds(_refunds(spark, sf), src.payments(spark, sf))
+def _chargebacks(spark, sf, payments=None):
+    return _kept(_chargebacks_checked(spark, sf, payments))
 
 
-def _fct_chargebacks(spark, sf):
-    return marts.fct_chargebacks(_chargebacks(spark, sf), src.payments(spark, sf))
+def _fct_refunds(spark, sf, payments=None):
+    payments = src.silver_payments(spark, sf) if payments is None else payments
+    return marts.fct_refunds(_refunds(spark, sf, payments), payments)
+
+
+def _fct_chargebacks(spark, sf, payments=None):
+    payments = src.silver_payments(spark, sf) if payments is None else payments
+    return marts.fct_chargebacks(_chargebacks(spark, sf, payments), payments)
+
+
+def _facts(spark, sf):
+    """Payments, refunds and chargebacks over one stored copy of the silver payments."""
+    payments = src.silver_payments(spark, sf)
+    return _fct_payments(spark, sf, payments), _fct_refunds(spark, sf, payments), _fct_chargebacks(spark, sf, payments)
 
 
 def _kpis(spark, sf):
-    return gold.indicadores_financieros(_fct_payments(spark, sf), _fct_refunds(spark, sf), _fct_chargebacks(spark, sf))
+    return gold.indicadores_financieros(*_facts(spark, sf))
 
 
 @query("stg_payments", sql("payments", body=f"""
@@ -611,12 +626,12 @@ def daily_financial_kpis(spark, sf):
     UNION ALL SELECT 'contracargos_gold', COUNT(*) FROM fct_chargebacks
     UNION ALL SELECT 'indicadores_financieros', COUNT(*) FROM indicadores"""))
 def gold_row_counts(spark, sf):
-    payments, chargebacks = _fct_payments(spark, sf), _fct_chargebacks(spark, sf)
+    payments, refunds, chargebacks = _facts(spark, sf)
     return gold.row_counts({
         "clientes_gold": gold.clientes_gold(marts.dim_customers(src.customers(spark, sf))),
         "pagos_gold": gold.pagos_gold(payments),
         "contracargos_gold": gold.contracargos_gold(chargebacks),
-        "indicadores_financieros": gold.indicadores_financieros(payments, _fct_refunds(spark, sf), chargebacks),
+        "indicadores_financieros": gold.indicadores_financieros(payments, refunds, chargebacks),
     })
 
 
@@ -628,7 +643,8 @@ def snapshot_as_of(spark, sf):
 
 # ================================================================== data tests
 def _tables(spark, sf):
-    payments, refunds, chargebacks = _fct_payments(spark, sf), _fct_refunds(spark, sf), _fct_chargebacks(spark, sf)
+    # The marts are stored tables; the tests read each several times.
+    payments, refunds, chargebacks = [staged(fact, "mart") for fact in _facts(spark, sf)]
     dim_customers = marts.dim_customers(src.customers(spark, sf))
     return {
         "dim_customers": dim_customers,
