@@ -401,23 +401,25 @@ def quality_of(results: Iterable[JobResult]) -> dict:
 SILVER_STEPS = (("customers", "merchants"), ("payments",), ("refunds", "chargebacks"))
 
 
-def side_by_side(work: Callable[[str], JobResult], entities: Sequence[str]) -> dict[str, JobResult]:
+def side_by_side(
+    spark: SparkSession, work: Callable[[str], JobResult], entities: Sequence[str],
+) -> dict[str, JobResult]:
     """The jobs of several feeds at once: small ones fill the cluster together."""
     with ThreadPoolExecutor(len(entities)) as pool:
-        return dict(zip(entities, pool.map(inheritable_thread_target(work), entities)))
+        return dict(zip(entities, pool.map(inheritable_thread_target(spark)(work), entities)))
 
 
 def refresh_silver(
     spark: SparkSession, lake: Lake, days_of: Callable[[str], Iterable], entities: Sequence[str] = ENTITIES,
 ) -> dict[str, JobResult]:
     """Bronze and silver of the feeds, for the days ``days_of(entity)``."""
-    landed = side_by_side(lambda e: land_to_bronze(spark, lake, e, days_of(e)), entities)
+    landed = side_by_side(spark, lambda e: land_to_bronze(spark, lake, e, days_of(e)), entities)
     results = {f"bronze.{entity}": result for entity, result in landed.items()}
     for step in SILVER_STEPS:
         step = [entity for entity in step if entity in entities]
         if not step:
             continue
-        merged = side_by_side(lambda e: bronze_to_silver(spark, lake, e, days_of(e)), step)
+        merged = side_by_side(spark, lambda e: bronze_to_silver(spark, lake, e, days_of(e)), step)
         results |= {f"silver.{entity}": result for entity, result in merged.items()}
     return results
 
