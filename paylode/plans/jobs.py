@@ -37,7 +37,7 @@ from paylode.plans import gold, marts
 from paylode.session import staged, use_utc
 from paylode.sources.files import children
 from paylode.sources.lake import Lake, on_days, overwrite_partitions, read_table, read_version, write_version
-from paylode.sources.landing import counts_of, drift_of, profile, read_feed
+from paylode.sources.landing import profile, read_feed
 
 QUARANTINE_SCHEMA = (
     "_raw string, _reasons array<string>, _source_file string, _quarantined_at timestamp, ingest_date date"
@@ -67,6 +67,13 @@ class JobResult:
     details: dict = field(default_factory=dict)
 
 
+def at_once(spark: SparkSession, *jobs: Callable[[], object]) -> list:
+    """Jobs that do not depend on each other, so that small ones fill the cluster together."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+        return [job.result() for job in started]
+
+
 def _iso(days: Iterable[dt.date | str]) -> list[str]:
     return sorted({str(day) for day in days})
 
@@ -91,26 +98,32 @@ def land_to_bronze(spark: SparkSession, lake: Lake, entity: str, days: Iterable[
     overwrite_partitions(feed, path, "ingest_date", expected=days, rebalance=False)
     written = on_days(lake.bronze(spark, entity), days, "ingest_date")
     # A few rows per day; the rest is arithmetic on them.
-    found = spark.createDataFrame(
-        profile(written, contract).collect(), "ingest_date date, kind string, name string, rows bigint"
-    )
-    counts = {str(r["ingest_date"]): r.asDict() for r in counts_of(found).collect()}
-    events = [
-        {"ingest_date": str(r["ingest_date"]), "entity": entity, "kind": r["kind"], "columns": r["columns"]}
-        for r in drift_of(found).collect()
-    ]
-    rows = sum(c["rows_read"] for c in counts.values())
+    found = profile(written, contract).collect()
+
+    def total(kind: str, day: str | None = None) -> int:
+        return sum(r["rows"] for r in found if r["kind"] == kind and day in (None, str(r["ingest_date"])))
+
+    def events_of(day: str) -> list[dict]:
+        of_day = [r for r in found if str(r["ingest_date"]) == day]
+        unknown = sorted(r["name"] for r in of_day if r["kind"] == "unknown")
+        missing = sorted(r["name"] for r in of_day if r["kind"] == "absent" and r["rows"] == total("lines", day))
+        named = (("unknown_columns", unknown), ("missing_required_columns", missing))
+        return [
+            {"ingest_date": day, "entity": entity, "kind": kind, "columns": columns} for kind, columns in named if columns
+        ]
+
+    events = [event for day in days for event in events_of(day)]
 
     def named(kind: str) -> list[str]:
         return sorted({name for e in events if e["kind"] == kind for name in e["columns"]})
 
     return JobResult(
-        rows_read=rows,
-        rows_written=rows,
+        rows_read=total("lines"),
+        rows_written=total("lines"),
         partitions=[f"ingest_date={day}" for day in days],
         details={
-            "corrupt_lines": sum(c["corrupt_lines"] for c in counts.values()),
-            "contract_version": max([c["contract_version"] for c in counts.values()], default=1),
+            "corrupt_lines": total("corrupt"),
+            "contract_version": max([int(r["name"]) for r in found if r["kind"] == "version"], default=1),
             "unknown_columns": named("unknown_columns"),
             "missing_columns": named("missing_required_columns"),
             "schema_events": events,
@@ -153,26 +166,30 @@ def silver_batch(
     figures = _silver_figures(checked, malformed(bronze), contract)
     out = set_aside(checked).unionByName(rejected_lines(bronze))
     out = out.withColumn("ingest_date", F.col("ingest_date").cast("date"))
-    if quarantine_path:
-        out.write.mode("overwrite").parquet(quarantine_path)
-    else:
-        overwrite_partitions(out, lake.path("quarantine", entity), "ingest_date", expected=days)
+
+    def set_apart() -> None:
+        if quarantine_path:
+            out.write.mode("overwrite").parquet(quarantine_path)
+        else:
+            overwrite_partitions(out, lake.path("quarantine", entity), "ingest_date", expected=days)
 
     valid = accepted(checked, contract)
     batch = latest(valid, contract)
     kept = Observation()
     late = F.col("dt") < F.col("_ingest_date").cast("date") if contract.event_date else F.lit(False)
     observed = batch.observe(kept, F.count(F.lit(1)).alias("rows"), F.count_if(late).alias("late"))
-    if figures["valid"] == 0:
-        partitions, n_batch, n_late = [], 0, 0
-    elif contract.event_date:
-        partitions = _merge_fact(spark, lake, contract, valid, observed, figures["dts"], days, late_days)
-        n_batch, n_late = kept.get["rows"], kept.get["late"]
-    else:
-        write_version(
-            current_state_upsert(lake.silver(spark, entity), observed, contract), lake.path("silver", entity)
-        )
-        partitions, n_batch, n_late = ["current"], kept.get["rows"], 0
+
+    def merge() -> list[str]:
+        if figures["valid"] == 0:
+            return []
+        if contract.event_date:
+            return _merge_fact(spark, lake, contract, valid, observed, figures["dts"], days, late_days)
+        current = current_state_upsert(lake.silver(spark, entity), observed, contract)
+        write_version(current, lake.path("silver", entity))
+        return ["current"]
+
+    _, partitions = at_once(spark, set_apart, merge)
+    n_batch, n_late = (kept.get["rows"], kept.get["late"]) if figures["valid"] else (0, 0)
     details = {
         "duplicates_removed": figures["valid"] - n_batch,
         "quarantine_reasons": figures["reasons"],
@@ -241,18 +258,23 @@ def silver_to_features(spark: SparkSession, lake: Lake, dts: Iterable[dt.date |
     dts = _iso(dts)
     payments = lake.silver(spark, "payments")
     merchants, customers = lake.silver(spark, "merchants"), lake.silver(spark, "customers")
-    written = {}
+    written = {"payment_features": 0, "merchant_daily": 0}
+
+    def store(name: str, table: DataFrame, span: list[str]) -> None:
+        path = lake.path("silver", name)
+        overwrite_partitions(table, path, "dt", expected=span)
+        # Answered from the Parquet footers.
+        written[name] += on_days(read_table(spark, path, table.schema), span).count()
+
     for first, last in _spans(dts):
         span = [d for d in dts if first <= d <= last]
-        tables = {
-            "payment_features": payment_features(payments, merchants, customers, first, last, **route),
-            "merchant_daily": merchant_daily(payments, merchants, first, last),
-        }
-        for name, table in tables.items():
-            path = lake.path("silver", name)
-            overwrite_partitions(table, path, "dt", expected=span)
-            # Answered from the Parquet footers.
-            written[name] = written.get(name, 0) + on_days(read_table(spark, path, table.schema), span).count()
+        at_once(
+            spark,
+            lambda: store(
+                "payment_features", payment_features(payments, merchants, customers, first, last, **route), span
+            ),
+            lambda: store("merchant_daily", merchant_daily(payments, merchants, first, last), span),
+        )
     read = written.get("payment_features", 0)
     return JobResult(read, sum(written.values()), 0, [f"dt={day}" for day in dts], written)
 
@@ -345,13 +367,17 @@ def publish(
     """
     datasets = gold_datasets(spark, lake)
     pagos, path = datasets["pagos_gold"], lake.path("gold", "pagos_gold")
-    if changed is None:
-        overwrite_partitions(pagos, path, "fecha", expected=_stored_days(spark, path, "fecha"))
-    else:
-        overwrite_partitions(on_days(pagos, changed, "fecha"), path, "fecha", expected=changed)
-    for name, df in datasets.items():
-        if name != "pagos_gold":
-            write_version(df, lake.path("gold", name))
+
+    def store_payments() -> None:
+        if changed is None:
+            overwrite_partitions(pagos, path, "fecha", expected=_stored_days(spark, path, "fecha"))
+        else:
+            overwrite_partitions(on_days(pagos, changed, "fecha"), path, "fecha", expected=changed)
+
+    def store_version(name: str) -> Callable[[], None]:
+        return lambda: write_version(datasets[name], lake.path("gold", name))
+
+    at_once(spark, store_payments, *[store_version(name) for name in datasets if name != "pagos_gold"])
     published = {name: read_gold(spark, lake, name) for name in gold.GOLD_DATASETS}
     counts = {row["dataset"]: row["rows"] for row in gold.row_counts(published).collect()}
     manifest = manifest_row(spark, run_id, _iso(days), counts, kind, quality or {})
@@ -397,30 +423,32 @@ def quality_of(results: Iterable[JobResult]) -> dict:
     return quality
 
 
-# Feeds without a dependency on each other; a step starts when the one before is done.
-SILVER_STEPS = (("customers", "merchants"), ("payments",), ("refunds", "chargebacks"))
-
-
-def side_by_side(
-    spark: SparkSession, work: Callable[[str], JobResult], entities: Sequence[str],
-) -> dict[str, JobResult]:
-    """The jobs of several feeds at once: small ones fill the cluster together."""
-    with ThreadPoolExecutor(len(entities)) as pool:
-        return dict(zip(entities, pool.map(inheritable_thread_target(spark)(work), entities)))
-
-
 def refresh_silver(
     spark: SparkSession, lake: Lake, days_of: Callable[[str], Iterable], entities: Sequence[str] = ENTITIES,
+    after_payments: Callable[[JobResult], object] | None = None,
 ) -> dict[str, JobResult]:
-    """Bronze and silver of the feeds, for the days ``days_of(entity)``."""
-    landed = side_by_side(spark, lambda e: land_to_bronze(spark, lake, e, days_of(e)), entities)
-    results = {f"bronze.{entity}": result for entity, result in landed.items()}
-    for step in SILVER_STEPS:
-        step = [entity for entity in step if entity in entities]
-        if not step:
-            continue
-        merged = side_by_side(spark, lambda e: bronze_to_silver(spark, lake, e, days_of(e)), step)
-        results |= {f"silver.{entity}": result for entity, result in merged.items()}
+    """Bronze and silver of the feeds, for the days ``days_of(entity)``.
+
+    Dimensions come before payments, payments before what refers to them.  Work that needs
+    only the payments runs beside the refunds and chargebacks.
+    """
+    def bronze(entity: str) -> Callable[[], JobResult]:
+        return lambda: land_to_bronze(spark, lake, entity, days_of(entity))
+
+    def silver(entity: str) -> Callable[[], JobResult]:
+        return lambda: bronze_to_silver(spark, lake, entity, days_of(entity))
+
+    landed = at_once(spark, *[bronze(entity) for entity in entities])
+    results = {f"bronze.{entity}": result for entity, result in zip(entities, landed)}
+    for step in (("customers", "merchants"), ("payments",), ("refunds", "chargebacks")):
+        due = [entity for entity in step if entity in entities]
+        jobs = [silver(entity) for entity in due]
+        if step == ("refunds", "chargebacks") and after_payments:
+            paid = results.get("silver.payments", JobResult())
+            jobs.append(lambda: after_payments(paid))
+        if jobs:
+            merged = at_once(spark, *jobs)
+            results |= {f"silver.{entity}": result for entity, result in zip(due, merged)}
     return results
 
 
@@ -433,11 +461,15 @@ def refresh_days(
     ``entities`` names the feeds that are due; a due feed that is missing is an error.
     """
     days = _iso(days)
-    results = refresh_silver(spark, lake, lambda _: days, entities)
-    paid = results.get("silver.payments", JobResult())
-    scored = features_after(p.partition("=")[2] for p in paid.partitions)
-    results["features"] = silver_to_features(spark, lake, scored)
-    changed = refresh_fct_payments(spark, lake, scored)
+    done: dict = {}
+
+    def score(paid: JobResult) -> None:
+        scored = features_after(p.partition("=")[2] for p in paid.partitions)
+        done["features"] = silver_to_features(spark, lake, scored)
+        done["changed"] = refresh_fct_payments(spark, lake, scored) if scored else []
+
+    results = refresh_silver(spark, lake, lambda _: days, entities, after_payments=score)
+    results["features"] = done["features"]
     quality = quality_of(r for name, r in results.items() if name.startswith("silver."))
-    results["publish"] = publish(spark, lake, run_id, days, kind, quality, changed)
+    results["publish"] = publish(spark, lake, run_id, days, kind, quality, done["changed"])
     return results

@@ -131,10 +131,12 @@ def landed(spark, sf) -> Lake:
 def build_lake(spark: SparkSession, sf: str, lake: Lake | None = None) -> Lake:
     """Landing to gold, all days in one batch per feed and layer."""
     lake = lake or land_all(spark, sf)
-    results = refresh_silver(spark, lake, lambda entity: landed_days(spark, lake.landing, entity))
-    changed = [p.partition("=")[2] for p in results["silver.payments"].partitions]
-    silver_to_features(spark, lake, features_after(changed))
-    refresh_fct_payments(spark, lake)
+    def score(paid) -> None:
+        silver_to_features(spark, lake, features_after(p.partition("=")[2] for p in paid.partitions))
+        refresh_fct_payments(spark, lake)
+
+    results = refresh_silver(
+        spark, lake, lambda entity: landed_days(spark, lake.landing, entity), after_payments=score)
     quality = quality_of(r for name, r in results.items() if name.startswith("silver."))
     publish(spark, lake, "R1", landed_days(spark, lake.landing), "incremental", quality)
     return lake
