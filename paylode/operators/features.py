@@ -93,13 +93,13 @@ def bucketed_features(rows: DataFrame) -> DataFrame:
         .withColumn("_hour", F.floor(F.col("_second") / HOUR))
     )
 
-    # The whole hours strictly inside a frame, per customer and hour.
+    # The whole hours strictly inside a frame, per customer and hour; also summed before the shuffle.
     by_customer = Window.partitionBy("customer_id").orderBy("_hour")
     inside = by_customer.rangeBetween(-(FRAME_HOURS - 1), -1)
     hours = (
-        seconds.groupBy("customer_id", "_hour")
+        rows.groupBy("customer_id", F.floor(F.col("_second") / HOUR).alias("_hour"))
         .agg(
-            F.sum("_n").alias("_n"), F.sum("_paid").alias("_paid"), F.sum("_sum").alias("_sum"),
+            F.count(F.lit(1)).alias("_n"), F.count("amount").alias("_paid"), F.sum("amount").alias("_sum"),
             F.max("_second").alias("_last"),
         )
         .select(

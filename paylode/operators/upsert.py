@@ -58,12 +58,17 @@ def partition_upsert(
 def partitions_of_moved_keys(
     existing: DataFrame, batch: DataFrame, key: Sequence[str], partition: str = "dt",
 ) -> DataFrame:
-    """Partitions of ``existing`` that hold a key of the batch under another partition value."""
-    arriving = batch.select(*key, F.col(partition).alias("_arriving"))
+    """Partitions of ``existing`` that hold a key of the batch under another partition value.
+
+    The batch is first reduced to one row per key, so a key sent many times joins once.  A
+    stored value differs from one of several exactly if it differs from their least or greatest.
+    """
+    arriving = batch.groupBy(*key).agg(F.min(partition).alias("_least"), F.max(partition).alias("_greatest"))
+    stored = F.col(partition)
     return (
         existing.select(*key, partition)
         .join(arriving, list(key))
-        .where(F.col(partition) != F.col("_arriving"))
+        .where((stored != F.col("_least")) | (stored != F.col("_greatest")))
         .select(partition)
         .distinct()
     )
