@@ -93,6 +93,8 @@ def land_to_bronze(spark: SparkSession, lake: Lake, entity: str, days: Iterable[
     """Copy the landed days to bronze, replacing exactly those days (also when a day came empty)."""
     use_utc(spark)
     contract, days = CONTRACTS[entity], _iso(days)
+    if not days:
+        return JobResult()
     path = lake.path("bronze", entity)
     feed = read_feed(spark, lake.landing, contract, days)
     overwrite_partitions(feed, path, "ingest_date", expected=days, rebalance=False)

@@ -13,6 +13,7 @@ from paylode.contracts import CONTRACTS, ENTITIES, PAYMENTS
 from paylode.operators.validate import malformed, quarantine, validate
 from paylode.plans import gold
 from paylode.plans.jobs import (
+    FCT_PAYMENTS_SCHEMA,
     QUARANTINE_SCHEMA,
     bronze_to_silver,
     features,
@@ -382,19 +383,18 @@ def gold_export(spark, sf):
 def incremental_gold_refresh(spark, sf):
     """The first half of the days, then the rest as an incremental run: the fact of a full refresh."""
     lake = land_all(spark, sf)
-    for part in (0, 1):
-        for entity in ENTITIES:
-            days = landed_days(spark, lake.landing, entity)
-            half = [d for d in days if (str(d) >= V2_FROM) == bool(part)]
-            if half:
-                land_to_bronze(spark, lake, entity, half)
-                result = bronze_to_silver(spark, lake, entity, half)
-            if entity == "payments":
-                scored = features_after(p.partition("=")[2] for p in result.partitions)
+
+    def score(paid) -> None:
+        scored = features_after(p.partition("=")[2] for p in paid.partitions)
         silver_to_features(spark, lake, scored)
         refresh_fct_payments(spark, lake, scored)
-    from paylode.plans.jobs import FCT_PAYMENTS_SCHEMA
 
+    for second in (False, True):
+        def days_of(entity, second=second):
+            return [d for d in landed_days(spark, lake.landing, entity) if (str(d) >= V2_FROM) == second]
+
+        due = [entity for entity in ENTITIES if days_of(entity)]
+        refresh_silver(spark, lake, days_of, due, after_payments=score)
     return read_table(spark, lake.path("marts", "fct_payments"), FCT_PAYMENTS_SCHEMA).select(
         "payment_id", "status", "amount_cop", "transaction_day", "flag_high_velocity", "flag_amount_spike")
 
