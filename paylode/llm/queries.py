@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from paylode.llm import minhash, sql
+from paylode.llm import minhash, repeats, sql
 from paylode.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +26,8 @@ def query(name: str, oracle: str | None = None):
 @query("op1_minmax_near_duplicates", sql.NEAR_DUPLICATES)
 def op1(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
+@query("op9_suffix_array_repeats", sql.REPEATS)
+def op9(spark, sf_dir):
+    return repeats.repeated_spans(table(spark, sf_dir, "documents")).drop("spans")

@@ -22,3 +22,24 @@ lowest AS (SELECT x, least(x, min(y)) AS component_id FROM reach GROUP BY x)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(component_id, d.doc_id) AS component_id,
        coalesce(component_id, d.doc_id) = d.doc_id AS kept
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN lowest ON x = d.doc_id"""
+
+# Two hex digits are a byte; a window is 800 digits from an odd place on.
+REPEATS = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+b AS (SELECT doc_id, h, unnest(range(0, len(h) // 2)) AS p FROM d),
+w AS (SELECT doc_id, p, md5(substr(h, 2 * p + 1, 800)) AS k FROM b WHERE len(h) >= 2 * p + 800),
+twice AS (SELECT k FROM w GROUP BY k HAVING count(*) > 1),
+marks AS (SELECT doc_id, p FROM w WHERE k IN (SELECT k FROM twice)),
+bytes AS (
+    SELECT b.doc_id, b.p, substr(b.h, 2 * b.p + 1, 2) AS x,
+           max(marks.p) OVER (PARTITION BY b.doc_id ORDER BY b.p) AS latest
+    FROM b LEFT JOIN marks ON marks.doc_id = b.doc_id AND marks.p = b.p),
+judged AS (SELECT doc_id, p, x, coalesce(p - latest < 400, false) AS gone FROM bytes),
+edges AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY p), false) AS first FROM judged),
+sums AS (
+    SELECT doc_id, count_if(gone) AS n_removed, count_if(first) AS n_spans,
+           sha256(unhex(coalesce(string_agg(x, '' ORDER BY p) FILTER (WHERE NOT gone), ''))) AS kept_sha256
+    FROM edges GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, coalesce(kept_sha256, sha256('')) AS kept_sha256
+FROM d LEFT JOIN sums USING (doc_id)"""
