@@ -83,12 +83,12 @@ class Words(NamedTuple):
     hash: np.ndarray
 
 
-def words(buffer: np.ndarray, at: np.ndarray, lower: bool = False) -> Words:
-    """Every word of every text, in order; a word never reaches into the next text."""
+def words(buffer: np.ndarray, at: np.ndarray, lower: bool = False, gaps: np.ndarray = SPACE) -> Words:
+    """Every word of every text, in order: bytes without a gap, which never reach into the next text."""
     if not len(buffer):
         none = np.zeros(0, np.int64)
         return Words(none, none, none, np.zeros(0, U64))
-    solid = ~SPACE[buffer]
+    solid = ~gaps[buffer]
     begins, finishes = solid.copy(), solid.copy()
     begins[1:] &= ~solid[:-1]
     finishes[:-1] &= ~solid[1:]

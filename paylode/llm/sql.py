@@ -25,21 +25,78 @@ FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN lowest ON x = d.doc_id"""
 
 # Two hex digits are a byte; a window is 800 digits from an odd place on.
 REPEATS = """
-WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-b AS (SELECT doc_id, h, unnest(range(0, len(h) // 2)) AS p FROM d),
-w AS (SELECT doc_id, p, md5(substr(h, 2 * p + 1, 800)) AS k FROM b WHERE len(h) >= 2 * p + 800),
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, len(h) // 2 AS n FROM documents),
+w AS (
+    SELECT doc_id, unnest(range(0, n - 399)) AS p,
+           unnest(list_transform(range(0, n - 399), lambda i: md5(substr(h, 2 * i + 1, 800)))) AS k
+    FROM d WHERE n >= 400),
 twice AS (SELECT k FROM w GROUP BY k HAVING count(*) > 1),
-marks AS (SELECT doc_id, p FROM w WHERE k IN (SELECT k FROM twice)),
-bytes AS (
-    SELECT b.doc_id, b.p, substr(b.h, 2 * b.p + 1, 2) AS x,
-           max(marks.p) OVER (PARTITION BY b.doc_id ORDER BY b.p) AS latest
-    FROM b LEFT JOIN marks ON marks.doc_id = b.doc_id AND marks.p = b.p),
-judged AS (SELECT doc_id, p, x, coalesce(p - latest < 400, false) AS gone FROM bytes),
-edges AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY p), false) AS first FROM judged),
+marks AS (SELECT w.doc_id, w.p FROM w JOIN twice USING (k)),
+gaps AS (SELECT *, p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS gap FROM marks),
+runs AS (SELECT *, sum(CASE WHEN gap <= 400 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) AS r FROM gaps),
+spans AS (SELECT doc_id, min(p) AS a, max(p) + 400 AS b FROM runs GROUP BY doc_id, r),
+cuts AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans),
 sums AS (
-    SELECT doc_id, count_if(gone) AS n_removed, count_if(first) AS n_spans,
-           sha256(unhex(coalesce(string_agg(x, '' ORDER BY p) FILTER (WHERE NOT gone), ''))) AS kept_sha256
-    FROM edges GROUP BY doc_id)
-SELECT d.doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
-       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, coalesce(kept_sha256, sha256('')) AS kept_sha256
+    SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
+           string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
+    FROM cuts JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
 FROM d LEFT JOIN sums USING (doc_id)"""
+
+# A hex digit is four bits, a base32 digit five.
+WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+s AS (SELECT page_id, html, sha1(html) AS h, max(page_id) OVER (PARTITION BY html) AS latest FROM p),
+b AS (
+    SELECT *, array_to_string(list_transform(range(1, 41), lambda i:
+        ['0000','0001','0010','0011','0100','0101','0110','0111','1000','1001','1010','1011','1100','1101','1110','1111'
+        ][instr('0123456789abcdef', substr(h, i, 1))]), '') AS bits
+    FROM s)
+SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + CAST(16 * CAST(substr(bits, 5 * i + 1, 1) AS INT) + 8 * CAST(substr(bits, 5 * i + 2, 1) AS INT)
+             + 4 * CAST(substr(bits, 5 * i + 3, 1) AS INT) + 2 * CAST(substr(bits, 5 * i + 4, 1) AS INT)
+             + CAST(substr(bits, 5 * i + 5, 1) AS INT) AS INT), 1)), '') AS payload_digest,
+       CASE WHEN page_id = latest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> latest THEN latest END AS refers_to
+FROM b"""
+
+VECTORS = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+    SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b
+    ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+lowest AS (SELECT x, least(x, min(y)) AS component_id FROM reach GROUP BY x),
+degree AS (SELECT x, count(*) AS n_links FROM links GROUP BY x)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(component_id, vec_id) AS component_id,
+       coalesce(component_id, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN degree ON degree.x = vec_id LEFT JOIN lowest ON lowest.x = vec_id"""
+
+URLS = """
+WITH u AS (
+    SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+    FROM pages),
+r(rule_host, rule_path, rule_verdict) AS (VALUES
+    ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+    ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+fits AS (
+    SELECT page_id, max_by(rule_host || rule_path, len(rule_host || rule_path)) AS rule,
+           max_by(rule_verdict, len(rule_host || rule_path)) AS rule_verdict
+    FROM u JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+    GROUP BY page_id),
+listed AS (
+    SELECT DISTINCT host || regexp_replace(path, '/+$', '') AS canonical FROM u
+    WHERE regexp_matches(host, '(^|[.])(adult-x|ads-track|casino-win|cheap-pills|free-bets|spam-farm)[.]example[.]'))
+SELECT u.page_id, host, path, rule,
+       coalesce(rule_verdict, CASE WHEN host || regexp_replace(path, '/+$', '') IN (SELECT canonical FROM listed)
+                              THEN 'block' ELSE 'allow' END) AS verdict
+FROM u LEFT JOIN fits USING (page_id)"""
