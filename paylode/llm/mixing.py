@@ -4,12 +4,13 @@ A source's target over its size is how often each of its documents is taken: the
 the rest as an inclusion probability.  The flight phase moves the probabilities of three documents at a
 time along a direction that changes neither the number of documents nor the number of words, until one of
 them is 0 or 1; the direction's sign is drawn so that each keeps its expectation.  Documents go from the
-longest to the shortest, so that what is left open at the end is short.
+longest to the shortest.
 
 The flight runs in blocks of about ``BLOCK`` documents of one source, chosen by a hash; a hot source has many
 blocks.  Each block leaves two open documents at most, which form the blocks of the next level, until a
-source has one block; its last two documents are the landing problem.  There the words alone are balanced
-until one document is left, which is rounded by the nearer total.  Draws depend on keys only, so reruns agree.
+source has one block.  From that block ``RESERVED`` documents, spread over its sizes, wait until the flight is
+over; they and the last two open ones are the landing problem, which is solved by trying every rounding and
+taking the one nearest to the balance of words and documents.  Draws depend on keys only, so reruns agree.
 
 Defined results: null and empty texts have size 0, and are never a reason to take words.  A null source is
 a source of its own, the last in order.  A source of size 0 has target 0.  Repeated rows are drawn one by
@@ -32,6 +33,7 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2.0
 BLOCK = 2_000
+RESERVED = 12
 EPSILON = 1e-9
 
 
@@ -50,29 +52,33 @@ def _step(p: np.ndarray, some: list[int], direction: tuple[float, ...], draw: fl
 
 
 def flight(p: np.ndarray, size: np.ndarray, rng: np.random.Generator, land: bool) -> np.ndarray:
-    """New probabilities: 0 or 1 but for two documents at most, and for none if ``land``."""
+    """New probabilities of documents sorted by size: 0 or 1 but for two at most, and for none if ``land``."""
     p, open_ = p.astype(float).copy(), []
+    wait = set(np.linspace(0, len(p) - 1, min(RESERVED, len(p))).astype(int).tolist()) if land else set()
     for i in range(len(p)):
-        if EPSILON < p[i] < 1 - EPSILON:
+        if i not in wait and EPSILON < p[i] < 1 - EPSILON:
             open_.append(i)
         while len(open_) == 3:
             a, b, c = (float(size[k]) for k in open_)
             direction = (b - c, c - a, a - b)
             _step(p, open_, direction if any(direction) else (1.0, -1.0, 0.0), rng.random())
             open_ = [k for k in open_ if EPSILON < p[k] < 1 - EPSILON]
-    if len(open_) == 2 and size[open_[0]] == size[open_[1]]:
-        _step(p, open_, (1.0, -1.0), rng.random())
-        open_ = [k for k in open_ if EPSILON < p[k] < 1 - EPSILON]
-    if land and len(open_) == 2:
-        a, b = (float(size[k]) for k in open_)
-        _step(p, open_, (b, -a), rng.random())
-        open_ = [k for k in open_ if EPSILON < p[k] < 1 - EPSILON]
     if land:
-        for k in open_:
-            p[k] = float(p[k] >= 0.5)
+        last = np.array(sorted({*open_, *wait}), int)
+        last = last[(p[last] > EPSILON) & (p[last] < 1 - EPSILON)]
+        if len(last):
+            p[last] = landing(p[last], size[last].astype(float))
     return p
 
 
+def landing(p: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The rounding nearest to the balance: words first, then a document more or less."""
+    choices = (np.arange(1 << len(p))[:, None] >> np.arange(len(p))) & 1
+    words = np.abs(choices @ size - p @ size)
+    documents = np.abs(choices.sum(axis=1) - p.sum())
+    return choices[np.argmin(words + np.maximum(0, documents - 1) * 0.1 * size.mean())].astype(float)
+
+
 _KEY = ["source", "doc_id", "digest", "nth"]
 _UNIT = "source string, doc_id long, digest binary, nth int, size long, p double, n_blocks long, block long"
 

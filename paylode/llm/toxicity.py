@@ -1,6 +1,6 @@
 """Toxicity as multiple-instance learning: a document is a bag of sentences and only bags have labels.
 
-A sentence's score is logistic in its words.  A document's is noisy-or: 1 minus the product of the
+A sentence's score is logistic in its words and their first letters.  A document's is noisy-or: 1 minus the product of the
 sentences' complements, so one offending sentence is enough and a long clean text stays clean.  The
 likelihood of the documents' labels trains the sentences' weights, which then say where the offence is.
 
@@ -32,9 +32,10 @@ from paylode.llm.hashing import U64
 MOST_POSITIVE = 3_000
 MOST_NEGATIVE = 5_000
 LONGEST = 64 << 10
-MOST_FEATURES = 200_000
-LEAST_DOCUMENTS = 3
-EPOCHS = 12
+MOST_FEATURES = 50_000
+LEAST_RATIO = 20.0
+EPOCHS = 30
+RATE = 0.3
 START_BIAS = -5.0
 
 #: Bytes between words: what is neither an ASCII letter or digit nor part of a longer character.
@@ -44,83 +45,154 @@ STOPS = np.zeros(256, bool)
 STOPS[list(b".!?\n")] = True
 
 
+#: Bytes of the beginnings of words that are features beside the whole word.
+BEGINNINGS = (4, 5, 6)
+
+
 class Model(NamedTuple):
-    words: np.ndarray      # sorted hashes
+    features: np.ndarray    # sorted hashes
     weights: np.ndarray
     bias: float
     constant: float | None  # the score of every document, where labels have one kind only
+    cut: float = 0.5        # the noisy-or that becomes a score of one half
 
 
 class Bags(NamedTuple):
-    words: hashing.Words
-    sentence: np.ndarray    # of each word
+    feature: np.ndarray     # hash of a word or of a word's beginning
+    sentence: np.ndarray    # of each feature
     doc: np.ndarray         # of each sentence
+    start: np.ndarray       # first byte of each sentence's first word, in the buffer
+    end: np.ndarray         # byte after its last word
 
 
 def bags(texts: pa.Array) -> Bags:
-    """The words of the texts by sentence; a sentence without a word is none."""
+    """The features of the texts by sentence; a sentence without a word is none."""
     buffer, at = hashing.buffer_of(texts)
     found = hashing.words(buffer, at, lower=True, gaps=GAPS)
     stops = np.cumsum(STOPS[buffer])
     number = stops[found.start] if len(found.start) else found.start
     change = np.ones(len(number), bool)
     change[1:] = (number[1:] != number[:-1]) | (found.doc[1:] != found.doc[:-1])
-    return Bags(found, np.cumsum(change) - 1, found.doc[change])
+    sentence = np.cumsum(change) - 1
+    first = np.flatnonzero(change)
+    last = np.concatenate((first[1:], [len(number)]))[:len(first)] - 1
+    feature, owner = [found.hash], [sentence]
+    sums = hashing.prefix_sums(buffer, hashing.VALUE_LOWER)
+    for size, salt in zip(BEGINNINGS, hashing.constants("beginning", len(BEGINNINGS))):
+        long_ = np.flatnonzero(found.end - found.start >= size)
+        starts = found.start[long_]
+        feature.append(hashing.mix(hashing.window_hashes(sums, starts, starts + size) ^ salt))
+        owner.append(sentence[long_])
+    return Bags(np.concatenate(feature), np.concatenate(owner), found.doc[first], found.start[first], found.end[last])
+
+
+def sentence_logits(model: Model, found: Bags, sieve: np.ndarray | None = None) -> np.ndarray:
+    """``sieve`` marks the first bits of the model's hashes, so that few features have to be searched."""
+    total = np.full(len(found.doc), model.bias)
+    if len(model.features) and len(found.doc):
+        sieve = _sieve(model) if sieve is None else sieve
+        some = np.flatnonzero(sieve[(found.feature >> _SIEVE).astype(np.int64)])
+        hashes = found.feature[some]
+        spot = np.minimum(np.searchsorted(model.features, hashes), len(model.features) - 1)
+        weight = np.where(model.features[spot] == hashes, model.weights[spot], 0.0)
+        total += np.bincount(found.sentence[some], weights=weight, minlength=len(found.doc))
+    return total
+
 
+_SIEVE = U64(44)
 
-def sentence_logits(model: Model, found: Bags) -> np.ndarray:
-    if not len(model.words) or not len(found.doc):
-        return np.full(len(found.doc), model.bias)
-    spot = np.minimum(np.searchsorted(model.words, found.words.hash), len(model.words) - 1)
-    weight = np.where(model.words[spot] == found.words.hash, model.weights[spot], 0.0)
-    return model.bias + np.bincount(found.sentence, weights=weight, minlength=len(found.doc))
+
+def _sieve(model: Model) -> np.ndarray:
+    marks = np.zeros(1 << 20, bool)
+    marks[(model.features >> _SIEVE).astype(np.int64)] = True
+    return marks
 
 
 def noisy_or(logits: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     return -np.expm1(np.bincount(doc, weights=-np.logaddexp(0, logits), minlength=n))
 
 
+def _vocabulary(found: Bags, labels: np.ndarray) -> np.ndarray:
+    """Hashes of the features whose documents differ from the others in their labels, the clearest if too many.
+
+    The measure is the likelihood ratio of two shares of positive documents against one; a feature that only
+    a few documents have cannot reach ``LEAST_RATIO``, and so cannot be learnt by heart.
+    """
+    doc = found.doc[found.sentence]
+    order = np.lexsort((doc, found.feature))
+    hashes, doc = found.feature[order], doc[order]
+    first = hashing.firsts(hashes)
+    if not len(first):
+        return hashes
+    fresh = np.ones(len(hashes), np.int64)
+    fresh[1:] = (hashes[1:] != hashes[:-1]) | (doc[1:] != doc[:-1])
+    n, total, positive = np.add.reduceat(fresh, first), len(labels), int(labels.sum())
+    k = np.add.reduceat(fresh * (labels[doc] == 1), first)
+
+    def fit_of(k: np.ndarray, n: np.ndarray) -> np.ndarray:
+        share = np.clip(k / np.maximum(n, 1), 1e-12, 1 - 1e-12)
+        return k * np.log(share) + (n - k) * np.log(1 - share)
+
+    ratio = 2 * (fit_of(k, n) + fit_of(positive - k, total - n) - fit_of(np.array(positive), np.array(total)))
+    clear = np.flatnonzero(ratio >= LEAST_RATIO)
+    clear = np.sort(clear[np.argsort(-ratio[clear], kind="stable")[:MOST_FEATURES]])
+    return hashes[first[clear]]
+
+
 def fit(labels: np.ndarray, weights: np.ndarray, found: Bags) -> Model:
     """Adagrad on the documents' log likelihood, in a fixed order, so that reruns agree."""
-    no_words = np.zeros(0, U64), np.zeros(0)
+    none = np.zeros(0, U64), np.zeros(0)
     if not len(labels) or labels.min() == labels.max():
-        return Model(*no_words, START_BIAS, float(labels[0]) if len(labels) else 0.0)
-    pairs = np.unique(np.stack([found.words.doc.astype(U64), found.words.hash]), axis=1)[1]
-    vocabulary, documents = np.unique(pairs, return_counts=True)
-    common = np.flatnonzero(documents >= LEAST_DOCUMENTS)
-    common = np.sort(common[np.argsort(-documents[common], kind="stable")[:MOST_FEATURES]])
-    vocabulary = vocabulary[common]
+        return Model(*none, START_BIAS, float(labels[0]) if len(labels) else 0.0)
+    vocabulary = _vocabulary(found, labels)
     if not len(vocabulary):
-        return Model(*no_words, START_BIAS, None)
-    spot = np.minimum(np.searchsorted(vocabulary, found.words.hash), len(vocabulary) - 1)
-    known = vocabulary[spot] == found.words.hash
+        return Model(*none, START_BIAS, None)
+    spot = np.minimum(np.searchsorted(vocabulary, found.feature), len(vocabulary) - 1)
+    known = np.flatnonzero(vocabulary[spot] == found.feature)
+    known = known[np.argsort(found.sentence[known], kind="stable")]
     feature, sentence = spot[known], found.sentence[known]
-    word_at = np.searchsorted(found.doc[sentence], np.arange(len(labels) + 1))
+    feature_at = np.searchsorted(found.doc[sentence], np.arange(len(labels) + 1))
     sentence_at = np.searchsorted(found.doc, np.arange(len(labels) + 1))
     w, b = np.zeros(len(vocabulary)), START_BIAS
     w_seen, b_seen = np.full(len(vocabulary), 1e-6), 1e-6
     rng = np.random.Generator(np.random.PCG64(11))
     for _ in range(EPOCHS):
         for some in np.array_split(rng.permutation(len(labels)), max(1, len(labels) // 256)):
-            take = [np.arange(word_at[d], word_at[d + 1]) for d in some]
+            take = [np.arange(feature_at[d], feature_at[d + 1]) for d in some]
             f = feature[np.concatenate(take)]
             counts = sentence_at[some + 1] - sentence_at[some]
             first = np.concatenate(([0], np.cumsum(counts)))
             s = np.concatenate([sentence[t] - sentence_at[d] + first[k] for k, (d, t) in enumerate(zip(some, take))])
             owner = np.repeat(np.arange(len(some)), counts)
             z = b + np.bincount(s, weights=w[f], minlength=len(owner))
-            p = 1 / (1 + np.exp(-z))
+            p = 1 / (1 + np.exp(-np.clip(z, -50, 50)))
             clean = np.exp(np.bincount(owner, weights=-np.logaddexp(0, z), minlength=len(some)))
-            y = labels[some]
-            pull = weights[some] * np.where(y == 1, -clean / np.maximum(1 - clean, 1e-9), 1.0) / len(some)
+            pull = weights[some] * np.where(labels[some] == 1, -clean / np.maximum(1 - clean, 1e-9), 1.0) / len(some)
             g = pull[owner] * p
-            g_w = np.bincount(f, weights=g[s], minlength=len(w)) + 1e-6 * w
+            g_w = np.bincount(f, weights=g[s], minlength=len(w)) + 1e-4 * w
             w_seen += g_w * g_w
-            w -= 0.5 * g_w / np.sqrt(w_seen)
+            w -= RATE * g_w / np.sqrt(w_seen)
             b_seen += g.sum() ** 2
             b -= 0.1 * g.sum() / np.sqrt(b_seen)
     useful = np.abs(w) > 1e-2
-    return Model(vocabulary[useful], w[useful], float(b), None)
+    model = Model(vocabulary[useful], w[useful], float(b), None)
+    return model._replace(cut=_cut(noisy_or(sentence_logits(model, found), found.doc, len(labels)), labels, weights))
+
+
+def _cut(scores: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> float:
+    """Where to tell the kinds apart: the best F1 on the sample, half way to the next lower score."""
+    order = np.argsort(-scores, kind="stable")
+    ranked, hit = scores[order], np.cumsum((weights * labels)[order])
+    f1 = 2 * hit / (np.cumsum(weights[order]) + hit[-1])
+    f1[:-1][ranked[:-1] == ranked[1:]] = 0
+    best = int(np.argmax(f1))
+    below = ranked[best + 1] if best + 1 < len(ranked) else 0.0
+    return float(np.clip((ranked[best] + below) / 2, 0.05, 0.95))
+
+
+def calibrated(scores: np.ndarray, cut: float) -> np.ndarray:
+    """The same order, with the cut at one half."""
+    return scores * (1 - cut) / (scores * (1 - cut) + (1 - scores) * cut)
 
 
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,8 +200,14 @@ def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     model = fit(rows.column("toxic").to_numpy(), rows.column("weight").to_numpy(),
                 bags(rows.column("text").combine_chunks()))
     yield pa.RecordBatch.from_arrays(
-        [pa.array([model.words.tobytes()]), pa.array([model.weights.tobytes()]), pa.array([model.bias]),
-         pa.array([model.constant], pa.float64())], names=["words", "weights", "bias", "constant"])
+        [pa.array([model.features.tobytes()]), pa.array([model.weights.tobytes()]), pa.array([model.bias]),
+         pa.array([model.constant], pa.float64()), pa.array([model.cut])], names=["features", "weights", "bias", "constant", "cut"])
+
+
+def document_scores(model: Model, found: Bags, n: int, sieve: np.ndarray | None = None) -> np.ndarray:
+    if model.constant is not None:
+        return np.full(n, model.constant)
+    return np.clip(calibrated(noisy_or(sentence_logits(model, found, sieve), found.doc, n), model.cut), 0.0, 1.0)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -155,22 +233,20 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
     # At most MOST_POSITIVE + MOST_NEGATIVE rows of four numbers.
     sample = texts.join(F.broadcast(sample), "doc_id").select("order", "toxic", "weight", "text").dropDuplicates(["order"])
     fitted = sample.repartition(1).mapInArrow(
-        _train, "words binary, weights binary, bias double, constant double").first()
+        _train, "features binary, weights binary, bias double, constant double, cut double").first()
     if fitted is None:
         return Model(np.zeros(0, U64), np.zeros(0), START_BIAS, 0.0)
-    return Model(np.frombuffer(fitted["words"], U64), np.frombuffer(fitted["weights"]), fitted["bias"], fitted["constant"])
+    return Model(np.frombuffer(fitted["features"], U64), np.frombuffer(fitted["weights"]), fitted["bias"], fitted["constant"],
+                 fitted["cut"])
 
 
 def _score(shared):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
+        sieve = _sieve(model)
         for batch in batches:
             for part in slices(batch, "text"):
-                if model.constant is not None:
-                    scores = np.full(len(part), model.constant)
-                else:
-                    found = bags(part.column("text"))
-                    scores = np.clip(noisy_or(sentence_logits(model, found), found.doc, len(part)), 0.0, 1.0)
+                scores = document_scores(model, bags(part.column("text")), len(part), sieve)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("held_out"), pa.array(scores)],
                     names=["doc_id", "held_out", "score"])
@@ -196,10 +272,7 @@ def _locate(shared, least: float):
                 buffer, at = hashing.buffer_of(part.column("text"))
                 scores = 1 / (1 + np.exp(-sentence_logits(model, found)))
                 bad = np.flatnonzero(scores >= least)
-                first = hashing.firsts(found.sentence)
-                last = np.concatenate((first[1:], [len(found.sentence)])) - 1
-                starts, ends = found.words.start[first[bad]], found.words.end[last[bad]]
-                doc = found.doc[bad]
+                doc, starts, ends = found.doc[bad], found.start[bad], found.end[bad]
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id").take(pa.array(doc)), pa.array(starts - at[doc]), pa.array(ends - at[doc]),
                     pa.array([buffer[a:b].tobytes().decode() for a, b in zip(starts, ends)], pa.string()),
@@ -224,12 +297,10 @@ def without_toxic(documents: DataFrame, model: Model) -> DataFrame:
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = shared.value
+        sieve = _sieve(fitted)
         for batch in batches:
             for part in slices(batch, "text"):
-                found = bags(part.column("text"))
-                scores = noisy_or(sentence_logits(fitted, found), found.doc, len(part))
-                if fitted.constant is not None:
-                    scores = np.full(len(part), fitted.constant)
+                scores = document_scores(fitted, bags(part.column("text")), len(part), sieve)
                 yield part.filter(pa.array(scores < 0.5))
 
     return documents.mapInArrow(keep, documents.schema)
