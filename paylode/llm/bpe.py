@@ -102,10 +102,10 @@ def _encode(shared):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(*shared.value)
         for batch in batches:
-            for part in slices(batch, "text"):
-                ids = encoder.encode(["" if t is None else t for t in part.column("text").to_pylist()])
+            for part in slices(batch, "to_encode"):
+                ids = encoder.encode(part.column("to_encode").to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+                    [*part.columns[:-1], pa.array(ids, pa.binary())], names=[*part.schema.names[:-1], "ids"])
 
     return encode
 
@@ -115,11 +115,13 @@ def _shared(spark: SparkSession, path: str, pattern: str):
     return spark.sparkContext.broadcast((build(read_ranks(path)), pattern))
 
 
-def encode(documents: DataFrame, path: str, pattern: str) -> DataFrame:
-    """``doc_id, ids``: the ids as little-endian unsigned 32-bit integers, one after another."""
+def encode(documents: DataFrame, path: str, pattern: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id``, the columns to ``keep``, and ``ids``: little-endian unsigned 32-bit integers, one after another."""
     spark = ready(documents.sparkSession)
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        _encode(_shared(spark, path, pattern)), "doc_id long, ids binary")
+    rows = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), *keep, F.coalesce("text", F.lit("")).alias("to_encode"))
+    fields = ", ".join(f"`{name}` {kind}" for name, kind in rows.dtypes[:-1])
+    return rows.mapInArrow(_encode(_shared(spark, path, pattern)), f"{fields}, ids binary")
 
 
 def token_bytes(ranks: dict[bytes, int]) -> list[bytes]:

@@ -171,11 +171,8 @@ def mixed(documents: DataFrame) -> DataFrame:
     """
     chosen = draws(documents).where("size > 0 and copies > 0").select(
         *[F.col(c).alias(f"_{c}") for c in _KEY], "copies")
-    again = Window.partitionBy("_source", "_doc_id", "_digest").orderBy(F.lit(0))
-    rows = documents.select(
-        *[F.col(f"`{c}`") for c in documents.columns], F.col("source").cast("string").alias("_source"),
-        F.col("doc_id").cast("long").alias("_doc_id"), text_md5().alias("_digest")).withColumn("_nth", F.row_number().over(again))
-    rows = rows.alias("d").join(
-        chosen.alias("c"), [F.col(f"d._{c}").eqNullSafe(F.col(f"c._{c}")) for c in _KEY])
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(
-        *[F.col(f"d.`{c}`") for c in documents.columns])
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
+    rows = _keyed(documents, row)
+    rows = rows.join(chosen, [rows[c].eqNullSafe(chosen[f"_{c}"]) for c in _KEY])
+    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(
+        *[F.col(f"row.`{c}`") for c in documents.columns])

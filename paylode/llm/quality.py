@@ -42,13 +42,18 @@ UPPER = np.zeros(256, bool)
 UPPER[65:91] = True
 MARK = np.zeros(256, bool)
 MARK[list(b"!?#*$%&|<>{}[]()=+^~@\\/_\"")] = True
-DIGIT = np.zeros(256, bool)
-DIGIT[48:58] = True
 
-_COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks", "n_digits",
-           "n_kinds")
+_COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks",
+           "n_adjacent")
 _STATISTICS = "doc_id long, " + ", ".join(f"{name} long" for name in _COUNTS)
-FEATURES = ("symbols", "dup_lines", "repeats", "word_length", "upper", "marks", "digits", "variety")
+
+#: Shares that clean texts reach as well: only what goes beyond them sets a document apart.
+USUAL_DUP_LINES = 0.3
+USUAL_REPEATS = 0.2
+USUAL_ADJACENT = 0.1
+USUAL_UPPER = 0.15
+USUAL_MARKS = 0.05
+USUAL_WORD_LENGTH = (3.0, 10.0)
 
 
 def _dup_lines(text: str) -> tuple[int, int]:
@@ -78,8 +83,7 @@ def counts(texts: pa.Array) -> dict[str, np.ndarray]:
     np.add.at(cover, first[twice], 1)
     np.add.at(cover, first[twice] + RUN, -1)
     covered = np.cumsum(cover[:-1]) > 0
-    pairs = np.sort(mix(found.hash ^ mix(found.doc.astype(U64) + U64(1))))
-    owner_first = np.unique(np.stack([found.doc.astype(U64), found.hash]), axis=1)[0] if len(pairs) else np.zeros(0, U64)
+    adjacent = found.doc[1:][(found.hash[1:] == found.hash[:-1]) & (found.doc[1:] == found.doc[:-1])]
     lines = [_dup_lines(t) if t else (0, 0) for t in texts.to_pylist()]
     return {
         "n_words": n_words,
@@ -90,8 +94,7 @@ def counts(texts: pa.Array) -> dict[str, np.ndarray]:
         "n_lines": np.array([k for _, k in lines], np.int64),
         "n_upper": per_text(UPPER[buffer]),
         "n_marks": per_text(MARK[buffer]),
-        "n_digits": per_text(DIGIT[buffer]),
-        "n_kinds": np.bincount(owner_first.astype(np.int64), minlength=n),
+        "n_adjacent": np.bincount(adjacent, minlength=n),
     }
 
 
@@ -111,12 +114,15 @@ def statistics(documents: DataFrame) -> DataFrame:
 
 
 def features(rows: dict[str, np.ndarray]) -> np.ndarray:
-    """Shares of the counts, so that length alone is no anomaly."""
+    """How far each rule's share goes beyond what is usual; shares, so that length alone is no anomaly."""
     words, chars = np.maximum(rows["n_words"], 1), np.maximum(rows["word_chars"], 1)
+    length, (short, long_) = rows["word_chars"] / words, USUAL_WORD_LENGTH
     return np.stack([
-        rows["n_symbols"] / chars, rows["n_dup_lines"] / np.maximum(rows["n_lines"], 1), rows["n_repeat_words"] / words,
-        rows["word_chars"] / words, rows["n_upper"] / chars, rows["n_marks"] / chars, rows["n_digits"] / chars,
-        (rows["n_kinds"] / words) * np.minimum(words, 100) / 100], axis=1)
+        rows["n_symbols"] / chars, np.maximum(0, rows["n_adjacent"] / words - USUAL_ADJACENT),
+        np.maximum(0, rows["n_dup_lines"] / np.maximum(rows["n_lines"], 1) - USUAL_DUP_LINES),
+        np.maximum(0, rows["n_repeat_words"] / words - USUAL_REPEATS),
+        np.maximum(0, rows["n_upper"] / chars - USUAL_UPPER), np.maximum(0, rows["n_marks"] / chars - USUAL_MARKS),
+        np.maximum(0, short - length) + np.maximum(0, length - long_)], axis=1)
 
 
 class Tree(NamedTuple):

@@ -352,8 +352,9 @@ def without_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM
     _, copied, involved = _spans(documents, length, gram, hot)
     kept = copied.join(involved.mapInArrow(_trim, "digest binary, kept_text string"), "digest", "full").select(
         F.col("digest").alias("_digest"), F.when(F.col("copied"), F.lit("")).otherwise(F.col("kept_text")).alias("_kept"))
-    out = documents.withColumn("_digest", text_md5()).join(kept, "_digest", "left")
-    text = F.when(F.col("text").isNotNull(), F.coalesce("_kept", "text")).alias("text")
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
+    out = documents.select(row, text_md5().alias("_digest")).join(kept, "_digest", "left")
+    text = F.when(F.col("row.text").isNotNull(), F.coalesce("_kept", "row.text")).alias("text")
     return out.select(*[
-        text if c == "text" else F.length(text).cast(t).alias(c) if c == "n_chars" else F.col(f"`{c}`")
+        text if c == "text" else F.length(text).cast(t).alias(c) if c == "n_chars" else F.col(f"row.`{c}`")
         for c, t in documents.dtypes])
