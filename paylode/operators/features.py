@@ -1,14 +1,10 @@
 """Seven-day customer behaviour per payment, and daily merchant figures.
 
-Two routes compute the same numbers:
-
-* ``sliding_features``: Spark's range frame, one shuffle and one sort by customer.
-  A sliding frame costs (rows of a customer) x (rows in a frame) in one task, so it
-  is used for customers below ``HOT_CUSTOMER_ROWS``.
-* ``bucketed_features``: for hot customers.  Payments are first summed per second
-  before the shuffle, and a frame is put together from whole hours plus the two
-  partial hours at its ends.  A group never exceeds the seconds of two hours, however
-  many payments one customer makes, and no step subtracts (exact for doubles).
+Payments are first summed per second before the shuffle, and a frame is put together from whole hours plus
+the two partial hours at its ends.  A group never exceeds the seconds of two hours, however many payments one
+customer makes.  Amounts are summed as decimals, so neither the order of adding nor the partitioning shows.
+
+Payments without a customer are one customer; those without a time see only each other, and have no gap.
 """
 
 from __future__ import annotations
@@ -30,9 +26,8 @@ SALT_BUCKETS = 8
 
 HOUR = 3600
 FRAME_HOURS = FRAME_SECONDS // HOUR
-HOT_CUSTOMER_ROWS = 20_000
-# A list of at most this many customer ids is broadcast (a few MB); beyond it every row takes the bucketed route.
-MAX_BROADCAST_CUSTOMERS = 100_000
+# Sums are exact to this many decimal places.
+EXACT = "decimal(38,9)"
 
 FEATURE_COLUMNS = (
     "payment_id", "customer_id", "merchant_id", "category", "risk_segment", "amount", "transaction_date",
@@ -59,35 +54,25 @@ def feature_input(payments: DataFrame, first: dt.date | str, last: dt.date | str
     )
 
 
-def hot_customers(rows: DataFrame, hot_rows: int = HOT_CUSTOMER_ROWS) -> DataFrame:
-    """Customers with more rows than one sliding frame should handle; counted before the shuffle."""
-    return (
-        rows.groupBy("customer_id").agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > hot_rows).select("customer_id")
-    )
+def _same(left: DataFrame, right: DataFrame, *columns: str) -> list[Column]:
+    """Equality in which two nulls are equal; the right side's names end in ``_of``."""
+    return [left[c].eqNullSafe(right[f"{c}_of"]) for c in columns]
 
 
-def sliding_features(rows: DataFrame) -> DataFrame:
-    """``_second`` is a column, not an expression in the window, so Spark shares one sort."""
-    by_customer = Window.partitionBy("customer_id")
-    # The longer order comes first: its sort also serves the frames ordered by second alone.
-    previous = by_customer.orderBy("_second", "payment_id")
-    frame = by_customer.orderBy("_second").rangeBetween(-FRAME_SECONDS, Window.currentRow)
-    return rows.withColumn("seconds_since_prev", F.col("_second") - F.lag("_second").over(previous)).select(
-        "*",
-        F.count(F.lit(1)).over(frame).alias("txn_count_7d"),
-        F.sum("amount").over(frame).alias("amount_7d"),
-        F.avg("amount").over(frame).alias("avg_amount_7d"),
-    )
+def _renamed(df: DataFrame, *columns: str) -> DataFrame:
+    for column in columns:
+        df = df.withColumnRenamed(column, f"{column}_of")
+    return df
 
 
 def bucketed_features(rows: DataFrame) -> DataFrame:
+    rows = rows.withColumn("_exact", F.col("amount").try_cast(EXACT))
     seconds = (
         rows.groupBy("customer_id", "_second")
         .agg(
             F.count(F.lit(1)).alias("_n"),
-            F.count("amount").alias("_paid"),
-            F.sum("amount").alias("_sum"),
+            F.count("_exact").alias("_paid"),
+            F.sum("_exact").alias("_sum"),
             F.min("payment_id").alias("_first_id"),
         )
         .withColumn("_hour", F.floor(F.col("_second") / HOUR))
@@ -96,25 +81,28 @@ def bucketed_features(rows: DataFrame) -> DataFrame:
     # The whole hours strictly inside a frame, per customer and hour; also summed before the shuffle.
     by_customer = Window.partitionBy("customer_id").orderBy("_hour")
     inside = by_customer.rangeBetween(-(FRAME_HOURS - 1), -1)
+    # Rows without a time are peers of each other, in no one's hours.
+    timed = F.col("_hour").isNotNull()
     hours = (
         rows.groupBy("customer_id", F.floor(F.col("_second") / HOUR).alias("_hour"))
         .agg(
-            F.count(F.lit(1)).alias("_n"), F.count("amount").alias("_paid"), F.sum("amount").alias("_sum"),
+            F.count(F.lit(1)).alias("_n"), F.count("_exact").alias("_paid"), F.sum("_exact").alias("_sum"),
             F.max("_second").alias("_last"),
         )
         .select(
             "customer_id",
             "_hour",
-            F.sum("_n").over(inside).alias("_hours_n"),
-            F.sum("_paid").over(inside).alias("_hours_paid"),
-            F.sum("_sum").over(inside).alias("_hours_sum"),
+            F.when(timed, F.sum("_n").over(inside)).alias("_hours_n"),
+            F.when(timed, F.sum("_paid").over(inside)).alias("_hours_paid"),
+            F.when(timed, F.sum("_sum").over(inside)).alias("_hours_sum"),
             F.lag("_last").over(by_customer).alias("_hours_last"),
         )
     )
 
     # Each second takes part twice: in its own hour, and 168 hours on, where it drops out of the frame.
     slots = seconds.select(
-        "*", F.posexplode(F.array("_hour", F.col("_hour") + FRAME_HOURS)).alias("_leaving", "_slot")
+        "*", F.posexplode(F.when(timed, F.array("_hour", F.col("_hour") + FRAME_HOURS)).otherwise(F.array("_hour"))).alias(
+            "_leaving", "_slot")
     ).withColumn("_offset", F.col("_second") - F.col("_hour") * HOUR)
     own, leaving = F.col("_leaving") == 0, F.col("_leaving") == 1
     by_slot = Window.partitionBy("customer_id", "_slot")
@@ -139,9 +127,8 @@ def bucketed_features(rows: DataFrame) -> DataFrame:
         pieces = [F.coalesce(F.col(c), F.lit(0)) for c in (whole_hours, f"{value}_tail", f"{value}_head")]
         return pieces[0] + pieces[1] + pieces[2]
 
-    per_second = ends.join(
-        hours.withColumnRenamed("_hour", "_slot"), ["customer_id", "_slot"]
-    ).select(
+    hours = _renamed(hours.withColumnRenamed("_hour", "_slot"), "customer_id", "_slot")
+    per_second = ends.join(hours, _same(ends, hours, "customer_id", "_slot")).select(
         "customer_id",
         "_second",
         "_first_id",
@@ -151,10 +138,12 @@ def bucketed_features(rows: DataFrame) -> DataFrame:
         (F.col("_second") - F.coalesce("_slot_last", "_hours_last")).alias("_gap"),
     )
     # Payments of the same second follow each other by payment_id: only the first has a gap.
-    gap = F.when(F.col("payment_id") == F.col("_first_id"), F.col("_gap")).otherwise(F.lit(0))
-    amount = F.when(F.col("_paid") > 0, F.col("_sum"))
-    return rows.join(per_second, ["customer_id", "_second"]).select(
-        *rows.columns,
+    first = F.col("payment_id").eqNullSafe(F.col("_first_id")) | F.col("_second").isNull()
+    gap = F.when(first, F.col("_gap")).otherwise(F.lit(0))
+    amount = F.when(F.col("_paid") > 0, F.col("_sum")).cast("double")
+    per_second = _renamed(per_second, "customer_id", "_second")
+    return rows.join(per_second, _same(rows, per_second, "customer_id", "_second")).select(
+        *[c for c in rows.columns if c != "_exact"],
         gap.cast("bigint").alias("seconds_since_prev"),
         F.col("txn_count_7d"),
         amount.alias("amount_7d"),
@@ -171,40 +160,15 @@ def _flagged(rows: DataFrame, first, last) -> DataFrame:
 
 
 def payment_features(
-    payments: DataFrame,
-    merchants: DataFrame,
-    customers: DataFrame,
-    first: dt.date | str,
-    last: dt.date | str,
-    *,
-    hot_rows: int = HOT_CUSTOMER_ROWS,
-    max_broadcast: int = MAX_BROADCAST_CUSTOMERS,
+    payments: DataFrame, merchants: DataFrame, customers: DataFrame, first: dt.date | str, last: dt.date | str,
 ) -> DataFrame:
-    """Features of the approved payments with ``first <= dt <= last``.
-
-    The number of hot customers is counted first (one pass over a single column): with
-    none, the plan is one shuffle; with a list small enough, only their rows take the
-    bucketed route; with a longer list, all rows do.
-    """
-    rows = feature_input(payments, first, last)
-    segments = customers.select("customer_id", "risk_segment")
-    hot = hot_customers(rows, hot_rows)
-    # take() stops at the bound, so the driver never holds more ids than may be broadcast.
-    n_hot = len(hot.take(max_broadcast + 1))
-    if n_hot == 0:
-        scored = _flagged(sliding_features(rows), first, last).join(segments, "customer_id", "left")
-    elif n_hot > max_broadcast:
-        scored = _flagged(bucketed_features(rows), first, last).join(segments, "customer_id", "left")
-    else:
-        listed = F.broadcast(hot)
-        cold = sliding_features(rows.join(listed, "customer_id", "left_anti"))
-        hot_rows_only = bucketed_features(rows.join(listed, "customer_id", "left_semi"))
-        hot_segments = F.broadcast(segments.join(listed, "customer_id", "left_semi"))
-        scored = _flagged(cold, first, last).join(segments, "customer_id", "left").unionByName(
-            _flagged(hot_rows_only, first, last).join(hot_segments, "customer_id", "left")
-        )
-    categories = merchants.select("merchant_id", "category")
-    return scored.join(categories, "merchant_id", "left").select(*FEATURE_COLUMNS)
+    """Features of the approved payments with ``first <= dt <= last``."""
+    scored = _flagged(bucketed_features(feature_input(payments, first, last)), first, last)
+    return (
+        scored.join(customers.select("customer_id", "risk_segment"), "customer_id", "left")
+        .join(merchants.select("merchant_id", "category"), "merchant_id", "left")
+        .select(*FEATURE_COLUMNS)
+    )
 
 
 def merchant_daily(

@@ -17,13 +17,9 @@ from pyspark.sql import functions as F
 
 from paylode.contracts import CONTRACTS, ENTITIES, LATE_DATA_DAYS, Contract
 from paylode.functions.rules import MALFORMED
+from paylode.operators.checks import RENAMED, mart_checks, run_checks
 from paylode.operators.features import FEATURE_COLUMNS, FRAME_DAYS, merchant_daily, payment_features
-from paylode.operators.upsert import (
-    current_state_upsert,
-    delete_insert,
-    latest,
-    partitions_of_moved_keys,
-)
+from paylode.operators.upsert import current_state_upsert, latest, partitions_of_moved_keys
 from paylode.operators.validate import (
     accepted,
     malformed,
@@ -34,7 +30,7 @@ from paylode.operators.validate import (
     validate,
 )
 from paylode.plans import gold, marts
-from paylode.session import staged, use_utc
+from paylode.session import owned_scratch, staged, use_utc
 from paylode.sources.files import children
 from paylode.sources.lake import Lake, on_days, overwrite_partitions, read_table, read_version, write_version
 from paylode.sources.landing import profile, read_feed
@@ -185,7 +181,7 @@ def silver_batch(
         if figures["valid"] == 0:
             return []
         if contract.event_date:
-            return _merge_fact(spark, lake, contract, valid, observed, figures["dts"], days, late_days)
+            return _merge_fact(spark, lake, contract, valid, observed, figures["dts"])
         current = current_state_upsert(lake.silver(spark, entity), observed, contract)
         write_version(current, lake.path("silver", entity))
         return ["current"]
@@ -229,18 +225,17 @@ def _silver_figures(checked: DataFrame, unreadable: DataFrame, contract: Contrac
 
 def _merge_fact(
     spark: SparkSession, lake: Lake, contract: Contract, valid: DataFrame, batch: DataFrame, dts: list[str],
-    days: Sequence[str], late_days: int,
 ) -> list[str]:
-    """Rewrite the event days the batch touches, and those a key of the batch moved away from."""
+    """Rewrite the event days the batch touches, and those a key of the batch moved away from.
+
+    A key that changed its event date must not stay behind under the old one, however long ago that is:
+    the keys of the batch are looked up in the whole table, of which only the key column is read.
+    """
     path = lake.path("silver", contract.entity)
     existing = lake.silver(spark, contract.entity)
     touched = set(dts)
     if lake.has_silver(spark, contract.entity):
-        # A key that changed its event date must not stay behind under the old one.
-        recent = dt.date.fromisoformat(days[0]) - dt.timedelta(days=late_days)
-        moved = partitions_of_moved_keys(
-            existing.where(F.col("dt") >= F.lit(recent)), valid, contract.business_key
-        )
+        moved = partitions_of_moved_keys(existing, valid, contract.business_key)
         touched |= {str(row["dt"]) for row in moved.collect()}
     touched = sorted(touched)
     merged = latest(on_days(existing, touched).unionByName(batch, allowMissingColumns=True), contract)
@@ -254,7 +249,7 @@ def features_after(dts: Iterable[str]) -> list[str]:
     return sorted({day for first in dts for day in _days_from(first, FRAME_DAYS + 1)})
 
 
-def silver_to_features(spark: SparkSession, lake: Lake, dts: Iterable[dt.date | str], **route) -> JobResult:
+def silver_to_features(spark: SparkSession, lake: Lake, dts: Iterable[dt.date | str]) -> JobResult:
     """Recompute risk features and merchant figures of the given event days."""
     use_utc(spark)
     dts = _iso(dts)
@@ -272,9 +267,7 @@ def silver_to_features(spark: SparkSession, lake: Lake, dts: Iterable[dt.date |
         span = [d for d in dts if first <= d <= last]
         at_once(
             spark,
-            lambda: store(
-                "payment_features", payment_features(payments, merchants, customers, first, last, **route), span
-            ),
+            lambda: store("payment_features", payment_features(payments, merchants, customers, first, last), span),
             lambda: store("merchant_daily", merchant_daily(payments, merchants, first, last), span),
         )
     read = written.get("payment_features", 0)
@@ -297,92 +290,104 @@ def features(spark: SparkSession, lake: Lake) -> DataFrame:
 
 
 # ------------------------------------------------------------------------ gold
-def fct_payments_of(spark: SparkSession, lake: Lake) -> DataFrame:
-    return marts.fct_payments(
-        lake.silver(spark, "payments"),
-        lake.silver(spark, "merchants"),
-        lake.silver(spark, "customers"),
-        features(spark, lake),
-    )
+def fct_payments_of(spark: SparkSession, lake: Lake, dts: Iterable[str] | None = None) -> DataFrame:
+    """The payments fact, of all days or of some, whose partitions alone are then read."""
+    payments, scored = lake.silver(spark, "payments"), features(spark, lake)
+    if dts is not None:
+        payments, scored = on_days(payments, dts), on_days(scored, dts)
+    return marts.fct_payments(payments, lake.silver(spark, "merchants"), lake.silver(spark, "customers"), scored)
 
 
 def refresh_fct_payments(
     spark: SparkSession, lake: Lake, dts: Iterable[dt.date | str] | None = None,
 ) -> list[str]:
-    """Delete and insert by payment_id in the stored fact; ``dts=None`` rebuilds all of it.  Returns the days rewritten.
+    """Replace days of the stored fact; ``dts=None`` rebuilds all of it.  Returns the days rewritten.
 
-    ``dts`` are the event days whose payments or features changed.  Only those days, and
-    days of the target that hold one of their payments, are read and rewritten.
+    ``dts`` are the event days whose payments or features changed.  The merge into silver names every day
+    that a payment came to or left, so no other day of the fact can hold one of their payments, and none
+    is read.
     """
     use_utc(spark)
     path = lake.path("marts", "fct_payments")
-    target = read_table(spark, path, FCT_PAYMENTS_SCHEMA)
     if dts is None:
         known = _stored_days(spark, path, "transaction_day")
         overwrite_partitions(fct_payments_of(spark, lake), path, "transaction_day", expected=known)
         return _stored_days(spark, path, "transaction_day")
     dts = _iso(dts)
-    in_days = F.col("transaction_day").isin([dt.date.fromisoformat(d) for d in dts])
-    fresh = staged(fct_payments_of(spark, lake).where(in_days), "fct-payments")
-    moved = partitions_of_moved_keys(target, fresh, ["payment_id"], "transaction_day")
-    touched = sorted(set(dts) | {str(r[0]) for r in moved.collect()})
-    old = on_days(target, touched, "transaction_day")
-    # A payment that left a refreshed day has no fresh row there: its old row goes with the day.
-    old = old.where(~F.col("transaction_day").isin([dt.date.fromisoformat(d) for d in dts]))
-    overwrite_partitions(delete_insert(old, fresh, ["payment_id"]), path, "transaction_day", expected=touched)
-    return touched
-
-
-def gold_datasets(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
-    payments = read_table(spark, lake.path("marts", "fct_payments"), FCT_PAYMENTS_SCHEMA)
+    overwrite_partitions(fct_payments_of(spark, lake, dts), path, "transaction_day", expected=dts)
+    return dts
+
+
+def mart_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+    """Every mart and published dataset by name, as the data tests and the publication want them.
+
+    What is joined or counted is staged once, so that no test repeats it.
+    """
     silver_payments = lake.silver(spark, "payments")
-    refunds = marts.fct_refunds(lake.silver(spark, "refunds"), silver_payments)
-    chargebacks = marts.fct_chargebacks(lake.silver(spark, "chargebacks"), silver_payments)
+    payments = read_table(spark, lake.path("marts", "fct_payments"), FCT_PAYMENTS_SCHEMA)
+    customers = marts.dim_customers(lake.silver(spark, "customers"))
+    refunds, chargebacks = at_once(
+        spark,
+        lambda: staged(marts.fct_refunds(lake.silver(spark, "refunds"), silver_payments), "fct-refunds"),
+        lambda: staged(marts.fct_chargebacks(lake.silver(spark, "chargebacks"), silver_payments), "fct-chargebacks"),
+    )
     return {
-        "clientes_gold": gold.clientes_gold(marts.dim_customers(lake.silver(spark, "customers"))),
+        "dim_customers": customers,
+        "dim_merchants": marts.dim_merchants(lake.silver(spark, "merchants")),
+        "fct_payments": payments,
+        "fct_refunds": refunds,
+        "fct_chargebacks": chargebacks,
+        "clientes_gold": gold.clientes_gold(customers),
         "pagos_gold": gold.pagos_gold(payments),
         "contracargos_gold": gold.contracargos_gold(chargebacks),
-        "indicadores_financieros": gold.indicadores_financieros(payments, refunds, chargebacks),
+        "indicadores_financieros": staged(gold.indicadores_financieros(payments, refunds, chargebacks), "indicadores"),
     }
 
 
-def mart_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
-    """Every mart and published dataset by name, as the data tests want them."""
-    silver_payments = lake.silver(spark, "payments")
-    return gold_datasets(spark, lake) | {
-        "dim_customers": marts.dim_customers(lake.silver(spark, "customers")),
-        "dim_merchants": marts.dim_merchants(lake.silver(spark, "merchants")),
-        "fct_payments": read_table(spark, lake.path("marts", "fct_payments"), FCT_PAYMENTS_SCHEMA),
-        "fct_refunds": marts.fct_refunds(lake.silver(spark, "refunds"), silver_payments),
-        "fct_chargebacks": marts.fct_chargebacks(lake.silver(spark, "chargebacks"), silver_payments),
-    }
+class DataTestFailure(RuntimeError):
+    """Tests of severity ``error`` that failed; nothing was published."""
+
+    def __init__(self, failures: dict[str, int]):
+        super().__init__(f"data tests failed: {failures}")
+        self.failures = failures
+
+
+def run_data_tests(tables: dict[str, DataFrame]) -> dict[str, int]:
+    """Failures of the tests that only warn; raises if one that does not has any.  A row per test is collected."""
+    found = run_checks(tables, mart_checks(), RENAMED).where("failures > 0").collect()
+    errors = {r["test"]: r["failures"] for r in found if r["severity"] == "error"}
+    if errors:
+        raise DataTestFailure(errors)
+    return {r["test"]: r["failures"] for r in found}
 
 
 def publish(
     spark: SparkSession, lake: Lake, run_id: str, days: Iterable[dt.date | str], kind: str,
     quality: dict | None = None, changed: Iterable[str] | None = None,
 ) -> JobResult:
-    """Write the published datasets and, after them, the manifest.
+    """Test the marts, write the published datasets and, after them, the manifest.
 
-    Payments are stored by day and only the ``changed`` days are rewritten (all without it);
-    the others are small and get a new version each.
+    A failed test raises before anything is written, so the earlier publication stays.  Payments are stored
+    by day and only the ``changed`` days are rewritten (all without it); the others get a new version each.
     """
-    datasets = gold_datasets(spark, lake)
-    pagos, path = datasets["pagos_gold"], lake.path("gold", "pagos_gold")
+    with owned_scratch(spark):
+        tables = mart_tables(spark, lake)
+        warnings = run_data_tests(tables)
+        pagos, path = tables["pagos_gold"], lake.path("gold", "pagos_gold")
 
-    def store_payments() -> None:
-        if changed is None:
-            overwrite_partitions(pagos, path, "fecha", expected=_stored_days(spark, path, "fecha"))
-        else:
-            overwrite_partitions(on_days(pagos, changed, "fecha"), path, "fecha", expected=changed)
+        def store_payments() -> None:
+            if changed is None:
+                overwrite_partitions(pagos, path, "fecha", expected=_stored_days(spark, path, "fecha"))
+            else:
+                overwrite_partitions(on_days(pagos, changed, "fecha"), path, "fecha", expected=changed)
 
-    def store_version(name: str) -> Callable[[], None]:
-        return lambda: write_version(datasets[name], lake.path("gold", name))
+        def store_version(name: str) -> Callable[[], None]:
+            return lambda: write_version(tables[name], lake.path("gold", name))
 
-    at_once(spark, store_payments, *[store_version(name) for name in datasets if name != "pagos_gold"])
+        at_once(spark, store_payments, *[store_version(name) for name in gold.GOLD_DATASETS if name != "pagos_gold"])
     published = {name: read_gold(spark, lake, name) for name in gold.GOLD_DATASETS}
     counts = {row["dataset"]: row["rows"] for row in gold.row_counts(published).collect()}
-    manifest = manifest_row(spark, run_id, _iso(days), counts, kind, quality or {})
+    manifest = manifest_row(spark, run_id, _iso(days), counts, kind, quality or {}, warnings)
     manifest.coalesce(1).write.mode("overwrite").json(lake.path("gold", "_manifest"))
     return JobResult(rows_written=sum(counts.values()), details=counts)
 
@@ -398,19 +403,19 @@ def read_gold(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
 MANIFEST_SCHEMA = (
     "run_id string, dates array<string>, published_at string, datasets map<string,bigint>, kind string, "
     "quality struct<quarantined:bigint,duplicates_removed:bigint,late_rows:bigint,"
-    "quarantine_by_reason:map<string,bigint>>"
+    "quarantine_by_reason:map<string,bigint>>, test_warnings map<string,bigint>"
 )
 
 
 def manifest_row(
-    spark: SparkSession, run_id: str, days: list[str], counts: dict, kind: str, quality: dict,
+    spark: SparkSession, run_id: str, days: list[str], counts: dict, kind: str, quality: dict, warnings: dict,
 ) -> DataFrame:
     figures = (
         quality.get("quarantined", 0), quality.get("duplicates_removed", 0), quality.get("late_rows", 0),
         quality.get("quarantine_by_reason", {}),
     )
     stamp = dt.datetime.now(dt.UTC).replace(microsecond=0).isoformat()
-    return spark.createDataFrame([(run_id, days, stamp, counts, kind, figures)], MANIFEST_SCHEMA)
+    return spark.createDataFrame([(run_id, days, stamp, counts, kind, figures, warnings)], MANIFEST_SCHEMA)
 
 
 # ------------------------------------------------------------------- all layers
@@ -470,8 +475,9 @@ def refresh_days(
         done["features"] = silver_to_features(spark, lake, scored)
         done["changed"] = refresh_fct_payments(spark, lake, scored) if scored else []
 
-    results = refresh_silver(spark, lake, lambda _: days, entities, after_payments=score)
-    results["features"] = done["features"]
-    quality = quality_of(r for name, r in results.items() if name.startswith("silver."))
-    results["publish"] = publish(spark, lake, run_id, days, kind, quality, done["changed"])
+    with owned_scratch(spark):
+        results = refresh_silver(spark, lake, lambda _: days, entities, after_payments=score)
+        results["features"] = done["features"]
+        quality = quality_of(r for name, r in results.items() if name.startswith("silver."))
+        results["publish"] = publish(spark, lake, run_id, days, kind, quality, done["changed"])
     return results

@@ -74,12 +74,14 @@ def fct_payments(
 ) -> DataFrame:
     """Star join: payments with merchant category, customer segment and risk flags.
 
-    The features join comes first: it is the only fact-to-fact join, on the unique
-    payment_id, so no key is hot there.  The dimensions follow; Spark broadcasts them
-    while they are small.
+    The features join comes first: it is the only fact-to-fact join, on payment and day,
+    so no key is hot there, a payment that changed its day cannot meet features of the old
+    one, and a filter on days reaches both scans.  The dimensions follow; Spark broadcasts
+    them while they are small.
     """
     flags = features.select(
         "payment_id",
+        F.col("dt").cast("date").alias("transaction_day"),
         flag(F.col("high_velocity")).alias("_velocity"),
         flag(F.col("amount_spike")).alias("_spike"),
     )
@@ -87,7 +89,7 @@ def fct_payments(
     segments = customers.select("customer_id", "risk_segment")
     return (
         stg_payments(payments)
-        .join(flags, "payment_id", "left")
+        .join(flags, ["payment_id", "transaction_day"], "left")
         .join(categories, "merchant_id", "left")
         .join(segments, "customer_id", "left")
         .select(

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from paylode.sources.files import remove
+
 # What every job relies on.  Joins carry no broadcast hint for dimensions: Spark
 # compares the measured size with the thresholds below, and falls back to a
 # sort-merge join whose skewed partitions AQE splits.
@@ -53,9 +57,34 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+_OWNER = "paylode.scratch"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, never reused path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new, never reused path below the shared folder, in the folder of the job that owns it if there is one."""
+    owner = spark.sparkContext.getLocalProperty(_OWNER)
+    parts = [shared_dir(spark), *([owner] if owner else []), f"{name}-{uuid.uuid4().hex}"]
+    return "/".join(parts)
+
+
+@contextmanager
+def owned_scratch(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside is removed at the end, also after a failure; an inner job belongs to the outer one.
+
+    Threads started through Spark's inheritable targets stage into the same folder.  Results that are
+    still to be computed from staged tables must be written before the end.
+    """
+    context = spark.sparkContext
+    if context.getLocalProperty(_OWNER):
+        yield
+        return
+    owner = f"job-{uuid.uuid4().hex}"
+    context.setLocalProperty(_OWNER, owner)
+    try:
+        yield
+    finally:
+        context.setLocalProperty(_OWNER, None)
+        remove(spark, f"{shared_dir(spark)}/{owner}")
 
 
 def staged(df: DataFrame, name: str, *partition_by: str) -> DataFrame:

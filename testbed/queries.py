@@ -342,9 +342,9 @@ def watermark_advance(spark, sf):
 
 
 # ==================================================================== features
-def _features(spark, sf, first=ALWAYS[0], last=ALWAYS[1], **route):
+def _features(spark, sf, first=ALWAYS[0], last=ALWAYS[1]):
     return features.payment_features(
-        src.event_payments(spark, sf), src.merchants(spark, sf), src.customers(spark, sf), first, last, **route)
+        src.event_payments(spark, sf), src.merchants(spark, sf), src.customers(spark, sf), first, last)
 
 
 _FEATURE_SQL = f"""
@@ -366,14 +366,17 @@ def payment_features_7d(spark, sf):
 
 @query("payment_features_bucketed", sql("event_features", body=_FEATURE_SQL))
 def payment_features_bucketed(spark, sf):
-    """The same through the route for hot customers."""
-    return _comparable(_features(spark, sf, hot_rows=0, max_broadcast=0))
+    """The same from payments in another order and in other partitions: exact sums do not show it."""
+    payments = src.event_payments(spark, sf).repartition(13, "amount")
+    return _comparable(features.payment_features(
+        payments, src.merchants(spark, sf), src.customers(spark, sf), *ALWAYS))
 
 
 @query("payment_features_split", sql("event_features", body=_FEATURE_SQL))
 def payment_features_split(spark, sf):
-    """The same with the busier customers on one route and the others on the other."""
-    return _comparable(_features(spark, sf, hot_rows=53))
+    """The same from two spans of days: each reads the seven days before it."""
+    middle = ("2024-01-14", "2024-01-15")
+    return _comparable(_features(spark, sf, last=middle[0]).unionByName(_features(spark, sf, first=middle[1])))
 
 
 @query("payment_features_day", sql("event_features", body=_FEATURE_SQL + " WHERE dt = DATE '2024-01-15'"))

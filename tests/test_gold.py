@@ -5,7 +5,7 @@ import json
 from pathlib import Path
 
 import pytest
-from conftest import customer, land, merchant, payment, rows
+from conftest import deliver, record, rows
 from pyspark.sql import functions as F
 
 from paylode.operators.checks import mart_checks, run_checks
@@ -13,8 +13,11 @@ from paylode.plans import gold
 from paylode.plans.jobs import (
     FCT_PAYMENTS_SCHEMA,
     bronze_to_silver,
+    fct_payments_of,
     land_to_bronze,
     mart_tables,
+    DataTestFailure,
+    overwrite_partitions,
     publish,
     read_gold,
     refresh_days,
@@ -28,33 +31,35 @@ from paylode.streaming.landing_stream import merge_stream
 DAYS = [f"2026-09-0{i}" for i in range(1, 6)]
 
 
+def paid(name, when, **values):
+    return record("payments", when, **({"payment_id": name, "customer_id": "C1", "merchant_id": "M0001",
+                                        "status": "approved", "amount": 1000.0} | values))
+
+
 def write_feeds(lake):
     for n, day in enumerate(DAYS):
-        land(lake, "customers", day, [
-            customer(customer_id=f"C{i}", risk_segment="low" if n < 2 else "high", updated_at=f"{day}T00:00:00")
-            for i in range(1, 5)])
-        land(lake, "merchants", day, [
-            merchant(merchant_id=f"M{i:04d}", updated_at=f"{day}T00:00:00") for i in range(1, 4)])
+        midnight = f"{day}T00:00:00"
+        deliver(lake, "customers", day, *[
+            record("customers", midnight, customer_id=f"C{i}", risk_segment="low" if n < 2 else "high") for i in range(1, 5)])
+        deliver(lake, "merchants", day, *[record("merchants", midnight, merchant_id=f"M{i:04d}") for i in range(1, 4)])
         extra = {"currency": "USD", "channel": "web"} if n >= 2 else {}
-        paid = [
-            payment(f"P{n}-{i}", f"{day}T{i % 24:02d}:00:00", customer_id=f"C{1 + i % 4}",
-                    merchant_id=f"M{1 + i % 3:04d}", amount=100.0 + i,
-                    status="pending" if i % 10 == 0 else "approved", **(extra if i % 2 else {}))
+        payments = [
+            paid(f"P{n}-{i}", f"{day}T{i % 24:02d}:00:00", customer_id=f"C{1 + i % 4}", merchant_id=f"M{1 + i % 3:04d}",
+                 amount=100.0 + i, status="pending" if i % 10 == 0 else "approved", **(extra if i % 2 else {}))
             for i in range(60)]
         if n:  # yesterday's pending payments are resolved, and one payment is late
             before = DAYS[n - 1]
-            paid += [payment(f"P{n - 1}-{i}", f"{before}T{i % 24:02d}:00:00", customer_id=f"C{1 + i % 4}",
-                             merchant_id=f"M{1 + i % 3:04d}", amount=100.0 + i, updated_at=f"{day}T01:00:00")
-                     for i in range(0, 60, 10)]
-            paid.append(payment(f"L{n}", f"{before}T23:30:00", amount=9000.0, updated_at=f"{day}T02:00:00"))
-        paid.append(payment(f"BAD{n}", f"{day}T01:00:00", amount=-1))
-        land(lake, "payments", day, paid)
-        land(lake, "refunds", day, [
-            {"refund_id": f"R{n}-{i}", "payment_id": f"P{n}-{i}", "amount": amount, "refund_date": f"{day}T23:00:00",
-             "updated_at": f"{day}T23:00:00"} for i, amount in ((1, 50.0), (2, 5000.0), (3, 103.0))])
-        land(lake, "chargebacks", day, [
-            {"chargeback_id": f"B{n}", "payment_id": f"P{max(n - 2, 0)}-5", "reason": "fraud", "amount": 10.0,
-             "chargeback_date": f"{day}T22:00:00", "updated_at": f"{day}T22:00:00"}])
+            payments += [paid(f"P{n - 1}-{i}", f"{before}T{i % 24:02d}:00:00", customer_id=f"C{1 + i % 4}",
+                              merchant_id=f"M{1 + i % 3:04d}", amount=100.0 + i, updated_at=f"{day}T01:00:00")
+                         for i in range(0, 60, 10)]
+            payments.append(paid(f"L{n}", f"{before}T23:30:00", amount=9000.0, updated_at=f"{day}T02:00:00"))
+        payments.append(paid(f"BAD{n}", f"{day}T01:00:00", amount=-1))
+        deliver(lake, "payments", day, *payments)
+        deliver(lake, "refunds", day, *[
+            record("refunds", f"{day}T23:00:00", refund_id=f"R{n}-{i}", payment_id=f"P{n}-{i}", amount=amount)
+            for i, amount in ((1, 50.0), (2, 5000.0), (3, 103.0))])
+        deliver(lake, "chargebacks", day, record(
+            "chargebacks", f"{day}T22:00:00", chargeback_id=f"B{n}", payment_id=f"P{max(n - 2, 0)}-5", amount=10.0))
 
 
 @pytest.fixture(scope="module")
@@ -141,6 +146,49 @@ def test_rerun_and_full_refresh_change_nothing(spark, daily):
     assert close(published(spark, daily), before)
 
 
+def test_a_payment_corrected_weeks_later_is_published_once(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"), str(tmp_path / "landing"))
+    old, new = "2026-09-01", "2026-10-03"
+    for entity, row in (("customers", {"customer_id": "C1"}), ("merchants", {"merchant_id": "M0001"})):
+        deliver(lake, entity, old, record(entity, f"{old}T00:00:00", **row))
+    deliver(lake, "payments", old, paid("moved", f"{old}T10:00:00", amount=31.0), paid("other", f"{old}T11:00:00", amount=8.0))
+    refresh_days(spark, lake, [old], "first", entities=("customers", "merchants", "payments"))
+    deliver(lake, "payments", new, paid("moved", f"{new}T10:00:00", amount=31.0, updated_at=f"{new}T12:00:00"))
+    refresh_days(spark, lake, [new], "second", entities=("payments",))
+    day = F.col("fecha").cast("string")
+    assert rows(read_gold(spark, lake, "pagos_gold"), "id_pago", day) == [("moved", new), ("other", old)]
+    assert rows(read_gold(spark, lake, "indicadores_financieros"), day, "pagos", "tpv_cop") == [(old, 1, 8.0), (new, 1, 31.0)]
+    assert rows(read_table(spark, lake.path("silver", "payment_features"), "payment_id string, dt date"),
+                "payment_id", F.col("dt").cast("string")) == [("moved", new), ("other", old)]
+
+
+def test_a_failed_data_test_leaves_the_publication(spark, daily):
+    before = published(spark, daily)
+    path = daily.path("marts", "fct_payments")
+    fact = read_table(spark, path, FCT_PAYMENTS_SCHEMA).where(F.col("transaction_day") == DAYS[1])
+    overwrite_partitions(fact.union(fact.limit(1)), path, "transaction_day")
+    with pytest.raises(DataTestFailure) as caught:
+        publish(spark, daily, "broken", DAYS, "date")
+    assert set(caught.value.failures) == {"unique_fct_payments_payment_id", "unique_pagos_gold_id_pago"}
+    assert published(spark, daily) == before
+    refresh_fct_payments(spark, daily, [DAYS[1]])
+    publish(spark, daily, "mended", DAYS, "date")
+    assert close(published(spark, daily), before)
+
+
+def test_a_refresh_leaves_nothing_staged(spark, daily):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = sorted(p.name for p in shared.iterdir())
+    refresh_days(spark, daily, [DAYS[4]], "again", "date")
+    assert sorted(p.name for p in shared.iterdir()) == before
+
+
+def test_a_refresh_of_the_fact_reads_only_its_days(spark, daily):
+    plan = fct_payments_of(spark, daily, [DAYS[2]])._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line and ("/payments" in line or "/payment_features" in line)]
+    assert len(scans) == 2 and all("PartitionFilters: [dt" in line or "2026-09-03" in line for line in scans)
+
+
 def test_a_snapshot_ends_with_its_day(spark, daily):
     pagos = read_gold(spark, daily, "pagos_gold")
     assert gold.snapshot_as_of(pagos, DAYS[1]).agg(F.max("fecha")).first()[0] == dt.date(2026, 9, 2)
@@ -166,9 +214,8 @@ def test_stream_equals_batch(spark, feeds, daily, tmp_path):
 
 def test_children_of_later_payments_are_kept(spark, tmp_path):
     lake = Lake(str(tmp_path / "lake"), str(tmp_path / "landing"))
-    land(lake, "chargebacks", DAYS[0], [
-        {"chargeback_id": "B1", "payment_id": "P1", "reason": "other", "amount": 5.0,
-         "chargeback_date": f"{DAYS[0]}T00:00:00", "updated_at": f"{DAYS[0]}T00:00:00"}])
+    deliver(lake, "chargebacks", DAYS[0], record(
+        "chargebacks", f"{DAYS[0]}T00:00:00", chargeback_id="B1", payment_id="P1", amount=5.0))
     land_to_bronze(spark, lake, "chargebacks", [DAYS[0]])
     bronze_to_silver(spark, lake, "chargebacks", [DAYS[0]])
     fact = mart_tables(spark, lake)["fct_chargebacks"]
