@@ -3,7 +3,7 @@ import re
 import numpy as np
 import pytest
 
-from paylode.llm import urls
+from paylode.llm import bloom, urls
 
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"),
          ("com", "/de/", "block"), ("a.net", "", "block"), ("b.a.net", "/x", "allow"), ("dup.net", "/", "allow"), ("dup.net", "/", "block")]
@@ -31,7 +31,7 @@ def by_force(url):
 @pytest.mark.parametrize("most", [16 << 20, 64])
 def test_verdicts_are_those_of_brute_force(spark, monkeypatch, most):
     """Also with a filter that is far too small, so that the join has to remove most of what it passes."""
-    monkeypatch.setattr(urls, "MOST_BYTES", most)
+    monkeypatch.setattr(bloom, "MOST_BYTES", most)
     filler = [f"filler{k}.example/{k}" for k in range(3000)]
     pages = spark.createDataFrame([*enumerate(URLS), (None, "http://spam.net/a"), (1, "http://spam.net/a")],
                                   "page_id long, url string").selectExpr("*", "'x' AS host", "'y' AS rule", "'z' AS key")
@@ -55,8 +55,10 @@ def test_empty_lists_and_tables(spark):
 
 def test_the_filter_passes_what_is_listed_and_little_else(spark):
     keys = spark.range(20_000).selectExpr("concat('k', id) AS key")
-    words = urls.bloom(keys)
+    words = bloom.build(keys, "key")
     probe = np.array([r[0] for r in spark.range(40_000).selectExpr("xxhash64(concat('k', id))").collect()])
-    block, bits = urls._spots(probe, len(words))
-    passed = ((words[block] & bits) == bits).all(axis=1)
+    passed = bloom.passed(words, probe)
     assert passed[:20_000].all() and passed[20_000:].mean() < 0.01
+    some = spark.range(40_000).selectExpr("concat('k', id) AS name").where(bloom.may_be_in(keys, "key", "name"))
+    assert some.count() == passed.sum()
+    assert spark.range(9).selectExpr("concat('k', id) AS name").where(bloom.may_be_in(keys.limit(0), "key", "name")).count() == 0
