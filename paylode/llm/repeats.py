@@ -13,7 +13,7 @@ repeat, which cannot be prolonged on either side.  Repeats of at least ``length`
 occurrences.
 
 Skew: equal texts are one class that goes through once (a text that occurs twice is repeated as a whole).
-Equal surroundings of an anchor combine before the shuffle.  An anchor with more than ``hot`` different
+Of equal surroundings of an anchor only one is cut out and compared; what it yields holds for all.  An anchor with more than ``hot`` different
 surroundings leaves the suffix arrays: each of its windows is hashed (128 bits) and counted instead, which
 spreads over all tasks; the result is the same.
 
@@ -28,10 +28,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylode.llm import hashing
+from paylode.llm import bloom, hashing
 from paylode.llm.common import ready, slices, text_md5
 from paylode.llm.hashing import U64
 from paylode.session import staged
@@ -129,6 +129,18 @@ def maximal_repeats(lefts: list[bytes], rights: list[bytes], length: int) -> Ite
             before = following
 
 
+def longest_reach(lefts: list[bytes], rights: list[bytes], length: int) -> dict[int, tuple[int, int]]:
+    """For each occurrence the most bytes before and after that its repeats cover.
+
+    All of them cover the anchor, so they are one span together.
+    """
+    reach: dict[int, tuple[int, int]] = {}
+    for member, before, after in maximal_repeats(lefts, rights, length):
+        held = reach.get(member, (0, 0))
+        reach[member] = max(held[0], before), max(held[1], after)
+    return reach
+
+
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Overlapping and touching spans as one, in order."""
     out: list[tuple[int, int]] = []
@@ -163,126 +175,166 @@ def _scan(length: int, gram: int):
     return scan
 
 
-_SURROUNDED = "gram long, digest binary, at int, around binary, lead int, around_id binary"
+_NAMED = "text_id long, gram long, at int, before int, after int, around_a long, around_b long"
+_SURROUNDED = "gram long, around_a long, around_b long, lead int, around binary"
 
 
-def _surroundings(length: int, gram: int):
-    """The bytes before and after each anchor that a window around it can reach."""
+def _each_anchor(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[tuple[list, list]]:
+    """Slices of texts: their anchors, and the bytes before and after each that a window around it can reach."""
     reach = length - gram
+    for batch in batches:
+        for part in slices(batch, "text", 1 << 18):
+            rows, around = [], []
+            for text_id, text, found in zip(*(part.column(c).to_pylist() for c in ("text_id", "text", "anchors"))):
+                data = text.encode()
+                for spot in found:
+                    at = spot["at"]
+                    rows.append((text_id, spot, min(at, reach)))
+                    around.append(data[max(0, at - reach):at + length])
+            yield rows, around
+
+
+def _name(length: int, gram: int):
+    """A 128-bit name of each anchor's surroundings, and how far they reach."""
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, around in _each_anchor(batches, length, gram):
+            names = np.frombuffer(b"".join(
+                hashlib.blake2b(data + lead.to_bytes(4, "little"), digest_size=16).digest()
+                for (_, _, lead), data in zip(rows, around)), np.int64)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1]["gram"] for r in rows], pa.int64()),
+                pa.array([r[1]["at"] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int32()),
+                pa.array([len(data) - r[2] for r, data in zip(rows, around)], pa.int32()),
+                pa.array(names[0::2]), pa.array(names[1::2])],
+                names=["text_id", "gram", "at", "before", "after", "around_a", "around_b"])
+
+    return name
+
+
+def _surroundings(length: int, gram: int):
+    """The bytes of chosen surroundings."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                out: dict[str, list] = {name: [] for name in ("gram", "digest", "at", "around", "lead", "around_id")}
-                for digest, text, found in zip(*(part.column(c).to_pylist() for c in ("digest", "text", "anchors"))):
-                    data = text.encode()
-                    for spot in found:
-                        at = spot["at"]
-                        around, lead = data[max(0, at - reach):at + length], min(at, reach)
-                        for name, value in zip(out, (
-                                spot["gram"], digest, at, around, lead,
-                                hashlib.blake2b(around + lead.to_bytes(4, "little"), digest_size=16).digest())):
-                            out[name].append(value)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(values, kind) for values, kind in zip(out.values(), (
-                        pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.int32(), pa.binary()))], names=list(out))
+        for rows, around in _each_anchor(batches, length, gram):
+            yield pa.RecordBatch.from_arrays([
+                *(pa.array([r[1][c] for r in rows], pa.int64()) for c in ("gram", "around_a", "around_b")),
+                pa.array([r[2] for r in rows], pa.int32()), pa.array(around, pa.binary())],
+                names=["gram", "around_a", "around_b", "lead", "around"])
 
     return cut
 
 
-_MARKED = "gram long, around_id binary, before int, after int"
+_MARKED = "gram long, around_a long, around_b long, before int, after int"
 
 
 def _mark(length: int):
     """Spans around the anchors; a partition is sorted by gram and its groups are taken one after another."""
 
-    def found(gram: int, group: list[tuple]) -> Iterator[tuple]:
-        lefts = [around[:lead][::-1] for _, around, lead in group]
-        rights = [around[lead:] for _, around, lead in group]
-        for member, before, after in maximal_repeats(lefts, rights, length):
-            yield gram, group[member][0], before, after
+    def found(gram: int, group: list[tuple]) -> list[tuple]:
+        lefts = [around[:lead][::-1] for _, _, lead, around in group]
+        rights = [around[lead:] for _, _, lead, around in group]
+        return [(gram, *group[member][:2], *span) for member, span in longest_reach(lefts, rights, length).items()]
 
     def packed(rows: list[tuple]) -> pa.RecordBatch:
-        columns = list(zip(*rows)) or [[], [], [], []]
-        kinds = (pa.int64(), pa.binary(), pa.int32(), pa.int32())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)], names=["gram", "around_id", "before", "after"])
+        columns = list(zip(*rows)) or [[]] * 5
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
+                                          names=["gram", "around_a", "around_b", "before", "after"])
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, group, rows = None, [], []
         for batch in batches:
-            for gram, name, around, lead in zip(
-                    *(batch.column(c).to_pylist() for c in ("gram", "around_id", "around", "lead"))):
+            for gram, *member in zip(
+                    *(batch.column(c).to_pylist() for c in ("gram", "around_a", "around_b", "lead", "around"))):
                 if gram != current:
                     rows += found(current, group) if len(group) > 1 else ()
                     current, group = gram, []
                     if len(rows) > 20_000:
                         yield packed(rows)
                         rows = []
-                group.append((name, around, lead))
+                group.append(member)
         rows += found(current, group) if len(group) > 1 else ()
         yield packed(rows)
 
     return mark
 
 
-_WINDOWED = "gram long, around_id binary, before int, hash_a long, hash_b long"
+_WINDOWED = "gram long, around_a long, around_b long, before int, hash_a long, hash_b long"
 
 
 def _windows(length: int):
-    """Every window of a hot anchor's surroundings, as two independent hashes of its bytes."""
+    """Every window of a hot anchor's surroundings, as 128 bits of its bytes' hash."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for gram, name, around, lead in zip(
-                    *(batch.column(c).to_pylist() for c in ("gram", "around_id", "around", "lead"))):
-                n = max(0, min(lead + 1, len(around) - length + 1))
-                digests = np.frombuffer(b"".join(
-                    hashlib.blake2b(around[i:i + length], digest_size=16).digest() for i in range(n)), np.int64)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(n, gram, np.int64)), pa.array([name] * n, pa.binary()),
-                    pa.array((lead - np.arange(n)).astype(np.int32)), pa.array(digests[0::2]), pa.array(digests[1::2])],
-                    names=["gram", "around_id", "before", "hash_a", "hash_b"])
+            for start in range(0, len(batch), 64):
+                part = batch.slice(start, 64)
+                owner, before, digests = [], [], []
+                for k, (around, lead) in enumerate(zip(part.column("around").to_pylist(), part.column("lead").to_pylist())):
+                    n = max(0, min(lead + 1, len(around) - length + 1))
+                    owner += [k] * n
+                    before += range(lead, lead - n, -1)
+                    digests += [hashlib.blake2b(around[i:i + length], digest_size=16).digest() for i in range(n)]
+                hashes = np.frombuffer(b"".join(digests), np.int64)
+                rows = part.select(["gram", "around_a", "around_b"]).take(pa.array(owner, pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns, pa.array(before, pa.int32()), pa.array(hashes[0::2]), pa.array(hashes[1::2])],
+                    names=["gram", "around_a", "around_b", "before", "hash_a", "hash_b"])
 
     return cut
 
 
 def _spans(documents: DataFrame, length: int, gram: int, hot: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``scanned`` (a row per document), ``classes`` (a row per text that occurs twice) and ``texts`` with spans."""
+    """``scanned`` (a row per document), ``copied`` (texts that occur twice) and ``involved`` (texts with spans)."""
     texts = documents.select(
         text_md5().alias("digest"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     scanned = staged(texts.mapInArrow(_scan(length, gram), _SCANNED), "anchors")
     classes = scanned.where(F.col("n_bytes") >= length).groupBy("digest").agg(
         F.count(F.lit(1)).alias("copies"), F.first("grams").alias("grams"), F.first("at").alias("at"))
-    classes = staged(classes, "text-classes")
-    spots = classes.select("digest", F.explode(F.arrays_zip(F.col("grams").alias("gram"), F.col("at").alias("at"))).alias("s"))
-    spots = spots.select("digest", F.col("s.gram").alias("gram"), F.col("s.at").alias("at"))
+    classes = staged(classes.withColumn("text_id", F.monotonically_increasing_id()), "text-classes")
+    spots = classes.select("text_id", F.explode(F.arrays_zip("grams", "at")).alias("s")).select(
+        "text_id", F.col("s.grams").alias("gram"), F.col("s.at").alias("at"))
     twice = spots.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("gram")
-    asked = spots.join(twice, "gram", "left_semi").groupBy("digest").agg(
+    asked = spots.join(twice, "gram", "left_semi").groupBy("text_id").agg(
         F.collect_list(F.struct("gram", "at")).alias("anchors"))
-    # A copy more than needed goes nowhere: equal texts meet before and after the shuffle.
-    involved = staged(
-        texts.select("digest", "text").join(asked, "digest").dropDuplicates(["digest"]), "texts-with-repeats")
-    around = staged(involved.mapInArrow(_surroundings(length, gram), _SURROUNDED), "surroundings")
-    distinct = around.groupBy("gram", "around_id").agg(
-        F.count(F.lit(1)).alias("n"), F.first("around").alias("around"), F.first("lead").alias("lead"))
+    asked = staged(classes.select("text_id", "digest").join(asked, "text_id"), "texts-asked-for")
+    # Most texts have no repeats and stay where they are; equal texts meet before and after the shuffle.
+    wanted = texts.select("digest", "text").where(bloom.may_be_in(asked, "digest", "digest"))
+    involved = staged(wanted.join(asked, "digest").dropDuplicates(["digest"]), "texts-with-repeats")
+
+    around = ["gram", "around_a", "around_b"]
+    named = staged(involved.mapInArrow(_name(length, gram), _NAMED), "surroundings")
+    distinct = named.groupBy(*around).agg(
+        F.count(F.lit(1)).alias("n"), F.min("text_id").alias("text_id"), F.min_by("at", "text_id").alias("at"),
+        F.min("before").alias("before"), F.min("after").alias("after"))
     distinct = staged(distinct, "distinct-surroundings")
+    whole = distinct.where("n > 1").select(*around, "before", "after")
     heat = distinct.groupBy("gram").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    sized = distinct.join(heat, "gram")
-    whole = distinct.where("n > 1").select(
-        "gram", "around_id", F.col("lead").alias("before"), (F.octet_length("around") - F.col("lead")).alias("after"))
-    marked = sized.where(F.col("members") <= hot).select("gram", "around_id", "around", "lead").repartition(
-        "gram").sortWithinPartitions("gram").mapInArrow(_mark(length), _MARKED)
-    windows = sized.where(F.col("members") > hot).mapInArrow(_windows(length), _WINDOWED)
-    seen = windows.groupBy("gram", "hash_a", "hash_b").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    counted = windows.join(seen, ["gram", "hash_a", "hash_b"], "left_semi").select(
-        "gram", "around_id", "before", (F.lit(length) - F.col("before")).alias("after"))
-    spans = whole.union(marked).union(counted).where(F.col("before") + F.col("after") >= length)
-    spans = around.select("gram", "around_id", "digest", "at").join(spans, ["gram", "around_id"]).groupBy("digest", "at").agg(
-        F.collect_set(F.struct((F.col("at") - F.col("before")).alias("start"), (F.col("at") + F.col("after")).alias("end"))).alias("spans"))
-    spans = spans.groupBy("digest").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    heat = staged(heat, "anchors-with-several")
+    compared = distinct.join(heat, "gram").groupBy("text_id").agg(
+        F.collect_list(F.struct("at", *around)).alias("anchors"))
+    cut = involved.select("text_id", "text").join(compared, "text_id").mapInArrow(_surroundings(length, gram), _SURROUNDED)
+    burning = heat.where(F.col("members") > hot).select("gram")
+    if burning.isEmpty():
+        mild, counted = cut, None
+    else:
+        cut = staged(cut, "cut-surroundings")
+        mild = cut.join(burning, "gram", "left_anti")
+        windows = cut.join(burning, "gram", "left_semi").mapInArrow(_windows(length), _WINDOWED)
+        # At one place of the anchor: a window that two anchors of a periodic text reach is still one window.
+        window = ["gram", "before", "hash_a", "hash_b"]
+        seen = windows.groupBy(*window).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        counted = windows.join(seen, window, "left_semi").select(
+            *around, "before", (F.lit(length) - F.col("before")).alias("after"))
+    marked = mild.repartition("gram").sortWithinPartitions("gram").mapInArrow(_mark(length), _MARKED)
+    spans = whole.union(marked) if counted is None else whole.union(marked).union(counted)
+    spans = spans.where(F.col("before") + F.col("after") >= length).groupBy(*around).agg(
+        F.max("before").alias("before"), F.max("after").alias("after"))
+    spans = named.select("text_id", "at", *around).join(spans, around).groupBy("text_id").agg(F.collect_list(F.struct(
+        (F.col("at") - F.col("before")).alias("start"), (F.col("at") + F.col("after")).alias("end"))).alias("spans"))
     return scanned, classes.where("copies > 1").select("digest", F.lit(True).alias("copied")), \
-        involved.select("digest", "text").join(spans, "digest")
+        involved.select("text_id", "digest", "text").join(spans, "text_id")
 
 
 _CUT = "digest binary, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,end:int>>"

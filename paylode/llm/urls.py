@@ -6,10 +6,6 @@ domains, the starts of its path of the lengths that rules have.  The filter pass
 small part; those go to a hash join with the list, which removes the false positives.  So most URLs are never
 shuffled with a key.
 
-The filter has 16 bits per listed key in blocks of 512 bits, of which a key sets eight in one block, and at most
-``MOST_BYTES``: that is what the driver and the tasks hold, however long the list.  A longer list only raises
-the share of false positives that the join has to remove.
-
 Work is per different URL, so a URL that makes up a third of the rows is one.  Defined results: URLs that are
 null or have no ``://`` have empty host and path, fit no rule and are not listed.  Repeated rows are judged
 alike.  Of rules of equal length the one with the longer host wins, of equal rules the one that blocks.  Rules
@@ -22,18 +18,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paylode.llm import hashing
+from paylode.llm import bloom
 from paylode.llm.common import ready
-from paylode.llm.hashing import U64, mix
 from paylode.session import staged
 
-BITS_PER_KEY = 16
-MOST_BYTES = 16 << 20
-_WORDS = 8               # of 64 bits in a block
-_LANES = hashing.constants("bloom", _WORDS)
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -49,44 +41,6 @@ def canonical(host_: Column, path_: Column) -> Column:
     return F.concat(host_, F.regexp_replace(path_, "/+$", ""))
 
 
-def _spots(hashes: np.ndarray, n_blocks: int) -> tuple[np.ndarray, np.ndarray]:
-    """Each key's block, and the bits that it sets there, one per word."""
-    mixed = mix(hashes.view(U64))
-    block = (mixed >> U64(32)) % U64(n_blocks)
-    bits = U64(1) << ((mixed[:, None] * _LANES) >> U64(58))
-    return block.astype(np.int64), bits
-
-
-def _build(n_blocks: int):
-    """Of a task's keys, the words of each block that they touch."""
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            block, bits = _spots(batch.column("hash").to_numpy(), n_blocks)
-            order = np.argsort(block, kind="stable")
-            block, bits = block[order], bits[order]
-            first = hashing.firsts(block)
-            joined = np.bitwise_or.reduceat(bits, first, axis=0) if len(first) else bits
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(block[first]), *(pa.array(joined[:, j].view(np.int64) if joined.flags.f_contiguous else
-                                                    np.ascontiguousarray(joined[:, j]).view(np.int64)) for j in range(_WORDS))],
-                names=["block", *(f"w{j}" for j in range(_WORDS))])
-
-    return build
-
-
-def bloom(keys: DataFrame) -> np.ndarray:
-    """The filter of the column ``key``: one row of eight words per block, at most ``MOST_BYTES``."""
-    n_blocks = max(1, min(MOST_BYTES // 64, -(-keys.count() * BITS_PER_KEY // 512)))
-    names = [f"w{j}" for j in range(_WORDS)]
-    rows = keys.select(F.xxhash64("key").alias("hash")).mapInArrow(
-        _build(n_blocks), "block long, " + ", ".join(f"{n} long" for n in names))
-    rows = rows.groupBy("block").agg(*[F.expr(f"bit_or({n})").alias(n) for n in names]).toPandas()
-    words = np.zeros((n_blocks, _WORDS), U64)
-    words[rows["block"].to_numpy(np.int64)] = rows[names].to_numpy(np.int64).view(U64).reshape(-1, _WORDS)
-    return words
-
-
 def _probe(shared):
     """Of each URL's keys, those that the filter passes."""
 
@@ -94,15 +48,12 @@ def _probe(shared):
         words = shared.value
         for batch in batches:
             lists = batch.column("hashes")
-            owner = np.repeat(np.arange(len(batch)), pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False))
+            owner = np.repeat(np.arange(len(batch)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
             hashes = lists.flatten().to_numpy()
-            block, bits = _spots(hashes, len(words))
-            passed = np.flatnonzero(((words[block] & bits) == bits).all(axis=1))
+            some = np.flatnonzero(bloom.passed(words, hashes))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("url").take(pa.array(owner[passed])),
-                 batch.column("keys").flatten().take(pa.array(passed))], names=["url", "key"])
-
-    import pyarrow.compute  # noqa: F401  (loaded in the worker)
+                [batch.column("url").take(pa.array(owner[some])),
+                 batch.column("keys").flatten().take(pa.array(some))], names=["url", "key"])
 
     return probe
 
@@ -122,7 +73,7 @@ def judge(pages: DataFrame, rules: DataFrame, listed: DataFrame) -> DataFrame:
     exact = staged(exact.union(urls_), "url-keys")
     # Lengths of rules' paths: as many as a path can have characters, not as there are rules.
     lengths = sorted(r[0] for r in rules.select(F.length("path")).distinct().collect())
-    shared = spark.sparkContext.broadcast(bloom(exact.select("key")))
+    shared = spark.sparkContext.broadcast(bloom.build(exact, "key"))
 
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url")
     parts = rows.where("url like '%://%'").select("url").distinct().select("url", host().alias("host"), path().alias("path"))
