@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylode.contracts import ENTITIES
@@ -141,27 +141,16 @@ def _seconds(moment: Column) -> Column:
 
 
 def last_attempts(task_runs: DataFrame, now: Column | None = None) -> DataFrame:
-    """One row per unit (run, task, day): its last attempt and how often it failed."""
+    """One row per unit (run, task, day): its last attempt and how often it failed; one grouping gives both."""
     now = F.current_timestamp() if now is None else now
-    unit = Window.partitionBy("run_id", "task", "ingest_date").orderBy(F.col("attempt").desc(), F.col("started_at").desc())
-    totals = task_runs.groupBy("run_id", "task", "ingest_date").agg(
+    last = F.struct("status", "rows_read", "rows_written", "rows_quarantined", "error")
+    return task_runs.groupBy("run_id", "task", "ingest_date").agg(
         F.count(F.lit(1)).alias("attempts"),
         F.count_if(F.col("status") == "failed").alias("failed_attempts"),
         F.count_if(F.col("status") == "running").alias("running_attempts"),
         F.sum(_spent(now)).alias("seconds"),
-    )
-    final = task_runs.withColumn("_rank", F.row_number().over(unit)).where(F.col("_rank") == 1).select(
-        "run_id", "task", "ingest_date", "status", "rows_read", "rows_written", "rows_quarantined", "error",
-    )
-    same_unit = [
-        F.col("t.run_id") == F.col("f.run_id"),
-        F.col("t.task") == F.col("f.task"),
-        F.col("t.ingest_date").eqNullSafe(F.col("f.ingest_date")),
-    ]
-    return totals.alias("t").join(final.alias("f"), same_unit).select(
-        "t.*", "f.status", "f.rows_read", "f.rows_written", "f.rows_quarantined", "f.error",
-        stage_of(F.col("t.task")).alias("stage"),
-    )
+        F.max_by(last, F.struct("attempt", "started_at")).alias("_last"),
+    ).select("*", "_last.*", stage_of(F.col("task")).alias("stage")).drop("_last")
 
 
 # -------------------------------------------------------------------- runs

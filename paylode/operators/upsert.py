@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -35,23 +36,19 @@ def latest(rows: DataFrame, contract: Contract) -> DataFrame:
     return latest_per_key(rows, contract.business_key, recency(contract))
 
 
-def current_state_upsert(existing: DataFrame | None, batch: DataFrame, contract: Contract) -> DataFrame:
+def current_state_upsert(
+    existing: DataFrame, batch: DataFrame, key: Sequence[str], newest_first: Sequence[Column | str],
+) -> DataFrame:
     """One row per key over all that is known (slowly changing dimension, type 1)."""
-    rows = batch if existing is None else existing.unionByName(batch, allowMissingColumns=True)
-    return latest(rows, contract)
+    return latest_per_key(existing.unionByName(batch, allowMissingColumns=True), key, newest_first)
 
 
 def partition_upsert(
     existing: DataFrame, batch: DataFrame, key: Sequence[str], newest_first: Sequence[Column | str],
-    partition: str = "dt",
+    touched: Sequence[dt.date | str], partition: str = "dt",
 ) -> DataFrame:
-    """New content of every partition the batch touches; other partitions do not appear.
-
-    ``existing`` is read only in those partitions: the list of touched values is one
-    row per day, and Spark turns the semi join into partition pruning of the scan.
-    """
-    touched = batch.select(partition).distinct()
-    kept = existing.join(touched, partition, "left_semi")
+    """New content of the ``touched`` days, which alone are read of ``existing``; other days do not appear."""
+    kept = existing.where(F.col(partition).isin([dt.date.fromisoformat(str(day)) for day in touched]))
     return latest_per_key(kept.unionByName(batch, allowMissingColumns=True), key, newest_first)
 
 

@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 
 from paylode.contracts import CONTRACTS, ENTITIES, LATE_DATA_DAYS, Contract
 from paylode.functions.rules import MALFORMED
-from paylode.operators.checks import RENAMED, mart_checks, run_checks
+from paylode.operators.checks import RENAMED, Check, mart_checks, run_checks
 from paylode.operators.features import FEATURE_COLUMNS, FRAME_DAYS, merchant_daily, payment_features
-from paylode.operators.upsert import current_state_upsert, latest, partitions_of_moved_keys
+from paylode.operators.upsert import current_state_upsert, latest, partition_upsert, partitions_of_moved_keys, recency
 from paylode.operators.validate import (
     accepted,
     malformed,
@@ -182,7 +182,8 @@ def silver_batch(
             return []
         if contract.event_date:
             return _merge_fact(spark, lake, contract, valid, observed, figures["dts"])
-        current = current_state_upsert(lake.silver(spark, entity), observed, contract)
+        current = current_state_upsert(
+            lake.silver(spark, entity), observed, contract.business_key, recency(contract))
         write_version(current, lake.path("silver", entity))
         return ["current"]
 
@@ -238,7 +239,7 @@ def _merge_fact(
         moved = partitions_of_moved_keys(existing, valid, contract.business_key)
         touched |= {str(row["dt"]) for row in moved.collect()}
     touched = sorted(touched)
-    merged = latest(on_days(existing, touched).unionByName(batch, allowMissingColumns=True), contract)
+    merged = partition_upsert(existing, batch, contract.business_key, recency(contract), touched)
     overwrite_partitions(merged, path, "dt", expected=touched)
     return [f"dt={day}" for day in touched]
 
@@ -352,9 +353,9 @@ class DataTestFailure(RuntimeError):
         self.failures = failures
 
 
-def run_data_tests(tables: dict[str, DataFrame]) -> dict[str, int]:
+def run_data_tests(tables: dict[str, DataFrame], checks: Sequence[Check] | None = None) -> dict[str, int]:
     """Failures of the tests that only warn; raises if one that does not has any.  A row per test is collected."""
-    found = run_checks(tables, mart_checks(), RENAMED).where("failures > 0").collect()
+    found = run_checks(tables, mart_checks() if checks is None else checks, RENAMED).where("failures > 0").collect()
     errors = {r["test"]: r["failures"] for r in found if r["severity"] == "error"}
     if errors:
         raise DataTestFailure(errors)
@@ -363,16 +364,17 @@ def run_data_tests(tables: dict[str, DataFrame]) -> dict[str, int]:
 
 def publish(
     spark: SparkSession, lake: Lake, run_id: str, days: Iterable[dt.date | str], kind: str,
-    quality: dict | None = None, changed: Iterable[str] | None = None,
+    quality: dict | None = None, changed: Iterable[str] | None = None, checks: Sequence[Check] | None = None,
 ) -> JobResult:
     """Test the marts, write the published datasets and, after them, the manifest.
 
-    A failed test raises before anything is written, so the earlier publication stays.  Payments are stored
-    by day and only the ``changed`` days are rewritten (all without it); the others get a new version each.
+    A failed test raises before anything is written, so the earlier publication stays; ``checks`` replaces
+    the tests of the marts.  Payments are stored by day and only the ``changed`` days are rewritten (all
+    without it); the others get a new version each.
     """
     with owned_scratch(spark):
         tables = mart_tables(spark, lake)
-        warnings = run_data_tests(tables)
+        warnings = run_data_tests(tables, checks)
         pagos, path = tables["pagos_gold"], lake.path("gold", "pagos_gold")
 
         def store_payments() -> None:
@@ -461,7 +463,7 @@ def refresh_silver(
 
 def refresh_days(
     spark: SparkSession, lake: Lake, days: Iterable[dt.date | str], run_id: str, kind: str = "incremental",
-    entities: Sequence[str] = ENTITIES,
+    entities: Sequence[str] = ENTITIES, checks: Sequence[Check] | None = None,
 ) -> dict[str, JobResult]:
     """Landing to gold for the given days, all of them as one batch per layer and feed.
 
@@ -479,5 +481,5 @@ def refresh_days(
         results = refresh_silver(spark, lake, lambda _: days, entities, after_payments=score)
         results["features"] = done["features"]
         quality = quality_of(r for name, r in results.items() if name.startswith("silver."))
-        results["publish"] = publish(spark, lake, run_id, days, kind, quality, done["changed"])
+        results["publish"] = publish(spark, lake, run_id, days, kind, quality, done["changed"], checks)
     return results

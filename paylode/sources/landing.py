@@ -48,7 +48,8 @@ def with_origin(text: DataFrame) -> DataFrame:
     return text.where(F.trim("value") != "").select(
         "value",
         source.alias("_source_file"),
-        F.to_date(F.regexp_extract(source, DAY_IN_PATH, 1)).alias("ingest_date"),
+        # A stray file outside the folders of days has no day; it must not stop the others.
+        F.try_to_date(F.regexp_extract(source, DAY_IN_PATH, 1)).alias("ingest_date"),
     )
 
 

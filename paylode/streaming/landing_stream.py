@@ -39,6 +39,11 @@ def merge_stream(
         # The stream runs in a session of its own; a plan and its observed figures must share one.
         session = batch.sparkSession
         rows = staged(batch, f"stream-{entity}")
+        # Rows of files outside the folders of days are set aside unread: no rule of theirs can be checked.
+        stray = rows.where("ingest_date is null")
+        if not stray.isEmpty():
+            stray.write.mode("overwrite").parquet(lake.path("quarantine_stray", entity, f"batch={number}"))
+        rows = rows.where("ingest_date is not null")
         days = [str(r[0]) for r in rows.select("ingest_date").distinct().collect()]
         if days:
             failed = lake.path("quarantine_stream", entity, f"batch={number}")

@@ -225,7 +225,9 @@ def _upsert_sql(body: str, more: str = "") -> str:
     """, both_ AS (SELECT * FROM base WHERE dt IN (SELECT dt FROM batch) UNION ALL SELECT * FROM batch)"""))
 def partition_upsert(spark, sf):
     base, batch = _base_and_batch(spark, sf)
-    return upsert.partition_upsert(base, batch, ["payment_id"], src.NEWEST).select("payment_id", "amount", "status", "dt")
+    touched = [row["dt"] for row in batch.select("dt").distinct().collect()]
+    return upsert.partition_upsert(base, batch, ["payment_id"], src.NEWEST, touched).select(
+        "payment_id", "amount", "status", "dt")
 
 
 @query("affected_partitions", _upsert_sql(f"SELECT DISTINCT {day('dt')} AS dt FROM batch"))
@@ -265,8 +267,7 @@ def current_state_upsert(spark, sf):
     rows = src.events(spark, sf).select(src._tag("C", "user_id").alias("customer_id"), "event_type", "k", "ts", "event_id")
     early = F.col("ts") < F.lit("2024-01-20").cast("timestamp")
     state = upsert.latest_per_key(rows.where(early), ["customer_id"], ["ts", "event_id"])
-    both = state.unionByName(rows.where(~early))
-    return upsert.latest_per_key(both, ["customer_id"], ["ts", "event_id"]).drop("event_id")
+    return upsert.current_state_upsert(state, rows.where(~early), ["customer_id"], ["ts", "event_id"]).drop("event_id")
 
 
 @query("schema_evolution_union", sql("payment_versions", body="""
