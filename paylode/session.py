@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,24 +69,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 @contextmanager
 def owned_scratch(spark: SparkSession) -> Iterator[None]:
-    """What is staged inside is removed at the end, also after a failure; an inner job belongs to the outer one.
+    """What is staged inside is removed at the end, also after a failure; scopes may be nested.
 
     Threads started through Spark's inheritable targets stage into the same folder.  Results that are
     still to be computed from staged tables must be written before the end.
     """
     context = spark.sparkContext
-    if context.getLocalProperty(_OWNER):
-        yield
-        return
-    owner = f"job-{uuid.uuid4().hex}"
+    outer = context.getLocalProperty(_OWNER)
+    owner = "/".join([*([outer] if outer else []), f"job-{uuid.uuid4().hex}"])
     context.setLocalProperty(_OWNER, owner)
     try:
         yield
     finally:
-        context.setLocalProperty(_OWNER, None)
+        context.setLocalProperty(_OWNER, outer)
         remove(spark, f"{shared_dir(spark)}/{owner}")
 
 
+def settled(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The result of ``build`` as a written table; what was staged on the way is removed."""
+    path = scratch_path(spark, name)
+    with owned_scratch(spark):
+        result = build()
+        result.write.parquet(path)
+    return spark.read.schema(result.schema).parquet(path)
+
+
 def staged(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
