@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from paylode.llm import bpe, minhash, mixing, repeats, toxicity
 from paylode.llm.common import ready, table
-from paylode.session import staged
+from paylode.session import settled, staged
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -69,7 +69,10 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    def mixed() -> DataFrame:
+        docs = table(spark, sf_dir, "documents")
+        for name, stage in STAGES[:-1]:
+            docs = staged(stage(spark, docs, sf_dir), name)
+        return docs
+
+    return STAGES[-1][1](spark, settled(spark, "mixed-documents", mixed), sf_dir)

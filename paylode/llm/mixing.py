@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paylode.llm.common import ready, text_md5
-from paylode.session import staged
+from paylode.session import settled, staged
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -132,7 +132,10 @@ def _keyed(documents: DataFrame, *more) -> DataFrame:
 
 def draws(documents: DataFrame) -> DataFrame:
     """``source, doc_id, digest, nth, size, source_size, target, copies, taken``: a row per document."""
-    ready(documents.sparkSession)
+    return settled(ready(documents.sparkSession), "draws", lambda: _draws(documents))
+
+
+def _draws(documents: DataFrame) -> DataFrame:
     size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
     sized = staged(_keyed(documents, size.alias("size")), "sizes")
     aims = staged(targets(sized), "targets")

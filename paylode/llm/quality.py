@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from paylode.llm import hashing
 from paylode.llm.common import ready, slices
 from paylode.llm.hashing import U64, mix
-from paylode.session import staged
+from paylode.session import settled, staged
 
 RUN = 8
 TREES = 200
@@ -211,7 +211,11 @@ def _threshold(good: np.ndarray, bad: np.ndarray) -> float:
 
 def judged(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """The statistics of every document with ``anomaly``, ``threshold`` and ``kept``."""
-    spark = ready(documents.sparkSession)
+    return settled(ready(documents.sparkSession), "quality", lambda: _judged(documents, labels))
+
+
+def _judged(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    spark = documents.sparkSession
     rows = staged(statistics(documents), "quality-statistics")
     sample = rows.where("not base_failed").orderBy(F.xxhash64("doc_id"), *_COUNTS).limit(SAMPLE).select(*_COUNTS).toPandas()
     forest = plant(features({c: sample[c].to_numpy() for c in _COUNTS}))

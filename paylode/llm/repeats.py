@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from paylode.llm import bloom, hashing
 from paylode.llm.common import ready, slices, text_md5
 from paylode.llm.hashing import U64
-from paylode.session import staged
+from paylode.session import settled, staged
 
 LENGTH = 400
 GRAM = 100
@@ -361,7 +361,11 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_spans(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans``: a row per document, spans in its bytes."""
-    ready(documents.sparkSession)
+    return settled(ready(documents.sparkSession), "repeated-spans",
+                   lambda: _repeated_spans(documents, length, gram, hot))
+
+
+def _repeated_spans(documents: DataFrame, length: int, gram: int, hot: int) -> DataFrame:
     scanned, copied, involved = _spans(documents, length, gram, hot)
     cut = involved.mapInArrow(_cut, _CUT)
     out = scanned.select("digest", "doc_id", "n_bytes", "sha256").join(copied, "digest", "left").join(cut, "digest", "left")
@@ -400,10 +404,13 @@ def without_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM
     All rows and columns stay; a null text stays null.  Characters are cut whole: one that a passage covers
     only in part stays.
     """
-    ready(documents.sparkSession)
-    _, copied, involved = _spans(documents, length, gram, hot)
-    kept = copied.join(involved.mapInArrow(_trim, "digest binary, kept_text string"), "digest", "full").select(
-        F.col("digest").alias("_digest"), F.when(F.col("copied"), F.lit("")).otherwise(F.col("kept_text")).alias("_kept"))
+    def changed() -> DataFrame:
+        _, copied, involved = _spans(documents, length, gram, hot)
+        trimmed = involved.mapInArrow(_trim, "digest binary, kept_text string")
+        return copied.join(trimmed, "digest", "full").select(
+            F.col("digest").alias("_digest"), F.when(F.col("copied"), F.lit("")).otherwise(F.col("kept_text")).alias("_kept"))
+
+    kept = settled(ready(documents.sparkSession), "changed-texts", changed)
     row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
     out = documents.select(row, text_md5().alias("_digest")).join(kept, "_digest", "left")
     text = F.when(F.col("row.text").isNotNull(), F.coalesce("_kept", "row.text")).alias("text")

@@ -23,13 +23,17 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(component_id, d.doc_id
        coalesce(component_id, d.doc_id) = d.doc_id AS kept
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN lowest ON x = d.doc_id"""
 
-# Two hex digits are a byte; a window is 800 digits from an odd place on.
+# Two hex digits are a byte; a window is 800 digits from an odd place on, cut from a piece of 1600.
 REPEATS = """
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, len(h) // 2 AS n FROM documents),
-w AS (
-    SELECT doc_id, unnest(range(0, n - 399)) AS p,
-           unnest(list_transform(range(0, n - 399), lambda i: md5(substr(h, 2 * i + 1, 800)))) AS k
+pieces AS (
+    SELECT doc_id, n, unnest(range(0, n // 400 + 1)) AS piece,
+           unnest(list_transform(range(0, n // 400 + 1), lambda b: substr(h, 800 * b + 1, 1600))) AS c
     FROM d WHERE n >= 400),
+w AS (
+    SELECT doc_id, 400 * piece + unnest(range(0, least(400, n - 399 - 400 * piece))) AS p,
+           unnest(list_transform(range(0, least(400, n - 399 - 400 * piece)), lambda i: md5(substr(c, 2 * i + 1, 800)))) AS k
+    FROM pieces),
 twice AS (SELECT k FROM w GROUP BY k HAVING count(*) > 1),
 marks AS (SELECT w.doc_id, w.p FROM w JOIN twice USING (k)),
 gaps AS (SELECT *, p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS gap FROM marks),

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylode.llm.common import components, ready
-from paylode.session import staged
+from paylode.session import settled, staged
 
 PASSES = 16
 WINDOW = 64
@@ -177,7 +177,11 @@ def near_duplicate_vectors(
     embeddings: DataFrame, threshold: float = 0.93, passes: int = PASSES, window: int = WINDOW
 ) -> DataFrame:
     """``vec_id, n_links, component_id, kept``: a row per vector; see the module's text."""
-    ready(embeddings.sparkSession)
+    return settled(ready(embeddings.sparkSession), "near-duplicate-vectors",
+                   lambda: _near_duplicate_vectors(embeddings, threshold, passes, window))
+
+
+def _near_duplicate_vectors(embeddings: DataFrame, threshold: float, passes: int, window: int) -> DataFrame:
     kind = dict(embeddings.dtypes)["embedding"]
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), "embedding")
     rows = rows.mapInArrow(_read, f"vec_id long, label long, embedding {kind}, digest binary, width int")
