@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylode.llm import bpe, minhash, mixing, quality, repeats, sql, toxicity, urls, vectors, warc
+from paylode.llm import bpe, minhash, mixing, quality, repeats, sql, toxicity, units, urls, vectors, warc
 from paylode.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,13 @@ def op3(spark, sf_dir):
     return toxicity.score(table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
 
 
+@query("op4_line_hashing", sql.UNITS)
+def op4(spark, sf_dir):
+    spans = F.transform("spans", lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["end"].cast("string")))
+    return units.repeated_units(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_units", "n_removed", "removed_chars", F.array_join(spans, ",").alias("removed_spans"))
+
+
 @query("op5_warc_index", sql.WARC)
 def op5(spark, sf_dir):
     index, folder = warc.write(table(spark, sf_dir, "pages"))

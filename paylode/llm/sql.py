@@ -104,3 +104,24 @@ SELECT u.page_id, host, path, rule,
        coalesce(rule_verdict, CASE WHEN host || regexp_replace(path, '/+$', '') IN (SELECT canonical FROM listed)
                               THEN 'block' ELSE 'allow' END) AS verdict
 FROM u LEFT JOIN fits USING (page_id)"""
+
+UNITS = f"""
+WITH l AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS k
+    FROM documents),
+o AS (
+    SELECT doc_id, k, line, CAST(sum(len(line) + 1) OVER (PARTITION BY doc_id ORDER BY k) - len(line) - 1 AS BIGINT) AS a,
+           {_WORDS.format(_ASCII_LOWER.format("line"))} AS w
+    FROM l),
+r AS (
+    SELECT doc_id, a, a + len(line) AS b,
+           row_number() OVER (PARTITION BY array_to_string(w, ' ') ORDER BY doc_id, k) AS place
+    FROM o WHERE len(w) >= 5),
+gone AS (
+    SELECT doc_id, count(*) AS n_removed, sum(b - a) AS removed_chars, string_agg(a || '-' || b, ',' ORDER BY a) AS removed_spans
+    FROM r WHERE place > 1 GROUP BY doc_id),
+n AS (SELECT doc_id, count_if(len(w) > 0) AS n_units FROM o GROUP BY doc_id)
+SELECT doc_id, CAST(n_units AS BIGINT) AS n_units, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(removed_chars, 0) AS BIGINT) AS removed_chars, coalesce(removed_spans, '') AS removed_spans
+FROM n LEFT JOIN gone USING (doc_id)"""
