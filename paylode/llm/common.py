@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from paylode.session import staged
 
+EDGES_PER_TASK = 200_000
+
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -49,9 +51,27 @@ def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 1 << 20) -> Ite
         yield batch.slice(start)
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count(F.lit(1)), F.expr("bit_xor(xxhash64(u, v))")).first()
-    return row[0], row[1]
+def hash_sample(rows: DataFrame, most: int, total: int, key: str, *ties: str) -> DataFrame:
+    """The ``most`` rows with the smallest hash of their key, of about ``total``.
+
+    Rows above the hash that leaves somewhat more than ``most`` go at once, so that not every task keeps that many.
+    """
+    share = min(1.0, (most + 6 * most ** 0.5 + 10) / max(total, 1))
+    hashed = F.xxhash64(key)
+    return rows.where(hashed <= min(int(share * 2**64) - 2**63, 2**63 - 1)).orderBy(hashed, key, *ties).limit(most)
+
+
+def few_tasks(df: DataFrame, rows: int, per_task: int) -> DataFrame:
+    """No more tasks than ``rows`` need; many rows keep the partitions that they have."""
+    return df.coalesce(1 + rows // per_task)
+
+
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour and none that has one itself."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("lower"), F.lit(0).alias("upper")).union(
+        edges.select("v", F.lit(0), F.lit(1)))
+    return ends.groupBy("node").agg(F.sum("lower").alias("lower"), F.max("upper").alias("upper")).where(
+        "lower > 1 or lower = 1 and upper = 1").isEmpty()
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -60,23 +80,23 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Large-star and small-star rounds: each hands a node's neighbours to the smallest of them, until only
     stars are left.  A round is two grouped minimums and joins on them; the minimum combines before the
     shuffle and a join splits a hot node, so no neighbourhood is ever gathered.  Each round's edges are a
-    written table; only their count and checksum reach the driver.
+    written table; only their number reaches the driver.
     """
     current = staged(
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct(), "edges")
-    seen = _fingerprint(current)
-    while seen[0]:
+    rows = current.count()
+
+    def sized(df: DataFrame) -> DataFrame:
+        return few_tasks(df, 2 * rows, EDGES_PER_TASK)
+
+    current = sized(current)
+    while rows and not _is_stars(current):
         both = current.union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        lowest = both.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("low"))
-        large = both.where("v > u").join(lowest, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
-        large = staged(large.distinct(), "large-star")
-        lowest = large.groupBy("u").agg(F.min("v").alias("low"))
-        small = large.join(lowest, "u").where("v != low").select(F.col("v").alias("u"), F.col("low").alias("v"))
-        following = staged(small.union(lowest.select("u", F.col("low").alias("v"))).distinct(), "small-star")
-        now = _fingerprint(following)
-        current = following
-        if now == seen:
-            break
-        seen = now
+        lowest = sized(both.groupBy("u").agg(F.min("v").alias("low"))).select("u", F.least("u", "low").alias("low"))
+        large = sized(both.where("v > u").join(lowest, "u")).select(F.col("v").alias("u"), F.col("low").alias("v"))
+        large = sized(staged(sized(large.distinct()), "large-star"))
+        lowest = sized(large.groupBy("u").agg(F.min("v").alias("low")))
+        small = sized(large.join(lowest, "u")).where("v != low").select(F.col("v").alias("u"), F.col("low").alias("v"))
+        current = sized(staged(sized(small.union(lowest.select("u", F.col("low").alias("v"))).distinct()), "small-star"))
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)

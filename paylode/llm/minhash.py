@@ -6,9 +6,14 @@ largest value are kept, so 60 hash evaluations give a signature of 120 values.
 
 What happens to large groups: documents with the same set are one class and only its smallest id goes on.
 In each bucket the members are compared with few hubs, not with each other: round 0 has one hub, round
-``t`` about ``8**t`` random ones, and a round only compares members that are not yet connected with a hub,
+``t`` about ``16**t`` random ones, and a round only compares members that are not yet connected with a hub,
 in buckets where several components are left.  The last round makes every member a hub, so each pair of a
-bucket has been compared or was connected before.  Every link is confirmed on the full sets.
+bucket has been compared, or was connected before, or cannot be similar.  For that last point the shingles
+of the documents in open buckets are counted once: what no other of them has, a document shares with none,
+which bounds its overlap with any other.  A document that has changed too much to be similar to anything
+leaves its buckets at once, two sizes that the bounds exclude are never paired, and the member with the
+fewest shingles of its own, which is likest to the others, is a hub before the random ones.  Every link is
+confirmed on the full sets.
 
 Defined results: null or empty text has an empty set and is linked with nothing.  Documents of one to four
 words have their whole sequence as one shingle.  Repeated rows are one document with one component.  A row
@@ -25,16 +30,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paylode.llm import hashing
-from paylode.llm.common import components, ready, slices
+from paylode.llm import bloom, hashing
+from paylode.llm.common import components, few_tasks, ready, slices
 from paylode.llm.hashing import U64, mix
-from paylode.session import staged
+from paylode.session import settled, staged
 
 WORDS = 5
 PERMUTATIONS = 60
 BANDS = 24
 ROWS = 2 * PERMUTATIONS // BANDS
-GROWTH = 3  # a round has 2**GROWTH times the hubs of the one before
+GROWTH = 4  # a round has 2**GROWTH times the hubs of the one before
+PAIRS_PER_TASK = 2_000
 
 _SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
 
@@ -123,9 +129,29 @@ def _confirmed(percent: int):
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a, b`` of ids whose texts are similar enough."""
-    pairs = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-    pairs = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(_confirmed(percent), "a long, b long")
+    pairs = staged(pairs, "candidate-pairs")
+    count = pairs.count()
+    with_b = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+    both = few_tasks(with_b, count, PAIRS_PER_TASK).join(
+        texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
+    return few_tasks(both, count, PAIRS_PER_TASK).select("a", "b", "text_a", "text_b").mapInArrow(
+        _confirmed(percent), "a long, b long")
+
+
+def _list_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, "text"):
+            sets = shingle_sets(part.column("text"))
+            ids = np.repeat(part.column("id").to_numpy(), [len(s) for s in sets])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids), pa.array(np.concatenate(sets).view(np.int64))], names=["id", "shingle"])
+
+
+def _own_shingles(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """``id, own``: how many of its shingles no other of the documents ``ids`` has, for those that have some."""
+    listed = texts.join(ids, "id", "left_semi").mapInArrow(_list_shingles, "id long, shingle long")
+    alone = listed.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id")).where("n = 1")
+    return alone.groupBy("id").agg(F.count(F.lit(1)).alias("own"))
 
 
 def near_duplicates(documents: DataFrame, percent: int = 80) -> DataFrame:
@@ -133,49 +159,88 @@ def near_duplicates(documents: DataFrame, percent: int = 80) -> DataFrame:
 
     The bands suit limits of 80 and more.  See the module's text for nulls, repeats and empty tables.
     """
-    spark = ready(documents.sparkSession)
+    return settled(ready(documents.sparkSession), "near-duplicates", lambda: _near_duplicates(documents, percent))
+
+
+def _near_duplicates(documents: DataFrame, percent: int) -> DataFrame:
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     signed = staged(documents.mapInArrow(_sign, _SIGNED), "minmax")
     same = ["n_shingles", "set_a", "set_b"]
     classes = staged(signed.where("n_shingles > 0").groupBy(*same).agg(F.min("doc_id").alias("id")), "set-classes")
 
     banded = signed.where("n_shingles > 0").join(classes, same).where("doc_id = id").select(
-        "id", F.explode("bands").alias("bucket"))
+        "id", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(
-        F.min("id").alias("hub"), F.max("id").alias("last"), F.count(F.lit(1)).alias("size")).where("hub != last")
-    buckets = staged(banded.join(shared.select("bucket", "hub", "size"), "bucket"), "buckets")
-    ids = buckets.select("id").distinct()
-    texts = staged(documents.withColumnRenamed("doc_id", "id").join(ids, "id", "left_semi"), "candidate-texts")
+        F.min("id").alias("hub"), F.min_by("n", "id").alias("hub_n"), F.max("id").alias("last"),
+        F.count(F.lit(1)).alias("size")).where("hub != last").drop("last")
+    buckets = staged(banded.join(shared, "bucket"), "buckets")
+    # Most documents have no candidate: their texts stay where they are.
+    ids = staged(buckets.select("id").distinct(), "candidates")
+    texts = documents.where(bloom.may_be_in(ids, "id", "doc_id")).withColumnRenamed("doc_id", "id")
+    texts = staged(texts.join(ids, "id", "left_semi"), "candidate-texts")
 
     # When a member's turn as a hub comes: round 0 is the smallest's, a later round has 2**GROWTH as many.
     zeros = F.expr("length(regexp_extract(lpad(bin(xxhash64(bucket, id)), 64, '0'), '(0*)$', 1))")
     last_round = F.ceil(F.log2("size") / GROWTH)
     turn = F.when(F.col("id") == F.col("hub"), 0).otherwise(
         F.greatest(F.lit(1), (last_round - F.floor(zeros / GROWTH)).cast("int")))
-    members = buckets.withColumn("turn", turn).select("bucket", "id", "hub", "turn")
+    members = buckets.withColumn("turn", turn)
 
-    links = _verified(
-        members.where("id != hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), texts, percent)
+    like_sizes = 100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")
+    first = members.where((F.col("id") != F.col("hub")) & like_sizes)
+    links = _verified(first.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), texts, percent)
     groups = components(staged(links, "links"))
-    turn_now, left = 1, members
-    while True:
-        named = left.where(F.col("turn") >= turn_now).join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn(
+
+    def open_buckets(members: DataFrame) -> DataFrame:
+        """Members of buckets with several components, with their ``component``."""
+        named = members.join(groups.withColumnRenamed("node", "id"), "id", "left").withColumn(
             "component", F.coalesce("component", "id"))
         several = named.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y")
-        left = staged(named.join(several.select("bucket"), "bucket", "left_semi"), "open-buckets")
+        return named.join(several.select("bucket"), "bucket", "left_semi")
+
+    left = staged(open_buckets(members.where("turn > 0").select("bucket", "id", "n", "turn")), "open-buckets")
+    own = _own_shingles(texts, left.select("id").distinct())
+    # n minus own is the most that a document can share.
+    left = left.drop("component").join(own, "id", "left").withColumn("most", F.col("n") - F.coalesce("own", F.lit(0))).where(
+        100 * F.col("most") >= percent * F.col("n"))
+    left = staged(left.select("bucket", "id", "n", "turn", "most"), "open-buckets")
+    can_meet = like_sizes & (percent * (F.col("n") + F.col("hub_n")) <= (100 + percent) * F.least("most", "hub_most"))
+
+    def hubs_of(members: DataFrame, *columns: str) -> DataFrame:
+        return members.select("bucket", *[F.col(c).alias(f"hub_{c}") for c in columns])
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """The components with the pairs that are confirmed."""
+        links = staged(_verified(pairs, texts, percent), "links")
+        if links.isEmpty():
+            return groups
+        stars = groups.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+        return components(links.union(stars))
+
+    # The member with the fewest shingles of its own is likest to the others: all meet it first.
+    typical = left.groupBy("bucket").agg(F.max_by("id", F.struct(F.col("most") / F.col("n"), -F.col("id"))).alias("id"))
+    met = left.join(hubs_of(left.join(typical, ["bucket", "id"]), "id", "n", "most"), "bucket").where(
+        (F.col("id") != F.col("hub_id")) & can_meet)
+    groups = linked(met.select(F.least("hub_id", "id").alias("a"), F.greatest("hub_id", "id").alias("b")).distinct())
+    turn_now = 1
+    while True:
+        left = open_buckets(left.where(F.col("turn") >= turn_now))
+        # At most BANDS buckets of a document; a pair meets in the first that both are in.
+        places = left.groupBy("id").agg(F.collect_set("bucket").alias("places"))
+        left = staged(left.join(places, "id"), "open-buckets")
         final = left.agg(F.max("turn")).first()[0]
-        if final is None or final < turn_now:
+        if final is None:
             break
-        hubs = left.where(F.col("turn") == turn_now).select(
-            "bucket", F.col("id").alias("a"), F.col("component").alias("component_a"))
+        hubs = hubs_of(left.where(F.col("turn") == turn_now), "id", "n", "most", "component", "places")
         # A member that was a hub before has met everyone; of two hubs of this round the smaller asks.
         met = left.join(hubs, "bucket").where(
-            (F.col("component") != F.col("component_a")) & ((F.col("turn") > turn_now) | (F.col("a") < F.col("id"))))
-        pairs = met.select("a", F.col("id").alias("b")).distinct()
-        links = staged(_verified(pairs, texts, percent), "links")
-        stars = groups.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-        groups = components(links.union(stars))
-        left = left.select("bucket", "id", "hub", "turn")
+            (F.col("component") != F.col("hub_component"))
+            & ((F.col("turn") > turn_now) | (F.col("hub_id") < F.col("id"))) & can_meet
+            & (F.array_min(F.array_intersect("places", "hub_places")) == F.col("bucket")))
+        groups = linked(met.select(F.col("hub_id").alias("a"), F.col("id").alias("b")))
+        if final <= turn_now:
+            break
+        left = left.drop("component", "places")
         turn_now += 1
 
     named = classes.join(groups, classes["id"] == groups["node"], "left").select(
