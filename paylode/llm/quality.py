@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylode.llm import hashing
-from paylode.llm.common import ready, slices
+from paylode.llm.common import hash_sample, ready, slices
 from paylode.llm.hashing import U64, mix
 from paylode.session import settled, staged
 
@@ -217,7 +217,8 @@ def judged(documents: DataFrame, labels: DataFrame) -> DataFrame:
 def _judged(documents: DataFrame, labels: DataFrame) -> DataFrame:
     spark = documents.sparkSession
     rows = staged(statistics(documents), "quality-statistics")
-    sample = rows.where("not base_failed").orderBy(F.xxhash64("doc_id"), *_COUNTS).limit(SAMPLE).select(*_COUNTS).toPandas()
+    passing = rows.where("not base_failed")
+    sample = hash_sample(passing, SAMPLE, passing.count(), "doc_id", *_COUNTS).select(*_COUNTS).toPandas()
     forest = plant(features({c: sample[c].to_numpy() for c in _COUNTS}))
     shared = spark.sparkContext.broadcast(forest)
     fields = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
