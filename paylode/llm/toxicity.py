@@ -26,11 +26,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paylode.llm import hashing
-from paylode.llm.common import ready, slices
+from paylode.llm.common import hash_sample, ready, slices
 from paylode.llm.hashing import U64
 
-MOST_POSITIVE = 3_000
-MOST_NEGATIVE = 5_000
+MOST_POSITIVE = 2_000
+MOST_NEGATIVE = 3_000
 LONGEST = 64 << 10
 MOST_FEATURES = 50_000
 LEAST_RATIO = 20.0
@@ -73,7 +73,7 @@ def bags(texts: pa.Array) -> Bags:
     number = stops[found.start] if len(found.start) else found.start
     change = np.ones(len(number), bool)
     change[1:] = (number[1:] != number[:-1]) | (found.doc[1:] != found.doc[:-1])
-    sentence = np.cumsum(change) - 1
+    sentence = (np.cumsum(change) - 1).astype(np.int32)
     first = np.flatnonzero(change)
     last = np.concatenate((first[1:], [len(number)]))[:len(first)] - 1
     feature, owner = [found.hash], [sentence]
@@ -86,28 +86,42 @@ def bags(texts: pa.Array) -> Bags:
     return Bags(np.concatenate(feature), np.concatenate(owner), found.doc[first], found.start[first], found.end[last])
 
 
+def many_bags(texts: pa.Array) -> Bags:
+    """The same for many texts, a slice at a time: a text's bytes need far more room than its features."""
+    parts, docs, sentences = [], 0, 0
+    for part in slices(pa.RecordBatch.from_arrays([texts], names=["text"]), "text"):
+        one = bags(part.column("text"))
+        parts.append(one._replace(sentence=one.sentence + np.int32(sentences), doc=one.doc + docs))
+        docs, sentences = docs + len(part), sentences + len(one.doc)
+    return Bags(*map(np.concatenate, zip(*parts))) if parts else bags(texts)
+
+
 def sentence_logits(model: Model, found: Bags, sieve: np.ndarray | None = None) -> np.ndarray:
     """``sieve`` marks the first bits of the model's hashes, so that few features have to be searched."""
     total = np.full(len(found.doc), model.bias)
     if len(model.features) and len(found.doc):
-        sieve = _sieve(model) if sieve is None else sieve
-        some = np.flatnonzero(sieve[(found.feature >> _SIEVE).astype(np.int64)])
-        hashes = found.feature[some]
-        spot = np.minimum(np.searchsorted(model.features, hashes), len(model.features) - 1)
-        weight = np.where(model.features[spot] == hashes, model.weights[spot], 0.0)
-        total += np.bincount(found.sentence[some], weights=weight, minlength=len(found.doc))
+        some, spot = _known(model.features, _sieve(model.features) if sieve is None else sieve, found.feature)
+        total += np.bincount(found.sentence[some], weights=model.weights[spot], minlength=len(found.doc))
     return total
 
 
 _SIEVE = U64(44)
 
 
-def _sieve(model: Model) -> np.ndarray:
+def _sieve(features: np.ndarray) -> np.ndarray:
     marks = np.zeros(1 << 20, bool)
-    marks[(model.features >> _SIEVE).astype(np.int64)] = True
+    marks[(features >> _SIEVE).astype(np.int64)] = True
     return marks
 
 
+def _known(features: np.ndarray, sieve: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which hashes are among the sorted features, and where."""
+    some = np.flatnonzero(sieve[(hashes >> _SIEVE).astype(np.int32)])
+    spot = np.minimum(np.searchsorted(features, hashes[some]), len(features) - 1)
+    exact = features[spot] == hashes[some]
+    return some[exact], spot[exact]
+
+
 def noisy_or(logits: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     return -np.expm1(np.bincount(doc, weights=-np.logaddexp(0, logits), minlength=n))
 
@@ -118,9 +132,10 @@ def _vocabulary(found: Bags, labels: np.ndarray) -> np.ndarray:
     The measure is the likelihood ratio of two shares of positive documents against one; a feature that only
     a few documents have cannot reach ``LEAST_RATIO``, and so cannot be learnt by heart.
     """
-    doc = found.doc[found.sentence]
-    order = np.lexsort((doc, found.feature))
-    hashes, doc = found.feature[order], doc[order]
+    # By hash, and by document within a hash: a hash is of one kind, and those come by document.
+    order = np.argsort(found.feature, kind="stable").astype(np.int32)
+    hashes, doc = found.feature[order], found.doc.astype(np.int32)[found.sentence[order]]
+    del order
     first = hashing.firsts(hashes)
     if not len(first):
         return hashes
@@ -147,10 +162,9 @@ def fit(labels: np.ndarray, weights: np.ndarray, found: Bags) -> Model:
     vocabulary = _vocabulary(found, labels)
     if not len(vocabulary):
         return Model(*none, START_BIAS, None)
-    spot = np.minimum(np.searchsorted(vocabulary, found.feature), len(vocabulary) - 1)
-    known = np.flatnonzero(vocabulary[spot] == found.feature)
-    known = known[np.argsort(found.sentence[known], kind="stable")]
-    feature, sentence = spot[known], found.sentence[known]
+    known, feature = _known(vocabulary, _sieve(vocabulary), found.feature)
+    order = np.argsort(found.sentence[known], kind="stable")
+    feature, sentence = feature[order], found.sentence[known[order]]
     feature_at = np.searchsorted(found.doc[sentence], np.arange(len(labels) + 1))
     sentence_at = np.searchsorted(found.doc, np.arange(len(labels) + 1))
     w, b = np.zeros(len(vocabulary)), START_BIAS
@@ -198,7 +212,7 @@ def calibrated(scores: np.ndarray, cut: float) -> np.ndarray:
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = pa.Table.from_batches(list(batches)).sort_by([("order", "ascending"), ("text", "ascending")])
     model = fit(rows.column("toxic").to_numpy(), rows.column("weight").to_numpy(),
-                bags(rows.column("text").combine_chunks()))
+                many_bags(rows.column("text").combine_chunks()))
     yield pa.RecordBatch.from_arrays(
         [pa.array([model.features.tobytes()]), pa.array([model.weights.tobytes()]), pa.array([model.bias]),
          pa.array([model.constant], pa.float64()), pa.array([model.cut])], names=["features", "weights", "bias", "constant", "cut"])
@@ -224,9 +238,9 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
     rows, total = [], {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
     for kind, most in ((1, MOST_POSITIVE), (0, MOST_NEGATIVE)):
         if total.get(kind):
-            chosen = marked.where(F.col("toxic") == kind).withColumn("order", F.xxhash64("doc_id")).orderBy(
-                "order", "doc_id").limit(most)
-            rows.append(chosen.withColumn("weight", F.lit(max(1.0, total[kind] / most))))
+            chosen = hash_sample(marked.where(F.col("toxic") == kind), most, total[kind], "doc_id")
+            rows.append(chosen.withColumn("order", F.xxhash64("doc_id")).withColumn(
+                "weight", F.lit(max(1.0, total[kind] / most))))
     if not rows:
         return Model(np.zeros(0, U64), np.zeros(0), START_BIAS, 0.0)
     sample = rows[0] if len(rows) == 1 else rows[0].union(rows[1])
@@ -243,7 +257,7 @@ def train(documents: DataFrame, labels: DataFrame) -> Model:
 def _score(shared):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        sieve = _sieve(model)
+        sieve = _sieve(model.features)
         for batch in batches:
             for part in slices(batch, "text"):
                 scores = document_scores(model, bags(part.column("text")), len(part), sieve)
@@ -297,7 +311,7 @@ def without_toxic(documents: DataFrame, model: Model) -> DataFrame:
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = shared.value
-        sieve = _sieve(fitted)
+        sieve = _sieve(fitted.features)
         for batch in batches:
             for part in slices(batch, "text"):
                 scores = document_scores(fitted, bags(part.column("text")), len(part), sieve)
