@@ -6,7 +6,7 @@ are byte offsets.  A text is first split by the pattern; each different piece is
 bounded cache, since most pieces come back.  Decoding looks the bytes of each id up and joins them, so a
 character whose bytes are spread over several tokens is whole again; bytes that are no UTF-8 remain bytes.
 
-Each task holds one slice of about a megabyte of text and the cache.  Nothing is shuffled.
+Each task holds one slice of about 256 KB of text and the cache.  Nothing is shuffled.
 
 Defined results: null and empty texts have no tokens and decode to the empty string.  Further columns are
 ignored; an empty table gives an empty result; repeated rows are encoded each.

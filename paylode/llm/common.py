@@ -13,12 +13,20 @@ from pyspark.sql import functions as F
 from paylode.session import staged
 
 EDGES_PER_TASK = 200_000
+BATCH_BYTES = "8m"
+_BATCH, _DEFAULT_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package also where the driver only has it on ``sys.path``."""
+    """Let Python workers import this package also where the driver only has it on ``sys.path``.
+
+    A session that leaves the size of Arrow batches at Spark's default gets smaller ones: a task holds each
+    batch in the JVM and in Python.
+    """
+    if spark.conf.get(_BATCH) == _DEFAULT_BATCH:
+        spark.conf.set(_BATCH, BATCH_BYTES)
     environment = spark.sparkContext.environment
     paths = environment.get("PYTHONPATH", "").split(":")
     if ROOT not in paths:
@@ -35,7 +43,7 @@ def text_md5(column: str = "text") -> Column:
     return F.unhex(F.md5(F.coalesce(F.col(column), F.lit("")).cast("binary")))
 
 
-def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 1 << 18) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of about ``most_bytes`` of one text column; one longer text is a piece of its own.
 
     Bounds what numpy holds at once, whatever the size of an Arrow batch.

@@ -31,7 +31,7 @@ _powers: dict[int, np.ndarray] = {}
 def _powers_of(base: int, n: int) -> np.ndarray:
     held = _powers.get(base)
     if held is None or len(held) < n:
-        size = max(1 << 20, 1 << (n - 1).bit_length())
+        size = max(1 << 16, 1 << (n - 1).bit_length())
         factors = np.full(size, base, U64)
         factors[0] = 1
         held = _powers[base] = np.multiply.accumulate(factors)
