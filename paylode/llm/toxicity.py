@@ -6,7 +6,7 @@ likelihood of the documents' labels trains the sentences' weights, which then sa
 
 The model is fitted in one task on a bounded sample of labelled rows, ``MOST_POSITIVE`` and
 ``MOST_NEGATIVE`` documents of at most ``LONGEST`` bytes in the order of a hash of their id, weighted back to
-the shares among all labelled rows; it keeps at most ``MOST_FEATURES`` words.  So the sample's words and the
+the shares among all labelled documents of that length; it keeps at most ``MOST_FEATURES`` words.  So the sample's words and the
 model, which goes to every task, have a fixed size bound.  Scoring reads every whole text.
 
 Defined results: null and empty texts score 0, as does everything without a labelled row; with labels of one
@@ -28,9 +28,10 @@ from pyspark.sql import functions as F
 from paylode.llm import hashing
 from paylode.llm.common import hash_sample, ready, slices
 from paylode.llm.hashing import U64
+from paylode.session import settled
 
-MOST_POSITIVE = 2_000
-MOST_NEGATIVE = 3_000
+MOST_POSITIVE = 3_000
+MOST_NEGATIVE = 5_000
 LONGEST = 64 << 10
 MOST_FEATURES = 50_000
 LEAST_RATIO = 20.0
@@ -139,7 +140,7 @@ def _vocabulary(found: Bags, labels: np.ndarray) -> np.ndarray:
     first = hashing.firsts(hashes)
     if not len(first):
         return hashes
-    fresh = np.ones(len(hashes), np.int64)
+    fresh = np.ones(len(hashes), np.int32)
     fresh[1:] = (hashes[1:] != hashes[:-1]) | (doc[1:] != doc[:-1])
     n, total, positive = np.add.reduceat(fresh, first), len(labels), int(labels.sum())
     k = np.add.reduceat(fresh * (labels[doc] == 1), first)
@@ -232,9 +233,11 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def train(documents: DataFrame, labels: DataFrame) -> Model:
     """A model from labelled documents; give only the rows that may be learnt from."""
     spark = ready(documents.sparkSession)
-    marked = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(
+    given = labels.where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(
         F.max("toxic").cast("int").alias("toxic"))
     texts = documents.select("doc_id", "text").where(F.octet_length(F.coalesce("text", F.lit(""))) <= LONGEST)
+    # Only what can be learnt from is drawn and weighted.
+    marked = settled(spark, "usable-labels", lambda: given.join(texts.select("doc_id"), "doc_id", "left_semi"))
     rows, total = [], {r["toxic"]: r["count"] for r in marked.groupBy("toxic").count().collect()}
     for kind, most in ((1, MOST_POSITIVE), (0, MOST_NEGATIVE)):
         if total.get(kind):

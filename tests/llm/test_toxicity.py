@@ -42,6 +42,23 @@ def test_held_out_documents_are_told_apart(spark, learnt):
     assert len(held) > 60 and np.mean([r.predicted == labels[r.doc_id] for r in held]) > 0.95
 
 
+def test_the_sample_is_drawn_from_what_can_be_learnt_from(spark, monkeypatch):
+    """Labels without a document, or with one that is too long, take no place in it."""
+    monkeypatch.setattr(toxicity, "MOST_POSITIVE", 150)
+    monkeypatch.setattr(toxicity, "MOST_NEGATIVE", 150)
+    rows, labels = table()
+    long_ = "tea " * (toxicity.LONGEST // 4 + 1)
+    absent = [(10**6 + k, k % 2) for k in range(20_000)] + [(2 * 10**6 + k, k % 2) for k in range(40)]
+    marked = spark.createDataFrame(labels + absent, "doc_id long, toxic int").where(~toxicity.held_out())
+    model = toxicity.train(documents(spark, rows + [(2 * 10**6 + k, long_) for k in range(40)]), marked)
+    found = toxicity.score(documents(spark, rows), model).where("held_out").collect()
+    assert np.mean([r.predicted == dict(labels)[r.doc_id] for r in found]) > 0.95
+
+
+def test_the_sample_has_its_full_size():
+    assert (toxicity.MOST_POSITIVE, toxicity.MOST_NEGATIVE) == (3_000, 5_000)
+
+
 def test_scores_are_noisy_or_of_the_sentences(learnt):
     rows, _, model = learnt
     texts = [t for _, t in rows[:40]] + ["", "no stop here", "...", None]
