@@ -4,7 +4,8 @@ Every document's set of five-word shingles is hashed once per permutation and bo
 largest value are kept, so 60 hash evaluations give a signature of 120 values.  24 bands of five values
 (never both ends of one permutation) find a pair of similarity 0.85 with probability above 0.999999.
 
-What happens to large groups: documents with the same set are one class and only its smallest id goes on.
+What happens to large groups: documents with the same set are one class, and only one text of it goes on
+under a number of its own, so that neither missing nor repeated ids matter.
 In each bucket the members are compared with few hubs, not with each other: round 0 has one hub, round
 ``t`` about ``16**t`` random ones, and a round only compares members that are not yet connected with a hub,
 in buckets where several components are left.  The last round makes every member a hub, so each pair of a
@@ -16,9 +17,9 @@ fewest shingles of its own, which is likest to the others, is a hub before the r
 confirmed on the full sets.
 
 Defined results: null or empty text has an empty set and is linked with nothing.  Documents of one to four
-words have their whole sequence as one shingle.  Repeated rows are one document with one component.  A row
-without an id takes the component of the documents with its set, null if there are none.  Further columns
-are ignored; an empty table gives an empty result.
+words have their whole sequence as one shingle.  Repeated rows are one document with one component; different
+texts under one id are different documents.  A component is named by its smallest id: null if no row of it
+has one.  Further columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylode.llm import bloom, hashing
-from paylode.llm.common import components, few_tasks, ready, slices
+from paylode.llm.common import components, few_tasks, ready, slices, text_md5
 from paylode.llm.hashing import U64, mix
 from paylode.session import settled, staged
 
@@ -42,7 +43,7 @@ ROWS = 2 * PERMUTATIONS // BANDS
 GROWTH = 4  # a round has 2**GROWTH times the hubs of the one before
 PAIRS_PER_TASK = 2_000
 
-_SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"
+_SIGNED = "doc_id long, text_id binary, n_shingles long, set_a long, set_b long, bands array<long>"
 
 
 def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
@@ -102,9 +103,9 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 keys = band_keys(signatures(values, starts))
                 offsets[1:] = np.cumsum((sizes > 0) * BANDS)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id").cast(pa.int64()), pa.array(sizes), pa.array(digests[:, 0]),
+                [part.column("doc_id").cast(pa.int64()), part.column("text_id"), pa.array(sizes), pa.array(digests[:, 0]),
                  pa.array(digests[:, 1]), pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel()))],
-                names=["doc_id", "n_shingles", "set_a", "set_b", "bands"])
+                names=["doc_id", "text_id", "n_shingles", "set_a", "set_b", "bands"])
 
 
 def _confirmed(percent: int):
@@ -162,22 +163,43 @@ def near_duplicates(documents: DataFrame, percent: int = 80) -> DataFrame:
     return settled(ready(documents.sparkSession), "near-duplicates", lambda: _near_duplicates(documents, percent))
 
 
+_SET = ["n_shingles", "set_a", "set_b"]
+
+
 def _near_duplicates(documents: DataFrame, percent: int) -> DataFrame:
-    documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
+    signed, classes, groups = _grouped(documents, percent)
+    lowest = classes.join(groups, classes["id"] == groups["node"]).groupBy("component").agg(F.min("doc_id").alias("lowest"))
+    named = classes.join(groups.join(lowest, "component"), classes["id"] == F.col("node"), "left").select(
+        *_SET, F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("lowest")).alias("component_id"))
+    out = signed.select("doc_id", *_SET).join(named, _SET, "left").withColumn(
+        "component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
+    return out.select("doc_id", "n_shingles", "component_id",
+                      F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def _grouped(documents: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``signed`` (a row per document), ``classes`` (a row per set: its first row's ids) and ``groups`` of their numbers."""
+    documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_md5().alias("text_id"), "text")
     signed = staged(documents.mapInArrow(_sign, _SIGNED), "minmax")
-    same = ["n_shingles", "set_a", "set_b"]
-    classes = staged(signed.where("n_shingles > 0").groupBy(*same).agg(F.min("doc_id").alias("id")), "set-classes")
+    classes = signed.where("n_shingles > 0").groupBy(*_SET).agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_id")).alias("rank"),
+        F.first("bands").alias("bands"))
+    classes = staged(classes.select(
+        *_SET, "rank", "rank.doc_id", "rank.text_id", "bands", F.monotonically_increasing_id().alias("id")), "set-classes")
 
-    banded = signed.where("n_shingles > 0").join(classes, same).where("doc_id = id").select(
-        "id", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
+    banded = classes.select("id", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
     shared = banded.groupBy("bucket").agg(
         F.min("id").alias("hub"), F.min_by("n", "id").alias("hub_n"), F.max("id").alias("last"),
         F.count(F.lit(1)).alias("size")).where("hub != last").drop("last")
     buckets = staged(banded.join(shared, "bucket"), "buckets")
     # Most documents have no candidate: their texts stay where they are.
-    ids = staged(buckets.select("id").distinct(), "candidates")
-    texts = documents.where(bloom.may_be_in(ids, "id", "doc_id")).withColumnRenamed("doc_id", "id")
-    texts = staged(texts.join(ids, "id", "left_semi"), "candidate-texts")
+    # Of a class only the first row's text goes on.
+    ids = classes.join(buckets.select("id").distinct(), "id", "left_semi").select(
+        "id", F.col("doc_id").alias("of_doc"), F.col("text_id").alias("of_text"), F.xxhash64("doc_id", "text_id").alias("both"))
+    ids = staged(ids, "candidates")
+    texts = documents.withColumn("both", F.xxhash64("doc_id", "text_id")).where(bloom.may_be_in(ids, "both", "both"))
+    same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_id") == F.col("of_text"))
+    texts = staged(texts.drop("both").join(ids, same).select("id", "text").dropDuplicates(["id"]), "candidate-texts")
 
     # When a member's turn as a hub comes: round 0 is the smallest's, a later round has 2**GROWTH as many.
     zeros = F.expr("length(regexp_extract(lpad(bin(xxhash64(bucket, id)), 64, '0'), '(0*)$', 1))")
@@ -243,20 +265,30 @@ def _near_duplicates(documents: DataFrame, percent: int) -> DataFrame:
         left = left.drop("component", "places")
         turn_now += 1
 
-    named = classes.join(groups, classes["id"] == groups["node"], "left").select(
-        *same, F.coalesce("component", "id").alias("component_id"))
-    out = signed.select("doc_id", *same).join(named, same, "left").withColumn(
-        "component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")))
-    return out.select("doc_id", "n_shingles", "component_id",
-                      F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return signed, classes.drop("bands"), groups
 
 
 def keep_one(documents: DataFrame, percent: int = 80) -> DataFrame:
     """The documents without the near copies of an earlier one; all columns stay.
 
-    Repeated rows of one id leave one row, and rows without an id stay where no document has their set.
+    Of each component the row with the smallest id stays, one without an id where no row has one; of different
+    texts under that id one.  Repeated rows of one id leave one row.  Rows without a shingle are no copies: each
+    without an id stays.
     """
-    kept = near_duplicates(documents, percent).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    columns = documents.columns
-    same_id = documents["doc_id"].eqNullSafe(kept["kept_id"])
-    return documents.join(kept, same_id, "left_semi").dropDuplicates(["doc_id"]).select(*columns)
+    def first_rows() -> DataFrame:
+        signed, classes, groups = _grouped(documents, percent)
+        named = classes.join(groups, classes["id"] == groups["node"], "left").withColumn(
+            "component", F.coalesce("component", "id"))
+        first = named.groupBy("component").agg(F.min("rank").alias("rank"))
+        return first.select("rank.doc_id", "rank.text_id", F.lit(False).alias("bare")).union(
+            signed.where("n_shingles = 0").select("doc_id", "text_id", F.lit(True)).distinct())
+
+    kept = settled(ready(documents.sparkSession), "first-rows", first_rows).select(
+        F.col("doc_id").alias("of_doc"), F.col("text_id").alias("of_text"), "bare")
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
+    rows = documents.select(row, F.col("doc_id").cast("long").alias("key_doc"), text_md5().alias("key_text"))
+    nameless = F.col("bare") & F.col("of_doc").isNull()
+    same = F.col("key_doc").eqNullSafe(F.col("of_doc")) & (F.col("key_text") == F.col("of_text"))
+    one = rows.join(kept.where(~nameless), same, "left_semi").dropDuplicates(["key_doc", "key_text"])
+    bare = rows.where("key_doc is null").join(kept.where(nameless), F.col("key_text") == F.col("of_text"), "left_semi")
+    return one.union(bare).select(*[F.col(f"row.`{c}`") for c in documents.columns])

@@ -62,6 +62,22 @@ def test_repeated_rows_rows_without_id_and_an_empty_table(spark):
     assert minhash.near_duplicates(documents(spark, [])).count() == 0
 
 
+def test_different_texts_without_an_id_or_under_one_id_stay(spark):
+    one, two, three, four = (prose(k, 200) for k in (21, 22, 23, 24))
+    near = two + " and more"
+    rows = [(None, one), (None, one), (None, two), (None, near), (None, three), (None, ""), (None, ""), (None, None),
+            (5, four), (5, prose(25, 80)), (6, prose(26, 80)), (6, "x " + prose(26, 80)), (8, ""), (8, ""), (9, three + " end")]
+    kept = [(r.doc_id, r.text) for r in minhash.keep_one(documents(spark, rows, extra=True)).collect()]
+    nameless = [t for i, t in kept if i is None]
+    assert len(nameless) == 5 and nameless.count("") == 2 and nameless.count(None) == 1 and one in nameless
+    assert (two in nameless) != (near in nameless)
+    assert sorted((i, t[:20]) for i, t in kept if i not in (None, 6)) == sorted(
+        (i, t[:20]) for i, t in [(5, four), (5, prose(25, 80)), (8, ""), (9, three)])
+    assert sum(i == 6 for i, _ in kept) == 1
+    found = minhash.near_duplicates(documents(spark, rows)).collect()
+    assert sorted(r.component_id for r in found if r.doc_id is None and r.component_id) == [9]
+
+
 def test_documents_that_share_little_are_not_paired(spark):
     """Heavily changed copies share bands, but what they share bounds their similarity."""
     base = prose(4, 300)
