@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylode.llm import bpe, minhash, mixing, quality, repeats, sql, toxicity, units, urls, vectors, warc
+from paylode.llm import bpe, conversations, minhash, mixing, quality, repeats, sql, toxicity, units, urls, vectors, warc
 from paylode.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,8 @@ def op10(spark, sf_dir):
         F.col("host").rlike(rf"(^|[.])({'|'.join(SPAM_SITES)})[.]example[.]"))
     listed = spam.select(urls.canonical(F.col("host"), F.col("path")).alias("url")).distinct()
     return urls.judge(pages, rules, listed)
+
+
+@query("op12_checkpointed_repair", sql.CONVERSATIONS)
+def op12(spark, sf_dir):
+    return conversations.audited(table(spark, sf_dir, "conversations"))

@@ -125,3 +125,96 @@ n AS (SELECT doc_id, count_if(len(w) > 0) AS n_units FROM o GROUP BY doc_id)
 SELECT doc_id, CAST(n_units AS BIGINT) AS n_units, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
        CAST(coalesce(removed_chars, 0) AS BIGINT) AS removed_chars, coalesce(removed_spans, '') AS removed_spans
 FROM n LEFT JOIN gone USING (doc_id)"""
+
+
+# crc32 over a list of bytes, by the table of its 256 single bytes.
+_CRC_TABLE = """crc_table AS (
+    SELECT list(list_reduce(range(0, 8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)
+                ORDER BY i) AS crc
+    FROM range(256) r(i))"""
+
+
+def _crc32(of_bytes: str) -> str:
+    return f"""xor(list_reduce(list_concat([4294967295], {of_bytes}),
+        lambda c, b: xor(crc[CAST(xor(c, b) & 255 AS INT) + 1], c >> 8)), 4294967295)"""
+
+
+def _ascii(text: str) -> str:
+    return f"list_transform(string_split({text}, ''), lambda c: CAST(ord(c) AS BIGINT))"
+
+
+def _cheapest(state: int, *ways: str) -> str:
+    return f"list_min([{', '.join(ways)}]) AS s{state}"
+
+
+def _way(of: str, cost: str, letter: str, line: str = "''") -> str:
+    return f"{{c: ({of}).c + {cost}, a: ({of}).a || '{letter}', t: ({of}).t || {line}}}"
+
+
+def _with_inserts(source: str) -> str:
+    """Insertions relaxed: into USER and ASSISTANT from the others, then between those two."""
+    one = lambda s, role: _way(s, "3", "I", f"chr(10) || '{role}:'")
+    return f"""(SELECT * REPLACE (list_min([s2, {one('s3', 'user')}]) AS s2, list_min([s3, {one('s2', 'assistant')}]) AS s3)
+    FROM (SELECT * REPLACE (list_min([s2, {one('s0', 'user')}, {one('s1', 'user')}, {one('s3', 'user')}]) AS s2)
+    FROM ({source})))"""
+
+
+def _after_row() -> str:
+    """Each state's cheapest edits after a row: deleted, kept, or under a new role."""
+    keep = "CASE WHEN gone THEN 1000000 ELSE mend END"
+    own = "chr(10) || role || ':' || text"
+    kept = lambda s, initial: _way(s, f"CASE WHEN initial = '{initial}' THEN {keep} ELSE 1000000 END", "K", own)
+    new = lambda s, role: _way(s, f"3 + {keep}", "R", f"chr(10) || '{role}:' || text")
+    gone = [_way(f"s{s}", "4", "D") for s in range(4)]
+    users = [w for s in ("s0", "s1", "s3") for w in (kept(s, "u"), new(s, "user"))]
+    return ", ".join([
+        _cheapest(0, gone[0]), _cheapest(1, gone[1], kept("s0", "s")), _cheapest(2, gone[2], *users),
+        _cheapest(3, gone[3], kept("s2", "a"), new("s2", "assistant"))])
+
+
+_STATES = ", ".join(f"s{s}" for s in range(4))
+# Forwards, with the whole string of edits as part of what is compared; the operator works backwards on costs.
+CONVERSATIONS = f"""
+WITH RECURSIVE {_CRC_TABLE},
+k AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           {_crc32(_ascii("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')"))} % 20 AS kind
+    FROM conversations, crc_table),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+           CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS twice
+    FROM k WHERE kind <> 0),
+o AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+           regexp_replace(text, '[\\x20\\x09-\\x0D]+$', '') AS body, substr(role, 1, 1) AS initial
+    FROM damaged),
+p AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS again FROM o),
+f AS (
+    SELECT *, body = '' AS blank, body <> '' AND again > 1 AS duplicate, body = '' OR again > 1 AS gone,
+           body <> '' AND again = 1 AND right(body, 1) NOT IN ('.', '!', '?') AS truncated,
+           CASE WHEN body <> '' AND again = 1 AND right(body, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS mend,
+           lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS previous
+    FROM p),
+counted AS (
+    SELECT conv_id, max(i) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank) AS blank,
+           count_if(duplicate) AS duplicate, count_if(truncated) AS truncated,
+           count_if(previous IS NOT NULL AND previous || initial NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM f GROUP BY conv_id),
+steps AS (
+    SELECT conv_id, CAST(0 AS BIGINT) AS i, {{c: 0, a: '', t: ''}} AS s0, {{c: 1000000, a: '', t: ''}} AS s1,
+           {{c: 1000000, a: '', t: ''}} AS s2, {{c: 1000000, a: '', t: ''}} AS s3
+    FROM counted
+    UNION ALL
+    SELECT conv_id, i, {_after_row()}
+    FROM {_with_inserts(f"SELECT p.conv_id, f.i, {_STATES}, role, text, initial, gone, mend FROM steps p JOIN f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.i + 1")}),
+ended AS (
+    SELECT conv_id, list_min([s0, s3]) AS best
+    FROM {_with_inserts("SELECT steps.* FROM steps JOIN counted ON counted.conv_id IS NOT DISTINCT FROM steps.conv_id AND n = i")}),
+ids AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT ids.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(best.c, 0) AS BIGINT) AS cost,
+       coalesce(best.a, '') AS audit, sha256(coalesce(substr(best.t, 2), '')) AS repaired_sha256
+FROM ids LEFT JOIN counted ON counted.conv_id IS NOT DISTINCT FROM ids.conv_id
+LEFT JOIN ended ON ended.conv_id IS NOT DISTINCT FROM ids.conv_id"""
