@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylode.llm import bpe, conversations, minhash, mixing, quality, repeats, sql, toxicity, units, urls, vectors, warc
+from paylode.llm import bpe, conversations, minhash, mixing, quality, repeats, spelling, sql, toxicity, units, urls, vectors, warc
 from paylode.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,6 +101,11 @@ def op10(spark, sf_dir):
     return urls.judge(pages, rules, listed)
 
 
+@query("op11_bloom_neighbourhoods", sql.SPELLING)
+def op11(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"), damage=spelling.DAMAGE)
+
+
 @query("op12_checkpointed_repair", sql.CONVERSATIONS)
 def op12(spark, sf_dir):
     return conversations.audited(table(spark, sf_dir, "conversations"))

@@ -218,3 +218,41 @@ SELECT ids.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(bla
        coalesce(best.a, '') AS audit, sha256(coalesce(substr(best.t, 2), '')) AS repaired_sha256
 FROM ids LEFT JOIN counted ON counted.conv_id IS NOT DISTINCT FROM ids.conv_id
 LEFT JOIN ended ON ended.conv_id IS NOT DISTINCT FROM ids.conv_id"""
+
+
+# UTF-8 of the letters that words have: A-z in one byte, U+00C0 to U+00FF in two.
+_WORD_BYTES = """flatten(list_transform(string_split(CAST({} AS VARCHAR), ''), lambda c:
+    CASE WHEN ord(c) < 128 THEN [CAST(ord(c) AS BIGINT)] ELSE [195, CAST(ord(c) AS BIGINT) - 64] END))"""
+SPELLING = f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+    SELECT doc_id, unnest(regexp_extract_all({_ASCII_LOWER.format("coalesce(text, '')")}, '[a-z\\x{{C0}}-\\x{{FF}}]+')) AS run
+    FROM documents),
+each AS (SELECT doc_id, run, count(*) AS n FROM runs GROUP BY ALL),
+hashed AS (
+    SELECT run, n, {_crc32(_WORD_BYTES.format("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run"))} AS h
+    FROM each, crc_table),
+whole AS (
+    SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % len(run) AS INT)) || substr(run, CAST(h % len(run) AS INT) + 2)
+                ELSE run END AS word, n
+    FROM hashed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM whole WHERE len(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+spots AS (SELECT word, unnest(range(1, len(word) + 1)) AS i FROM words),
+holes AS (SELECT word, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM spots),
+pairs AS (
+    SELECT x.word, y.word AS near FROM holes x JOIN holes y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+    UNION SELECT h.word, w.word FROM holes h JOIN words w ON w.word = h.a || h.b
+    UNION SELECT w.word, h.word FROM holes h JOIN words w ON w.word = h.a || h.b),
+ranked AS (
+    SELECT pairs.word, near, o.n AS near_n, count(*) OVER (PARTITION BY pairs.word) AS n_near,
+           row_number() OVER (PARTITION BY pairs.word ORDER BY o.n DESC, near) AS place
+    FROM pairs JOIN words o ON o.word = near),
+formed AS (
+    SELECT words.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * n THEN near END AS form,
+           CASE WHEN near_n >= 5 * n THEN near_n END AS form_n
+    FROM words LEFT JOIN ranked ON ranked.word = words.word AND place = 1),
+up AS (
+    SELECT word, word AS at, form AS next FROM formed
+    UNION ALL SELECT up.word, up.next, f.form FROM up JOIN formed f ON f.word = up.next)
+SELECT formed.word, n, CAST(n_near AS BIGINT) AS n_near, form, form_n, up.at AS root
+FROM formed JOIN up ON up.word = formed.word AND up.next IS NULL"""
