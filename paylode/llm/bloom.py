@@ -54,11 +54,11 @@ def _build(n_blocks: int):
     return build
 
 
-def build(keys: DataFrame, key: str) -> np.ndarray:
-    """The filter of a column: a row of eight words per block."""
+def build(keys: DataFrame, key: str, hashed: bool = False) -> np.ndarray:
+    """The filter of a column: a row of eight words per block.  ``hashed`` columns are 64-bit hashes already."""
     n_blocks = max(1, min(MOST_BYTES // 64, -(-keys.count() * BITS_PER_KEY // 512)))
     names = [f"w{j}" for j in range(_WORDS)]
-    rows = keys.select(F.xxhash64(key).alias("hash")).mapInArrow(
+    rows = keys.select((F.col(key) if hashed else F.xxhash64(key)).alias("hash")).mapInArrow(
         _build(n_blocks), "block long, " + ", ".join(f"{n} long" for n in names))
     # At most a row per block.
     rows = rows.groupBy("block").agg(*[F.expr(f"bit_or({n})").alias(n) for n in names]).toPandas()

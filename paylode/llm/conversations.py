@@ -328,43 +328,47 @@ class _Piece:
         return 0 if self.low is None else self.high - self.low + 1 - self.turns
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pieces of about ``PIECE`` bytes of the repaired conversations of rows that come sorted by block and place."""
-    key, piece, number, audit, said, size, out, held = None, _Piece(), 0, [], [], 0, [], 0
-
-    def row():
-        return (key[1], key[0], number, False, "".join(audit), b"\n".join(said) + b"\n" * bool(said),
-                *(getattr(piece, c) for c in ("rows", "blank", "duplicate", "truncated", "illegal", "first", "last", "low", "high", "turns", "cost")))
-
-    names = [f.split()[0] for f in _PIECES.split(", ")]
-    kinds = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary()}
-    types = [kinds[f.split()[1]] for f in _PIECES.split(", ")]
-
-    def packed():
-        columns = list(zip(*out)) or [[]] * len(names)
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, types)], names=names)
-
-    columns = ("block", "conv_id", "turn", "fault", "initial", "edits", "lines")
-    for batch in batches:
-        for block, conv, turn, fault, initial, edits, lines in zip(*(batch.column(c).to_pylist() for c in columns)):
-            if (block, conv) != key or size >= PIECE:
-                if key is not None:
-                    out.append(row())
-                    held += size
-                    if held > PIECE or len(out) > 5_000:
-                        yield packed()
-                        out, held = [], 0
-                number = number + 1 if (block, conv) == key else 0
-                key, piece, audit, said, size = (block, conv), _Piece(), [], [], 0
-            kept = edits.strip("I")
-            cost = INSERT * (len(edits) - 1) + {"D": DELETE, "K": KEEP, "R": REROLE}[kept] + MEND * (fault == "truncated" and kept != "D")
-            piece.add(1, initial, initial, turn, turn, turns=int(turn is not None), cost=cost, **({fault: 1} if fault else {}))
-            audit.append(edits)
-            said += [f"{x['role']}:{x['text']}".encode() for x in lines]
-            size += sum(len(x["role"]) + len(x["text"]) + 1 for x in lines) + len(edits)
-    if key is not None:
-        out.append(row())
-    yield packed()
+def _cut(most: int):
+    """Pieces of about ``most`` bytes of the repaired conversations of rows that come sorted by block and place."""
+
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, piece, number, audit, said, size, out, held = None, _Piece(), 0, [], [], 0, [], 0
+
+        def row():
+            return (key[1], key[0], number, False, "".join(audit), b"\n".join(said) + b"\n" * bool(said),
+                    *(getattr(piece, c) for c in ("rows", "blank", "duplicate", "truncated", "illegal", "first", "last", "low", "high", "turns", "cost")))
+
+        names = [f.split()[0] for f in _PIECES.split(", ")]
+        kinds = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary()}
+        types = [kinds[f.split()[1]] for f in _PIECES.split(", ")]
+
+        def packed():
+            columns = list(zip(*out)) or [[]] * len(names)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, types)], names=names)
+
+        columns = ("block", "conv_id", "turn", "fault", "initial", "edits", "lines")
+        for batch in batches:
+            for block, conv, turn, fault, initial, edits, lines in zip(*(batch.column(c).to_pylist() for c in columns)):
+                if (block, conv) != key or size >= most:
+                    if key is not None:
+                        out.append(row())
+                        held += size
+                        if held > most or len(out) > 5_000:
+                            yield packed()
+                            out, held = [], 0
+                    number = number + 1 if (block, conv) == key else 0
+                    key, piece, audit, said, size = (block, conv), _Piece(), [], [], 0
+                kept = edits.strip("I")
+                cost = INSERT * (len(edits) - 1) + {"D": DELETE, "K": KEEP, "R": REROLE}[kept] + MEND * (fault == "truncated" and kept != "D")
+                piece.add(1, initial, initial, turn, turn, turns=int(turn is not None), cost=cost, **({fault: 1} if fault else {}))
+                audit.append(edits)
+                said += [f"{x['role']}:{x['text']}".encode() for x in lines]
+                size += sum(len(x["role"]) + len(x["text"]) + 1 for x in lines) + len(edits)
+        if key is not None:
+            out.append(row())
+        yield packed()
+
+    return pieces
 
 
 _REPORT = "conv_id long, gaps long, blank long, duplicate long, truncated long, illegal long, cost long, audit string, repaired_sha256 string"
@@ -408,7 +412,7 @@ def report(conversations: DataFrame) -> DataFrame:
 
     def build() -> DataFrame:
         lines = _repaired(conversations).drop("role", "text").sortWithinPartitions("block", "at")
-        pieces = lines.mapInArrow(_pieces, _PIECES)
+        pieces = lines.mapInArrow(_cut(PIECE), _PIECES)
         return pieces.repartition("conv_id").sortWithinPartitions(
             F.col("conv_id").asc_nulls_first(), "block", "piece").mapInArrow(_joined, _REPORT)
 

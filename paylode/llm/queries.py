@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paylode.llm import bpe, conversations, minhash, mixing, quality, repeats, spelling, sql, toxicity, units, urls, vectors, warc
+from paylode.llm import bpe, conversations, minhash, mixing, quality, repeats, spelling, sql, suffix_tree, toxicity, units, urls, vectors, warc
 from paylode.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +109,8 @@ def op11(spark, sf_dir):
 @query("op12_checkpointed_repair", sql.CONVERSATIONS)
 def op12(spark, sf_dir):
     return conversations.audited(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_suffix_tree_scores")
+def op13(spark, sf_dir):
+    return suffix_tree.scored(table(spark, sf_dir, "documents"))
