@@ -61,9 +61,11 @@ def build(keys: DataFrame, key: str, hashed: bool = False) -> np.ndarray:
     rows = keys.select((F.col(key) if hashed else F.xxhash64(key)).alias("hash")).mapInArrow(
         _build(n_blocks), "block long, " + ", ".join(f"{n} long" for n in names))
     # At most a row per block.
-    rows = rows.groupBy("block").agg(*[F.expr(f"bit_or({n})").alias(n) for n in names]).toPandas()
+    rows = rows.groupBy("block").agg(*[F.expr(f"bit_or({n})").alias(n) for n in names]).toArrow()
     words = np.zeros((n_blocks, _WORDS), U64)
-    words[rows["block"].to_numpy(np.int64)] = np.ascontiguousarray(rows[names].to_numpy(np.int64)).view(U64)
+    block = rows.column("block").to_numpy()
+    for j, name in enumerate(names):
+        words[block, j] = rows.column(name).to_numpy().astype(np.int64, copy=False).view(U64)
     return words
 
 

@@ -164,8 +164,10 @@ def build_filters(words: DataFrame) -> Filters:
     filters = Filters(sizes)
     names = [f"w{j}" for j in range(8)]
     rows = words.select("word").mapInArrow(_set_bits(filters), "block long, " + ", ".join(f"{n} long" for n in names))
-    rows = rows.groupBy("block").agg(*[F.expr(f"bit_or({n})").alias(n) for n in names]).toPandas()
-    filters.words[rows["block"].to_numpy(np.int64)] = np.ascontiguousarray(rows[names].to_numpy(np.int64)).view(U64)
+    rows = rows.groupBy("block").agg(*[F.expr(f"bit_or({n})").alias(n) for n in names]).toArrow()
+    block = rows.column("block").to_numpy()
+    for j, name in enumerate(names):
+        filters.words[block, j] = rows.column(name).to_numpy().astype(np.int64, copy=False).view(U64)
     return filters
 
 

@@ -45,8 +45,8 @@ LEAST_SHARE = 2.0 ** -18
 LEAST_COUNT = 8          # in small tables
 DIVERGENCE = 3.0         # natural logarithms, over all occurrences of a context
 FOLLOWERS = 1 << 16
-HOT_ENTRIES = 1 << 20
-HOT_WORDS = 1 << 19
+HOT_ENTRIES = 1 << 18
+HOT_WORDS = 1 << 18
 _TOGETHER = 1 << 20      # positions that a task adds up at once
 _STEPS = hashing.constants("suffix-tree", DEPTH + 8)
 _FOLLOWED = hashing.constants("followed-by", 2)
