@@ -45,8 +45,8 @@ LEAST_SHARE = 2.0 ** -18
 LEAST_COUNT = 8          # in small tables
 DIVERGENCE = 3.0         # natural logarithms, over all occurrences of a context
 FOLLOWERS = 1 << 16
-HOT_ENTRIES = 1 << 18
-HOT_WORDS = 1 << 18
+HOT_ENTRIES = 1 << 20
+HOT_WORDS = 1 << 19
 _TOGETHER = 1 << 20      # positions that a task adds up at once
 _STEPS = hashing.constants("suffix-tree", DEPTH + 8)
 _FOLLOWED = hashing.constants("followed-by", 2)
@@ -374,15 +374,19 @@ def _hot(rows: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, int]:
 
 
 _ASKED = "array<struct<at:int,level:int,key:long,value:double>>"
-_SCORED = f"row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, asked {_ASKED}"
+_SCORED = f"row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, asked {_ASKED}, rare array<struct<key:long,value:double>>"
+_SCORED_NAMES = [f.split()[0] for f in _SCORED.split(", ")]
+_RARE_TYPE = pa.struct([("key", pa.int64()), ("value", pa.float64())])
 _ASKED_TYPE = pa.struct([("at", pa.int32()), ("level", pa.int32()), ("key", pa.int64()), ("value", pa.float64())])
 
 
 def _score(shared):
     """Sums of what the hot tables tell, and what has to be asked of the others.
 
-    Of a token asked about, each place where it may have an entry is a row (``level`` 0: the word itself), and
-    level -1 holds the value that it has if none of them exists.
+    A token that may have an entry outside the hot ones is in ``asked``: each place where it may have one is a row
+    (``level`` 0: the word itself), and level -1 holds the value that it has if none of them exists.  Of the others
+    those whose word is not a hot one are in ``rare``, with what goes before the word's value; null if an entry has
+    told the token's value and the word only counts for the base.
     """
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -424,25 +428,29 @@ def _score(shared):
                 index = find(word_hot, keys)
                 known = index >= 0
                 word = np.where(known, word_values[index] if len(word_values) else unknown, unknown)
-                cold_words = np.flatnonzero(~known)
+                cold_words = np.flatnonzero(~known & waits)
                 asked.append((cold_words, 0, keys[cold_words], np.where(open_, value, -np.inf)[cold_words]))
+                rare = np.flatnonzero(~known & ~waits)
+                rare_values = pa.array(value[rare], mask=~open_[rare])
+                told = ~waits & ~(open_ & ~known)
                 value[open_] += word[open_]
-                waits[cold_words] = True
                 rest = np.flatnonzero(waits)
                 asked.append((rest, -1, np.zeros(len(rest), U64), value[rest]))
                 sums = lambda x, own: np.bincount(doc[own], x[own], minlength=len(part)).astype(float)
                 who = np.concatenate([a[0] for a in asked])
                 order = np.argsort(doc[who], kind="stable")
-                offsets = np.searchsorted(doc[who][order], np.arange(len(part) + 1)).astype(np.int32)
+                offsets = lambda docs: pa.array(np.searchsorted(docs, np.arange(len(part) + 1)).astype(np.int32))
                 columns = [place[at[who]].astype(np.int32), np.concatenate([np.full(len(a[0]), a[1], np.int32) for a in asked]),
                            np.concatenate([a[2] for a in asked]).view(np.int64), np.concatenate([a[3] for a in asked])]
                 asks = pa.StructArray.from_arrays([pa.array(c[order]) for c in columns], fields=list(_ASKED_TYPE))
+                rares = pa.StructArray.from_arrays([pa.array(keys[rare].view(np.int64)), rare_values], fields=list(_RARE_TYPE))
                 yield pa.RecordBatch.from_arrays([
                     part.column("row"), part.column("doc_id"), part.column("held_out"),
                     pa.array(np.bincount(doc, minlength=len(part)).astype(np.int64)),
                     pa.array(sums(known.astype(float), slice(None)).astype(np.int64)),
-                    pa.array(sums(word, known)), pa.array(sums(value, ~waits)),
-                    pa.ListArray.from_arrays(pa.array(offsets), asks)], names=[f.split()[0] for f in _SCORED.split(", ")])
+                    pa.array(sums(word, known)), pa.array(sums(value, told)),
+                    pa.ListArray.from_arrays(offsets(doc[who][order]), asks), pa.ListArray.from_arrays(offsets(doc[rare]), rares)],
+                    names=_SCORED_NAMES)
 
     return score
 
@@ -484,10 +492,16 @@ def score(documents: DataFrame, tree: Tree, held: Column | None = None,
     tokens = either.groupBy("row", "at").agg(
         F.max(F.when((F.col("cold") == 0) & (F.col("value") > -F.lit(float("inf"))), F.struct("level", "value"))).alias("best"),
         F.max("word").alias("word"), F.max("cold").alias("cold"))
-    sums = tokens.groupBy("row").agg(
-        F.sum("best.value").alias("more"), F.sum(F.when(F.col("cold") == 1, F.coalesce("word", F.lit(unknown)))).alias("more_base"),
-        F.count("word").alias("more_known"))
-    return scored.drop("asked").join(sums, "row", "left").select(
+    tokens = tokens.select(
+        "row", F.col("best.value").alias("more"), F.when(F.col("cold") == 1, F.coalesce("word", F.lit(unknown))).alias("more_base"),
+        F.col("word").isNotNull().cast("long").alias("more_known"))
+    own = F.coalesce("own", F.lit(unknown))
+    rare = scored.select("row", F.inline("rare")).join(
+        words.where(F.col("n") < least_word).select("key", F.col("value").alias("own")), "key", "left").select(
+        "row", (F.col("value") + own).alias("more"), own.alias("more_base"), F.col("own").isNotNull().cast("long").alias("more_known"))
+    more = ("more", "more_base", "more_known")
+    sums = tokens.union(rare).groupBy("row").agg(*[F.sum(c).alias(c) for c in more])
+    return scored.drop("asked", "rare").join(sums, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(tree.tokens).cast("long").alias("train_tokens"),
         (F.col("base_score") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
