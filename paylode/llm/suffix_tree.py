@@ -286,7 +286,8 @@ def _tested(level: Level, rows: DataFrame, tree: Tree, before: Level | None, div
         each = each.join(above, ["parent", "follower"])
     p = (F.col("n") - 1 + F.col("types") * F.col("above")) / F.col("total")
     left = (F.col("n") - 2 + F.col("types") * F.col("above")) / ((F.col("total") - 1) * F.col("above"))
-    entries = staged(each.select("context", "follower", "n", p.alias("p"), (F.col("n") * F.log(left)).alias("gain")), "entries")
+    more = F.log10(p / (F.col("types") * F.col("above") / F.col("total")))
+    entries = staged(each.select("context", "follower", "n", p.alias("p"), more.alias("more"), (F.col("n") * F.log(left)).alias("gain")), "entries")
     gains = entries.groupBy("context").agg(F.sum("gain").alias("gain")).toArrow()
     gain = np.zeros(len(level.hashes))
     gain[_array(gains, "context")] = _array(gains, "gain", np.float64)
@@ -333,8 +334,8 @@ def _keyed_entries(shared):
             follower = batch.column("follower").to_numpy().view(U64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(entry_keys(hashes[context[own]], follower[own]).view(np.int64)),
-                 pa.array(np.log10(batch.column("p").to_numpy()[own])), pa.array(batch.column("n").to_numpy()[own])],
-                names=["key", "value", "n"])
+                 pa.array(np.log10(batch.column("p").to_numpy()[own])), pa.array(batch.column("more").to_numpy()[own]),
+                 pa.array(batch.column("n").to_numpy()[own])], names=["key", "value", "more", "n"])
 
     return keyed
 
@@ -345,12 +346,12 @@ def _keyed_words(floor: int):
             n = batch.column("n").to_numpy()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(word_keys(batch.column("symbol").to_numpy().view(U64)).view(np.int64)),
-                 pa.array(np.log10((n + 1) / floor)), pa.array(n)], names=["key", "value", "n"])
+                 pa.array(np.log10((n + 1) / floor)), pa.array(np.log10(n + 1.0)), pa.array(n)], names=["key", "value", "more", "n"])
 
     return keyed
 
 
-_KEYED = "key long, value double, n long"
+_KEYED = "key long, value double, more double, n long"
 
 
 def most_frequent(rows: DataFrame, most: int) -> int:
@@ -373,20 +374,20 @@ def _hot(rows: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray, int]:
     return keys[order], _array(table, "value", np.float64)[order], least
 
 
-_ASKED = "array<struct<at:int,level:int,key:long,value:double>>"
-_SCORED = f"row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, asked {_ASKED}, rare array<struct<key:long,value:double>>"
+#: What a rare entry adds to: the score alone (an entry of a state), the base alone, or both (a word).
+_TO_SCORE, _TO_BASE, _TO_BOTH = range(3)
+_ASKED = "array<struct<key:long,adds:tinyint>>"
+_SCORED = f"row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, asked {_ASKED}"
 _SCORED_NAMES = [f.split()[0] for f in _SCORED.split(", ")]
-_RARE_TYPE = pa.struct([("key", pa.int64()), ("value", pa.float64())])
-_ASKED_TYPE = pa.struct([("at", pa.int32()), ("level", pa.int32()), ("key", pa.int64()), ("value", pa.float64())])
+_ASKED_TYPE = pa.struct([("key", pa.int64()), ("adds", pa.int8())])
 
 
 def _score(shared):
-    """Sums of what the hot tables tell, and what has to be asked of the others.
+    """Sums of what the hot tables tell, and the keys of what may be among the others.
 
-    A token that may have an entry outside the hot ones is in ``asked``: each place where it may have one is a row
-    (``level`` 0: the word itself), and level -1 holds the value that it has if none of them exists.  Of the others
-    those whose word is not a hot one are in ``rare``, with what goes before the word's value; null if an entry has
-    told the token's value and the word only counts for the base.
+    An entry that is not hot only adds to what its token has without it: a state's entry to the value that its
+    parent gives, a word to that of an unknown word.  As the parent of a state with an entry has one too, these
+    additions may be made one by one, and a key without an entry adds nothing.
     """
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -407,10 +408,8 @@ def _score(shared):
                     index = find(hashes, context[here])
                     here, index = here[index >= 0], index[index >= 0]
                     states.append((here, context[here], weights[index]))
-                value, waits, asked = np.zeros(n), np.zeros(n, bool), []
-                open_ = np.ones(n, bool)
-                for level in range(len(states), 0, -1):
-                    own, context, weights = states[level - 1]
+                value, open_, asked = np.zeros(n), np.ones(n, bool), []
+                for own, context, weights in reversed(states):
                     left = open_[own]
                     own, context, weights = own[left], context[left], weights[left]
                     keys = entry_keys(context, seq[at[own]])
@@ -418,39 +417,28 @@ def _score(shared):
                     hit = index >= 0
                     value[own[hit]] += hot_values[index[hit]]
                     open_[own[hit]] = False
-                    own, keys, weights = own[~hit], keys[~hit], weights[~hit]
-                    if len(cold):
-                        maybe = bloom.passed(cold, keys.view(np.int64)) if len(keys) else np.zeros(0, bool)
-                        asked.append((own[maybe], level, keys[maybe], value[own[maybe]]))
-                        waits[own[maybe]] = True
-                    value[own] += weights
+                    own, keys = own[~hit], keys[~hit]
+                    value[own] += weights[~hit]
+                    if len(cold) and len(keys):
+                        maybe = bloom.passed(cold, keys.view(np.int64))
+                        asked.append((own[maybe], keys[maybe], np.full(int(maybe.sum()), _TO_SCORE, np.int8)))
                 keys = word_keys(seq[at])
                 index = find(word_hot, keys)
                 known = index >= 0
                 word = np.where(known, word_values[index] if len(word_values) else unknown, unknown)
-                cold_words = np.flatnonzero(~known & waits)
-                asked.append((cold_words, 0, keys[cold_words], np.where(open_, value, -np.inf)[cold_words]))
-                rare = np.flatnonzero(~known & ~waits)
-                rare_values = pa.array(value[rare], mask=~open_[rare])
-                told = ~waits & ~(open_ & ~known)
                 value[open_] += word[open_]
-                rest = np.flatnonzero(waits)
-                asked.append((rest, -1, np.zeros(len(rest), U64), value[rest]))
-                sums = lambda x, own: np.bincount(doc[own], x[own], minlength=len(part)).astype(float)
-                who = np.concatenate([a[0] for a in asked])
+                rare = np.flatnonzero(~known)
+                asked.append((rare, keys[rare], np.where(open_[rare], _TO_BOTH, _TO_BASE).astype(np.int8)))
+                who, keys, adds = (np.concatenate([a[k] for a in asked]) for k in range(3))
                 order = np.argsort(doc[who], kind="stable")
-                offsets = lambda docs: pa.array(np.searchsorted(docs, np.arange(len(part) + 1)).astype(np.int32))
-                columns = [place[at[who]].astype(np.int32), np.concatenate([np.full(len(a[0]), a[1], np.int32) for a in asked]),
-                           np.concatenate([a[2] for a in asked]).view(np.int64), np.concatenate([a[3] for a in asked])]
-                asks = pa.StructArray.from_arrays([pa.array(c[order]) for c in columns], fields=list(_ASKED_TYPE))
-                rares = pa.StructArray.from_arrays([pa.array(keys[rare].view(np.int64)), rare_values], fields=list(_RARE_TYPE))
+                offsets = np.searchsorted(doc[who][order], np.arange(len(part) + 1)).astype(np.int32)
+                asks = pa.StructArray.from_arrays([pa.array(keys[order].view(np.int64)), pa.array(adds[order])], fields=list(_ASKED_TYPE))
+                sums = lambda x: pa.array(np.bincount(doc, x, minlength=len(part)).astype(float))
                 yield pa.RecordBatch.from_arrays([
                     part.column("row"), part.column("doc_id"), part.column("held_out"),
                     pa.array(np.bincount(doc, minlength=len(part)).astype(np.int64)),
-                    pa.array(sums(known.astype(float), slice(None)).astype(np.int64)),
-                    pa.array(sums(word, known)), pa.array(sums(value, told)),
-                    pa.ListArray.from_arrays(offsets(doc[who][order]), asks), pa.ListArray.from_arrays(offsets(doc[rare]), rares)],
-                    names=_SCORED_NAMES)
+                    pa.array(np.bincount(doc[known], minlength=len(part)).astype(np.int64)), sums(word), sums(value),
+                    pa.ListArray.from_arrays(pa.array(offsets), asks)], names=_SCORED_NAMES)
 
     return score
 
@@ -482,26 +470,12 @@ def score(documents: DataFrame, tree: Tree, held: Column | None = None,
     shared = spark.sparkContext.broadcast((levels, (keys, values), (word_keys_, word_values), cold, unknown))
     scored = staged(rows.mapInArrow(_score(shared), _SCORED), "scored")
     shared.unpersist()
-    asked = scored.select("row", F.inline("asked"))
-    found = asked.where("level >= 0").join(lookup.select("key", F.col("value").alias("own")), "key").select(
-        "row", "at", "level", (F.col("value") + F.col("own")).alias("value"), F.when(F.col("level") == 0, F.col("own")).alias("word"))
-    # What has to be asked: a word outside the hot ones has a row of level 0, found or not.
-    cold_word = F.when(F.col("level") == 0, F.lit(1)).otherwise(0)
-    either = found.withColumn("cold", F.lit(0)).union(
-        asked.where("level <= 0").select("row", "at", "level", "value", F.lit(None).cast("double").alias("word"), cold_word.alias("cold")))
-    tokens = either.groupBy("row", "at").agg(
-        F.max(F.when((F.col("cold") == 0) & (F.col("value") > -F.lit(float("inf"))), F.struct("level", "value"))).alias("best"),
-        F.max("word").alias("word"), F.max("cold").alias("cold"))
-    tokens = tokens.select(
-        "row", F.col("best.value").alias("more"), F.when(F.col("cold") == 1, F.coalesce("word", F.lit(unknown))).alias("more_base"),
-        F.col("word").isNotNull().cast("long").alias("more_known"))
-    own = F.coalesce("own", F.lit(unknown))
-    rare = scored.select("row", F.inline("rare")).join(
-        words.where(F.col("n") < least_word).select("key", F.col("value").alias("own")), "key", "left").select(
-        "row", (F.col("value") + own).alias("more"), own.alias("more_base"), F.col("own").isNotNull().cast("long").alias("more_known"))
-    more = ("more", "more_base", "more_known")
-    sums = tokens.union(rare).groupBy("row").agg(*[F.sum(c).alias(c) for c in more])
-    return scored.drop("asked", "rare").join(sums, "row", "left").select(
+    found = scored.select("row", F.inline("asked")).join(lookup.select("key", "more"), "key")
+    sums = found.groupBy("row").agg(
+        F.sum(F.when(F.col("adds") != _TO_BASE, F.col("more"))).alias("more"),
+        F.sum(F.when(F.col("adds") != _TO_SCORE, F.col("more"))).alias("more_base"),
+        F.count(F.when(F.col("adds") != _TO_SCORE, 1)).alias("more_known"))
+    return scored.drop("asked").join(sums, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(tree.tokens).cast("long").alias("train_tokens"),
         (F.col("base_score") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
