@@ -95,13 +95,29 @@ def contexts_of(seq: np.ndarray, begins: np.ndarray, length: int) -> tuple[np.nd
     return at, context
 
 
-def find(table: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Where each value is in a sorted table; -1 if it is not there."""
-    if not len(table):
-        return np.full(len(values), -1)
-    at = np.searchsorted(table, values)
-    at[at == len(table)] = 0
-    return np.where(table[at] == values, at, -1)
+class Index:
+    """A sorted table of hashes with the beginnings of its buckets, which are as many as the table has rows or more."""
+
+    def __init__(self, table: np.ndarray):
+        bits = max(1, len(table).bit_length())
+        self.shift = U64(64 - bits)
+        self.begins = np.zeros((1 << bits) + 1, np.int32)
+        np.cumsum(np.bincount((table >> self.shift).astype(np.int64), minlength=1 << bits), out=self.begins[1:])
+        self.table = table
+
+    def find(self, values: np.ndarray) -> np.ndarray:
+        """Where each value is in the table; -1 if it is not there."""
+        bucket = (values >> self.shift).astype(np.int64)
+        at, end = self.begins[bucket], self.begins[bucket + 1]
+        out = np.full(len(values), -1, np.int32)
+        left = np.flatnonzero(at < end)
+        while len(left):
+            hit = self.table[at[left]] == values[left]
+            out[left[hit]] = at[left[hit]]
+            left = left[~hit]
+            at[left] += 1
+            left = left[at[left] < end[left]]
+        return out
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,14 +159,15 @@ def _follow(shared, length: int):
 
     def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, parts = shared.value
-        held, n = [], 0
+        index_of, held, n = Index(table), [], 0
+        low = U64(max(1, len(table).bit_length()))  # bits of a follower that make room for the context's
 
         def packed():
             context = np.concatenate([np.zeros(0, np.int64), *(h[0] for h in held)])
             follower = np.concatenate([np.zeros(0, U64), *(h[1] for h in held)])
-            part = (follower >> U64(40)).astype(np.int64) % parts[context] if len(context) else context
-            order = np.lexsort((follower, part, context))
-            context, part, follower = context[order], part[order], follower[order]
+            order = np.argsort((context.astype(U64) << (U64(64) - low)) | (follower >> low))
+            context, follower = context[order], follower[order]
+            part = ((follower >> U64(40)).astype(np.int64) * parts[context]) >> 24  # grows with the follower
             new = np.ones(len(context), bool)
             new[1:] = (context[1:] != context[:-1]) | (follower[1:] != follower[:-1])
             first = np.flatnonzero(new)
@@ -161,7 +178,7 @@ def _follow(shared, length: int):
             for piece in slices(batch, "text", 1 << 20):
                 seq, begins = symbols(piece.column("text"))
                 at, context = contexts_of(seq, begins, length)
-                index = find(table, context)
+                index = index_of.find(context)
                 known = index >= 0
                 held.append((index[known], seq[at[known]]))
                 n += int(known.sum())
@@ -243,7 +260,7 @@ def _level(words: np.ndarray, counts: np.ndarray, before: Level | None) -> Level
     hashes, parent = np.zeros(n, U64), np.full(n, -1)
     for k in range(1, length + 1):
         if k == length and before is not None:
-            parent = find(before.hashes, hashes)
+            parent = Index(before.hashes).find(hashes)
         hashes = longer(hashes, words[:, length - k], k)
     order = np.argsort(hashes)
     return Level(hashes[order], words[order], counts[order], parent[order])
@@ -392,6 +409,8 @@ def _score(shared):
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels, (hot_keys, hot_values), (word_hot, word_values), cold, unknown = shared.value
+        levels = [(Index(hashes), weights) for hashes, weights in levels]
+        hot_keys, word_hot = Index(hot_keys), Index(word_hot)
         for batch in batches:
             for part in slices(batch, "text", 1 << 19):
                 seq, begins = symbols(part.column("text"))
@@ -405,7 +424,7 @@ def _score(shared):
                     here = here[place[at[here]] >= length]
                     context = context.copy()
                     context[here] = longer(context[here], seq[at[here] - length], length)
-                    index = find(hashes, context[here])
+                    index = hashes.find(context[here])
                     here, index = here[index >= 0], index[index >= 0]
                     states.append((here, context[here], weights[index]))
                 value, open_, asked = np.zeros(n), np.ones(n, bool), []
@@ -413,7 +432,7 @@ def _score(shared):
                     left = open_[own]
                     own, context, weights = own[left], context[left], weights[left]
                     keys = entry_keys(context, seq[at[own]])
-                    index = find(hot_keys, keys)
+                    index = hot_keys.find(keys)
                     hit = index >= 0
                     value[own[hit]] += hot_values[index[hit]]
                     open_[own[hit]] = False
@@ -423,7 +442,7 @@ def _score(shared):
                         maybe = bloom.passed(cold, keys.view(np.int64))
                         asked.append((own[maybe], keys[maybe], np.full(int(maybe.sum()), _TO_SCORE, np.int8)))
                 keys = word_keys(seq[at])
-                index = find(word_hot, keys)
+                index = word_hot.find(keys)
                 known = index >= 0
                 word = np.where(known, word_values[index] if len(word_values) else unknown, unknown)
                 value[open_] += word[open_]
