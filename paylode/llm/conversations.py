@@ -271,7 +271,7 @@ def repaired(conversations: DataFrame) -> DataFrame:
     ``edits`` has the letters of the row's own edit and of the rows inserted around it, ``lines`` what stands in
     the repaired conversation for them: structs of role and text.
     """
-    return settled(ready(conversations.sparkSession), "repaired-turns", lambda: _repaired(conversations))
+    return settled(ready(conversations.sparkSession), "repaired-turns", lambda: _repaired(conversations)[0])
 
 
 def _line(role, text=None):
@@ -283,10 +283,12 @@ def _inserted(letters: str):
     return F.transform(F.sequence(F.lit(1), F.length(letters)), lambda i: _line(F.when(letter(i) == "u", "user").otherwise("assistant")))
 
 
-def _repaired(conversations: DataFrame) -> DataFrame:
+def _repaired(conversations: DataFrame) -> tuple[DataFrame, set]:
+    """The rows, a block after another in order, and the conversations in several blocks."""
     ordered = _ordered(conversations)
     faults = staged(_faults(ordered), "faults")
-    edits = _by_block(faults).mapInArrow(_edit(_entries(faults)), _EDITS)
+    entries = _entries(faults)
+    edits = _by_block(faults).mapInArrow(_edit(entries), _EDITS)
     role = F.when(F.col("letter") == "K", F.col("role")).otherwise(F.col("new_role"))
     none = F.array().cast("array<struct<role:string,text:string>>")
     lines = F.concat(
@@ -295,8 +297,9 @@ def _repaired(conversations: DataFrame) -> DataFrame:
         F.when(F.col("after") != "", _inserted("after")).otherwise(none))
     marks = F.concat(F.regexp_replace("before", ".", "I"), "letter", F.regexp_replace("after", ".", "I"))
     # Both sides are dealt by block, so a block stays in one task and in order.
-    return ordered.repartition("block").join(edits.repartition("block"), ["block", "at"]).select(
+    rows = ordered.repartition("block").join(edits.repartition("block"), ["block", "at"]).select(
         "conv_id", "block", "at", "turn", "role", "text", "fault", "initial", marks.alias("edits"), lines.alias("lines"))
+    return rows, {conv for conv, _ in entries}
 
 
 _PIECES = ("conv_id long, block int, piece int, whole boolean, audit string, said binary, rows long, blank long, duplicate long, "
@@ -328,14 +331,19 @@ class _Piece:
         return 0 if self.low is None else self.high - self.low + 1 - self.turns
 
 
-def _cut(most: int):
-    """Pieces of about ``most`` bytes of the repaired conversations of rows that come sorted by block and place."""
+def _cut(most: int, crossing: set):
+    """Pieces of about ``most`` bytes of the repaired conversations of rows that come sorted by block and place.
+
+    ``said`` of a conversation that is one piece is its digest.
+    """
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, piece, number, audit, said, size, out, held = None, _Piece(), 0, [], [], 0, [], 0
 
-        def row():
-            return (key[1], key[0], number, False, "".join(audit), b"\n".join(said) + b"\n" * bool(said),
+        def row(ended):
+            whole, lines = ended and not number and key[1] not in crossing, b"\n".join(said)
+            lines = hashlib.sha256(lines).digest() if whole else lines + b"\n" * bool(said)
+            return (key[1], key[0], number, whole, "".join(audit), lines,
                     *(getattr(piece, c) for c in ("rows", "blank", "duplicate", "truncated", "illegal", "first", "last", "low", "high", "turns", "cost")))
 
         names = [f.split()[0] for f in _PIECES.split(", ")]
@@ -351,8 +359,8 @@ def _cut(most: int):
             for block, conv, turn, fault, initial, edits, lines in zip(*(batch.column(c).to_pylist() for c in columns)):
                 if (block, conv) != key or size >= most:
                     if key is not None:
-                        out.append(row())
-                        held += size
+                        out.append(row((block, conv) != key))
+                        held += len(out[-1][5])
                         if held > most or len(out) > 5_000:
                             yield packed()
                             out, held = [], 0
@@ -365,7 +373,7 @@ def _cut(most: int):
                 said += [f"{x['role']}:{x['text']}".encode() for x in lines]
                 size += sum(len(x["role"]) + len(x["text"]) + 1 for x in lines) + len(edits)
         if key is not None:
-            out.append(row())
+            out.append(row(True))
         yield packed()
 
     return pieces
@@ -381,15 +389,18 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     conv, total, audit, digest, waiting, out = None, None, [], None, b"", []
 
     def row():
-        digest.update(waiting[:-1])  # no line break behind the last line
-        return (conv, total.gaps, total.blank, total.duplicate, total.truncated, total.illegal, total.cost,
-                "".join(audit), digest.hexdigest())
+        if isinstance(digest, bytes):
+            ended = digest.hex()
+        else:
+            digest.update(waiting[:-1])  # no line break behind the last line
+            ended = digest.hexdigest()
+        return (conv, total.gaps, total.blank, total.duplicate, total.truncated, total.illegal, total.cost, "".join(audit), ended)
 
     def packed():
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*out)) or [[]] * len(names), types)], names=names)
 
     for batch in batches:
-        for r in batch.drop_columns(["block", "piece", "whole"]).to_pylist():
+        for r in batch.drop_columns(["block", "piece"]).to_pylist():
             if total is None or r["conv_id"] != conv:
                 if total is not None:
                     out.append(row())
@@ -399,7 +410,9 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 conv, total, audit, digest, waiting = r["conv_id"], _Piece(), [], hashlib.sha256(), b""
             total.add(**{c: r[c] for c in (*_COUNTED, "first", "last", "low", "high")})
             audit.append(r["audit"])
-            if r["said"]:
+            if r["whole"]:
+                digest = r["said"]
+            elif r["said"]:
                 digest.update(waiting)
                 waiting = r["said"]
     if total is not None:
@@ -411,8 +424,8 @@ def report(conversations: DataFrame) -> DataFrame:
     """``conv_id``, its counts of faults, the cost, the letters of the edits and the digest of the repaired conversation."""
 
     def build() -> DataFrame:
-        lines = _repaired(conversations).drop("role", "text").sortWithinPartitions("block", "at")
-        pieces = lines.mapInArrow(_cut(PIECE), _PIECES)
+        rows, crossing = _repaired(conversations)
+        pieces = rows.drop("role", "text").sortWithinPartitions("block", "at").mapInArrow(_cut(PIECE, crossing), _PIECES)
         return pieces.repartition("conv_id").sortWithinPartitions(
             F.col("conv_id").asc_nulls_first(), "block", "piece").mapInArrow(_joined, _REPORT)
 
