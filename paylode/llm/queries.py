@@ -82,7 +82,8 @@ def op8(spark, sf_dir):
 
 @query("op9_suffix_array_repeats", sql.REPEATS)
 def op9(spark, sf_dir):
-    return repeats.repeated_spans(table(spark, sf_dir, "documents")).drop("spans")
+    spans = F.transform("spans", lambda s: F.concat(s["start"].cast("string"), F.lit("-"), s["end"].cast("string")))
+    return repeats.repeated_spans(table(spark, sf_dir, "documents")).withColumn("spans", F.array_join(spans, ","))
 
 
 #: The contract's rules, and the sites whose pages make up the list of URLs.

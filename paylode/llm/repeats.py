@@ -17,6 +17,10 @@ Of equal surroundings of an anchor only one is cut out and compared; what it yie
 surroundings leaves the suffix arrays: each of its windows is hashed (128 bits) and counted instead, which
 spreads over all tasks; the result is the same.
 
+Runs of words (``without_passages``): the spans found at a shorter length are candidates.  In them every run of
+``words`` whole words is hashed (128 bits) and counted over all documents, and exactly those that occur twice are
+cut, so that no stretch of fewer words goes.
+
 Defined results: a null text is empty.  Repeated rows, with or without an id, are texts that occur twice.
 Texts shorter than ``length`` lose nothing.  Empty tables give empty results; further columns are ignored.
 """
@@ -24,6 +28,8 @@ Texts shorter than ``length`` lose nothing.  Empty tables give empty results; fu
 from __future__ import annotations
 
 import hashlib
+import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -153,7 +159,7 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-_SCANNED = "digest binary, doc_id long, n_bytes long, sha256 string, grams array<long>, at array<int>"
+_SCANNED = "digest binary, n_bytes long, grams array<long>, at array<int>"
 
 
 def _scan(length: int, gram: int):
@@ -164,13 +170,11 @@ def _scan(length: int, gram: int):
                 byte, hashes = anchors(buffer, at, length, gram)
                 owner = np.searchsorted(at, byte, "right") - 1
                 offsets = pa.array(np.searchsorted(owner, np.arange(len(at))).astype(np.int32))
-                data = buffer.tobytes()
                 yield pa.RecordBatch.from_arrays([
-                    part.column("digest"), part.column("doc_id"), pa.array(np.diff(at)),
-                    pa.array([hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(at, at[1:])], pa.string()),
+                    part.column("digest"), pa.array(np.diff(at)),
                     pa.ListArray.from_arrays(offsets, pa.array(hashes.view(np.int64))),
                     pa.ListArray.from_arrays(offsets, pa.array((byte - at[owner]).astype(np.int32)))],
-                    names=["digest", "doc_id", "n_bytes", "sha256", "grams", "at"])
+                    names=["digest", "n_bytes", "grams", "at"])
 
     return scan
 
@@ -285,10 +289,9 @@ def _windows(length: int):
     return cut
 
 
-def _spans(documents: DataFrame, length: int, gram: int, hot: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``scanned`` (a row per document), ``copied`` (texts that occur twice) and ``involved`` (texts with spans)."""
-    texts = documents.select(
-        text_md5().alias("digest"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+def _spans(documents: DataFrame, length: int, gram: int, hot: int) -> tuple[DataFrame, DataFrame]:
+    """``copied`` (texts that occur twice) and ``involved`` (texts with spans)."""
+    texts = _texts(documents).drop("doc_id")
     scanned = staged(texts.mapInArrow(_scan(length, gram), _SCANNED), "anchors")
     classes = scanned.where(F.col("n_bytes") >= length).groupBy("digest").agg(
         F.count(F.lit(1)).alias("copies"), F.first("grams").alias("grams"), F.first("at").alias("at"))
@@ -333,11 +336,25 @@ def _spans(documents: DataFrame, length: int, gram: int, hot: int) -> tuple[Data
         F.max("before").alias("before"), F.max("after").alias("after"))
     spans = named.select("text_id", "at", *around).join(spans, around).groupBy("text_id").agg(F.collect_list(F.struct(
         (F.col("at") - F.col("before")).alias("start"), (F.col("at") + F.col("after")).alias("end"))).alias("spans"))
-    return scanned, classes.where("copies > 1").select("digest", F.lit(True).alias("copied")), \
+    return classes.where("copies > 1").select("digest", F.lit(True).alias("copied")), \
         involved.select("text_id", "digest", "text").join(spans, "text_id")
 
 
-_CUT = "digest binary, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,end:int>>"
+_SPAN = "array<struct<start:int,end:int>>"
+_CUT = f"digest binary, n_removed long, n_spans long, kept_sha256 string, spans {_SPAN}, kept_text string"
+
+
+def _characters(data: bytes, spans: list[tuple[int, int]]) -> str:
+    """The text without its spans; a character that a span only covers in part stays."""
+    pieces, last = [], 0
+    for start, end in spans:
+        while start < end and data[start] & 0xC0 == 0x80:
+            start += 1
+        while end > start and end < len(data) and data[end] & 0xC0 == 0x80:
+            end -= 1
+        pieces.append(data[last:start])
+        last = end
+    return b"".join([*pieces, data[last:]]).decode()
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -351,51 +368,60 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 last = end
             kept.update(data[last:])
             rows.append((digest, sum(e - s for s, e in gone), len(gone), kept.hexdigest(),
-                         [{"start": s, "end": e} for s, e in gone]))
-        columns = list(zip(*rows)) or [[]] * 5
+                         [{"start": s, "end": e} for s, e in gone], _characters(data, gone)))
+        columns = list(zip(*rows)) or [[]] * 6
         kinds = (pa.binary(), pa.int64(), pa.int64(), pa.string(),
-                 pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
+                 pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.string())
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                         names=["digest", "n_removed", "n_spans", "kept_sha256", "spans"])
+                                         names=["digest", "n_removed", "n_spans", "kept_sha256", "spans", "kept_text"])
+
+
+def _with_changes(rows: DataFrame, changes: DataFrame) -> DataFrame:
+    """``rows`` with the columns of the few ``changes`` that have their digest; the other rows stay where they are."""
+    may_be = bloom.may_be_in(changes, "digest", "digest")
+    others = [F.lit(None).cast(kind).alias(name) for name, kind in changes.dtypes if name != "digest"]
+    asked = rows.where(may_be).join(changes, "digest", "left")
+    return asked.union(rows.where(~may_be).select(*rows.columns, *others).select(asked.columns))
 
 
 def repeated_spans(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans``: a row per document, spans in its bytes."""
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans, text``: a row per document, spans in its bytes.
+
+    ``text`` is what is left, of whole characters.
+    """
     return settled(ready(documents.sparkSession), "repeated-spans",
                    lambda: _repeated_spans(documents, length, gram, hot))
 
 
+def _texts(documents: DataFrame) -> DataFrame:
+    return documents.select(text_md5().alias("digest"), F.col("doc_id").cast("long").alias("doc_id"),
+                            F.coalesce("text", F.lit("")).alias("text"))
+
+
 def _repeated_spans(documents: DataFrame, length: int, gram: int, hot: int) -> DataFrame:
-    scanned, copied, involved = _spans(documents, length, gram, hot)
-    cut = involved.mapInArrow(_cut, _CUT)
-    out = scanned.select("digest", "doc_id", "n_bytes", "sha256").join(copied, "digest", "left").join(cut, "digest", "left")
+    copied, involved = _spans(documents, length, gram, hot)
+    changes = staged(copied.join(involved.mapInArrow(_cut, _CUT), "digest", "full"), "changed-texts")
+    rows = _texts(documents).withColumn("n_bytes", F.octet_length("text").cast("long"))
     whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n_bytes").cast("int").alias("end")))
-    none = F.array().cast("array<struct<start:int,end:int>>")
-    return out.select(
+    gone = F.col("copied")
+    return _with_changes(rows, changes).select(
         "doc_id", "n_bytes",
-        F.when(F.col("copied"), F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
-        F.when(F.col("copied"), F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(F.col("copied"), F.lit(hashlib.sha256(b"").hexdigest())).otherwise(
-            F.coalesce("kept_sha256", "sha256")).alias("kept_sha256"),
-        F.when(F.col("copied"), whole).otherwise(F.coalesce("spans", none)).alias("spans"))
+        F.when(gone, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
+        F.when(gone, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
+        F.when(gone, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(
+            F.coalesce("kept_sha256", F.sha2(F.col("text").cast("binary"), 256))).alias("kept_sha256"),
+        F.when(gone, whole).otherwise(F.coalesce("spans", F.array().cast(_SPAN))).alias("spans"),
+        F.when(gone, F.lit("")).otherwise(F.coalesce("kept_text", "text")).alias("text"))
 
 
-def _trim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The text without its spans; a span gives up a character that it only covers in part."""
-    for batch in batches:
-        texts = []
-        for text, spans in zip(*(batch.column(c).to_pylist() for c in ("text", "spans"))):
-            data, pieces, last = text.encode(), [], 0
-            for start, end in merged([(s["start"], s["end"]) for s in spans]):
-                while start < end and data[start] & 0xC0 == 0x80:
-                    start += 1
-                while end > start and end < len(data) and data[end] & 0xC0 == 0x80:
-                    end -= 1
-                pieces.append(data[last:start])
-                last = end
-            texts.append(b"".join([*pieces, data[last:]]).decode())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("digest"), pa.array(texts, pa.string())], names=["digest", "kept_text"])
+def _rewritten(documents: DataFrame, changes: DataFrame) -> DataFrame:
+    """The documents with ``kept_text`` where their text's digest has one, and ``n_chars`` of it if that is there."""
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
+    out = _with_changes(documents.select(row, text_md5().alias("digest")), changes.select("digest", "kept_text"))
+    text = F.when(F.col("row.text").isNotNull(), F.coalesce("kept_text", "row.text")).alias("text")
+    return out.select(*[
+        text if c == "text" else F.length(text).cast(t).alias(c) if c == "n_chars" else F.col(f"row.`{c}`").alias(c)
+        for c, t in documents.dtypes])
 
 
 def without_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
@@ -405,15 +431,70 @@ def without_repeats(documents: DataFrame, length: int = LENGTH, gram: int = GRAM
     only in part stays.
     """
     def changed() -> DataFrame:
-        _, copied, involved = _spans(documents, length, gram, hot)
-        trimmed = involved.mapInArrow(_trim, "digest binary, kept_text string")
+        copied, involved = _spans(documents, length, gram, hot)
+        trimmed = involved.mapInArrow(_cut, _CUT).select("digest", "kept_text")
         return copied.join(trimmed, "digest", "full").select(
-            F.col("digest").alias("_digest"), F.when(F.col("copied"), F.lit("")).otherwise(F.col("kept_text")).alias("_kept"))
+            "digest", F.when(F.col("copied"), F.lit("")).otherwise(F.col("kept_text")).alias("kept_text"))
 
-    kept = settled(ready(documents.sparkSession), "changed-texts", changed)
-    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
-    out = documents.select(row, text_md5().alias("_digest")).join(kept, "_digest", "left")
-    text = F.when(F.col("row.text").isNotNull(), F.coalesce("_kept", "row.text")).alias("text")
-    return out.select(*[
-        text if c == "text" else F.length(text).cast(t).alias(c) if c == "n_chars" else F.col(f"row.`{c}`")
-        for c, t in documents.dtypes])
+    return _rewritten(documents, settled(ready(documents.sparkSession), "changed-texts", changed))
+
+
+#: Runs of words: white space is what the contracts' words have between them.
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+_RUNS = "digest binary, start int, end int, hash_a long, hash_b long"
+
+
+def word_runs(data: bytes, spans: list[tuple[int, int]], words: int) -> Iterator[tuple[int, int]]:
+    """``[start, end)`` of every run of ``words`` whole words that lies within one span."""
+    at = [m.span() for m in _WORD.finditer(data)]
+    starts, ends = [a for a, _ in at], [b for _, b in at]
+    for start, end in spans:
+        first, last = bisect_left(starts, start), bisect_right(ends, end)
+        for i in range(first, last - words + 1):
+            yield starts[i], ends[i + words - 1]
+
+
+def _hash_runs(words: int):
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", 1 << 18):
+                owner, begins, finishes, digests = [], [], [], []
+                for k, (text, spans) in enumerate(zip(part.column("text").to_pylist(), part.column("spans").to_pylist())):
+                    data = text.encode()
+                    for start, end in word_runs(data, merged([(s["start"], s["end"]) for s in spans]), words):
+                        owner.append(k)
+                        begins.append(start)
+                        finishes.append(end)
+                        digests.append(hashlib.blake2b(data[start:end], digest_size=16).digest())
+                hashes = np.frombuffer(b"".join(digests), np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("digest").take(pa.array(owner, pa.int64())), pa.array(begins, pa.int32()),
+                     pa.array(finishes, pa.int32()), pa.array(hashes[0::2]), pa.array(hashes[1::2])],
+                    names=["digest", "start", "end", "hash_a", "hash_b"])
+
+    return runs
+
+
+def without_passages(documents: DataFrame, words: int = 51, length: int = 200, gram: int = 50, hot: int = HOT) -> DataFrame:
+    """The documents without the runs of ``words`` words that also start anywhere else, byte for byte.
+
+    ``length`` bytes bound what is looked for: a run that is shorter (51 words of under three letters) may stay.
+    Of texts that occur twice nothing stays between their first word and their last, if they have as many words.
+    """
+    def changed() -> DataFrame:
+        copied, involved = _spans(documents, length, gram, hot)
+        involved = staged(involved, "candidate-passages")
+        runs = staged(involved.select("digest", "text", "spans").mapInArrow(_hash_runs(words), _RUNS), "word-runs")
+        twice = runs.groupBy("hash_a", "hash_b").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+        spans = runs.join(twice, ["hash_a", "hash_b"], "left_semi").groupBy("digest").agg(
+            F.collect_list(F.struct("start", "end")).alias("spans"))
+        # Texts that occur twice: all their words, as one run.
+        texts = _texts(documents).where(bloom.may_be_in(copied, "digest", "digest")).join(copied.select("digest"), "digest", "left_semi")
+        every = F.array(F.struct(F.lit(0).alias("start"), F.octet_length("text").alias("end")))
+        copies = texts.dropDuplicates(["digest"]).select("digest", "text", every.alias("spans")).mapInArrow(_hash_runs(words), _RUNS)
+        copies = copies.groupBy("digest").agg(F.array(F.struct(F.min("start").alias("start"), F.max("end").alias("end"))).alias("spans"))
+        of_text = involved.select("digest", "text").union(texts.select("digest", "text")).dropDuplicates(["digest"])
+        spans = copies.union(spans.join(copies, "digest", "left_anti"))
+        return of_text.join(spans, "digest").mapInArrow(_cut, _CUT).select("digest", "kept_text")
+
+    return _rewritten(documents, settled(ready(documents.sparkSession), "changed-texts", changed))

@@ -40,14 +40,25 @@ gaps AS (SELECT *, p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS gap FROM
 runs AS (SELECT *, sum(CASE WHEN gap <= 400 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY p) AS r FROM gaps),
 spans AS (SELECT doc_id, min(p) AS a, max(p) + 400 AS b FROM runs GROUP BY doc_id, r),
 cuts AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans),
+whole AS (
+    SELECT cuts.*, h, a + CASE WHEN {0} THEN 0 WHEN {1} THEN 1 WHEN {2} THEN 2 ELSE 3 END AS a2,
+           b - CASE WHEN b = n OR {3} THEN 0 WHEN {4} THEN 1 WHEN {5} THEN 2 ELSE 3 END AS b2
+    FROM cuts JOIN d USING (doc_id)),
+rest AS (SELECT *, coalesce(lag(b2) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before2 FROM whole),
 sums AS (
-    SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
-           string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
-    FROM cuts JOIN d USING (doc_id) GROUP BY doc_id)
+    SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last, max(b2) AS last2,
+           string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept,
+           string_agg(substr(h, 2 * before2 + 1, 2 * (a2 - before2)), '' ORDER BY a) AS kept2,
+           string_agg(a || '-' || b, ',' ORDER BY a) AS spans
+    FROM rest GROUP BY doc_id)
 SELECT d.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
        CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
-       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
-FROM d LEFT JOIN sums USING (doc_id)"""
+       sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256, coalesce(spans, '') AS spans,
+       decode(unhex(coalesce(kept2, '') || substr(h, 2 * coalesce(last2, 0) + 1))) AS text
+FROM d LEFT JOIN sums USING (doc_id)""".format(
+    # Whether a character begins at the byte: its first digit is not 8, 9, A or B.
+    *[f"substr(h, 2 * (a + {k}) + 1, 1) NOT IN ('8', '9', 'A', 'B')" for k in range(3)],
+    *[f"substr(h, 2 * (b - {k}) + 1, 1) NOT IN ('8', '9', 'A', 'B')" for k in range(3)])
 
 # A hex digit is four bits, a base32 digit five.
 WARC = """
@@ -117,7 +128,7 @@ o AS (
 r AS (
     SELECT doc_id, a, a + len(line) AS b,
            row_number() OVER (PARTITION BY array_to_string(w, ' ') ORDER BY doc_id, k) AS place
-    FROM o WHERE len(w) >= 5),
+    FROM o WHERE len(w) > 0),
 gone AS (
     SELECT doc_id, count(*) AS n_removed, sum(b - a) AS removed_chars, string_agg(a || '-' || b, ',' ORDER BY a) AS removed_spans
     FROM r WHERE place > 1 GROUP BY doc_id),

@@ -2,8 +2,8 @@
 
 A text is cut into units, each is normalised (A-Z in lower case, white space as one space) and hashed to 128
 bits.  Digests are grouped over all documents; of equal units the one with the smallest id, and within it the
-first, stays and all others go, with their offsets in the original text.  Units of fewer than ``LEAST_WORDS``
-words always stay: they are equal by chance.
+first, stays and all others go, with their offsets in the original text.  Every unit that is not blank counts;
+``least_words`` lets units of fewer words stay.  Units can be lines, paragraphs or sentences.
 
 Only ids, offsets and digests are shuffled, never texts.  A digest that a third of all documents have combines
 before the shuffle, and in the join back the one row of its winner meets parts of its units in many tasks.
@@ -26,10 +26,11 @@ from pyspark.sql import functions as F
 from paylode.llm.common import ready, slices, text_md5
 from paylode.session import settled, staged
 
-LEAST_WORDS = 5
+LEAST_WORDS = 1
 #: What stands between units.
 LINES = "\n"
 PARAGRAPHS = "\n[ \t]*\n\\s*"
+SENTENCES = "(?<=[.!?])[ \t]+|\n"
 
 _UNIT = "struct<position:int,start:int,end:int,digest:binary>"
 _SCANNED = f"doc_id long, text_id binary, n_units long, units array<{_UNIT}>"

@@ -3,7 +3,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 from test_near_duplicates import by_force as groups_by_force
-from test_repeats import by_force as repeats_by_force
+from test_repeats import passages_by_force
 
 import corpus_pipeline
 from paylode.llm import bpe, mixing, toxicity
@@ -43,14 +43,11 @@ def test_one_of_each_group_of_near_copies_stays(stages):
     assert sorted(i for i, _ in rows(stages[2])) == sorted(set(lowest.values()))
 
 
-def test_repeated_passages_are_cut(stages):
-    before = rows(stages[2])
-    lost = {doc: removed for doc, _, removed, _, _ in repeats_by_force(before, 400)}
-    after = dict(rows(stages[3]))
-    assert sorted(after) == sorted(lost)
-    for doc, text in before:
-        gone = len((text or "").encode()) - len((after[doc] or "").encode())
-        assert 0 <= lost[doc] - gone <= 6 * (lost[doc] > 0) * (1 + lost[doc] // 400)
+def test_passages_of_over_fifty_words_are_cut(stages):
+    """Whatever repeats over 51 words goes, and nothing else."""
+    before, after = rows(stages[2]), rows(stages[3])
+    assert sorted(after, key=str) == passages_by_force(before, 51)
+    assert sum(dict(after)[doc] != text for doc, text in before) > 5
 
 
 def test_sources_are_mixed(stages):

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 from collections import Counter
 
 import pytest
@@ -37,18 +38,55 @@ def table():
 @pytest.mark.parametrize("hot", [20_000, 0])
 def test_what_is_removed_is_what_brute_force_removes(spark, hot):
     rows = table()
-    found = repeats.repeated_spans(documents(spark, rows, extra=True), length=80, gram=20, hot=hot).drop("spans").collect()
-    assert sorted((tuple(r) for r in found), key=str) == by_force(rows, 80)
+    found = repeats.repeated_spans(documents(spark, rows, extra=True), length=80, gram=20, hot=hot).collect()
+    assert sorted((tuple(r)[:5] for r in found), key=str) == by_force(rows, 80)
+    texts = dict(rows)
+    for r in found:
+        data, last = (texts[r.doc_id] or "").encode(), 0
+        assert sum(s.end - s.start for s in r.spans) == r.n_removed
+        assert all(last <= s.start < s.end <= len(data) for s in r.spans)
+        kept = "".join(data[a:b].decode(errors="ignore") for a, b in zip(
+            [0, *(s.end for s in r.spans)], [*(s.start for s in r.spans), len(data)]))
+        assert len(r.text) - len(kept) in range(2 * len(r.spans) + 1) and not set(kept) - set(r.text)
 
 
 def test_repeated_rows_rows_without_id_and_an_empty_table(spark):
     rows = [(1, prose(3, 50)), (1, prose(3, 50)), (None, prose(4, 60)), (None, prose(4, 60)), (None, prose(5, 60)), (2, None)]
-    found = repeats.repeated_spans(documents(spark, rows), 80, 20).drop("spans").collect()
-    assert sorted((tuple(r) for r in found), key=str) == by_force(rows, 80)
+    found = repeats.repeated_spans(documents(spark, rows), 80, 20).collect()
+    assert sorted((tuple(r)[:5] for r in found), key=str) == by_force(rows, 80)
     assert repeats.repeated_spans(documents(spark, []), 80, 20).count() == 0
     assert repeats.without_repeats(documents(spark, []), 80, 20).count() == 0
 
 
+def passages_by_force(rows, words):
+    """Texts without the runs of words that start twice, copies without all of their words."""
+    word = re.compile(rb"[^ \t\n\v\f\r]+")
+    spans = [(doc, t, (t or "").encode(), [m.span() for m in word.finditer((t or "").encode())]) for doc, t in rows]
+    seen = Counter(d[at[i][0]:at[i + words - 1][1]] for _, _, d, at in spans for i in range(len(at) - words + 1))
+    out = []
+    for doc, t, data, at in spans:
+        gone = bytearray(len(data))
+        for i in range(len(at) - words + 1):
+            if seen[data[at[i][0]:at[i + words - 1][1]]] > 1:
+                gone[at[i][0]:at[i + words - 1][1]] = b"\1" * (at[i + words - 1][1] - at[i][0])
+        out.append((doc, t and bytes(b for b, g in zip(data, gone) if not g).decode()))
+    return sorted(out, key=str)
+
+
+def test_runs_of_words_that_go_are_those_of_brute_force(spark):
+    rng = random.Random(7)
+    parts = [prose(k, n) for k, n in enumerate((10, 11, 12, 14, 25, 60))] + [prose(50, 30, "aéü€")]
+    texts = [f"{prose(100 + k, rng.randint(0, 9))} {rng.choice(parts)}{rng.choice([' ', '', '\n'])}{prose(200 + k, rng.randint(1, 9))}"
+             for k in range(40)]
+    rows = [*enumerate(texts), (100, parts[0]), (101, parts[0]), (102, parts[3]), (103, parts[3]), (None, parts[5]), (104, None), (105, ""),
+            (106, " ".join([parts[1]] * 3)), (107, prose(400, 3)), (108, prose(400, 3)), (109, prose(401, 9_000))]
+    df = documents(spark, rows, extra=True)
+    found = repeats.without_passages(df, words=12, length=30, gram=8)
+    assert found.dtypes == df.dtypes
+    assert sorted(((r.doc_id, r.text) for r in found.collect()), key=str) == passages_by_force(rows, 12)
+    assert repeats.without_passages(documents(spark, []), 12, 30, 8).count() == 0
+
+
 def test_texts_lose_whole_characters_only(spark):
     shared = prose(1, 40)
     rows = [(1, "start é" + shared + "è end"), (2, "begin ê" + shared + "é close"), (3, None), (4, "alone")]

@@ -6,7 +6,7 @@ from helpers import documents, prose
 from paylode.llm import units
 
 
-def by_force(rows, least=5):
+def by_force(rows, least=1):
     """The units that go, as the set of their spans by document."""
     found = []
     for doc, text in rows:
@@ -34,11 +34,13 @@ def table():
     return [*rows, (100, None), (101, ""), (102, "\n\n"), (103, shared[3]), (104, shared[3] + "\n"), (105, prose(9, 30_000))]
 
 
-def test_what_goes_is_what_brute_force_removes(spark):
+@pytest.mark.parametrize("least", [1, 5])
+def test_what_goes_is_what_brute_force_removes(spark, least):
     rows = table()
     random.Random(1).shuffle(rows)
-    gone = by_force(rows)
-    found = units.repeated_units(documents(spark, rows, extra=True)).collect()
+    gone = by_force(rows, least)
+    df = documents(spark, rows, extra=True)
+    found = (units.repeated_units(df) if least == 1 else units.repeated_units(df, least_words=least)).collect()
     assert len(found) == len(rows)
     for r in found:
         spans = {(s.start, s.end) for s in r.spans}
@@ -68,6 +70,13 @@ def test_texts_without_repeated_lines(spark):
         1: f"{a}\n{b}", 2: f"{c}\nend", 3: "start", 4: "", 5: None, 6: ""}.items()}
 
 
+def test_sentences():
+    import re
+
+    text = "One two. Three?  Four\nfive! 6.7 eight"
+    assert [text[a:b] for a, b in units.cut(text, re.compile(units.SENTENCES))] == ["One two.", "Three?", "Four", "five!", "6.7 eight"]
+
+
 @pytest.mark.parametrize(("text", "parts"), [
     ("one\ntwo\n\nthree", ["one\ntwo", "three"]), ("a\n \t\n\n b", ["a", "b"]), ("", [""]), ("\n\nx", ["", "x"])])
 def test_paragraphs(text, parts):
