@@ -35,9 +35,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 9: passages that start elsewhere too are cut out of the texts; all documents stay."""
+    """Operator 9: runs of over 50 words that start elsewhere too are cut out of the texts; all documents stay."""
     ready(spark)
-    return repeats.without_repeats(docs)
+    return repeats.without_passages(docs, words=51)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
