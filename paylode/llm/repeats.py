@@ -475,14 +475,16 @@ def _hash_runs(words: int):
     return runs
 
 
-def without_passages(documents: DataFrame, words: int = 51, length: int = 200, gram: int = 50, hot: int = HOT) -> DataFrame:
+def without_passages(documents: DataFrame, words: int = 51, length: int | None = None, hot: int = HOT) -> DataFrame:
     """The documents without the runs of ``words`` words that also start anywhere else, byte for byte.
 
-    ``length`` bytes bound what is looked for: a run that is shorter (51 words of under three letters) may stay.
-    Of texts that occur twice nothing stays between their first word and their last, if they have as many words.
+    Without a ``length`` the search is for what the shortest run of so many words has, a byte a word and one between
+    them; a greater length is cheaper and leaves shorter runs.  Of texts that occur twice nothing stays between their first word and their last, if they have as many words.
     """
+    length = 2 * words - 1 if length is None else length
+
     def changed() -> DataFrame:
-        copied, involved = _spans(documents, length, gram, hot)
+        copied, involved = _spans(documents, length, max(1, length // 4), hot)
         involved = staged(involved, "candidate-passages")
         runs = staged(involved.select("digest", "text", "spans").mapInArrow(_hash_runs(words), _RUNS), "word-runs")
         twice = runs.groupBy("hash_a", "hash_b").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")

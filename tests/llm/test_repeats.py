@@ -79,12 +79,12 @@ def test_runs_of_words_that_go_are_those_of_brute_force(spark):
     texts = [f"{prose(100 + k, rng.randint(0, 9))} {rng.choice(parts)}{rng.choice([' ', '', '\n'])}{prose(200 + k, rng.randint(1, 9))}"
              for k in range(40)]
     rows = [*enumerate(texts), (100, parts[0]), (101, parts[0]), (102, parts[3]), (103, parts[3]), (None, parts[5]), (104, None), (105, ""),
-            (106, " ".join([parts[1]] * 3)), (107, prose(400, 3)), (108, prose(400, 3)), (109, prose(401, 9_000))]
+            (106, " ".join([parts[1]] * 3)), (107, prose(400, 3)), (108, prose(400, 3)), (109, prose(401, 9_000)), (110, "a " * 40), (111, "b " + "a b " * 6)]
     df = documents(spark, rows, extra=True)
-    found = repeats.without_passages(df, words=12, length=30, gram=8)
+    found = repeats.without_passages(df, words=12)
     assert found.dtypes == df.dtypes
     assert sorted(((r.doc_id, r.text) for r in found.collect()), key=str) == passages_by_force(rows, 12)
-    assert repeats.without_passages(documents(spark, []), 12, 30, 8).count() == 0
+    assert repeats.without_passages(documents(spark, [])).count() == 0
 
 
 def test_texts_lose_whole_characters_only(spark):
