@@ -6,15 +6,14 @@ largest value are kept, so 60 hash evaluations give a signature of 120 values.
 
 What happens to large groups: documents with the same set are one class, and only one text of it goes on
 under a number of its own, so that neither missing nor repeated ids matter.
-In each bucket the members are compared with few hubs, not with each other: round 0 has one hub, round
-``t`` about ``16**t`` random ones, and a round only compares members that are not yet connected with a hub,
-in buckets where several components are left.  The last round makes every member a hub, so each pair of a
-bucket has been compared, or was connected before, or cannot be similar.  For that last point the shingles
-of the documents in open buckets are counted once: what no other of them has, a document shares with none,
-which bounds its overlap with any other.  A document that has changed too much to be similar to anything
-leaves its buckets at once, two sizes that the bounds exclude are never paired, and the member with the
-fewest shingles of its own, which is likest to the others, is a hub before the random ones.  Every link is
-confirmed on the full sets.
+In each bucket the members are first compared with one hub, and those that are still apart with the one that has
+the fewest shingles of its own, which is likest to the others.  Shingles that no other document of the buckets
+still open has, a document shares with none: that bounds its overlap with any other, and one that has changed too
+much to be similar to anything leaves its buckets at once.  What is left is compared exactly and completely, but
+in blocks: a bucket's members are dealt into chunks of at most ``CHUNK_BYTES`` of shingles, and a task takes two
+chunks and counts the shingles that their documents share as a product of matrices.  It hands on one link for each
+document that it has joined to another, so no pair is ever a row, and a bucket of many documents that are almost
+similar costs a row for each of them and chunk.  Buckets with the same members are compared once.
 
 Defined results: null or empty text has an empty set and is linked with nothing.  Documents of one to four
 words have their whole sequence as one shingle.  Repeated rows are one document with one component; different
@@ -40,8 +39,10 @@ WORDS = 5
 PERMUTATIONS = 60
 BANDS = 24
 ROWS = 2 * PERMUTATIONS // BANDS
-GROWTH = 4  # a round has 2**GROWTH times the hubs of the one before
 PAIRS_PER_TASK = 2_000
+CHUNK_BYTES = 4 << 20
+CHUNK = 8_192            # documents in a chunk at most, on average
+TILE, TILE_SHINGLES, COLUMNS = 512, 1 << 18, 4_096  # what a product of matrices takes at once
 
 _SIGNED = "doc_id long, text_id binary, n_shingles long, set_a long, set_b long, bands array<long>"
 
@@ -155,6 +156,121 @@ def _own_shingles(texts: DataFrame, ids: DataFrame) -> DataFrame:
     return alone.groupBy("id").agg(F.count(F.lit(1)).alias("own"))
 
 
+def _set_blobs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, "text"):
+            sets = shingle_sets(part.column("text"))
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([x.tobytes() for x in sets], pa.binary())], names=["id", "shingles"])
+
+
+def shared_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """How many values each set of ``a`` shares with each of ``b``."""
+    values = [np.concatenate([np.zeros(0, U64), *sets]) for sets in (a, b)]
+    common = np.intersect1d(*values)
+    out = np.zeros((len(a), len(b)), np.float32)
+    at = []
+    for own, sets in zip(values, (a, b)):
+        column = np.searchsorted(common, own)
+        column[column == len(common)] = 0
+        known = common[column] == own if len(common) else np.zeros(len(own), bool)
+        at.append((np.repeat(np.arange(len(sets)), [len(x) for x in sets])[known], column[known]))
+    for first in range(0, len(common), COLUMNS):
+        sides = []
+        for (row, column), sets in zip(at, (a, b)):
+            here = (column >= first) & (column < first + COLUMNS)
+            side = np.zeros((len(sets), min(COLUMNS, len(common) - first)), np.float32)
+            side[row[here], column[here] - first] = 1
+            sides.append(side)
+        out += sides[0] @ sides[1].T
+    return out.astype(np.int64)
+
+
+def _tiles(members: list[int], sizes: list[int]) -> Iterator[list[int]]:
+    tile, held = [], 0
+    for k in members:
+        if tile and (len(tile) >= TILE or held + sizes[k] > TILE_SHINGLES):
+            yield tile
+            tile, held = [], 0
+        tile.append(k)
+        held += sizes[k]
+    if tile:
+        yield tile
+
+
+def block_links(sets: list[np.ndarray], components: np.ndarray, left: list[int], right: list[int] | None, percent: int) -> np.ndarray:
+    """For each set the first one of those that similar sets join it to, of all pairs of ``left`` and ``right``.
+
+    Without ``right`` the pairs are those of ``left``.  Sets of one component need no comparison.
+    """
+    sizes = [len(x) for x in sets]
+    n = np.array(sizes)
+    # Sets of one component are joined from the start.
+    label = np.unique(components, return_index=True)[1][np.unique(components, return_inverse=True)[1]]
+    own = label.copy()
+    tiles = [list(_tiles(side, sizes)) for side in ((left,) if right is None else (left, right))]
+    for i, a in enumerate(tiles[0]):
+        for b in tiles[0][i:] if right is None else tiles[1]:
+            if len(np.unique(label[a + b])) == 1:
+                continue
+            shared = shared_counts([sets[k] for k in a], [sets[k] for k in b])
+            like = (shared > 0) & (100 * shared >= percent * (n[a][:, None] + n[b][None, :] - shared))
+            row, column = np.nonzero(like & (label[a][:, None] != label[b][None, :]))
+            row, column = np.array(a)[row], np.array(b)[column]
+            while True:
+                low = np.minimum(label[row], label[column])
+                if (label[row] == low).all() and (label[column] == low).all():
+                    break
+                for side in (row, column):
+                    np.minimum.at(label, label[side], low)
+                label = label[label]
+    return np.where(label == own, np.arange(len(sets)), label)
+
+
+def _compare_blocks(percent: int):
+    """Links of the pairs of chunks that rows, sorted by bucket and pair, belong to."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, members = None, []
+
+        def found():
+            (_, low, high), ids = key, [m[1] for m in members]
+            left = [k for k, m in enumerate(members) if m[0] == low]
+            right = None if low == high else [k for k, m in enumerate(members) if m[0] == high]
+            roots = block_links([np.frombuffer(m[3], U64) for m in members], np.array([m[2] for m in members]), left, right, percent)
+            joined = [(ids[k], ids[r]) for k, r in enumerate(roots) if k != r]
+            return pa.RecordBatch.from_arrays([pa.array([x[j] for x in joined], pa.int64()) for j in range(2)], names=["a", "b"])
+
+        names = ("bucket", "low", "high", "chunk", "id", "component", "shingles")
+        for batch in batches:
+            for bucket, low, high, *member in zip(*(batch.column(c).to_pylist() for c in names)):
+                if (bucket, low, high) != key:
+                    if len(members) > 1:
+                        yield found()
+                    key, members = (bucket, low, high), []
+                members.append(member)
+        if len(members) > 1:
+            yield found()
+
+    return compare
+
+
+def _exact_links(left: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` that join all similar documents of each bucket of ``bucket, id, n, component``."""
+    sums = left.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"),
+        F.array(F.expr("bit_xor(xxhash64(id))"), F.expr("bit_xor(xxhash64(id, 'again'))")).alias("members"))
+    once = sums.groupBy("members", "size").agg(F.min("bucket").alias("bucket"), F.first("shingles").alias("shingles"))
+    chunks = F.greatest(F.ceil(F.col("shingles") * 8 / CHUNK_BYTES), F.ceil(F.col("size") / CHUNK)).cast("int")
+    dealt = left.join(once.select("bucket", chunks.alias("chunks")), "bucket").withColumn(
+        "chunk", F.pmod(F.xxhash64("id", F.lit("chunk")), "chunks").cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))
+    dealt = dealt.withColumn("other", other).select(
+        "bucket", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "chunk", "id", "component")
+    blobs = texts.join(left.select("id").distinct(), "id", "left_semi").mapInArrow(_set_blobs, "id long, shingles binary")
+    pairs = dealt.join(staged(blobs, "open-sets"), "id").repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
+    return pairs.mapInArrow(_compare_blocks(percent), "a long, b long")
+
+
 def near_duplicates(documents: DataFrame, percent: int = 80) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``: documents linked when shared >= percent/100 of the union.
 
@@ -201,15 +317,8 @@ def _grouped(documents: DataFrame, percent: int) -> tuple[DataFrame, DataFrame,
     same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_id") == F.col("of_text"))
     texts = staged(texts.drop("both").join(ids, same).select("id", "text").dropDuplicates(["id"]), "candidate-texts")
 
-    # When a member's turn as a hub comes: round 0 is the smallest's, a later round has 2**GROWTH as many.
-    zeros = F.expr("length(regexp_extract(lpad(bin(xxhash64(bucket, id)), 64, '0'), '(0*)$', 1))")
-    last_round = F.ceil(F.log2("size") / GROWTH)
-    turn = F.when(F.col("id") == F.col("hub"), 0).otherwise(
-        F.greatest(F.lit(1), (last_round - F.floor(zeros / GROWTH)).cast("int")))
-    members = buckets.withColumn("turn", turn)
-
     like_sizes = 100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")
-    first = members.where((F.col("id") != F.col("hub")) & like_sizes)
+    first = buckets.where((F.col("id") != F.col("hub")) & like_sizes)
     links = _verified(first.select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), texts, percent)
     groups = components(staged(links, "links"))
 
@@ -220,20 +329,20 @@ def _grouped(documents: DataFrame, percent: int) -> tuple[DataFrame, DataFrame,
         several = named.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x != y")
         return named.join(several.select("bucket"), "bucket", "left_semi")
 
-    left = staged(open_buckets(members.where("turn > 0").select("bucket", "id", "n", "turn")), "open-buckets")
+    left = staged(open_buckets(buckets.select("bucket", "id", "n")), "open-buckets")
     own = _own_shingles(texts, left.select("id").distinct())
     # n minus own is the most that a document can share.
     left = left.drop("component").join(own, "id", "left").withColumn("most", F.col("n") - F.coalesce("own", F.lit(0))).where(
         100 * F.col("most") >= percent * F.col("n"))
-    left = staged(left.select("bucket", "id", "n", "turn", "most"), "open-buckets")
+    left = staged(left.select("bucket", "id", "n", "most"), "open-buckets")
     can_meet = like_sizes & (percent * (F.col("n") + F.col("hub_n")) <= (100 + percent) * F.least("most", "hub_most"))
 
     def hubs_of(members: DataFrame, *columns: str) -> DataFrame:
         return members.select("bucket", *[F.col(c).alias(f"hub_{c}") for c in columns])
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        """The components with the pairs that are confirmed."""
-        links = staged(_verified(pairs, texts, percent), "links")
+    def joined(links: DataFrame) -> DataFrame:
+        """The components with more links."""
+        links = staged(links, "links")
         if links.isEmpty():
             return groups
         stars = groups.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
@@ -243,28 +352,10 @@ def _grouped(documents: DataFrame, percent: int) -> tuple[DataFrame, DataFrame,
     typical = left.groupBy("bucket").agg(F.max_by("id", F.struct(F.col("most") / F.col("n"), -F.col("id"))).alias("id"))
     met = left.join(hubs_of(left.join(typical, ["bucket", "id"]), "id", "n", "most"), "bucket").where(
         (F.col("id") != F.col("hub_id")) & can_meet)
-    groups = linked(met.select(F.least("hub_id", "id").alias("a"), F.greatest("hub_id", "id").alias("b")).distinct())
-    turn_now = 1
-    while True:
-        left = open_buckets(left.where(F.col("turn") >= turn_now))
-        # At most BANDS buckets of a document; a pair meets in the first that both are in.
-        places = left.groupBy("id").agg(F.collect_set("bucket").alias("places"))
-        left = staged(left.join(places, "id"), "open-buckets")
-        final = left.agg(F.max("turn")).first()[0]
-        if final is None:
-            break
-        hubs = hubs_of(left.where(F.col("turn") == turn_now), "id", "n", "most", "component", "places")
-        # A member that was a hub before has met everyone; of two hubs of this round the smaller asks.
-        met = left.join(hubs, "bucket").where(
-            (F.col("component") != F.col("hub_component"))
-            & ((F.col("turn") > turn_now) | (F.col("hub_id") < F.col("id"))) & can_meet
-            & (F.array_min(F.array_intersect("places", "hub_places")) == F.col("bucket")))
-        groups = linked(met.select(F.col("hub_id").alias("a"), F.col("id").alias("b")))
-        if final <= turn_now:
-            break
-        left = left.drop("component", "places")
-        turn_now += 1
-
+    met = met.select(F.least("hub_id", "id").alias("a"), F.greatest("hub_id", "id").alias("b")).distinct()
+    groups = joined(_verified(met, texts, percent))
+    left = staged(open_buckets(left.select("bucket", "id", "n")), "open-buckets")
+    groups = joined(_exact_links(left, texts, percent))
     return signed, classes.drop("bands"), groups
 
 

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from helpers import documents, groups, prose
 
@@ -49,6 +50,45 @@ def test_groups_and_sizes_are_those_of_brute_force(spark, percent):
     assert all(r.kept == (r.doc_id == r.component_id) for r in found) and len(found) == len(rows)
 
 
+@pytest.mark.parametrize("tile", [512, 3])
+def test_blocks_join_what_is_similar(monkeypatch, tile):
+    monkeypatch.setattr(minhash, "TILE", tile)
+    monkeypatch.setattr(minhash, "COLUMNS", 16 if tile == 3 else 4096)
+    rng = np.random.default_rng(tile)
+    base = rng.integers(0, 2**63, 120, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([rng.permutation(base)[:k], rng.integers(0, 2**63, 120 - k, dtype=np.uint64)]))
+            for k in rng.integers(60, 121, 40)] + [np.zeros(0, np.uint64), base[:5]]
+    shared = [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+    assert minhash.shared_counts(sets[:25], sets[20:]).tolist() == [row[20:] for row in shared[:25]]
+    own = np.arange(len(sets))
+    own[[3, 9, 30]] = 3
+    everyone, half = list(range(len(sets))), list(range(20))
+    for left, right in ((everyone, None), (half, everyone[20:])):
+        pairs = [(a, b) for a in left for b in (right or left) if a != b]
+        like = [(a, b) for a, b in pairs if shared[a][b] and 100 * shared[a][b] >= 80 * (len(sets[a]) + len(sets[b]) - shared[a][b])]
+        found = minhash.block_links(sets, own, left, right, 80)
+        same = [(i, j) for i, j in enumerate(own.tolist()) if i != j]
+        assert groups(everyone, like + same) == groups(everyone, [(i, int(j)) for i, j in enumerate(found)] + same)
+        assert len(set(groups(everyone, like).values())) < len(sets)
+
+
+def test_buckets_of_many_that_are_almost_similar(spark, monkeypatch):
+    """Pairs grow with the members, not with their square, and no link is lost."""
+    monkeypatch.setattr(minhash, "CHUNK_BYTES", 20_000)
+    pairs = {}
+    for n in (60, 240):
+        base = prose(21, 150)
+        rows = [(i, edited(base, 0.02 + 0.02 * (i % 3), 1000 + i)) for i in range(n)]
+        counted = []
+        verified = minhash._verified
+        monkeypatch.setattr(minhash, "_verified", lambda p, *a: counted.append(p.count()) or verified(p, *a))
+        found = minhash.near_duplicates(documents(spark, rows), 80).collect()
+        monkeypatch.setattr(minhash, "_verified", verified)
+        assert {r.doc_id: r.component_id for r in found} == by_force(rows, 80)[1]
+        pairs[n] = sum(counted)
+    assert pairs[240] < 8 * pairs[60]
+
+
 def test_repeated_rows_rows_without_id_and_an_empty_table(spark):
     text = prose(8, 30)
     rows = [(7, text), (7, text), (None, text), (9, text), (None, prose(9, 30)), (None, "")]
