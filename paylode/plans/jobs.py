@@ -20,6 +20,7 @@ from paylode.functions.rules import MALFORMED
 from paylode.operators.checks import RENAMED, Check, mart_checks, run_checks
 from paylode.operators.features import FEATURE_COLUMNS, FRAME_DAYS, merchant_daily, payment_features
 from paylode.operators.upsert import current_state_upsert, latest, partition_upsert, partitions_of_moved_keys, recency
+from paylode.operators.parents import exceeding, with_arrived_parents
 from paylode.operators.validate import (
     accepted,
     malformed,
@@ -32,6 +33,7 @@ from paylode.operators.validate import (
 from paylode.plans import gold, marts
 from paylode.session import owned_scratch, staged, use_utc
 from paylode.sources.files import children
+from paylode.sources.key_index import KeyIndex
 from paylode.sources.lake import Lake, on_days, overwrite_partitions, read_table, read_version, write_version
 from paylode.sources.landing import profile, read_feed
 
@@ -52,6 +54,32 @@ FCT_PAYMENTS_SCHEMA = (
     "transaction_date timestamp, flag_high_velocity boolean, flag_amount_spike boolean, updated_at timestamp, "
     "transaction_day date"
 )
+CHILD_FACTS = {
+    "refunds": (
+        "refund_day", marts.fct_refunds,
+        "refund_id string, payment_id string, amount double, refund_date timestamp, payment_found boolean, amount_cop double, "
+        "payment_amount double, payment_day date, refund_day date",
+    ),
+    "chargebacks": (
+        "chargeback_day", marts.fct_chargebacks,
+        "chargeback_id string, payment_id string, reason string, amount double, chargeback_date timestamp, "
+        "payment_found boolean, amount_cop double, merchant_id string, customer_id string, payment_day date, "
+        "days_to_chargeback int, chargeback_day date",
+    ),
+}
+
+
+@dataclass(frozen=True)
+class Changes:
+    """Days of the facts that a run rewrote."""
+
+    payments: tuple[str, ...] = ()
+    refunds: tuple[str, ...] = ()
+    chargebacks: tuple[str, ...] = ()
+
+    @property
+    def days(self) -> list[str]:
+        return sorted({*self.payments, *self.refunds, *self.chargebacks})
 
 
 @dataclass
@@ -224,26 +252,95 @@ def _silver_figures(checked: DataFrame, unreadable: DataFrame, contract: Contrac
     }
 
 
+def places(lake: Lake, entity: str) -> KeyIndex:
+    """The event day under which each business key of a fact is stored."""
+    return KeyIndex(lake.path("index", entity), CONTRACTS[entity].business_key[0])
+
+
+def references(lake: Lake, entity: str) -> KeyIndex:
+    """The event days of the refunds or chargebacks that name a payment."""
+    return KeyIndex(lake.path("index", f"{entity}_by_payment"), "payment_id")
+
+
+def _indexed(spark: SparkSession, lake: Lake, entity: str) -> KeyIndex:
+    """The index of a fact; a table that was written without one is read once, its keys and days alone."""
+    index = places(lake, entity)
+    if not index.is_built(spark) and lake.has_silver(spark, entity):
+        index.record(lake.silver(spark, entity).select(index.key, "dt"))
+    return index
+
+
 def _merge_fact(
     spark: SparkSession, lake: Lake, contract: Contract, valid: DataFrame, batch: DataFrame, dts: list[str],
 ) -> list[str]:
     """Rewrite the event days the batch touches, and those a key of the batch moved away from.
 
     A key that changed its event date must not stay behind under the old one, however long ago that is:
-    the keys of the batch are looked up in the whole table, of which only the key column is read.
+    the keys of the batch are looked up in the index of keys.  Of the table itself only the days that are
+    rewritten are read.  The index follows the table: after a failure between the two the repeated job finds
+    the keys where the table was before, which are days that it rewrites anyway.
     """
     path = lake.path("silver", contract.entity)
     existing = lake.silver(spark, contract.entity)
-    touched = set(dts)
-    if lake.has_silver(spark, contract.entity):
-        moved = partitions_of_moved_keys(existing, valid, contract.business_key)
-        touched |= {str(row["dt"]) for row in moved.collect()}
-    touched = sorted(touched)
+    index = _indexed(spark, lake, contract.entity)
+    moved = partitions_of_moved_keys(index.newest(valid), valid, contract.business_key)
+    touched = sorted(set(dts) | {str(row["dt"]) for row in moved.collect()})
     merged = partition_upsert(existing, batch, contract.business_key, recency(contract), touched)
     overwrite_partitions(merged, path, "dt", expected=touched)
+    arrived = on_days(lake.silver(spark, contract.entity), touched).where(
+        F.col("_ingest_date").isin(sorted({row["_ingest_date"] for row in valid.select("_ingest_date").distinct().collect()})))
+    index.record(arrived.select(index.key, "dt"))
+    if contract.parent_days is not None:
+        references(lake, contract.entity).record(arrived.select("payment_id", "dt"))
     return [f"dt={day}" for day in touched]
 
 
+def revise_children(spark: SparkSession, lake: Lake, entity: str, days: Iterable[dt.date | str], payment_days: Iterable[str]) -> list[str]:
+    """Refunds or chargebacks that came before their payment, now that payments of ``days`` have arrived.
+
+    ``payment_days`` are the event days that the payments' merge rewrote.  The children that name an arrived
+    payment are found in the index by payment; only their days are read.  One whose payment is in its window
+    becomes found, or goes to the quarantine of the day it came in if it exceeds the payment.  Returns the
+    children's days that hold such a payment, whose facts depend on it.
+    """
+    contract, days = CONTRACTS[entity], _iso(days)
+    index = references(lake, entity)
+    if not days or not index.is_built(spark):
+        return []
+    arrived = on_days(lake.silver(spark, "payments"), payment_days).where(F.col("_ingest_date").isin(days))
+    arrived = staged(arrived.select("payment_id", "amount", "dt"), "arrived-payments")
+    touched = _iso(row["dt"] for row in index.every(arrived).select("dt").distinct().collect())
+    if not touched:
+        return []
+    current = on_days(lake.silver(spark, entity), touched)
+    waiting = staged(with_arrived_parents(current.where(~F.col("payment_found")), arrived, contract.parent_days), f"waiting-{entity}")
+    changed = _iso(row["dt"] for row in waiting.where("payment_found").select("dt").distinct().collect())
+    if changed:
+        over = waiting.where(exceeding())
+        ingested = _iso(row["_ingest_date"] for row in over.select("_ingest_date").distinct().collect())
+        if ingested:
+            _set_aside_again(spark, lake, contract, over, arrived, ingested)
+        kept = on_days(current, changed).where("payment_found").unionByName(
+            on_days(waiting, changed).where(~exceeding()).drop("_parent_amount"))
+        overwrite_partitions(kept, lake.path("silver", entity), "dt", expected=changed)
+    return touched
+
+
+def _set_aside_again(
+    spark: SparkSession, lake: Lake, contract: Contract, over: DataFrame, arrived: DataFrame, ingested: list[str],
+) -> None:
+    """Add rows of silver to the quarantine of the days that they came in, in the form they were received."""
+    key = contract.business_key
+    bronze = on_days(lake.bronze(spark, contract.entity), ingested, "ingest_date")
+    sent = readable(bronze).join(over.select(*key, F.col("_ingest_date").cast("date").alias("ingest_date")), [*key, "ingest_date"], "left_semi")
+    failed = set_aside(sealed(validate(sent.select(bronze.columns), contract, payments=arrived)))
+    path = lake.path("quarantine", contract.entity)
+    before = on_days(read_table(spark, path, QUARANTINE_SCHEMA), ingested, "ingest_date")
+    both = before.unionByName(failed.withColumn("ingest_date", F.col("ingest_date").cast("date")))
+    # Repeating the work adds no row twice.
+    overwrite_partitions(staged(both.dropDuplicates(["_raw", "_source_file", "ingest_date"]), "quarantined-again"), path, "ingest_date")
+
+
 # -------------------------------------------------------------------- features
 def features_after(dts: Iterable[str]) -> list[str]:
     """Event days whose frames see a change on ``dts``: each one and the seven after it."""
@@ -319,19 +416,81 @@ def refresh_fct_payments(
     return dts
 
 
-def mart_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
-    """Every mart and published dataset by name, as the data tests and the publication want them.
+def fct_children_of(spark: SparkSession, lake: Lake, entity: str, dts: Iterable[str] | None = None) -> DataFrame:
+    """The fact of refunds or chargebacks, of all days or of some.
 
-    What is joined or counted is staged once, so that no test repeats it.
+    For some days the payments that they name are found in the index, and only those payments' days are read.
     """
-    silver_payments = lake.silver(spark, "payments")
-    payments = read_table(spark, lake.path("marts", "fct_payments"), FCT_PAYMENTS_SCHEMA)
-    customers = marts.dim_customers(lake.silver(spark, "customers"))
-    refunds, chargebacks = at_once(
+    _, build, _ = CHILD_FACTS[entity]
+    rows, payments = lake.silver(spark, entity), lake.silver(spark, "payments")
+    if dts is not None:
+        rows = on_days(rows, dts)
+        named = _indexed(spark, lake, "payments").newest(rows)
+        payments = on_days(payments, _iso(r["dt"] for r in named.select("dt").distinct().collect()))
+    return build(rows, payments)
+
+
+def stored_fact(spark: SparkSession, lake: Lake, entity: str) -> DataFrame:
+    """The stored fact of payments, refunds or chargebacks."""
+    schema = FCT_PAYMENTS_SCHEMA if entity == "payments" else CHILD_FACTS[entity][2]
+    return read_table(spark, lake.path("marts", f"fct_{entity}"), schema)
+
+
+def refresh_fct_children(spark: SparkSession, lake: Lake, entity: str, dts: Iterable[str] | None = None) -> None:
+    """Replace days of the stored fact of refunds or chargebacks; all of it without ``dts``."""
+    use_utc(spark)
+    path, (day, *_) = lake.path("marts", f"fct_{entity}"), CHILD_FACTS[entity]
+    expected = _stored_days(spark, path, day) if dts is None else _iso(dts)
+    if dts is None or expected:
+        overwrite_partitions(fct_children_of(spark, lake, entity, None if dts is None else expected), path, day, expected=expected)
+
+
+def refresh_indicators(spark: SparkSession, lake: Lake, dts: Iterable[str] | None = None) -> None:
+    """Replace days of the stored daily indicators; a day's figures come from that day of the three facts."""
+    use_utc(spark)
+    path = lake.path("marts", "indicadores_financieros")
+    expected = _stored_days(spark, path, "fecha") if dts is None else _iso(dts)
+    if dts is not None and not expected:
+        return
+
+    def fact(entity: str, day: str) -> DataFrame:
+        rows = stored_fact(spark, lake, entity)
+        return rows if dts is None else on_days(rows, expected, day)
+
+    rows = gold.indicadores_financieros(
+        fact("payments", "transaction_day"), fact("refunds", "refund_day"), fact("chargebacks", "chargeback_day"))
+    overwrite_partitions(rows, path, "fecha", expected=expected)
+
+
+def refresh_facts(spark: SparkSession, lake: Lake, changed: Changes | None = None) -> None:
+    """The stored facts of refunds and chargebacks, then the indicators, of the changed days or of all."""
+    at_once(
         spark,
-        lambda: staged(marts.fct_refunds(lake.silver(spark, "refunds"), silver_payments), "fct-refunds"),
-        lambda: staged(marts.fct_chargebacks(lake.silver(spark, "chargebacks"), silver_payments), "fct-chargebacks"),
+        lambda: refresh_fct_children(spark, lake, "refunds", changed and changed.refunds),
+        lambda: refresh_fct_children(spark, lake, "chargebacks", changed and changed.chargebacks),
     )
+    refresh_indicators(spark, lake, changed and changed.days)
+
+
+def mart_tables(spark: SparkSession, lake: Lake, stored: bool = False) -> dict[str, DataFrame]:
+    """Every mart and published dataset by name, as the data tests and the publication want them.
+
+    ``stored`` reads the facts and indicators that ``refresh_facts`` keeps; else they are made of all silver
+    rows, staged once so that no test repeats it.
+    """
+    payments = stored_fact(spark, lake, "payments")
+    customers = marts.dim_customers(lake.silver(spark, "customers"))
+    if stored:
+        refunds, chargebacks = stored_fact(spark, lake, "refunds"), stored_fact(spark, lake, "chargebacks")
+        indicators = read_table(
+            spark, lake.path("marts", "indicadores_financieros"), _last(gold.GOLD_SCHEMAS["indicadores_financieros"], "fecha"))
+    else:
+        refunds, chargebacks = at_once(
+            spark,
+            lambda: staged(fct_children_of(spark, lake, "refunds"), "fct-refunds"),
+            lambda: staged(fct_children_of(spark, lake, "chargebacks"), "fct-chargebacks"),
+        )
+        indicators = staged(gold.indicadores_financieros(payments, refunds, chargebacks), "indicadores")
     return {
         "dim_customers": customers,
         "dim_merchants": marts.dim_merchants(lake.silver(spark, "merchants")),
@@ -341,10 +500,17 @@ def mart_tables(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
         "clientes_gold": gold.clientes_gold(customers),
         "pagos_gold": gold.pagos_gold(payments),
         "contracargos_gold": gold.contracargos_gold(chargebacks),
-        "indicadores_financieros": staged(gold.indicadores_financieros(payments, refunds, chargebacks), "indicadores"),
+        "indicadores_financieros": indicators,
     }
 
 
+def _last(schema: str, column: str) -> str:
+    """A schema text with its partition column behind the others, where files have it."""
+    fields = schema.split(", ")
+    own = [f for f in fields if f.startswith(f"{column} ")]
+    return ", ".join([f for f in fields if f not in own] + own)
+
+
 class DataTestFailure(RuntimeError):
     """Tests of severity ``error`` that failed; nothing was published."""
 
@@ -364,29 +530,31 @@ def run_data_tests(tables: dict[str, DataFrame], checks: Sequence[Check] | None
 
 def publish(
     spark: SparkSession, lake: Lake, run_id: str, days: Iterable[dt.date | str], kind: str,
-    quality: dict | None = None, changed: Iterable[str] | None = None, checks: Sequence[Check] | None = None,
+    quality: dict | None = None, changed: Changes | None = None, checks: Sequence[Check] | None = None,
 ) -> JobResult:
-    """Test the marts, write the published datasets and, after them, the manifest.
+    """Refresh and test the marts, write the published datasets and, after them, the manifest.
 
-    A failed test raises before anything is written, so the earlier publication stays; ``checks`` replaces
-    the tests of the marts.  Payments are stored by day and only the ``changed`` days are rewritten (all
-    without it); the others get a new version each.
+    A failed test raises before anything is published, so the earlier publication stays; ``checks`` replaces
+    the tests of the marts.  Datasets by day are rewritten for the ``changed`` days (all without it), the
+    others get a new version.
     """
+    refresh_facts(spark, lake, changed)
     with owned_scratch(spark):
-        tables = mart_tables(spark, lake)
+        tables = mart_tables(spark, lake, stored=True)
         warnings = run_data_tests(tables, checks)
-        pagos, path = tables["pagos_gold"], lake.path("gold", "pagos_gold")
+        due = {} if changed is None else {
+            "pagos_gold": changed.payments, "contracargos_gold": changed.chargebacks, "indicadores_financieros": changed.days}
 
-        def store_payments() -> None:
+        def store(name: str) -> Callable[[], None]:
+            path, rows = lake.path("gold", name), tables[name]
+            if name not in gold.DATED:
+                return lambda: write_version(rows, path)
             if changed is None:
-                overwrite_partitions(pagos, path, "fecha", expected=_stored_days(spark, path, "fecha"))
-            else:
-                overwrite_partitions(on_days(pagos, changed, "fecha"), path, "fecha", expected=changed)
+                return lambda: overwrite_partitions(rows, path, "fecha", expected=_stored_days(spark, path, "fecha"))
+            expected = _iso(due[name])
+            return lambda: expected and overwrite_partitions(on_days(rows, expected, "fecha"), path, "fecha", expected=expected)
 
-        def store_version(name: str) -> Callable[[], None]:
-            return lambda: write_version(tables[name], lake.path("gold", name))
-
-        at_once(spark, store_payments, *[store_version(name) for name in gold.GOLD_DATASETS if name != "pagos_gold"])
+        at_once(spark, *[store(name) for name in gold.GOLD_DATASETS])
     published = {name: read_gold(spark, lake, name) for name in gold.GOLD_DATASETS}
     counts = {row["dataset"]: row["rows"] for row in gold.row_counts(published).collect()}
     manifest = manifest_row(spark, run_id, _iso(days), counts, kind, quality or {}, warnings)
@@ -397,8 +565,9 @@ def publish(
 def read_gold(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
     """A published dataset with its columns in published order."""
     schema, path = gold.GOLD_SCHEMAS[name], lake.path("gold", name)
-    if name == "pagos_gold":
-        return read_table(spark, path, schema).select(*dict(gold.PAGOS).values())
+    if name in gold.DATED:
+        names = [field.split(" ")[0] for field in schema.split(", ")]
+        return read_table(spark, path, _last(schema, "fecha")).select(*names)
     return read_version(spark, path, schema)
 
 
@@ -447,18 +616,44 @@ def refresh_silver(
     def silver(entity: str) -> Callable[[], JobResult]:
         return lambda: bronze_to_silver(spark, lake, entity, days_of(entity))
 
+    revised: dict[str, JobResult] = {}
+
+    def children_of(entity: str, paid: JobResult) -> Callable[[], JobResult | None]:
+        """Earlier rows meet the payments that have arrived, then the feed's own days are merged."""
+        def work() -> JobResult | None:
+            if paid.partitions:
+                met = revise_children(
+                    spark, lake, entity, days_of("payments"), [p.partition("=")[2] for p in paid.partitions])
+                if met:
+                    revised[entity] = JobResult(partitions=[f"dt={day}" for day in met])
+            return silver(entity)() if entity in entities else None
+
+        return work
+
     landed = at_once(spark, *[bronze(entity) for entity in entities])
     results = {f"bronze.{entity}": result for entity, result in zip(entities, landed)}
     for step in (("customers", "merchants"), ("payments",), ("refunds", "chargebacks")):
         due = [entity for entity in step if entity in entities]
         jobs = [silver(entity) for entity in due]
-        if step == ("refunds", "chargebacks") and after_payments:
+        if step == ("refunds", "chargebacks"):
             paid = results.get("silver.payments", JobResult())
-            jobs.append(lambda: after_payments(paid))
+            jobs = [children_of(entity, paid) for entity in step]
+            due = list(step)
+            if after_payments:
+                jobs.append(lambda: after_payments(paid))
         if jobs:
             merged = at_once(spark, *jobs)
-            results |= {f"silver.{entity}": result for entity, result in zip(due, merged)}
-    return results
+            results |= {f"silver.{entity}": result for entity, result in zip(due, merged) if entity in entities}
+    return results | {f"revised.{entity}": result for entity, result in revised.items()}
+
+
+def changes_of(results: dict[str, JobResult], payment_days: Iterable[str]) -> Changes:
+    """The days of the facts that the jobs of a run have touched."""
+    def touched(entity: str) -> tuple[str, ...]:
+        names = (f"silver.{entity}", f"revised.{entity}")
+        return tuple(_iso(p.partition("=")[2] for n in names if n in results for p in results[n].partitions))
+
+    return Changes(tuple(_iso(payment_days)), touched("refunds"), touched("chargebacks"))
 
 
 def refresh_days(
@@ -480,6 +675,7 @@ def refresh_days(
     with owned_scratch(spark):
         results = refresh_silver(spark, lake, lambda _: days, entities, after_payments=score)
         results["features"] = done["features"]
+        changed = changes_of(results, done["changed"])
         quality = quality_of(r for name, r in results.items() if name.startswith("silver."))
-        results["publish"] = publish(spark, lake, run_id, days, kind, quality, done["changed"], checks)
+        results["publish"] = publish(spark, lake, run_id, days, kind, quality, changed, checks)
     return results

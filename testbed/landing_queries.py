@@ -27,6 +27,7 @@ from paylode.plans.jobs import (
     refresh_silver,
     silver_to_features,
 )
+from paylode.plans.jobs import changes_of, refresh_facts, stored_fact
 from paylode.session import scratch_path
 from paylode.sources.lake import Lake, on_days, read_table
 from paylode.sources.landing import drift, ingest_counts, landed_days, landing_completeness, read_feed
@@ -407,6 +408,85 @@ def incremental_gold_refresh(spark, sf):
         "payment_id", "status", "amount_cop", "transaction_day", "flag_high_velocity", "flag_amount_spike")
 
 
+def _incremental_lake(spark, sf) -> Lake:
+    """The first half of the days, then the rest: only the days that a run touches are recomputed in any dataset."""
+    lake = land_all(spark, sf)
+    for second in (False, True):
+        def days_of(entity, second=second):
+            return [d for d in landed_days(spark, lake.landing, entity) if (str(d) >= V2_FROM) == second]
+
+        scored: list = []
+
+        def score(paid, scored=scored) -> None:
+            scored += features_after(p.partition("=")[2] for p in paid.partitions)
+            silver_to_features(spark, lake, scored)
+            refresh_fct_payments(spark, lake, scored)
+
+        due = [entity for entity in ENTITIES if days_of(entity)]
+        results = refresh_silver(spark, lake, days_of, due, after_payments=score)
+        publish(spark, lake, f"R{second}", days_of("payments"), "incremental", changed=changes_of(results, scored), checks=feed_checks())
+    return lake
+
+
+@query("incremental_kpis", sql("landed_kpis", body=f"SELECT * REPLACE ({day('fecha')} AS fecha) FROM landed_kpis"))
+def incremental_kpis(spark, sf):
+    return comparable_kpis(read_gold(spark, _shared(spark, sf, "incremental", _incremental_lake), "indicadores_financieros"))
+
+
+@query("incremental_chargebacks_gold", sql("landed_chargebacks", "landed_payments", body=f"""
+    SELECT chargeback_id AS id_contracargo, c.payment_id AS id_pago, merchant_id AS id_comercio, customer_id AS id_cliente,
+           reason AS motivo, c.amount AS monto, {day("c.dt")} AS fecha, {day("p.dt")} AS fecha_pago,
+           CAST(c.dt - p.dt AS BIGINT) AS dias_hasta_contracargo
+    FROM landed_chargebacks c LEFT JOIN landed_payments p ON p.payment_id = c.payment_id"""))
+def incremental_chargebacks_gold(spark, sf):
+    return read_gold(spark, _shared(spark, sf, "incremental", _incremental_lake), "contracargos_gold")
+
+
+MOVED_ON, MOVED_TO = "2024-03-20", "2024-03-18"
+
+
+@query("moved_key_beyond_window", sql("landed_payments", body=f"""
+    SELECT payment_id, CASE WHEN CAST(substr(payment_id, 2) AS BIGINT) % 50 = 7 THEN '{MOVED_TO}' ELSE {day("dt")} END AS dt
+    FROM landed_payments"""))
+def moved_key_beyond_window(spark, sf):
+    """Payments whose date is corrected weeks later: they leave days far outside the window of late rows."""
+    lake = land_all(spark, sf)
+    for entity in ("merchants", "payments"):
+        days = landed_days(spark, lake.landing, entity)
+        land_to_bronze(spark, lake, entity, days)
+        bronze_to_silver(spark, lake, entity, days)
+    moved = lake.silver(spark, "payments").where(F.substring("payment_id", 2, 99).cast("long") % 50 == 7)
+    when = F.lit(f"{MOVED_TO} 10:00:00").cast("timestamp")
+    moved = moved.withColumns({"transaction_date": when, "updated_at": F.lit(f"{MOVED_ON} 01:00:00").cast("timestamp"),
+                               "ingest_date": F.lit(MOVED_ON)})
+    lines = _lines(moved.select(*CONTRACTS["payments"].names, "ingest_date"), CONTRACTS["payments"].names)
+    lines.write.mode("append").partitionBy("ingest_date").text(f"{lake.landing}/payments")
+    land_to_bronze(spark, lake, "payments", [MOVED_ON])
+    bronze_to_silver(spark, lake, "payments", [MOVED_ON])
+    return lake.silver(spark, "payments").select("payment_id", "dt")
+
+
+LATE_BY = 2
+
+
+@query("late_parent", sql("landed_refunds", "landed_payments", "landed_lines", body=f"""
+    SELECT refund_id, r.payment_id, r.amount, p.payment_id IS NOT NULL AS payment_found, {day("p.dt")} AS payment_day
+    FROM landed_refunds r LEFT JOIN landed_payments p ON p.payment_id = r.payment_id"""))
+def late_parent(spark, sf):
+    """All refunds come in first, their payments afterwards: silver, quarantine and fact as if in order."""
+    lake = land_all(spark, sf)
+    for entity in ("merchants", "refunds"):
+        days = landed_days(spark, lake.landing, entity)
+        land_to_bronze(spark, lake, entity, days)
+        bronze_to_silver(spark, lake, entity, days)
+    refresh_facts(spark, lake)
+    results = refresh_silver(spark, lake, lambda entity: landed_days(spark, lake.landing, entity), ("payments",))
+    refresh_facts(spark, lake, changes_of(results, []))
+    fact = stored_fact(spark, lake, "refunds")
+    found = lake.silver(spark, "refunds").select("refund_id", "payment_found")
+    return fact.drop("payment_found").join(found, "refund_id").select("refund_id", "payment_id", "amount", "payment_found", "payment_day")
+
+
 @query("publication_manifest", sql("landed_fact", "landed_chargebacks", "customers", "landed_kpis", body="""
     SELECT 'R1' AS run_id, 'incremental' AS kind, (SELECT COUNT(*) FROM customers) AS clientes_gold,
            (SELECT COUNT(*) FROM landed_fact) AS pagos_gold,
