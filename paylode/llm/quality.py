@@ -2,8 +2,8 @@
 
 The base rules are fixed limits.  Documents that pass them are judged by how few random splits set them apart:
 each tree draws a feature and a cut within its rows' range, again and again; a document that ends up alone after
-few splits is anomalous.  The trees grow on a bounded sample (``TREES`` trees of ``ROWS_PER_TREE`` rows, from
-``SAMPLE`` documents in the order of a hash of their id); every document goes through every tree.
+few splits is anomalous.  Each of ``TREES`` trees grows on ``ROWS_PER_TREE`` documents of its own, drawn from all
+passing ones by a hash of their id; every document goes through every tree.
 
 The threshold comes from all labelled rows that pass the base rules: from a histogram of their scores by
 label, that cut is taken which loses at most ``MOST_GOOD_LOST`` of the good ones and catches the most bad ones.
@@ -32,7 +32,6 @@ from paylode.session import settled, staged
 RUN = 8
 TREES = 200
 ROWS_PER_TREE = 256
-SAMPLE = 20_000
 MOST_GOOD_LOST = 0.005
 BINS = 2_000
 
@@ -168,9 +167,16 @@ class Forest(NamedTuple):
 
 
 def plant(sample: np.ndarray, trees: int = TREES, rows_per_tree: int = ROWS_PER_TREE) -> Forest:
+    """Trees of rows of their own, in the sample's order; a sample that is too small for that is drawn from again."""
     rng = np.random.Generator(np.random.PCG64(23))
     size = min(rows_per_tree, len(sample))
-    grown = [grow(sample[rng.choice(len(sample), size, replace=False)], rng) for _ in range(trees)] if size else []
+
+    def rows_of(tree: int) -> np.ndarray:
+        if len(sample) >= trees * size:
+            return sample[tree * size:(tree + 1) * size]
+        return sample[rng.choice(len(sample), size, replace=False)]
+
+    grown = [grow(rows_of(tree), rng) for tree in range(trees)] if size else []
     return Forest(grown, max(_expected(size), 1.0))
 
 
@@ -218,8 +224,8 @@ def _judged(documents: DataFrame, labels: DataFrame) -> DataFrame:
     spark = documents.sparkSession
     rows = staged(statistics(documents), "quality-statistics")
     passing = rows.where("not base_failed")
-    sample = hash_sample(passing, SAMPLE, passing.count(), "doc_id", *_COUNTS).select(*_COUNTS).toPandas()
-    forest = plant(features({c: sample[c].to_numpy() for c in _COUNTS}))
+    sample = hash_sample(passing, TREES * ROWS_PER_TREE, passing.count(), "doc_id", *_COUNTS).select(*_COUNTS).toArrow()
+    forest = plant(features({c: sample.column(c).to_numpy() for c in _COUNTS}))
     shared = spark.sparkContext.broadcast(forest)
     fields = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
     scored = staged(rows.mapInArrow(_judge(shared), f"{fields}, anomaly double"), "quality-scores")

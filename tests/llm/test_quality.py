@@ -71,3 +71,25 @@ def test_the_threshold_loses_few_good_rows():
     good[100], good[900], bad[950] = 999, 1, 50
     assert quality._threshold(good, bad) * quality.BINS == pytest.approx(101)
     assert quality._threshold(good, bad * 0) == float("inf")
+
+
+def test_paths_are_those_of_a_plain_walk_and_trees_split_their_own_rows():
+    rng = np.random.default_rng(5)
+    sample = np.round(rng.random((900, 4)), 2)
+    forest = quality.plant(sample, trees=3, rows_per_tree=300)
+    expected = lambda n: 0.0 if n < 2 else 1.0 if n == 2 else 2 * (np.log(n - 1) + np.euler_gamma) - 2 * (n - 1) / n
+
+    def leaf(tree, row):
+        node, steps = 0, 0
+        while tree.feature[node] >= 0:
+            node, steps = (tree.left if row[tree.feature[node]] <= tree.cut[node] else tree.right)[node], steps + 1
+        return node, steps
+
+    for t, tree in enumerate(forest.trees):
+        reached = [leaf(tree, row) for row in sample[300 * t:300 * (t + 1)]]
+        for node, steps in set(reached):
+            held = [n for n, _ in reached].count(node)
+            assert tree.depth[node] == pytest.approx(steps + expected(held)) and steps <= 9
+    rows = rng.random((50, 4)) * 1.4
+    mean = [np.mean([tree.depth[leaf(tree, row)[0]] for tree in forest.trees]) for row in rows]
+    assert quality.anomaly(forest, rows) == pytest.approx([2 ** (-m / expected(300)) for m in mean])
