@@ -446,7 +446,7 @@ MOVED_ON, MOVED_TO = "2024-03-20", "2024-03-18"
 
 
 @query("moved_key_beyond_window", sql("landed_payments", body=f"""
-    SELECT payment_id, CASE WHEN CAST(substr(payment_id, 2) AS BIGINT) % 50 = 7 THEN '{MOVED_TO}' ELSE {day("dt")} END AS dt
+    SELECT payment_id, CASE WHEN CAST(substr(payment_id, 2) AS BIGINT) % 17 = 7 THEN '{MOVED_TO}' ELSE {day("dt")} END AS dt
     FROM landed_payments"""))
 def moved_key_beyond_window(spark, sf):
     """Payments whose date is corrected weeks later: they leave days far outside the window of late rows."""
@@ -455,7 +455,7 @@ def moved_key_beyond_window(spark, sf):
         days = landed_days(spark, lake.landing, entity)
         land_to_bronze(spark, lake, entity, days)
         bronze_to_silver(spark, lake, entity, days)
-    moved = lake.silver(spark, "payments").where(F.substring("payment_id", 2, 99).cast("long") % 50 == 7)
+    moved = lake.silver(spark, "payments").where(F.substring("payment_id", 2, 99).cast("long") % 17 == 7)
     when = F.lit(f"{MOVED_TO} 10:00:00").cast("timestamp")
     moved = moved.withColumns({"transaction_date": when, "updated_at": F.lit(f"{MOVED_ON} 01:00:00").cast("timestamp"),
                                "ingest_date": F.lit(MOVED_ON)})
