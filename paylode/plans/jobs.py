@@ -7,12 +7,13 @@ the same days gives the same tables.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylode.contracts import CONTRACTS, ENTITIES, LATE_DATA_DAYS, Contract
@@ -31,10 +32,11 @@ from paylode.operators.validate import (
     validate,
 )
 from paylode.plans import gold, marts
+from paylode.plans.publication import draft, drop_unpublished, partition_last, read_gold
 from paylode.session import owned_scratch, staged, use_utc
 from paylode.sources.files import children
 from paylode.sources.key_index import KeyIndex
-from paylode.sources.lake import Lake, on_days, overwrite_partitions, read_table, read_version, write_version
+from paylode.sources.lake import Lake, on_days, overwrite_partitions, read_table, write_version
 from paylode.sources.landing import profile, read_feed
 
 QUARANTINE_SCHEMA = (
@@ -89,6 +91,15 @@ class JobResult:
     rows_quarantined: int = 0
     partitions: list[str] = field(default_factory=list)
     details: dict = field(default_factory=dict)
+    by_day: dict[str, dict] = field(default_factory=dict)  # the same figures for each day that came in
+
+
+Around = Callable[[str, Callable[[], JobResult]], JobResult]
+
+
+def plainly(task: str, work: Callable[[], JobResult]) -> JobResult:
+    """Run a task without a log; the jobs of a run go through a function of this form."""
+    return work()
 
 
 def at_once(spark: SparkSession, *jobs: Callable[[], object]) -> list:
@@ -154,6 +165,13 @@ def land_to_bronze(spark: SparkSession, lake: Lake, entity: str, days: Iterable[
             "missing_columns": named("missing_required_columns"),
             "schema_events": events,
         },
+        by_day={
+            day: {
+                "rows_read": total("lines", day), "rows_written": total("lines", day), "corrupt_lines": total("corrupt", day),
+                "unknown_columns": sorted({n for e in events_of(day) if e["kind"] == "unknown_columns" for n in e["columns"]}),
+            }
+            for day in days
+        },
     )
 
 
@@ -201,55 +219,82 @@ def silver_batch(
 
     valid = accepted(checked, contract)
     batch = latest(valid, contract)
-    kept = Observation()
-    late = F.col("dt") < F.col("_ingest_date").cast("date") if contract.event_date else F.lit(False)
-    observed = batch.observe(kept, F.count(F.lit(1)).alias("rows"), F.count_if(late).alias("late"))
 
     def merge() -> list[str]:
-        if figures["valid"] == 0:
+        if not figures.valid:
             return []
         if contract.event_date:
-            return _merge_fact(spark, lake, contract, valid, observed, figures["dts"])
-        current = current_state_upsert(
-            lake.silver(spark, entity), observed, contract.business_key, recency(contract))
+            return _merge_fact(spark, lake, contract, valid, batch, figures.dts)
+        current = current_state_upsert(lake.silver(spark, entity), batch, contract.business_key, recency(contract))
         write_version(current, lake.path("silver", entity))
         return ["current"]
 
-    _, partitions = at_once(spark, set_apart, merge)
-    n_batch, n_late = (kept.get["rows"], kept.get["late"]) if figures["valid"] else (0, 0)
-    details = {
-        "duplicates_removed": figures["valid"] - n_batch,
-        "quarantine_reasons": figures["reasons"],
-    }
+    def count_kept() -> dict[str, tuple[int, int]]:
+        """Rows and late rows of the batch by day, counted over the staged rows: a stage that runs twice counts once."""
+        if not figures.valid:
+            return {}
+        late = F.col("dt") < F.col("_ingest_date").cast("date") if contract.event_date else F.lit(False)
+        kept = batch.groupBy("_ingest_date").agg(F.count(F.lit(1)).alias("rows"), F.count_if(late).alias("late"))
+        return {str(r["_ingest_date"]): (r["rows"], r["late"]) for r in kept.collect()}
+
+    _, partitions, kept = at_once(spark, set_apart, merge, count_kept)
+    by_day = figures.by_day(days, kept, bool(contract.event_date))
+
+    def total(name: str) -> int:
+        return sum(day[name] for day in by_day.values())
+
+    details = {"duplicates_removed": total("duplicates_removed"), "quarantine_reasons": figures.reasons()}
     if contract.event_date:
-        details["late_rows"] = n_late
-    return JobResult(figures["read"], n_batch, figures["quarantined"], partitions, details)
+        details["late_rows"] = total("late_rows")
+    return JobResult(total("rows_read"), total("rows_written"), total("rows_quarantined"), partitions, details, by_day)
+
+
+@dataclass
+class _Figures:
+    """Counts of a batch: rows by day and set of reasons, unreadable lines by day, event days of what is valid."""
 
+    rows: dict[tuple[str, tuple[str, ...]], int]
+    corrupt: dict[str, int]
+    dts: list[str]
 
-def _silver_figures(checked: DataFrame, unreadable: DataFrame, contract: Contract) -> dict:
-    """Counts of a batch: one pass over the reasons and dates of the staged rows."""
+    @property
+    def valid(self) -> int:
+        return sum(n for (_, reasons), n in self.rows.items() if not reasons)
+
+    def reasons(self, day: str | None = None) -> dict[str, int]:
+        found: dict[str, int] = {}
+        for (of, reasons), n in self.rows.items():
+            for reason in reasons if day in (None, of) else ():
+                found[reason] = found.get(reason, 0) + n
+        corrupt = sum(n for of, n in self.corrupt.items() if day in (None, of))
+        return found | ({MALFORMED: corrupt} if corrupt else {})
+
+    def by_day(self, days: Iterable[str], kept: dict[str, tuple[int, int]], dated: bool) -> dict[str, dict]:
+        result = {}
+        for day in sorted({*days, *self.corrupt, *(of for of, _ in self.rows)}):
+            valid = sum(n for (of, reasons), n in self.rows.items() if of == day and not reasons)
+            failed = sum(n for (of, reasons), n in self.rows.items() if of == day and reasons)
+            corrupt, (rows, late) = self.corrupt.get(day, 0), kept.get(day, (0, 0))
+            result[day] = {
+                "rows_read": valid + failed + corrupt, "rows_written": rows, "rows_quarantined": failed + corrupt,
+                "duplicates_removed": valid - rows, "quarantine_reasons": self.reasons(day),
+            } | ({"late_rows": late} if dated else {})
+        return result
+
+
+def _silver_figures(checked: DataFrame, unreadable: DataFrame, contract: Contract) -> _Figures:
+    """One pass over the reasons and dates of the staged rows; a row per day and set of reasons, and per event day."""
+    came = F.col("_ingest_date").cast("string").alias("came")
     day = F.col("dt").cast("string") if contract.event_date else F.lit(None).cast("string")
-    # One row per distinct set of reasons and event day.
-    rows = (
-        checked.select(F.when(F.size("_reasons") == 0, day).alias("dt"), "_reasons")
-        .groupBy("dt", "_reasons").agg(F.count(F.lit(1)).alias("n")).collect()
+    sets = checked.select(came, F.when(F.size("_reasons") == 0, day).alias("dt"), "_reasons")
+    found = sets.groupingSets([["came", "_reasons"], ["dt"]], "came", "_reasons", "dt").agg(
+        F.grouping("dt").alias("of_day"), F.count(F.lit(1)).alias("n")).collect()
+    corrupt = unreadable.groupBy("ingest_date").agg(F.count(F.lit(1)).alias("n")).collect()
+    return _Figures(
+        {(r["came"], tuple(r["_reasons"])): r["n"] for r in found if r["of_day"]},
+        {str(r["ingest_date"]): r["n"] for r in corrupt},
+        sorted(r["dt"] for r in found if not r["of_day"] and r["dt"]),
     )
-    reasons: dict[str, int] = {}
-    for row in rows:
-        for reason in row["_reasons"]:
-            reasons[reason] = reasons.get(reason, 0) + row["n"]
-    corrupt = unreadable.count()
-    if corrupt:
-        reasons[MALFORMED] = corrupt
-    valid = sum(row["n"] for row in rows if not row["_reasons"])
-    total = sum(row["n"] for row in rows)
-    return {
-        "read": total + corrupt,
-        "valid": valid,
-        "quarantined": total - valid + corrupt,
-        "reasons": reasons,
-        "dts": sorted({row["dt"] for row in rows if row["dt"]}),
-    }
 
 
 def places(lake: Lake, entity: str) -> KeyIndex:
@@ -483,7 +528,7 @@ def mart_tables(spark: SparkSession, lake: Lake, stored: bool = False) -> dict[s
     if stored:
         refunds, chargebacks = stored_fact(spark, lake, "refunds"), stored_fact(spark, lake, "chargebacks")
         indicators = read_table(
-            spark, lake.path("marts", "indicadores_financieros"), _last(gold.GOLD_SCHEMAS["indicadores_financieros"], "fecha"))
+            spark, lake.path("marts", "indicadores_financieros"), partition_last(gold.GOLD_SCHEMAS["indicadores_financieros"], "fecha"))
     else:
         refunds, chargebacks = at_once(
             spark,
@@ -504,13 +549,6 @@ def mart_tables(spark: SparkSession, lake: Lake, stored: bool = False) -> dict[s
     }
 
 
-def _last(schema: str, column: str) -> str:
-    """A schema text with its partition column behind the others, where files have it."""
-    fields = schema.split(", ")
-    own = [f for f in fields if f.startswith(f"{column} ")]
-    return ", ".join([f for f in fields if f not in own] + own)
-
-
 class DataTestFailure(RuntimeError):
     """Tests of severity ``error`` that failed; nothing was published."""
 
@@ -531,62 +569,43 @@ def run_data_tests(tables: dict[str, DataFrame], checks: Sequence[Check] | None
 def publish(
     spark: SparkSession, lake: Lake, run_id: str, days: Iterable[dt.date | str], kind: str,
     quality: dict | None = None, changed: Changes | None = None, checks: Sequence[Check] | None = None,
+    around: Around = plainly,
 ) -> JobResult:
-    """Refresh and test the marts, write the published datasets and, after them, the manifest.
+    """Refresh and test the marts, write the published datasets, then announce them all in one record.
 
-    A failed test raises before anything is published, so the earlier publication stays; ``checks`` replaces
-    the tests of the marts.  Datasets by day are rewritten for the ``changed`` days (all without it), the
-    others get a new version.
+    A failed test, or a crash at any moment, leaves the earlier publication as it was; ``checks`` replaces the
+    tests of the marts.  Datasets by day are written for the ``changed`` days (all without it), the others anew.
     """
-    refresh_facts(spark, lake, changed)
     with owned_scratch(spark):
-        tables = mart_tables(spark, lake, stored=True)
-        warnings = run_data_tests(tables, checks)
-        due = {} if changed is None else {
-            "pagos_gold": changed.payments, "contracargos_gold": changed.chargebacks, "indicadores_financieros": changed.days}
-
-        def store(name: str) -> Callable[[], None]:
-            path, rows = lake.path("gold", name), tables[name]
-            if name not in gold.DATED:
-                return lambda: write_version(rows, path)
-            if changed is None:
-                return lambda: overwrite_partitions(rows, path, "fecha", expected=_stored_days(spark, path, "fecha"))
-            expected = _iso(due[name])
-            return lambda: expected and overwrite_partitions(on_days(rows, expected, "fecha"), path, "fecha", expected=expected)
-
-        at_once(spark, *[store(name) for name in gold.GOLD_DATASETS])
-    published = {name: read_gold(spark, lake, name) for name in gold.GOLD_DATASETS}
-    counts = {row["dataset"]: row["rows"] for row in gold.row_counts(published).collect()}
-    manifest = manifest_row(spark, run_id, _iso(days), counts, kind, quality or {}, warnings)
-    manifest.coalesce(1).write.mode("overwrite").json(lake.path("gold", "_manifest"))
-    return JobResult(rows_written=sum(counts.values()), details=counts)
-
-
-def read_gold(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
-    """A published dataset with its columns in published order."""
-    schema, path = gold.GOLD_SCHEMAS[name], lake.path("gold", name)
-    if name in gold.DATED:
-        names = [field.split(" ")[0] for field in schema.split(", ")]
-        return read_table(spark, path, _last(schema, "fecha")).select(*names)
-    return read_version(spark, path, schema)
-
-
-MANIFEST_SCHEMA = (
-    "run_id string, dates array<string>, published_at string, datasets map<string,bigint>, kind string, "
-    "quality struct<quarantined:bigint,duplicates_removed:bigint,late_rows:bigint,"
-    "quarantine_by_reason:map<string,bigint>>, test_warnings map<string,bigint>"
-)
+        warnings: dict[str, int] = {}
 
+        def build() -> JobResult:
+            refresh_facts(spark, lake, changed)
+            tables = mart_tables(spark, lake, stored=True)
+            warnings.update(run_data_tests(tables, checks))
+            return JobResult(details={"test_warnings": warnings})
 
-def manifest_row(
-    spark: SparkSession, run_id: str, days: list[str], counts: dict, kind: str, quality: dict, warnings: dict,
-) -> DataFrame:
-    figures = (
-        quality.get("quarantined", 0), quality.get("duplicates_removed", 0), quality.get("late_rows", 0),
-        quality.get("quarantine_by_reason", {}),
-    )
-    stamp = dt.datetime.now(dt.UTC).replace(microsecond=0).isoformat()
-    return spark.createDataFrame([(run_id, days, stamp, counts, kind, figures, warnings)], MANIFEST_SCHEMA)
+        around("dbt.build", build)
+        return around("publish", lambda: announce(spark, lake, run_id, days, kind, quality, changed, warnings))
+
+
+def announce(
+    spark: SparkSession, lake: Lake, run_id: str, days: Iterable[dt.date | str], kind: str, quality: dict | None = None,
+    changed: Changes | None = None, warnings: dict | None = None,
+) -> JobResult:
+    """Publish the marts as they are."""
+    tables = mart_tables(spark, lake, stored=True)
+    due = {} if changed is None else {
+        "pagos_gold": changed.payments, "contracargos_gold": changed.chargebacks, "indicadores_financieros": changed.days}
+    fresh = draft(spark, lake, uuid.uuid4().hex[:12])
+
+    def store(name: str) -> Callable[[], None]:
+        return lambda: fresh.write(name, tables[name], None if changed is None else _iso(due.get(name, ())))
+
+    at_once(spark, *[store(name) for name in gold.GOLD_DATASETS])
+    record = fresh.announce(run_id=run_id, days=_iso(days), kind=kind, quality=quality, warnings=warnings)
+    drop_unpublished(spark, lake)
+    return JobResult(rows_written=sum(record["datasets"].values()), details=record["datasets"])
 
 
 # ------------------------------------------------------------------- all layers
@@ -603,7 +622,7 @@ def quality_of(results: Iterable[JobResult]) -> dict:
 
 def refresh_silver(
     spark: SparkSession, lake: Lake, days_of: Callable[[str], Iterable], entities: Sequence[str] = ENTITIES,
-    after_payments: Callable[[JobResult], object] | None = None,
+    after_payments: Callable[[JobResult], object] | None = None, around: Around = plainly,
 ) -> dict[str, JobResult]:
     """Bronze and silver of the feeds, for the days ``days_of(entity)``.
 
@@ -611,10 +630,10 @@ def refresh_silver(
     only the payments runs beside the refunds and chargebacks.
     """
     def bronze(entity: str) -> Callable[[], JobResult]:
-        return lambda: land_to_bronze(spark, lake, entity, days_of(entity))
+        return lambda: around(f"bronze.{entity}", lambda: land_to_bronze(spark, lake, entity, days_of(entity)))
 
     def silver(entity: str) -> Callable[[], JobResult]:
-        return lambda: bronze_to_silver(spark, lake, entity, days_of(entity))
+        return lambda: around(f"silver.{entity}", lambda: bronze_to_silver(spark, lake, entity, days_of(entity)))
 
     revised: dict[str, JobResult] = {}
 
@@ -659,23 +678,25 @@ def changes_of(results: dict[str, JobResult], payment_days: Iterable[str]) -> Ch
 def refresh_days(
     spark: SparkSession, lake: Lake, days: Iterable[dt.date | str], run_id: str, kind: str = "incremental",
     entities: Sequence[str] = ENTITIES, checks: Sequence[Check] | None = None,
+    days_of: Callable[[str], Iterable] | None = None, around: Around = plainly,
 ) -> dict[str, JobResult]:
     """Landing to gold for the given days, all of them as one batch per layer and feed.
 
-    ``entities`` names the feeds that are due; a due feed that is missing is an error.
+    ``entities`` names the feeds that are due; a due feed that is missing is an error, unless ``days_of`` says
+    which of the days a feed has.  Every task is run through ``around``, which may log it.
     """
     days = _iso(days)
     done: dict = {}
 
     def score(paid: JobResult) -> None:
         scored = features_after(p.partition("=")[2] for p in paid.partitions)
-        done["features"] = silver_to_features(spark, lake, scored)
+        done["features"] = around("features", lambda: silver_to_features(spark, lake, scored))
         done["changed"] = refresh_fct_payments(spark, lake, scored) if scored else []
 
     with owned_scratch(spark):
-        results = refresh_silver(spark, lake, lambda _: days, entities, after_payments=score)
+        results = refresh_silver(spark, lake, days_of or (lambda _: days), entities, after_payments=score, around=around)
         results["features"] = done["features"]
         changed = changes_of(results, done["changed"])
         quality = quality_of(r for name, r in results.items() if name.startswith("silver."))
-        results["publish"] = publish(spark, lake, run_id, days, kind, quality, changed, checks)
+        results["publish"] = publish(spark, lake, run_id, days, kind, quality, changed, checks, around)
     return results

@@ -27,6 +27,7 @@ from paylode.plans.jobs import (
     refresh_silver,
     silver_to_features,
 )
+from paylode.plans.publication import channel
 from paylode.plans.jobs import changes_of, refresh_facts, stored_fact
 from paylode.session import scratch_path
 from paylode.sources.lake import Lake, on_days, read_table
@@ -495,7 +496,7 @@ def late_parent(spark, sf):
 def publication_manifest(spark, sf):
     manifest = spark.read.schema(
         "run_id string, kind string, datasets map<string,bigint>"
-    ).json(built(spark, sf).path("gold", "_manifest"))
+    ).json(channel(built(spark, sf)).path)
     return manifest.select("run_id", "kind", *[F.col("datasets")[n].alias(n) for n in gold.GOLD_DATASETS])
 
 

@@ -1,7 +1,6 @@
 """Five days of small feeds from files to gold, in several ways that must agree."""
 
 import datetime as dt
-import json
 from pathlib import Path
 
 import pytest
@@ -24,6 +23,7 @@ from paylode.plans.jobs import (
     refresh_fct_payments,
 )
 from paylode.contracts import ENTITIES
+from paylode.plans.publication import published_record
 from paylode.session import scratch_path
 from paylode.sources.lake import Lake, read_table
 from paylode.streaming.landing_stream import merge_stream
@@ -107,8 +107,7 @@ def test_late_payments_have_features(spark, daily):
 
 
 def test_the_manifest_counts_what_is_published(spark, daily):
-    folder = Path(daily.path("gold", "_manifest"))
-    manifest = json.loads(next(folder.glob("*.json")).read_text())
+    manifest = published_record(spark, daily)
     counts = {name: len(found) for name, found in published(spark, daily).items()}
     assert manifest["datasets"] == counts and manifest["run_id"] == "R4" and manifest["dates"] == [DAYS[-1]]
     assert dt.datetime.fromisoformat(manifest["published_at"]).tzinfo is not None

@@ -166,7 +166,7 @@ def test_facts_by_day_read_their_days_and_their_payments_days(spark, shop):
     assert (D[2] in plan["payments"] or number(D[2]) in plan["payments"]) and D[0] not in plan["payments"]
     before = rows(read_gold(spark, shop, "indicadores_financieros"), "fecha", "pagos", "devoluciones", "tasa_devolucion")
     refresh_facts(spark, shop)
-    again = read_table(spark, shop.path("marts", "indicadores_financieros"), jobs._last(jobs.gold.GOLD_SCHEMAS["indicadores_financieros"], "fecha"))
+    again = read_table(spark, shop.path("marts", "indicadores_financieros"), jobs.partition_last(jobs.gold.GOLD_SCHEMAS["indicadores_financieros"], "fecha"))
     assert rows(again, "fecha", "pagos", "devoluciones", "tasa_devolucion") == before and len(before) == 4
     refresh_facts(spark, shop, Changes())
     assert references(shop, "refunds").is_built(spark)
