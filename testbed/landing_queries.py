@@ -6,12 +6,13 @@ read share one lake per session and data folder; those that change a lake get th
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from paylode.contracts import CONTRACTS, ENTITIES, PAYMENTS
 from paylode.operators.validate import malformed, quarantine, validate
 from paylode.plans import gold
+from paylode.operators.audit import with_details
 from paylode.operators.checks import mart_checks
 from paylode.plans.jobs import (
     FCT_PAYMENTS_SCHEMA,
@@ -32,6 +33,8 @@ from paylode.plans.jobs import changes_of, refresh_facts, stored_fact
 from paylode.session import scratch_path
 from paylode.sources.lake import Lake, on_days, read_table
 from paylode.sources.landing import drift, ingest_counts, landed_days, landing_completeness, read_feed
+from paylode.plans import runs
+from paylode.plans.publication import publish_as_of
 from paylode.streaming.landing_stream import merge_stream
 from testbed import adapters as src
 from testbed.oracle import day, moment, sql
@@ -228,10 +231,11 @@ def malformed_json_split(spark, sf):
     return malformed(_feed(spark, sf)).groupBy("ingest_date").agg(F.count(F.lit(1)).alias("n"))
 
 
-_QUARANTINE_SQL = f"""
-    SELECT reasons, ingest_date, COUNT(*) AS n FROM (
+_QUARANTINE_ROWS = f"""
         SELECT reasons, {day("ingest_date")} AS ingest_date FROM landed_validated WHERE reasons <> ''
-        UNION ALL SELECT 'record:malformed_json', {day("ingest_date")} FROM landed_lines WHERE cut_off)
+        UNION ALL SELECT 'record:malformed_json', {day("ingest_date")} FROM landed_lines WHERE cut_off"""
+_QUARANTINE_SQL = f"""
+    SELECT reasons, ingest_date, COUNT(*) AS n FROM ({_QUARANTINE_ROWS})
     GROUP BY 1, 2"""
 
 
@@ -500,6 +504,91 @@ def publication_manifest(spark, sf):
     return manifest.select("run_id", "kind", *[F.col("datasets")[n].alias(n) for n in gold.GOLD_DATASETS])
 
 
+# ------------------------------------------------------------------------------ runs
+V1_UNTIL = "2024-01-14"
+AGAIN = ("2024-01-10", "2024-01-12")
+
+
+def _run_lake(spark, sf) -> Lake:
+    """Runs that choose their days: what landed by a day, the rest, nothing more, and some days again."""
+    lake = land_all(spark, sf)
+    options = {"checks": feed_checks(), "every_feed": False}
+    runs.run_incremental(spark, lake, until=V1_UNTIL, **options)
+    runs.run_incremental(spark, lake, **options)
+    runs.run_incremental(spark, lake, **options)
+    runs.backfill(spark, lake, *AGAIN, **options)
+    return lake
+
+
+_RUN_DAYS = f"""
+    SELECT *, CASE WHEN ingest_date <= '{V1_UNTIL}' THEN 1 ELSE 2 END AS run FROM landing_counts
+    UNION ALL SELECT *, 3 FROM landing_counts WHERE ingest_date BETWEEN '{AGAIN[0]}' AND '{AGAIN[1]}'"""
+
+
+def _numbered_runs(spark, lake) -> DataFrame:
+    """The runs in the order they began; a run takes seconds, so no two begin at once."""
+    order = Window.orderBy("started_at")
+    return runs.runs(spark, lake).withColumn("run", F.row_number().over(order).cast("long"))
+
+
+@query("incremental_run_watermark", sql("landing_counts", body=f"""
+    SELECT CAST(run AS BIGINT) AS run, CASE WHEN run = 3 THEN 'backfill' ELSE 'incremental' END AS kind, 'success' AS status,
+           COUNT(DISTINCT ingest_date) AS days, MIN(ingest_date) AS first_day, MAX(ingest_date) AS last_day,
+           CASE WHEN run < 3 THEN MAX(ingest_date) END AS moved_to FROM ({_RUN_DAYS}) GROUP BY run"""))
+def incremental_run_watermark(spark, sf):
+    """Which days each run took, and where it moved the watermark; a backfill does not move it."""
+    lake = _shared(spark, sf, "runs", _run_lake)
+    days = F.from_json("dates", "array<string>")
+    moved = runs.watermark_log(spark, lake).select("run_id", F.col("value").alias("moved_to"))
+    return _numbered_runs(spark, lake).join(moved, "run_id", "left").select(
+        "run", "kind", "status", F.size(days).cast("long").alias("days"), F.array_min(days).alias("first_day"),
+        F.array_max(days).alias("last_day"), "moved_to")
+
+
+@query("run_log_of_a_run", sql("landing_counts", "landed_validated", "landed_lines", body=f"""
+    SELECT CAST(r.run AS BIGINT) AS run, r.ingest_date, r.rows AS landed, r.rows AS read_by_silver,
+           CAST(COALESCE(q.n, 0) AS BIGINT) AS quarantined, CAST(COALESCE(c.n, 0) AS BIGINT) AS corrupt_lines, w.n AS written_in_run
+    FROM ({_RUN_DAYS}) r
+    LEFT JOIN (SELECT ingest_date, COUNT(*) AS n FROM ({_QUARANTINE_ROWS}) GROUP BY 1) q ON q.ingest_date = r.ingest_date
+    LEFT JOIN (SELECT {day("ingest_date")} AS ingest_date, COUNT(*) AS n FROM landed_lines WHERE cut_off GROUP BY 1) c
+        ON c.ingest_date = r.ingest_date
+    JOIN (SELECT d.run, COUNT(DISTINCT v.payment_id) AS n FROM landed_validated v
+          JOIN ({_RUN_DAYS}) d ON d.entity = 'payments' AND d.ingest_date = {day("v.ingest_date")}
+          WHERE v.reasons = '' GROUP BY 1) w ON w.run = r.run
+    WHERE r.entity = 'payments'"""))
+def run_log_of_a_run(spark, sf):
+    """The figures that the payments' tasks of each run left in the log, by day."""
+    lake = _shared(spark, sf, "runs", _run_lake)
+    log = with_details(runs.task_runs(spark, lake)).where("status = 'success'")
+    bronze = log.where("task = 'bronze.payments'").select(
+        "run_id", "ingest_date", F.col("rows_read").alias("landed"), F.col("_d.corrupt_lines").alias("corrupt_lines"))
+    silver = log.where("task = 'silver.payments'").select(
+        "run_id", "ingest_date", F.col("rows_read").alias("read_by_silver"), F.col("rows_quarantined").alias("quarantined"),
+        F.sum("rows_written").over(Window.partitionBy("run_id")).alias("written_in_run"))
+    # A run logs every day it has; the payments feed has no file on some of them.
+    return bronze.join(silver, ["run_id", "ingest_date"]).where("landed > 0").join(
+        _numbered_runs(spark, lake).select("run_id", "run"), "run_id").drop("run_id")
+
+
+AS_OF = "2024-01-15"
+
+
+@query("publication_as_of", sql("landed_fact", "landed_chargebacks", "customers", "landed_kpis", body=f"""
+    SELECT 'as_of' AS kind, (SELECT COUNT(*) FROM customers) AS clientes_gold,
+           (SELECT COUNT(*) FROM landed_fact WHERE transaction_day <= DATE '{AS_OF}') AS pagos_gold,
+           (SELECT COUNT(*) FROM landed_chargebacks WHERE dt <= DATE '{AS_OF}') AS contracargos_gold,
+           (SELECT COUNT(*) FROM landed_kpis WHERE fecha <= DATE '{AS_OF}') AS indicadores_financieros,
+           (SELECT CAST(SUM(pagos) AS BIGINT) FROM landed_kpis WHERE fecha <= DATE '{AS_OF}') AS pagos"""))
+def publication_as_of(spark, sf):
+    """The publication of an earlier day: the rows counted are read through its own record."""
+    lake = built(spark, sf)
+    record = publish_as_of(spark, lake, AS_OF, "earlier")
+    counts = gold.row_counts({name: read_gold(spark, lake, name, "earlier") for name in gold.GOLD_DATASETS})
+    totals = counts.groupBy().pivot("dataset", list(gold.GOLD_DATASETS)).agg(F.sum("rows"))
+    paid = read_gold(spark, lake, "indicadores_financieros", "earlier").agg(F.sum("pagos").alias("pagos"))
+    return totals.join(paid).withColumn("kind", F.lit(record["kind"]))
+
+
 @query("check_published_columns", sql("landed_fact", "landed_chargebacks", "customers", "landed_kpis",
                                       body="\nUNION ALL ".join(
     f"SELECT '{dataset}' AS dataset, '{column}' AS column_name, COUNT({source}) AS filled FROM {part}"
