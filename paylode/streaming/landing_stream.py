@@ -36,7 +36,7 @@ def merge_stream(
     use_utc(spark)
 
     def merge(batch: DataFrame, number: int) -> None:
-        # The stream runs in a session of its own; a plan and its observed figures must share one.
+        # The stream runs in a session of its own.
         session = batch.sparkSession
         rows = staged(batch, f"stream-{entity}")
         # Rows of files outside the folders of days are set aside unread: no rule of theirs can be checked.
