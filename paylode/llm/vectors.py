@@ -5,10 +5,19 @@ near vectors agree in their first signs and stand near each other.  A sliding wi
 with its ``WINDOW`` followers in that order, in double precision, and the pairs found in all passes are
 united into components.
 
+The hyperplanes go through the mean of a label's unit vectors, so that a direction that all of them share does
+not give all the same signs; cosines are those of the vectors as they are.  The number of passes of a label
+follows from its size and from what the mean takes away: two vectors of cosine ``threshold`` in a label of mean
+cosine m have (threshold - m) / (1 - m) about the mean, which is the chance p of an equal sign, and meet in a
+window if the first log2(size / window) signs agree.  The passes are as many as leave such a pair apart with
+probability ``MISS`` at most, at every size, if the label has no further common direction; a label that fits a
+window needs one.  (Above a mean cosine where (threshold - m) / (1 - m) is ``LEAST_COSINE`` the passes grow no
+further: there most pairs of the label are near the threshold.)
+
 The window bounds the work of a pass, not the result: within a component all its vectors are then compared
 in blocks of about ``BLOCK``, of which only the numbers of links come out, so that a dense group larger than
 the window still gets all its links.  Only a link between two components that no pass put within a window
-of each other can be missed.  Equal vectors are one class that is compared once and counted with its copies.
+of each other can be missed, as stated above.  Equal vectors are one class that is compared once and counted with its copies.
 
 Order and comparison need no group in one task: a pass is a range partitioning over all labels, and the
 first and last ``WINDOW`` rows of each partition are compared in a further, much smaller round.
@@ -22,6 +31,7 @@ Further columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,10 +42,12 @@ from pyspark.sql import functions as F
 from paylode.llm.common import components, ready
 from paylode.session import settled, staged
 
-PASSES = 16
-WINDOW = 64
+WINDOW = 256
+MISS = 0.001
+LEAST_COSINE = 0.5
 BITS = 63
-BLOCK = 1_000
+BLOCK = 8_000
+SLICE = 500
 ROWS_PER_PARTITION = 50_000
 
 
@@ -66,25 +78,62 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["vec_id", "label", "embedding", "digest", "width"])
 
 
-def _project(passes: int):
-    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        planes: dict[int, np.ndarray] = {}
-        for batch in batches:
-            widths = batch.column("width").to_numpy()
-            for width in np.unique(widths):
-                rows = batch.filter(pa.array(widths == width))
-                if int(width) not in planes:
-                    planes[int(width)] = np.random.Generator(np.random.PCG64([7, int(width)])).standard_normal(
-                        (passes, BITS, width))
-                matrix = _matrix(rows.column("embedding"), int(width))
-                for k, normals in enumerate(planes[int(width)]):
-                    code = ((matrix @ normals.T) > 0) @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(rows), k, np.int32)), rows.column("label"), rows.column("width"),
-                         pa.array(code), rows.column("id"), rows.column("embedding")],
-                        names=["pass", "label", "width", "code", "id", "embedding"])
-
-    return project
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number and sum of the unit vectors of a batch by label and width."""
+    for batch in batches:
+        widths, labels = batch.column("width").to_numpy(), batch.column("label").to_numpy()
+        for width in np.unique(widths):
+            of_width = widths == width
+            unit = _unit(_matrix(batch.filter(pa.array(of_width)).column("embedding"), int(width)))
+            found, place = np.unique(labels[of_width], return_inverse=True)
+            sums = np.zeros((len(found), int(width)))
+            np.add.at(sums, place, unit)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found), pa.array(np.full(len(found), width, np.int32)), pa.array(np.bincount(place)),
+                 pa.array(list(sums), pa.list_(pa.float64()))],
+                names=["label", "width", "n", "sums"])
+
+
+def _centres(vectors: DataFrame, threshold: float, window: int) -> DataFrame:
+    """``label, width, n, centre, passes`` of each label; sums are combined a coordinate at a time."""
+    key = ["label", "width"]
+    sums = vectors.select(*key, "embedding").mapInArrow(_sums, "label long, width int, n long, sums array<double>")
+    sums = sums.select(*key, "n", F.posexplode("sums").alias("at", "value"))
+    means = sums.groupBy(*key, "at").agg(F.sum("n").alias("n"), (F.sum("value") / F.sum("n")).alias("mean"))
+    centres = means.groupBy(*key).agg(
+        F.max("n").alias("n"), F.sum(F.col("mean") * F.col("mean")).alias("common"),
+        F.array_sort(F.collect_list(F.struct("at", "mean"))).getField("mean").alias("centre"))
+    about = F.greatest((threshold - F.col("common")) / F.greatest(1 - F.col("common"), F.lit(1e-9)), F.lit(LEAST_COSINE))
+    equal_sign = 1 - F.acos(F.least(about, F.lit(1.0))) / math.pi
+    meet = F.pow(equal_sign, F.log2(F.col("n") / window))
+    passes = F.when(F.col("n") <= window, 1).otherwise(F.ceil(math.log(MISS) / F.log1p(-F.least(meet, F.lit(0.999)))))
+    return centres.select(*key, "n", "centre", passes.cast("int").alias("passes"))
+
+
+def _project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each pass of a vector, with the signs of its distance from the label's centre."""
+    def normals(width: int, k: int) -> np.ndarray:
+        return np.random.Generator(np.random.PCG64([7, width, k])).standard_normal((BITS, width))
+
+    planes: dict[tuple[int, int], np.ndarray] = {}
+    weights = 1 << np.arange(BITS - 1, -1, -1, dtype=np.int64)
+    for batch in batches:
+        widths, passes = batch.column("width").to_numpy(), batch.column("passes").to_numpy()
+        for width in np.unique(widths):
+            for k in range(int(passes[widths == width].max())):
+                if (int(width), k) not in planes:
+                    planes[int(width), k] = normals(int(width), k)
+            due = np.flatnonzero(widths == width)
+            rows = batch.take(pa.array(due))
+            about = _unit(_matrix(rows.column("embedding"), int(width))) - _matrix(rows.column("centre"), int(width))
+            for k in range(int(passes[due].max())):
+                here = np.flatnonzero(passes[due] > k)
+                code = ((about[here] @ planes[int(width), k].T) > 0) @ weights
+                of_pass = rows.take(pa.array(here))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(here), k, np.int32)), of_pass.column("label"), of_pass.column("width"),
+                     pa.array(code), of_pass.column("id"), of_pass.column("embedding")],
+                    names=["pass", "label", "width", "code", "id", "embedding"])
 
 
 def _windows(threshold: float, window: int, edges: bool):
@@ -146,14 +195,15 @@ def _block_counts(threshold: float):
         copies = group.column("copies").to_numpy()
         x, y = group.column("x")[0].as_py(), group.column("y")[0].as_py()
         one, two = np.flatnonzero(blocks == x), np.flatnonzero(blocks == y)
-        near = (unit[one] @ unit[two].T) >= threshold
         counts = np.zeros(len(group), np.int64)
-        if x == y:
-            np.fill_diagonal(near, False)
-            counts[one] = near @ copies[one]
-        else:
-            counts[one] = near @ copies[two]
-            counts[two] = near.T @ copies[one]
+        for at in range(0, len(one), SLICE):
+            part = one[at:at + SLICE]
+            near = (unit[part] @ unit[two].T) >= threshold
+            if x == y:
+                near[np.arange(len(part)), np.arange(at, at + len(part))] = False
+            else:
+                counts[two] += near.T @ copies[part]
+            counts[part] += near @ copies[two]
         return pa.RecordBatch.from_arrays([group.column("id"), pa.array(counts)], names=["id", "links"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,14 +224,14 @@ def _block_counts(threshold: float):
 
 
 def near_duplicate_vectors(
-    embeddings: DataFrame, threshold: float = 0.93, passes: int = PASSES, window: int = WINDOW
+    embeddings: DataFrame, threshold: float = 0.93, window: int = WINDOW
 ) -> DataFrame:
     """``vec_id, n_links, component_id, kept``: a row per vector; see the module's text."""
     return settled(ready(embeddings.sparkSession), "near-duplicate-vectors",
-                   lambda: _near_duplicate_vectors(embeddings, threshold, passes, window))
+                   lambda: _near_duplicate_vectors(embeddings, threshold, window))
 
 
-def _near_duplicate_vectors(embeddings: DataFrame, threshold: float, passes: int, window: int) -> DataFrame:
+def _near_duplicate_vectors(embeddings: DataFrame, threshold: float, window: int) -> DataFrame:
     kind = dict(embeddings.dtypes)["embedding"]
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), "embedding")
     rows = rows.mapInArrow(_read, f"vec_id long, label long, embedding {kind}, digest binary, width int")
@@ -195,8 +245,9 @@ def _near_duplicate_vectors(embeddings: DataFrame, threshold: float, passes: int
 
     order = ["pass", "label", "width", "code", "id"]
     layout = f"pass int, label long, width int, code long, id long, embedding {kind}"
-    todo = named.select("width", "label", "id", "embedding").mapInArrow(_project(passes), layout)
-    links, left = None, passes * named.count()
+    centres = staged(_centres(named, threshold, window), "vector-centres")
+    todo = named.select("width", "label", "id", "embedding").join(centres.drop("n"), ["label", "width"]).mapInArrow(_project, layout)
+    links, left = None, centres.agg(F.sum(F.col("n") * F.col("passes"))).first()[0]
     while left:
         parts = max(1, left // ROWS_PER_PARTITION)
         dealt = todo.repartitionByRange(parts, *order) if parts > 1 else todo.repartition(1)

@@ -57,3 +57,32 @@ def test_repeated_rows_rows_without_id_and_an_empty_table(spark):
     assert sorted((str(r.vec_id), r.n_links, str(r.component_id)) for r in found) == [
         ("5", 2, "5"), ("5", 2, "5"), ("9", 0, "9"), ("None", 0, "None"), ("None", 2, "5")]
     assert vectors.near_duplicate_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("common", [0.0, 0.7])
+def test_isolated_pairs_are_found_whatever_direction_all_vectors_share(spark, common):
+    """Pairs barely over the threshold among 12 000 others; found or not is held against brute force."""
+    rng = np.random.default_rng(11)
+    n, pairs, width = 12_000, 300, 64
+
+    def units(k):
+        drawn = rng.standard_normal((k, width))
+        drawn[:, 0] = 0
+        return drawn / np.linalg.norm(drawn, axis=1, keepdims=True)
+
+    own = units(n)
+    about = (0.931 - common) / (1 - common)
+    other = units(pairs)
+    other -= (other * own[:pairs]).sum(axis=1, keepdims=True) * own[:pairs]
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    own = np.concatenate([own, about * own[:pairs] + math.sqrt(1 - about * about) * other])
+    every = math.sqrt(1 - common) * own
+    every[:, 0] = math.sqrt(common)
+    true = {k for a in range(0, len(every), 1000) for i, j in zip(*np.nonzero(every[a:a + 1000] @ every.T >= 0.93))
+            for k in [i + a] if j != i + a}
+    assert len(true) >= 2 * pairs
+    rows = [(k, v.tolist(), 1) for k, v in enumerate(every)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = vectors.near_duplicate_vectors(df)
+    linked = {r.vec_id for r in found.where("n_links > 0").collect()}
+    assert linked <= true and len(linked) >= 0.99 * len(true)
