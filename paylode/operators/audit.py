@@ -31,6 +31,7 @@ STAGES = (
     ("publish", "publish"),
 )
 STALE_SECONDS = 30 * 60
+HOUR_SECONDS, DAY_SECONDS = 3600, 24 * 3600
 
 
 def append_rows(spark: SparkSession, path: str, rows: Sequence[Mapping], schema: str) -> None:
@@ -255,22 +256,42 @@ def stage_flow(stages: DataFrame) -> DataFrame:
     )
 
 
-def events_in_runs(schema_events: DataFrame, runs: DataFrame, now: Column | None = None) -> DataFrame:
-    """Schema events detected while a run was going on.
+def run_spans(runs: DataFrame, task_runs: DataFrame, now: Column | None = None) -> DataFrame:
+    """``run_id, span_start, span_end`` of each run, in which it can have seen something.
 
-    The range condition gets an equality on the calendar day first, so Spark hashes by
-    day instead of comparing every event with every run.
+    A run without an end is taken to go on for ``STALE_SECONDS`` after its last sign of life, which is the last start
+    or end of one of its attempts (its own start without any), but not beyond ``now``.
     """
     now = F.current_timestamp() if now is None else now
-    end = F.coalesce("finished_at", now)
-    spans = runs.select(
-        "run_id", F.col("started_at").alias("_from"), end.alias("_to"),
-        F.explode(F.sequence(F.to_date("started_at"), F.to_date(end))).alias("_day"),
+    ended = F.timestamp_micros((F.unix_micros("started_at") + F.round(F.coalesce("duration_s", F.lit(0.0)) * 1e6)).cast("long"))
+    signs = task_runs.groupBy("run_id").agg(F.max(ended).alias("_sign"))
+    alive = F.greatest("started_at", "_sign") + F.make_dt_interval(secs=F.lit(STALE_SECONDS))
+    end = F.coalesce("finished_at", F.least(alive, F.greatest(now, F.col("started_at"))))
+    return runs.join(signs, "run_id", "left").select("run_id", F.col("started_at").alias("span_start"), end.alias("span_end"))
+
+
+def events_in_runs(schema_events: DataFrame, runs: DataFrame, task_runs: DataFrame, now: Column | None = None) -> DataFrame:
+    """Schema events detected while a run was going on, as ``run_spans`` has it.
+
+    The range condition gets an equality on a bin of time first, so Spark hashes by bin instead of comparing
+    every event with every run.  Bins follow the run's length: hours for a run of up to a day, else days, so a
+    run has few of them and an event meets only the runs of its hour or the long ones of its day.
+    """
+    length = F.unix_seconds("span_end") - F.unix_seconds("span_start")
+    width = F.when(length <= DAY_SECONDS, HOUR_SECONDS).otherwise(DAY_SECONDS)
+
+    def bin_of(moment: str, seconds: Column) -> Column:
+        return F.floor(F.unix_seconds(moment) / seconds)
+
+    spans = run_spans(runs, task_runs, now).withColumn("_width", width).select(
+        "run_id", "span_start", "span_end", "_width",
+        F.explode(F.sequence(bin_of("span_start", F.col("_width")), bin_of("span_end", F.col("_width")))).alias("_bin"),
     )
-    events = schema_events.withColumn("_day", F.to_date("detected_at"))
+    events = schema_events.withColumn("_width", F.explode(F.array(F.lit(HOUR_SECONDS), F.lit(DAY_SECONDS)))).withColumn(
+        "_bin", bin_of("detected_at", F.col("_width")))
     return (
-        events.join(spans, "_day")
-        .where(F.col("detected_at").between(F.col("_from"), F.col("_to")))
+        events.join(spans, ["_width", "_bin"])
+        .where(F.col("detected_at").between(F.col("span_start"), F.col("span_end")))
         .select("run_id", "ingest_date", "entity", "kind", "columns", "detected_at")
     )
 

@@ -829,13 +829,18 @@ def task_stage_mapping(spark, sf):
         F.count(F.lit(1)).alias("n"))
 
 
-@query("schema_events_in_run", sql("runs", "numbered", body=f"""
+@query("schema_events_in_run", sql("runs", "task_runs", "numbered", body=f"""
     SELECT r.run_id, {day("e.ts")} AS ingest_date, 'payments' AS entity, 'unknown_columns' AS kind,
            '["c' || CAST(e.k AS VARCHAR) || '"]' AS columns, {moment("e.ts")} AS detected_at
-    FROM runs r JOIN numbered e ON e.event_type = 'error' AND e.ts BETWEEN r.started_at
-         AND COALESCE(r.finished_at, TIMESTAMP '2024-01-31 00:00:00')"""))
+    FROM (SELECT run_id, started_at, COALESCE(finished_at,
+                 LEAST(GREATEST(started_at, sign) + INTERVAL 30 MINUTE, GREATEST(started_at, TIMESTAMP '2024-01-31 00:00:00')))
+                 AS until_
+          FROM runs LEFT JOIN (
+              SELECT run_id AS of_run, MAX(started_at + to_microseconds(CAST(ROUND(COALESCE(duration_s, 0) * 1e6) AS BIGINT)))
+                  AS sign FROM task_runs GROUP BY 1) ON of_run = run_id) r
+    JOIN numbered e ON e.event_type = 'error' AND e.ts BETWEEN r.started_at AND r.until_"""))
 def schema_events_in_run(spark, sf):
-    return audit.events_in_runs(src.schema_events(spark, sf), src.runs(spark, sf), _now())
+    return audit.events_in_runs(src.schema_events(spark, sf), src.runs(spark, sf), src.task_runs(spark, sf), _now())
 
 
 # ================================================================= fingerprint
