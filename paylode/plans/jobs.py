@@ -37,7 +37,7 @@ from paylode.session import owned_scratch, staged, use_utc
 from paylode.sources.files import children
 from paylode.sources.key_index import KeyIndex
 from paylode.sources.lake import Lake, on_days, overwrite_partitions, read_table, write_version
-from paylode.sources.landing import profile, read_feed
+from paylode.sources.landing import PROFILE_SCHEMA, listed, profile, read_feed
 
 QUARANTINE_SCHEMA = (
     "_raw string, _reasons array<string>, _source_file string, _quarantined_at timestamp, ingest_date date"
@@ -134,44 +134,50 @@ def land_to_bronze(spark: SparkSession, lake: Lake, entity: str, days: Iterable[
     feed = read_feed(spark, lake.landing, contract, days)
     overwrite_partitions(feed, path, "ingest_date", expected=days, rebalance=False)
     written = on_days(lake.bronze(spark, entity), days, "ingest_date")
-    # A few rows per day; the rest is arithmetic on them.
-    found = profile(written, contract).collect()
+    # All names go to a table of their own; the driver gets a bounded list of a day's.
+    profiles = lake.path("profile", entity)
+    overwrite_partitions(profile(written, contract), profiles, "ingest_date", expected=days)
+    stored = on_days(read_table(spark, profiles, PROFILE_SCHEMA), days, "ingest_date")
+    unknown_names = stored.where(F.col("kind") == "unknown").groupBy("ingest_date").agg(F.count(F.lit(1)).alias("n"))
+    names_of_day = {str(r["ingest_date"]): r["n"] for r in unknown_names.collect()}
+    found: dict[str, dict[str, dict[str, int]]] = {}
+    for row in listed(stored).collect():
+        found.setdefault(str(row["ingest_date"]), {}).setdefault(row["kind"], {})[row["name"]] = row["rows"]
+
+    def figures(day: str) -> dict:
+        of_day = found.get(day, {})
+        lines = sum(of_day.get("lines", {}).values())
+        return {
+            "rows_read": lines, "rows_written": lines, "corrupt_lines": sum(of_day.get("corrupt", {}).values()),
+            "unknown_columns": sorted(of_day.get("unknown", {})), "unknown_names": names_of_day.get(day, 0),
+            "missing_columns": sorted(name for name, n in of_day.get("absent", {}).items() if n == lines),
+        }
+
+    by_day = {day: figures(day) for day in days}
+    kinds = (("unknown_columns", "unknown_columns"), ("missing_required_columns", "missing_columns"))
+    events = [
+        {"ingest_date": day, "entity": entity, "kind": kind, "columns": by_day[day][names]}
+        for day in days for kind, names in kinds if by_day[day][names]
+    ]
 
-    def total(kind: str, day: str | None = None) -> int:
-        return sum(r["rows"] for r in found if r["kind"] == kind and day in (None, str(r["ingest_date"])))
-
-    def events_of(day: str) -> list[dict]:
-        of_day = [r for r in found if str(r["ingest_date"]) == day]
-        unknown = sorted(r["name"] for r in of_day if r["kind"] == "unknown")
-        missing = sorted(r["name"] for r in of_day if r["kind"] == "absent" and r["rows"] == total("lines", day))
-        named = (("unknown_columns", unknown), ("missing_required_columns", missing))
-        return [
-            {"ingest_date": day, "entity": entity, "kind": kind, "columns": columns} for kind, columns in named if columns
-        ]
-
-    events = [event for day in days for event in events_of(day)]
+    def total(name: str) -> int:
+        return sum(of_day[name] for of_day in by_day.values())
 
-    def named(kind: str) -> list[str]:
-        return sorted({name for e in events if e["kind"] == kind for name in e["columns"]})
+    def named(names: str) -> list[str]:
+        return sorted({name for of_day in by_day.values() for name in of_day[names]})
 
     return JobResult(
-        rows_read=total("lines"),
-        rows_written=total("lines"),
+        rows_read=total("rows_read"),
+        rows_written=total("rows_written"),
         partitions=[f"ingest_date={day}" for day in days],
         details={
-            "corrupt_lines": total("corrupt"),
-            "contract_version": max([int(r["name"]) for r in found if r["kind"] == "version"], default=1),
+            "corrupt_lines": total("corrupt_lines"),
+            "contract_version": max((int(v) for of_day in found.values() for v in of_day.get("version", {})), default=1),
             "unknown_columns": named("unknown_columns"),
-            "missing_columns": named("missing_required_columns"),
+            "missing_columns": named("missing_columns"),
             "schema_events": events,
         },
-        by_day={
-            day: {
-                "rows_read": total("lines", day), "rows_written": total("lines", day), "corrupt_lines": total("corrupt", day),
-                "unknown_columns": sorted({n for e in events_of(day) if e["kind"] == "unknown_columns" for n in e["columns"]}),
-            }
-            for day in days
-        },
+        by_day=by_day,
     )
 
 

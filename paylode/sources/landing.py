@@ -13,6 +13,9 @@ from paylode.functions.records import fingerprint, json_members, last_values
 from paylode.sources.files import children, exists
 
 DAY_IN_PATH = r"ingest_date=(\d{4}-\d{2}-\d{2})"
+PROFILE_SCHEMA = "kind string, name string, rows bigint, ingest_date date"
+# Unknown names of a day that a log entry spells out; the stored profile has all of them.
+LISTED_NAMES = 100
 
 
 class MissingSourceError(RuntimeError):
@@ -91,7 +94,7 @@ def profile(bronze: DataFrame, contract: Contract) -> DataFrame:
 
     Kinds are ``lines``, ``corrupt``, ``unknown`` (names outside the contract), ``absent``
     (required names a record lacks) and ``version`` (contract version of the record).  Counts
-    are combined before the shuffle; the result has a few rows per day.
+    are combined before the shuffle; the result has a row per name and day.
     """
     required = F.array(*[F.lit(name) for name in contract.required_names])
     version = F.lit(1)
@@ -119,13 +122,25 @@ def profile(bronze: DataFrame, contract: Contract) -> DataFrame:
     )
 
 
+def listed(profiled: DataFrame, limit: int = LISTED_NAMES) -> DataFrame:
+    """A profile with at most ``limit`` unknown names a day: those of most rows, equal ones by name.
+
+    The limit holds in every task before names meet in one, so a day of any number of names is no large group.
+    The other kinds have the names of the contract and stay whole.
+    """
+    own = F.when(F.col("kind") != "unknown", F.col("name"))
+    most = Window.partitionBy("ingest_date", "kind", own).orderBy(F.col("rows").desc(), "name")
+    return profiled.withColumn("_place", F.row_number().over(most)).where(F.col("_place") <= limit).drop("_place")
+
+
 def drift_of(profiled: DataFrame) -> DataFrame:
-    """``ingest_date, kind, columns``: names nobody agreed to, and required names no record of the day had."""
+    """``ingest_date, kind, columns``: names nobody agreed to (those that ``listed`` has), and required names no
+    record of the day had."""
     day = Window.partitionBy("ingest_date")
     lines = F.max(F.when(F.col("kind") == "lines", F.col("rows"))).over(day)
     missing = (F.col("kind") == "absent") & (F.col("rows") == F.col("_lines"))
     return (
-        profiled.withColumn("_lines", lines)
+        listed(profiled).withColumn("_lines", lines)
         .where((F.col("kind") == "unknown") | missing)
         .groupBy(
             "ingest_date",
