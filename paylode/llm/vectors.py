@@ -162,8 +162,27 @@ def _row_batch(rows: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*rows.columns, none, none], names=[*rows.schema.names, "a", "b"])
 
 
+def _stars(one: np.ndarray, two: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and other members of the groups of ``n`` places that the pairs connect."""
+    names = np.arange(n)
+    while len(one):
+        lower, least = names.copy(), np.minimum(names[one], names[two])
+        np.minimum.at(lower, one, least)
+        np.minimum.at(lower, two, least)
+        lower = lower[lower]
+        if (lower == names).all():
+            break
+        names = lower
+    other = np.flatnonzero(names != np.arange(n))
+    return names[other], other
+
+
 def _links(rows: pa.RecordBatch, known: int, threshold: float, window: int) -> pa.RecordBatch:
-    """Pairs of a row from ``known`` on with one of the ``window`` before it, by groups of equal pass, label, width."""
+    """What links each row from ``known`` on with the ``window`` before it, by groups of equal pass, label, width.
+
+    Rows that the links of one slice connect come out as pairs with the first of them: at most a pair per row,
+    however dense the group.
+    """
     keys = np.stack([rows.column(c).to_numpy().astype(np.int64) for c in ("pass", "label", "width")])
     change = np.flatnonzero(np.concatenate(([True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)))) if len(rows) else []
     ids = rows.column("id").to_numpy()
@@ -175,10 +194,11 @@ def _links(rows: pa.RecordBatch, known: int, threshold: float, window: int) -> p
             low = max(start, at - window)
             near = unit[at - start:until - start] @ unit[low - start:until - start].T >= threshold
             i, j = np.nonzero(near)
-            i, j = i + at, j + low
+            i += at - low
             keep = (j < i) & (i - j <= window)
-            left.append(ids[j[keep]])
-            right.append(ids[i[keep]])
+            first, other = _stars(i[keep], j[keep], until - low)
+            left.append(ids[low + first])
+            right.append(ids[low + other])
     a, b = np.concatenate(left), np.concatenate(right)
     nulls = [pa.nulls(len(a), f.type) for f in rows.schema]
     return pa.RecordBatch.from_arrays(
