@@ -271,7 +271,7 @@ def repaired(conversations: DataFrame) -> DataFrame:
     ``edits`` has the letters of the row's own edit and of the rows inserted around it, ``lines`` what stands in
     the repaired conversation for them: structs of role and text.
     """
-    return settled(ready(conversations.sparkSession), "repaired-turns", lambda: _repaired(conversations)[0])
+    return settled(ready(conversations.sparkSession), "repaired-turns", lambda: _by_block(_repaired(conversations)[0]))
 
 
 def _line(role, text=None):
@@ -284,7 +284,7 @@ def _inserted(letters: str):
 
 
 def _repaired(conversations: DataFrame) -> tuple[DataFrame, set]:
-    """The rows, a block after another in order, and the conversations in several blocks."""
+    """The rows, placed as their join with the edits leaves them, and the conversations in several blocks."""
     ordered = _ordered(conversations)
     faults = staged(_faults(ordered), "faults")
     entries = _entries(faults)
@@ -296,8 +296,7 @@ def _repaired(conversations: DataFrame) -> tuple[DataFrame, set]:
         F.when(F.col("letter") != "D", F.array(_line(role, F.col("text")))).otherwise(none),
         F.when(F.col("after") != "", _inserted("after")).otherwise(none))
     marks = F.concat(F.regexp_replace("before", ".", "I"), "letter", F.regexp_replace("after", ".", "I"))
-    # Both sides are dealt by block, so a block stays in one task and in order.
-    rows = ordered.repartition("block").join(edits.repartition("block"), ["block", "at"]).select(
+    rows = ordered.join(edits, ["block", "at"]).select(
         "conv_id", "block", "at", "turn", "role", "text", "fault", "initial", marks.alias("edits"), lines.alias("lines"))
     return rows, {conv for conv, _ in entries}
 
@@ -425,7 +424,8 @@ def report(conversations: DataFrame) -> DataFrame:
 
     def build() -> DataFrame:
         rows, crossing = _repaired(conversations)
-        pieces = rows.drop("role", "text").sortWithinPartitions("block", "at").mapInArrow(_cut(PIECE, crossing), _PIECES)
+        # The join may deal a block over many tasks, by its place as well; only now is it one task's, in order.
+        pieces = _by_block(rows.drop("role", "text")).mapInArrow(_cut(PIECE, crossing), _PIECES)
         return pieces.repartition("conv_id").sortWithinPartitions(
             F.col("conv_id").asc_nulls_first(), "block", "piece").mapInArrow(_joined, _REPORT)
 

@@ -95,6 +95,19 @@ def test_a_conversation_over_many_partitions(spark, monkeypatch, piece):
             spark.conf.set(name, value)
 
 
+def test_a_join_by_shuffles_keeps_conversations_whole(spark):
+    rows = [r for k in range(60) for r in turns(k, k % 9 + 1, k)] + turns(70, 200, 70)
+    names = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        assert found(C.report(spark.createDataFrame(rows, SCHEMA).repartition(5))) == by_force(rows)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_rows_of_the_repaired_conversation(spark):
     rows = [(1, 0, "system", "Be kind."), (1, 1, "user", "Hello!"), (1, 2, "user", "Anyone?"), (1, 3, "assistant", "Hello!")]
     out = C.repaired(spark.createDataFrame(rows, SCHEMA)).orderBy("at").collect()
