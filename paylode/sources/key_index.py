@@ -38,7 +38,9 @@ class KeyIndex:
         name = "key_index_" + hashlib.sha256(f"{self.path}/{folder}".encode()).hexdigest()[:24]
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({self.key} STRING, dt DATE, written BIGINT) USING parquet "
-            f"OPTIONS ('parquet.bloom.filter.enabled#{self.key}' 'true') "
+            # Adaptive: a filter of the size that the keys of a file ask for, not of a megabyte in every file.
+            f"OPTIONS ('parquet.bloom.filter.enabled#{self.key}' 'true', "
+            f"'parquet.bloom.filter.adaptive.enabled#{self.key}' 'true', 'parquet.bloom.filter.adaptive.enabled' 'true') "
             f"CLUSTERED BY ({self.key}) SORTED BY ({self.key}) INTO {buckets} BUCKETS "
             f"LOCATION '{self.path}/{folder}'")
         return name

@@ -66,6 +66,14 @@ def test_the_index_tells_the_newest_place_and_every_place(spark, tmp_path):
     assert rows(index.every(asked), "payment_id", "dt") == [*newest[:1], ("b", day(D[0])), ("b", day(D[4]))]
 
 
+def test_the_index_of_few_keys_is_small(spark, tmp_path):
+    index = KeyIndex(str(tmp_path / "index"), "payment_id")
+    index.record(spark.createDataFrame([(f"P{k}", dt.date(2031, 3, 1 + k % 9)) for k in range(400)], "payment_id string, dt date"))
+    sizes = [file.stat().st_size for file in (tmp_path / "index").rglob("*.parquet")]
+    assert len(sizes) == 4 and max(sizes) < 100_000
+    assert index.newest(spark.createDataFrame([("P7",), ("P400",)], "payment_id string")).collect() == [("P7", dt.date(2031, 3, 8))]
+
+
 def test_a_lookup_shuffles_the_keys_and_not_the_index(spark, tmp_path):
     index = KeyIndex(str(tmp_path / "index"), "payment_id")
     index.record(spark.range(2000).select(F.col("id").cast("string").alias("payment_id"), F.lit(D[0]).alias("dt")))
