@@ -17,6 +17,7 @@ from paylode.operators.checks import mart_checks
 from paylode.plans.jobs import (
     FCT_PAYMENTS_SCHEMA,
     QUARANTINE_SCHEMA,
+    at_once,
     bronze_to_silver,
     features,
     features_after,
@@ -115,8 +116,11 @@ def land_all(spark: SparkSession, sf: str) -> Lake:
         "refunds": _child_lines(spark, sf, "refund", "R", "purchase", 50, 3),
         "chargebacks": _child_lines(spark, sf, "chargeback", "B", "click", 80, 5),
     }
-    for entity, lines in feeds.items():
-        lines.hint("rebalance", "ingest_date").write.partitionBy("ingest_date").text(f"{lake.landing}/{entity}")
+
+    def land(entity: str, lines: DataFrame):
+        return lambda: lines.hint("rebalance", "ingest_date").write.partitionBy("ingest_date").text(f"{lake.landing}/{entity}")
+
+    at_once(spark, *[land(entity, lines) for entity, lines in feeds.items()])
     return lake
 
 
