@@ -74,24 +74,29 @@ def fct_payments(
 ) -> DataFrame:
     """Star join: payments with merchant category, customer segment and risk flags.
 
-    The features join comes first: it is the only fact-to-fact join, on payment and day,
-    so no key is hot there, a payment that changed its day cannot meet features of the old
-    one, and a filter on days reaches both scans.  The dimensions follow; Spark broadcasts
-    them while they are small.
+    Flags and segments meet whole payments by payment_id alone, in one shuffle, or in none where the payments
+    are stored by it.  The customers meet ids only, where AQE splits a hot customer, and a segment comes back
+    by the id of the payment.  A payment that changed its day cannot meet features of the old one.  Silver
+    holds no payment without an id.  The merchants come last; Spark broadcasts them while they are small.
     """
     flags = features.select(
-        "payment_id",
-        F.col("dt").cast("date").alias("transaction_day"),
+        F.col("payment_id").alias("_flagged_id"),
+        F.col("dt").cast("date").alias("_flagged_day"),
         flag(F.col("high_velocity")).alias("_velocity"),
         flag(F.col("amount_spike")).alias("_spike"),
     )
     categories = merchants.select("merchant_id", F.col("category").alias("merchant_category"))
-    segments = customers.select("customer_id", "risk_segment")
+    ids = payments.select("payment_id", "customer_id").distinct()
+    segments = ids.join(customers.select("customer_id", "risk_segment"), "customer_id").select(
+        F.col("payment_id").alias("_segment_id"), F.col("customer_id").alias("_segment_customer"), "risk_segment")
+    # Written without an equality, which would be one more key to shuffle by.
+    same_day = F.datediff("transaction_day", "_flagged_day") == 0
+    same_customer = F.col("customer_id").between(F.col("_segment_customer"), F.col("_segment_customer"))
     return (
         stg_payments(payments)
-        .join(flags, ["payment_id", "transaction_day"], "left")
+        .join(flags, (F.col("payment_id") == F.col("_flagged_id")) & same_day, "left")
+        .join(segments, (F.col("payment_id") == F.col("_segment_id")) & same_customer, "left")
         .join(categories, "merchant_id", "left")
-        .join(segments, "customer_id", "left")
         .select(
             "payment_id", "customer_id", "merchant_id", "merchant_category", "risk_segment",
             "payment_method", "channel", "status", "currency", "amount",

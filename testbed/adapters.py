@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paylode.operators.upsert import latest_per_key
-from paylode.session import staged, use_utc
+from paylode.session import clustered, use_utc
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
@@ -135,8 +135,8 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same as a stored table, for queries that read it more than once."""
-    return staged(payments(spark, sf_dir), "silver-payments")
+    """The same as a stored table, for queries that read it more than once, mostly to join it by payment."""
+    return clustered(payments(spark, sf_dir), "silver-payments", "payment_id")
 
 
 def _children(spark: SparkSession, sf_dir: str, prefix: str, entity: str, day: str) -> DataFrame:

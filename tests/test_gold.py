@@ -8,7 +8,7 @@ from conftest import deliver, record, rows
 from pyspark.sql import functions as F
 
 from paylode.operators.checks import mart_checks, run_checks
-from paylode.plans import gold
+from paylode.plans import gold, marts
 from paylode.plans.jobs import (
     FCT_PAYMENTS_SCHEMA,
     bronze_to_silver,
@@ -24,7 +24,7 @@ from paylode.plans.jobs import (
 )
 from paylode.contracts import ENTITIES
 from paylode.plans.publication import published_record
-from paylode.session import scratch_path
+from paylode.session import clustered, scratch_path
 from paylode.sources.lake import Lake, read_table
 from paylode.streaming.landing_stream import merge_stream
 
@@ -229,3 +229,50 @@ def test_children_of_later_payments_are_kept(spark, tmp_path):
     assert rows(fact, "chargeback_id", "payment_found", "amount_cop", "days_to_chargeback") == [
         ("B1", False, 5.0, None)]
     assert set(ENTITIES) == {"customers", "merchants", "payments", "refunds", "chargebacks"}
+
+
+PAYMENT = ("payment_id string, customer_id string, merchant_id string, amount double, currency string, payment_method string, "
+           "channel string, status string, transaction_date timestamp, updated_at timestamp, dt date")
+
+
+def a_fact(spark, paid_rows, payments_of=lambda df: df):
+    at = dt.datetime(2026, 9, 1, 12)
+    payments = payments_of(spark.createDataFrame(
+        [(pid, customer, "M1", 2.0, "USD", "card", "web", "approved", at, at, dt.date.fromisoformat(day))
+         for pid, customer, day in paid_rows], PAYMENT))
+    merchants = spark.createDataFrame([("M1", "food")], "merchant_id string, category string")
+    customers = spark.createDataFrame([("C1", "low"), ("C2", "high"), ("C2", "medium")], "customer_id string, risk_segment string")
+    scored = spark.createDataFrame([("P1", dt.date(2026, 9, 1), True, None), ("P2", dt.date(2026, 9, 2), True, True)],
+                                   "payment_id string, dt date, high_velocity boolean, amount_spike boolean")
+    return marts.fct_payments(payments, merchants, customers, scored)
+
+
+def test_the_fact_of_repeated_ids_and_customers(spark):
+    """Each payment meets its own customer and the flags of its own day, also where an id comes twice."""
+    fact = a_fact(spark, [("P1", "C1", DAYS[0]), ("P1", "C2", DAYS[0]), ("P1", "C1", DAYS[1]), ("P2", "C1", DAYS[0]),
+                          ("P2", "C1", DAYS[0]), ("P3", None, DAYS[0]), ("P4", "C9", DAYS[0])])
+    found = rows(fact, "payment_id", "customer_id", F.col("transaction_day").cast("string"), "risk_segment", "flag_high_velocity")
+    assert sorted(map(str, found)) == sorted(map(str, [
+        ("P1", "C1", DAYS[0], "low", True), ("P1", "C2", DAYS[0], "high", True), ("P1", "C2", DAYS[0], "medium", True),
+        ("P1", "C1", DAYS[1], "low", False), ("P2", "C1", DAYS[0], "low", False), ("P2", "C1", DAYS[0], "low", False),
+        ("P3", None, DAYS[0], None, False), ("P4", "C9", DAYS[0], None, False)]))
+
+
+def test_payments_stored_by_payment_are_not_shuffled_again(spark):
+    """Neither for the fact nor to store it in the same way nor for a join by payment; the catalog keeps nothing."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = a_fact(spark, [(f"P{i}", "C1", DAYS[0]) for i in range(9)], lambda df: clustered(df, "paid", "payment_id"))
+        fact = fact.drop("merchant_category")
+        plan = fact._jdf.queryExecution().executedPlan().toString().splitlines()
+        stored = clustered(fact, "mart", "payment_id")
+        again = stored.join(clustered(stored.select("payment_id"), "ids", "payment_id"), "payment_id")
+        joined = again._jdf.queryExecution().executedPlan().toString()
+        assert again.count() == 9 and "Exchange" not in joined
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    by = [line.split("hashpartitioning(")[1].split("#")[0] for line in plan if "Exchange hashpartitioning" in line]
+    # The flags, the ids to their customers and back, the dimensions; the payments only to the merchants, the last join.
+    assert sorted(by) == sorted(["_flagged_id", "customer_id", "customer_id", "_segment_id", "merchant_id", "merchant_id"])
+    assert spark.catalog.listTables() == []
