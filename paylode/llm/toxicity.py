@@ -87,14 +87,15 @@ def bags(texts: pa.Array) -> Bags:
     return Bags(np.concatenate(feature), np.concatenate(owner), found.doc[first], found.start[first], found.end[last])
 
 
-def many_bags(texts: pa.Array) -> Bags:
-    """The same for many texts, a slice at a time: a text's bytes need far more room than its features."""
-    parts, docs, sentences = [], 0, 0
+def many_bags(texts: pa.Array) -> Iterator[tuple[int, Bags]]:
+    """The same for many texts, a slice at a time, each with the number of its first text.
+
+    A text's bytes and features need far more room than what is learnt from them, so no two slices are held at once.
+    """
+    docs = 0
     for part in slices(pa.RecordBatch.from_arrays([texts], names=["text"]), "text"):
-        one = bags(part.column("text"))
-        parts.append(one._replace(sentence=one.sentence + np.int32(sentences), doc=one.doc + docs))
-        docs, sentences = docs + len(part), sentences + len(one.doc)
-    return Bags(*map(np.concatenate, zip(*parts))) if parts else bags(texts)
+        yield docs, bags(part.column("text"))
+        docs += len(part)
 
 
 def sentence_logits(model: Model, found: Bags, sieve: np.ndarray | None = None) -> np.ndarray:
@@ -127,47 +128,92 @@ def noisy_or(logits: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     return -np.expm1(np.bincount(doc, weights=-np.logaddexp(0, logits), minlength=n))
 
 
-def _vocabulary(found: Bags, labels: np.ndarray) -> np.ndarray:
-    """Hashes of the features whose documents differ from the others in their labels, the clearest if too many.
+class Tally(NamedTuple):
+    hashes: np.ndarray      # sorted and different
+    n: np.ndarray           # the documents that have each
+    k: np.ndarray           # and the positive ones among them
 
-    The measure is the likelihood ratio of two shares of positive documents against one; a feature that only
-    a few documents have cannot reach ``LEAST_RATIO``, and so cannot be learnt by heart.
-    """
+
+def _tally(found: Bags, labels: np.ndarray) -> Tally:
     # By hash, and by document within a hash: a hash is of one kind, and those come by document.
     order = np.argsort(found.feature, kind="stable").astype(np.int32)
-    hashes, doc = found.feature[order], found.doc.astype(np.int32)[found.sentence[order]]
-    del order
+    hashes, doc = found.feature[order], found.doc[found.sentence[order]]
     first = hashing.firsts(hashes)
-    if not len(first):
-        return hashes
     fresh = np.ones(len(hashes), np.int32)
     fresh[1:] = (hashes[1:] != hashes[:-1]) | (doc[1:] != doc[:-1])
-    n, total, positive = np.add.reduceat(fresh, first), len(labels), int(labels.sum())
-    k = np.add.reduceat(fresh * (labels[doc] == 1), first)
+    return Tally(hashes[first], *(np.add.reduceat(x, first, dtype=np.int32) if len(first) else fresh
+                                  for x in (fresh, fresh * (labels[doc] == 1))))
+
+
+def _sum(parts: list[Tally]) -> Tally:
+    """One tally of several that have no document in common."""
+    hashes = np.concatenate([p.hashes for p in parts])
+    order = np.argsort(hashes, kind="stable").astype(np.int32)
+    hashes = hashes[order]
+    first = hashing.firsts(hashes)
+    return Tally(hashes[first], *(np.add.reduceat(np.concatenate(x)[order], first, dtype=np.int32) if len(first) else order
+                                  for x in (([p.n for p in parts], [p.k for p in parts]))))
+
+
+def _tallies(texts: pa.Array, labels: np.ndarray) -> Tally:
+    """Added up whenever the new ones have as many hashes as the sum, so that it stays in proportion to the different hashes."""
+    total, fresh = _tally(bags(texts[:0]), labels), []
+    for docs, found in many_bags(texts):
+        fresh.append(_tally(found, labels[docs:]))
+        if sum(len(t.hashes) for t in fresh) > max(len(total.hashes), MOST_FEATURES):
+            total, fresh = _sum([total, *fresh]), []
+    return _sum([total, *fresh])
+
+
+def _vocabulary(tally: Tally, labels: np.ndarray) -> np.ndarray:
+    """Hashes of the features whose documents differ from the others in their labels, the clearest if too many.
+
+    The measure is the likelihood ratio of two shares of positive documents against one; a feature that only
+    a few documents have cannot reach ``LEAST_RATIO``, and so cannot be learnt by heart.
+    """
+    total, positive = len(labels), int(labels.sum())
 
     def fit_of(k: np.ndarray, n: np.ndarray) -> np.ndarray:
         share = np.clip(k / np.maximum(n, 1), 1e-12, 1 - 1e-12)
         return k * np.log(share) + (n - k) * np.log(1 - share)
 
-    ratio = 2 * (fit_of(k, n) + fit_of(positive - k, total - n) - fit_of(np.array(positive), np.array(total)))
+    ratio = np.zeros(len(tally.hashes))
+    for some in (slice(i, i + MOST_FEATURES) for i in range(0, len(ratio), MOST_FEATURES)):
+        n, k = tally.n[some], tally.k[some]
+        ratio[some] = 2 * (fit_of(k, n) + fit_of(positive - k, total - n) - fit_of(np.array(positive), np.array(total)))
     clear = np.flatnonzero(ratio >= LEAST_RATIO)
     clear = np.sort(clear[np.argsort(-ratio[clear], kind="stable")[:MOST_FEATURES]])
-    return hashes[first[clear]]
+    return tally.hashes[clear]
+
+
+def _known_bags(texts: pa.Array, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places in the vocabulary of all features that it has, their sentences, in order, and the document of each sentence."""
+    sieve, sentences = _sieve(vocabulary), 0
+    parts = [(np.zeros(0, np.int32),) * 3]
+    for docs, found in many_bags(texts):
+        known, feature = _known(vocabulary, sieve, found.feature)
+        sentence = found.sentence[known]
+        order = np.argsort(sentence, kind="stable")
+        parts.append((feature[order].astype(np.int32), sentence[order] + np.int32(sentences), (found.doc + docs).astype(np.int32)))
+        sentences += len(found.doc)
+    feature, sentence, doc = map(np.concatenate, zip(*parts))
+    return feature, sentence, doc
 
 
-def fit(labels: np.ndarray, weights: np.ndarray, found: Bags) -> Model:
-    """Adagrad on the documents' log likelihood, in a fixed order, so that reruns agree."""
+def fit(labels: np.ndarray, weights: np.ndarray, texts: pa.Array) -> Model:
+    """Adagrad on the documents' log likelihood, in a fixed order, so that reruns agree.
+
+    The texts are read twice, to count the documents of every feature and to find the chosen ones.
+    """
     none = np.zeros(0, U64), np.zeros(0)
     if not len(labels) or labels.min() == labels.max():
         return Model(*none, START_BIAS, float(labels[0]) if len(labels) else 0.0)
-    vocabulary = _vocabulary(found, labels)
+    vocabulary = _vocabulary(_tallies(texts, labels), labels)
     if not len(vocabulary):
         return Model(*none, START_BIAS, None)
-    known, feature = _known(vocabulary, _sieve(vocabulary), found.feature)
-    order = np.argsort(found.sentence[known], kind="stable")
-    feature, sentence = feature[order], found.sentence[known[order]]
-    feature_at = np.searchsorted(found.doc[sentence], np.arange(len(labels) + 1))
-    sentence_at = np.searchsorted(found.doc, np.arange(len(labels) + 1))
+    feature, sentence, doc = _known_bags(texts, vocabulary)
+    feature_at = np.searchsorted(doc[sentence], np.arange(len(labels) + 1, dtype=np.int32))
+    sentence_at = np.searchsorted(doc, np.arange(len(labels) + 1, dtype=np.int32))
     w, b = np.zeros(len(vocabulary)), START_BIAS
     w_seen, b_seen = np.full(len(vocabulary), 1e-6), 1e-6
     rng = np.random.Generator(np.random.PCG64(11))
@@ -190,8 +236,9 @@ def fit(labels: np.ndarray, weights: np.ndarray, found: Bags) -> Model:
             b_seen += g.sum() ** 2
             b -= 0.1 * g.sum() / np.sqrt(b_seen)
     useful = np.abs(w) > 1e-2
-    model = Model(vocabulary[useful], w[useful], float(b), None)
-    return model._replace(cut=_cut(noisy_or(sentence_logits(model, found), found.doc, len(labels)), labels, weights))
+    some = np.flatnonzero(useful[feature])
+    logits = b + np.bincount(sentence[some], weights=w[feature[some]], minlength=len(doc))
+    return Model(vocabulary[useful], w[useful], float(b), None, _cut(noisy_or(logits, doc, len(labels)), labels, weights))
 
 
 def _cut(scores: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> float:
@@ -212,8 +259,7 @@ def calibrated(scores: np.ndarray, cut: float) -> np.ndarray:
 
 def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = pa.Table.from_batches(list(batches)).sort_by([("order", "ascending"), ("text", "ascending")])
-    model = fit(rows.column("toxic").to_numpy(), rows.column("weight").to_numpy(),
-                many_bags(rows.column("text").combine_chunks()))
+    model = fit(rows.column("toxic").to_numpy(), rows.column("weight").to_numpy(), rows.column("text").combine_chunks())
     yield pa.RecordBatch.from_arrays(
         [pa.array([model.features.tobytes()]), pa.array([model.weights.tobytes()]), pa.array([model.bias]),
          pa.array([model.constant], pa.float64()), pa.array([model.cut])], names=["features", "weights", "bias", "constant", "cut"])

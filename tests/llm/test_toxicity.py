@@ -1,5 +1,7 @@
 import random
+import tracemalloc
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -104,3 +106,33 @@ def test_long_text_and_reruns(spark, learnt):
     long_ = prose(1, 60_000, "aeioustr")
     found = toxicity.score(documents(spark, [(1, long_), (2, long_ + ". vilefool vilest grrbah.")]), model).collect()
     assert found[0].score < found[1].score and found[1].predicted == 1
+
+
+def test_features_are_counted_over_all_slices(monkeypatch):
+    """The documents of every feature, however many slices and sums it comes from."""
+    monkeypatch.setattr(toxicity, "MOST_FEATURES", 40)
+    rows, labels = table(300)
+    texts = pa.array([t for _, t in rows] + ["long " * 60_000, "", None] + [t for _, t in rows[:40]])
+    labels = np.array([k for _, k in labels] + [1, 0, 1] + [0] * 40)
+    n, k = Counter(), Counter()
+    for text, label in zip(texts, labels):
+        one = set(toxicity.bags(pa.array([text], pa.string())).feature.tolist())
+        n.update(one)
+        k.update(one if label else ())
+    tally = toxicity._tallies(texts, labels)
+    assert tally.hashes.tolist() == sorted(n)
+    assert tally.n.tolist() == [n[h] for h in sorted(n)] and tally.k.tolist() == [k[h] for h in sorted(n)]
+
+
+def test_the_fit_holds_few_features_at_once():
+    """What it takes beside the texts is a small part of all their features."""
+    rows, labels = table(400)
+    texts = [" ".join([t] * 8) for _, t in rows] * 4
+    kinds = [k for _, k in labels] * 4
+    sample = pa.RecordBatch.from_pydict({"order": list(range(len(texts))), "toxic": kinds, "weight": [1.0] * len(texts), "text": texts})
+    tracemalloc.start()
+    model = next(toxicity._train(iter([sample])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(model.column("features")[0].as_py()) > 0
+    assert peak < 8 * sum(map(len, texts))
