@@ -87,6 +87,49 @@ def test_runs_of_words_that_go_are_those_of_brute_force(spark):
     assert repeats.without_passages(documents(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("hot", [20_000, 0])
+def test_runs_of_short_words_and_other_gaps(spark, hot):
+    """A run counts by its words, not by its bytes; words that go on and other gaps end it."""
+    ones, twos = [" ".join(random.Random(k).choices("abcdefghijkl", k=30)) for k in (1, 2)]
+    texts = [f"x1 {ones} y1", f"\tx2 {ones[:40]}z {ones} y2", ones[:21], f"q {ones[:21]}", f"{ones[:20]}z", twos, twos.replace(" ", "  ", 15),
+             f"é {twos}€ ü", twos[9:41] + "\x01 v", "a " * 30, " b" * 30 + "\n", " b" * 30 + "\n", "c\x01 " + "c " * 11, " \n ", None]
+    rows = list(enumerate(texts))
+    found = repeats.without_passages(documents(spark, rows, extra=True), words=11, hot=hot).collect()
+    assert sorted(((r.doc_id, r.text) for r in found), key=str) == passages_by_force(rows, 11)
+
+
+def test_a_repeated_run_costs_its_anchors_and_not_its_words(spark, monkeypatch):
+    """What is staged grows with the anchors: no table has a row for each of the words that repeat."""
+    kept, rows = repeats.staged, []
+
+    def counted(df, name):
+        out = kept(df, name)
+        rows.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(repeats, "staged", counted)
+    shared = prose(1, 4_000)
+    found = repeats.without_passages(documents(spark, [(k, f"{prose(10 + k, 5)} {shared} {prose(20 + k, 5)}") for k in range(2)]))
+    assert all(len(r.text.split()) == 10 for r in found.collect())
+    assert max(n for _, n in rows) < 4_000 // 4, rows
+
+
+def test_words_are_found_and_anchored_in_pieces(monkeypatch):
+    import numpy as np
+
+    from paylode.llm import hashing
+
+    data = [t.encode() for t in (prose(1, 300) + " " + prose(2, 90), "", prose(1, 300, "é"), "w" * 700, prose(1, 300))]
+    at = np.cumsum([0, *map(len, data)])
+    buffer = np.frombuffer(b"".join(data), np.uint8)
+    found = repeats._words(buffer, at)
+    places = repeats.word_anchors(found, 20, 8)
+    assert all((a == b).all() for a, b in zip(found, hashing.words(buffer, at)))
+    monkeypatch.setattr(repeats, "_BLOCK", 100)
+    assert all((a == b).all() for a, b in zip(found, repeats._words(buffer, at)))
+    assert all((a == b).all() for a, b in zip(places, repeats.word_anchors(found, 20, 8)))
+
+
 def test_texts_lose_whole_characters_only(spark):
     shared = prose(1, 40)
     rows = [(1, "start é" + shared + "è end"), (2, "begin ê" + shared + "é close"), (3, None), (4, "alone")]
