@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paylode.llm import bloom, hashing
-from paylode.llm.common import components, few_tasks, ready, slices, text_md5
+from paylode.llm.common import components, few_tasks, merged_only, ready, slices, text_md5
 from paylode.llm.hashing import U64, mix
 from paylode.session import settled, staged
 
@@ -267,7 +267,7 @@ def _exact_links(left: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     dealt = dealt.withColumn("other", other).select(
         "bucket", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "chunk", "id", "component")
     blobs = texts.join(left.select("id").distinct(), "id", "left_semi").mapInArrow(_set_blobs, "id long, shingles binary")
-    pairs = dealt.join(staged(blobs, "open-sets"), "id").repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
+    pairs = merged_only(dealt).join(staged(blobs, "open-sets"), "id").repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
     return pairs.mapInArrow(_compare_blocks(percent), "a long, b long")
 
 
@@ -307,7 +307,7 @@ def _grouped(documents: DataFrame, percent: int) -> tuple[DataFrame, DataFrame,
     shared = banded.groupBy("bucket").agg(
         F.min("id").alias("hub"), F.min_by("n", "id").alias("hub_n"), F.max("id").alias("last"),
         F.count(F.lit(1)).alias("size")).where("hub != last").drop("last")
-    buckets = staged(banded.join(shared, "bucket"), "buckets")
+    buckets = staged(merged_only(banded).join(shared, "bucket"), "buckets")
     # Most documents have no candidate: their texts stay where they are.
     # Of a class only the first row's text goes on.
     ids = classes.join(buckets.select("id").distinct(), "id", "left_semi").select(

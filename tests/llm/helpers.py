@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -36,3 +37,21 @@ def groups(nodes, links):
         a, b = find(a), find(b)
         root[max(a, b)] = min(a, b)
     return {n: find(n) for n in nodes}
+
+
+def joins_staged(monkeypatch, module):
+    """A dictionary that gets, by the name it is staged under, the joins of each table that ``module`` stages."""
+    found, staged = {}, module.staged
+
+    def watched(df, name, *partition_by):
+        found.setdefault(name, []).extend(joins_of(df))
+        return staged(df, name, *partition_by)
+
+    monkeypatch.setattr(module, "staged", watched)
+    return found
+
+
+def joins_of(df):
+    """The joins of the plan, from the result down, as the planner chose them before anything ran: ``kind keys``."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [" ".join(re.findall(r"\w+Join|(?<=\[)\w+(?=#)", line)[:2]) for line in plan.splitlines() if re.search(r"\w+Join \[", line)]

@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 import pytest
-from helpers import documents, groups, prose
+from helpers import documents, groups, joins_staged, prose
 
 from paylode.llm import minhash
 from paylode.llm.common import components
@@ -141,3 +141,20 @@ def test_components(spark, shape):
     found = components(spark.createDataFrame(links, "a long, b long")).collect()
     nodes = {n for link in links for n in link}
     assert {r.node: r.component for r in found} == groups(nodes, links) and len(found) == len(nodes)
+
+
+def test_exploded_rows_are_never_broadcast(spark, monkeypatch):
+    """Spark takes a document's 24 bands for one, and a document of many chunks for a row."""
+    found = joins_staged(monkeypatch, minhash)
+    blocks = []
+    exact = minhash._exact_links
+
+    def links(left, texts, percent):
+        out = exact(left, texts, percent)
+        blocks.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(minhash, "_exact_links", links)
+    minhash.near_duplicates(documents(spark, near_table()), 85).count()
+    assert found["buckets"] == ["SortMergeJoin bucket"]
+    assert any("SortMergeJoin [id#" in line for line in blocks[0].splitlines())

@@ -4,7 +4,7 @@ import re
 from collections import Counter
 
 import pytest
-from helpers import documents, prose
+from helpers import documents, joins_of, joins_staged, prose
 
 from paylode.llm import repeats
 
@@ -155,3 +155,13 @@ def test_a_long_text_is_searched_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(repeats, "_BLOCK", 500)
     pieces = repeats.anchors(data, np.array([0, len(data)]), 80, 20)
     assert (whole[0] == pieces[0]).all() and (whole[1] == pieces[1]).all()
+
+
+def test_what_spark_sizes_too_low_is_never_broadcast(spark, monkeypatch):
+    """Exploded anchors, lists of anchors, texts and the windows of hot anchors, which are far more than their surroundings."""
+    found = joins_staged(monkeypatch, repeats)
+    _, involved = repeats._spans(documents(spark, table()), 80, 20, 0)
+    assert found["texts-asked-for"] == ["SortMergeJoin text_id", "SortMergeJoin gram"]
+    assert found["cut-surroundings"][0] == "SortMergeJoin text_id"
+    windows = [line for line in involved._jdf.queryExecution().executedPlan().toString().splitlines() if "Join [gram#" in line and "hash_a#" in line]
+    assert windows and all("SortMergeJoin" in line for line in windows)
