@@ -74,10 +74,10 @@ def fct_payments(
 ) -> DataFrame:
     """Star join: payments with merchant category, customer segment and risk flags.
 
-    Flags and segments meet whole payments by payment_id alone, in one shuffle, or in none where the payments
-    are stored by it.  The customers meet ids only, where AQE splits a hot customer, and a segment comes back
-    by the id of the payment.  A payment that changed its day cannot meet features of the old one.  Silver
-    holds no payment without an id.  The merchants come last; Spark broadcasts them while they are small.
+    Whole payments are shuffled by payment_id alone, once, or not at all where they are stored by it.  The customers
+    and the merchants meet ids only, where AQE splits a hot one, and what they know comes back by the id of the
+    payment.  A payment that changed its day cannot meet features of the old one.  Silver holds no payment
+    without an id.
     """
     flags = features.select(
         F.col("payment_id").alias("_flagged_id"),
@@ -86,17 +86,22 @@ def fct_payments(
         flag(F.col("amount_spike")).alias("_spike"),
     )
     categories = merchants.select("merchant_id", F.col("category").alias("merchant_category"))
-    ids = payments.select("payment_id", "customer_id").distinct()
-    segments = ids.join(customers.select("customer_id", "risk_segment"), "customer_id").select(
-        F.col("payment_id").alias("_segment_id"), F.col("customer_id").alias("_segment_customer"), "risk_segment")
+    ids = payments.select("payment_id", "customer_id", "merchant_id").distinct()
+    named = ids.join(customers.select("customer_id", "risk_segment"), "customer_id", "left").join(
+        categories, "merchant_id", "left").select(
+        F.col("payment_id").alias("_segment_id"), F.col("customer_id").alias("_segment_customer"),
+        F.col("merchant_id").alias("_segment_merchant"), "risk_segment", "merchant_category")
+
     # Written without an equality, which would be one more key to shuffle by.
+    def same(column: str, other: str) -> Column:
+        return F.col(column).between(F.col(other), F.col(other)) | (F.col(column).isNull() & F.col(other).isNull())
+
     same_day = F.datediff("transaction_day", "_flagged_day") == 0
-    same_customer = F.col("customer_id").between(F.col("_segment_customer"), F.col("_segment_customer"))
+    same_names = same("customer_id", "_segment_customer") & same("merchant_id", "_segment_merchant")
     return (
         stg_payments(payments)
         .join(flags, (F.col("payment_id") == F.col("_flagged_id")) & same_day, "left")
-        .join(segments, (F.col("payment_id") == F.col("_segment_id")) & same_customer, "left")
-        .join(categories, "merchant_id", "left")
+        .join(named, (F.col("payment_id") == F.col("_segment_id")) & same_names, "left")
         .select(
             "payment_id", "customer_id", "merchant_id", "merchant_category", "risk_segment",
             "payment_method", "channel", "status", "currency", "amount",

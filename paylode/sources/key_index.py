@@ -8,8 +8,10 @@ the newest places into a new folder, which readers use once it is complete.
 
 from __future__ import annotations
 
-import hashlib
 import time
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,32 +34,37 @@ class KeyIndex:
     def is_built(self, spark: SparkSession) -> bool:
         return bool(self._folders(spark))
 
-    def _table(self, spark: SparkSession, folder: str) -> str:
-        """The folder as a table of this session; what makes it bucketed is in the names of its files."""
+    @contextmanager
+    def _table(self, spark: SparkSession, folder: str) -> Iterator[str]:
+        """The folder as a table, which the catalog knows inside only; what makes it bucketed is in the names of its files."""
         buckets = int(folder.rpartition("-")[2])
-        name = "key_index_" + hashlib.sha256(f"{self.path}/{folder}".encode()).hexdigest()[:24]
+        name = f"key_index_{uuid.uuid4().hex}"
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({self.key} STRING, dt DATE, written BIGINT) USING parquet "
+            f"CREATE TABLE {name} ({self.key} STRING, dt DATE, written BIGINT) USING parquet "
             # Adaptive: a filter of the size that the keys of a file ask for, not of a megabyte in every file.
             f"OPTIONS ('parquet.bloom.filter.enabled#{self.key}' 'true', "
             f"'parquet.bloom.filter.adaptive.enabled#{self.key}' 'true', 'parquet.bloom.filter.adaptive.enabled' 'true') "
             f"CLUSTERED BY ({self.key}) SORTED BY ({self.key}) INTO {buckets} BUCKETS "
             f"LOCATION '{self.path}/{folder}'")
-        return name
+        try:
+            yield name
+        finally:
+            spark.sql(f"DROP TABLE {name}")
 
     def _append(self, places: DataFrame, folder: str) -> None:
         spark = places.sparkSession
         rows = places.select(F.col(self.key), F.col("dt").cast("date").alias("dt"), F.lit(time.time_ns()).alias("written"))
         # One file per bucket and merge.
-        rows.repartition(int(folder.rpartition("-")[2]), self.key).write.insertInto(self._table(spark, folder))
+        rows = rows.repartition(int(folder.rpartition("-")[2]), self.key)
+        with self._table(spark, folder) as name:
+            rows.write.insertInto(name)
 
     def rows(self, spark: SparkSession) -> DataFrame:
         folders = self._folders(spark)
         if not folders:
             return spark.createDataFrame([], f"{self.key} string, dt date, written bigint")
-        name = self._table(spark, folders[-1])
-        spark.catalog.refreshTable(name)
-        return spark.table(name)
+        with self._table(spark, folders[-1]) as name:
+            return spark.table(name)
 
     def record(self, places: DataFrame) -> None:
         """Add places of keys; adding them again changes nothing that ``newest`` or ``every`` tell."""

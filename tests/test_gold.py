@@ -276,3 +276,32 @@ def test_payments_stored_by_payment_are_not_shuffled_again(spark):
     # The flags, the ids to their customers and back, the dimensions; the payments only to the merchants, the last join.
     assert sorted(by) == sorted(["_flagged_id", "customer_id", "customer_id", "_segment_id", "merchant_id", "merchant_id"])
     assert spark.catalog.listTables() == []
+
+
+def test_payments_are_stored_by_payment_without_a_shuffle_whatever_the_merchants(spark):
+    """Merchants too many to be broadcast meet ids, not whole payments; null, unknown and repeated ones count as ever."""
+    at, day = dt.datetime(2026, 9, 1, 12), dt.date(2026, 9, 1)
+    who = [("P1", "C1", "M1"), ("P1", "C1", "M2"), ("P2", None, "M1"), ("P3", "C1", None), ("P4", "C9", "M9"), ("P5", "C2", "M2"),
+           ("P6", None, None), ("P6", None, None)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        payments = clustered(spark.createDataFrame(
+            [(*ids, 2.0, "USD", "card", "web", "approved", at, at, day) for ids in who], PAYMENT), "paid", "payment_id")
+        merchants = spark.createDataFrame(
+            [("M1", "food"), ("M2", "retail"), ("M2", "services"), (None, "none")], "merchant_id string, category string")
+        customers = spark.createDataFrame(
+            [("C1", "low"), ("C2", "high"), ("C2", "medium"), (None, "none")], "customer_id string, risk_segment string")
+        scored = spark.createDataFrame([("P1", day, True, None)], "payment_id string, dt date, high_velocity boolean, amount_spike boolean")
+        fact = marts.fct_payments(payments, merchants, customers, scored)
+        dealt = fact.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "payment_id")
+        plans = [df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") for df in (fact, dealt)]
+        assert plans[0] == plans[1]
+        found = rows(fact, "payment_id", "customer_id", "merchant_id", "merchant_category", "risk_segment")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found == sorted([
+        ("P1", "C1", "M1", "food", "low"), ("P1", "C1", "M2", "retail", "low"), ("P1", "C1", "M2", "services", "low"),
+        ("P2", None, "M1", "food", None), ("P3", "C1", None, None, "low"), ("P4", "C9", "M9", None, None),
+        *[("P5", "C2", "M2", c, s) for c in ("retail", "services") for s in ("high", "medium")],
+        ("P6", None, None, None, None), ("P6", None, None, None, None)], key=repr)
